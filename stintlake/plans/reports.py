@@ -53,10 +53,6 @@ def _tables(w: Warehouse, names: Sequence[str]) -> dict[str, DataFrame]:
     return {n: w.table(n) for n in names}
 
 
-def _rounded(df: DataFrame, digits: int, columns: dict[str, str]) -> list[Column]:
-    return [F.round(c, digits).alias(n) for n, c in columns.items()]
-
-
 # --- bronze -------------------------------------------------------------------
 
 
@@ -132,7 +128,7 @@ def sessions_missing_drivers(w: Warehouse, at_least: int = 20) -> DataFrame:
 
 def sessions_without_laps(w: Warehouse) -> DataFrame:
     """Sessions for which no numbered lap was landed."""
-    laps = w.bronze_laps.filter("lap_number IS NOT NULL").select("session_key")
+    laps = w.bronze_laps.filter("lap_number IS NOT NULL").select("session_key").distinct()
     sessions = w.bronze_sessions.select("session_key", "session_name", "location").distinct()
     return sessions.join(laps, "session_key", "left_anti").select(
         "*", F.lit(0).cast("long").alias("lap_count")

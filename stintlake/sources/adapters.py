@@ -99,7 +99,7 @@ SELECT session_key,
   CAST(last_day AS TIMESTAMP) AS _ingestion_timestamp
 FROM (SELECT session_key, driver_number, l_returnflag AS flag,
              CAST(MAX(l_shipdate) AS DATE) AS last_day,
-             (driver_number + FLOOR(session_key / 100) + CASE WHEN l_returnflag = 'R' THEN 7 ELSE 0 END)
+             (driver_number + CAST(FLOOR(session_key / 100) AS BIGINT) + CASE WHEN l_returnflag = 'R' THEN 7 ELSE 0 END)
                % 15 AS team
       FROM {keyed} k
       WHERE driver_number <> 14 AND NOT (session_key % 100 = 11 AND driver_number % 10 = 3)
