@@ -229,6 +229,18 @@ CTES: dict[str, str] = {
           ROW_NUMBER() OVER (PARTITION BY session_key ORDER BY best NULLS FIRST, team_category)
             AS team_rank
         FROM team_groups""",
+    "team_history": """
+        SELECT driver_number, team_name, team_colour, team_category, valid_from,
+          LEAD(valid_from) OVER (PARTITION BY driver_number ORDER BY valid_from) AS valid_to,
+          LEAD(valid_from) OVER (PARTITION BY driver_number ORDER BY valid_from) IS NULL
+            AS is_current
+        FROM (SELECT *, LAG((team_name, team_colour, team_category)) OVER
+                (PARTITION BY driver_number ORDER BY valid_from) AS before
+              FROM (SELECT driver_number, team_name, team_colour, team_category,
+                      _ingestion_timestamp AS valid_from FROM silver_drivers
+                    QUALIFY ROW_NUMBER() OVER (PARTITION BY driver_number, _ingestion_timestamp
+                      ORDER BY session_key DESC) = 1))
+        WHERE before IS NULL OR before <> (team_name, team_colour, team_category)""",
 }
 
 

@@ -8,7 +8,55 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stintlake.functions import columns as C
+from stintlake.functions import fixed_values as fv
+from stintlake.operators import quality
+from stintlake.operators.chunks import chunk_coverage, chunk_plan, points_in_chunks
+from stintlake.operators.grouping import ranks, with_group_value
+from stintlake.operators.incremental import incremental_read, merge_upsert
+from stintlake.operators.profile import count_in_range, freshness, reconcile, stale
+from stintlake.operators.quality import run_checks
+from stintlake.operators.scd import (
+    asof_join,
+    interval_order_errors,
+    scd2_from_history,
+    version_overlaps,
+)
+from stintlake.operators.sessions import (
+    race_sessions,
+    recent_sessions,
+    select_sessions,
+    stamp_children,
+)
+from stintlake.plans import checks, reports, silver
+from stintlake.plans.marts import build_team_performance
+from stintlake.plans.snapshots import driver_snapshot, session_snapshot
 from stintlake.plans.warehouse import Warehouse
+from stintlake.session import fresh_path
+from stintlake.sources.catalog import count_tables
+from stintlake.sources.readers import read_entity
+from stintlake.sources.writers import (
+    append_new,
+    append_table,
+    compact,
+    export_csv,
+    export_json,
+    read_table,
+    write_table,
+)
+from stintlake.streaming.expectations import (
+    LAPS_DROP,
+    LAPS_TRACK,
+    expectation_counts,
+    laps_quality,
+    locations_quality,
+)
+from stintlake.streaming.ingest import (
+    append_stream,
+    chain_stream,
+    evolving_stream,
+    stream_entity,
+)
 
 RUN_TS = "2024-02-01 00:00:00"
 Query = Callable[[SparkSession, str], DataFrame]
@@ -54,3 +102,433 @@ for _name in (
     "team_performance",
 ):
     _model(_name)
+
+
+# --- reports ------------------------------------------------------------------
+
+LAPS = ("bronze_laps",)
+SUMMARY = ("driver_session_summary",)
+
+for _name, _staged in {
+    "bronze_counts": (), "expected_vs_actual": (), "latest_sessions": (),
+    "latest_session_drivers": (), "latest_session_laps": (), "duplicate_sessions": (),
+    "sessions_missing_drivers": (), "sessions_without_laps": (), "null_keys": (),
+    "sessions_by_year": (), "sessions_by_type": (), "drivers_by_team": (),
+    "lap_stats_by_type": (), "driver_participation": (), "metric_values": (),
+    "bronze_freshness": (), "orphaned_drivers": (), "orphaned_bronze_laps": (),
+    "laps_without_driver": (), "quick_health": (), "silver_counts": (),
+    "silver_sessions_profile": (), "session_categories": (), "silver_drivers_profile": (),
+    "top_participants": (), "silver_laps_profile": (), "lap_distribution": (),
+    "silver_locations_profile": (), "points_per_session": (), "dim_sessions_profile": (),
+    "sessions_per_category": (), "sessions_per_year": (), "dim_drivers_profile": (),
+    "current_drivers_by_team": (), "fact_laps_profile": (), "lap_stats_by_session": (),
+    "leaderboard_profile": (), "latest_leaderboard": ("fact_laps",), "summary_profile": (),
+    "top_performers": (), "team_profile": (), "team_board": (), "bronze_to_silver": LAPS,
+    "silver_to_gold": (), "session_duration_check": (), "unreasonable_laps": (),
+    "silver_freshness": (), "silver_duplicates": (),
+    "all_layer_health": ("bronze_laps", "fact_laps", "silver_drivers", *SUMMARY),
+    "top_ten_per_session": (), "driver_performance": (), "race_team_ranking": (),
+    "critical_nulls": ("fact_laps",), "silver_gold_lineage": LAPS, "first_position_flags": (),
+    "team_driver_counts": SUMMARY, "top_qualifying_laps": (), "consistency_ranking": (),
+    "team_battle": (), "star_join_top_laps": (), "leaderboard_of": (), "team_rankings": (),
+    "fastest_lap_per_driver": (), "session_list": (), "driver_season_stats": (),
+    "sector_distribution": (),
+}.items():
+    query(_name, _staged)(getattr(reports, _name))
+
+query("drivers_like")(lambda w: reports.drivers_like(w, "#00000001"))
+
+
+# --- data quality -------------------------------------------------------------
+
+
+def _checked(w: Warehouse, listed: dict) -> DataFrame:
+    names = {*listed, "dim_sessions", "dim_drivers"} if "fact_laps" in listed else set(listed)
+    return run_checks({n: w.table(n) for n in names}, listed)
+
+
+query("dq_bronze", LAPS)(lambda w: _checked(w, checks.BRONZE_CHECKS))
+query("dq_silver", ("silver_laps", "silver_drivers", "silver_sessions"))(
+    lambda w: _checked(w, checks.SILVER_CHECKS)
+)
+query("dq_core", ("fact_laps", "dim_drivers", "dim_sessions"))(
+    lambda w: _checked(w, checks.CORE_CHECKS)
+)
+query("dq_marts", ("fact_laps", *SUMMARY, "session_leaderboard", "team_performance"))(
+    lambda w: _checked(w, checks.MART_CHECKS)
+)
+query("orphaned_laps", ("silver_laps",))(
+    lambda w: checks.orphaned_laps(w.silver_laps, w.silver_drivers, w.silver_sessions)
+)
+query("summary_mismatches")(
+    lambda w: checks.summary_mismatches(w.driver_session_summary, w.silver_laps)
+)
+
+
+@query("reconcile_bronze", ("bronze_laps",))
+def _reconcile_bronze(w: Warehouse) -> DataFrame:
+    """Lap counts of the summary against the landed rows, some of which lack a key."""
+    keys = ["session_key", "driver_number"]
+    landed = w.bronze_laps.groupBy(*keys).agg(F.count("*").alias("landed_laps"))
+    return reconcile(w.driver_session_summary, landed, keys, [("total_laps", "landed_laps")])
+
+
+query("fastest_lap_mismatches", ("fact_laps",))(
+    lambda w: checks.fastest_lap_mismatches(w.session_leaderboard, w.fact_laps, w.dim_sessions)
+)
+
+
+def _without_ferrari(w: Warehouse) -> DataFrame:
+    return w.session_leaderboard.filter("team_category <> 'Ferrari'")
+
+
+query("position_gaps", ("session_leaderboard",))(
+    lambda w: checks.position_gaps(_without_ferrari(w))
+)
+query("position_steps", ("session_leaderboard",))(
+    lambda w: checks.position_steps(_without_ferrari(w))
+)
+query("team_count_mismatches", ("silver_drivers",))(
+    lambda w: checks.team_count_mismatches(w.team_performance, w.silver_drivers)
+)
+query("not_one_current")(lambda w: checks.not_one_current(_history(w)))
+query("no_future_dates")(
+    lambda w: quality.no_future_dates(
+        w.bronze_drivers, "_ingestion_timestamp", F.lit("2000-01-01").cast("timestamp")
+    )
+)
+query("positive_values")(lambda w: quality.positive_values(w.bronze_laps, "duration_sector_3"))
+query("reasonable_lap_time")(lambda w: quality.reasonable_lap_time(w.bronze_laps, "lap_duration"))
+query("valid_percentage")(
+    lambda w: quality.valid_percentage(w.session_leaderboard, "gap_percentage")
+)
+query("completeness")(
+    lambda w: quality.completeness(
+        w.bronze_laps, ["lap_duration", "duration_sector_1", "duration_sector_3", "st_speed"]
+    )
+)
+query("lap_time_range")(
+    lambda w: w.silver_laps.filter(~F.col("lap_duration").between(50, 300)).select(
+        "session_key", "driver_number", "lap_number", "lap_duration"
+    )
+)
+query("staleness")(
+    lambda w: stale(
+        freshness({n: w.table(n) for n in ("bronze_sessions", "bronze_drivers", "bronze_laps")}),
+        "2001-11-05 06:30:00", fv.STALE_AFTER_HOURS,
+    )
+)
+query("counts_in_range")(lambda w: count_in_range(reports.bronze_counts(w), fv.ROW_RANGES))
+
+
+# --- incremental loads and history ---------------------------------------------
+
+
+@query("hwm_read", LAPS)
+def _hwm_read(w: Warehouse) -> DataFrame:
+    """Laps of the load batches after those already in the target."""
+    target = w.bronze_laps.filter("_ingestion_timestamp <= '1998-01-01'")
+    return incremental_read(w.bronze_laps, target).select(*silver.LAP_KEY, "lap_duration")
+
+
+def _two_loads(w: Warehouse) -> tuple[DataFrame, DataFrame]:
+    early = w.bronze_drivers.filter("_ingestion_timestamp < '1998-06-15'")
+    late = w.bronze_drivers.filter("_ingestion_timestamp >= '1998-06-15'")
+    return silver.build_silver_drivers(early, w.run_ts), silver.build_silver_drivers(late, w.run_ts)
+
+
+def _merged(w: Warehouse, update_all: bool) -> DataFrame:
+    old, new = _two_loads(w)
+    rows = merge_upsert(old, new, silver.DRIVER_KEY, silver.DRIVER_UPDATES, update_all, report=True)
+    return rows.select(
+        *silver.DRIVER_KEY, "team_name", "team_colour", "team_category", "_merge",
+        F.to_date("_ingestion_timestamp").alias("ingested"),
+    )
+
+
+query("merge_partial", ("bronze_drivers",))(lambda w: _merged(w, False))
+query("merge_all", ("bronze_drivers",))(lambda w: _merged(w, True))
+
+
+@query("append_dedupe", LAPS)
+def _append_dedupe(w: Warehouse) -> DataFrame:
+    """Rows to append from a batch that repeats one load of the target."""
+    target = w.bronze_laps.filter("_ingestion_timestamp <= '1998-01-01'").dropna(
+        subset=silver.LAP_KEY
+    )
+    batch = w.bronze_laps.filter("_ingestion_timestamp >= '1998-01-01'").dropna(
+        subset=silver.LAP_KEY
+    )
+    return append_new(target, batch, silver.LAP_KEY, ["_ingestion_timestamp"]).select(
+        *silver.LAP_KEY, "lap_duration"
+    )
+
+
+def _as_loaded(w: Warehouse, test: str) -> DataFrame:
+    rows = w.silver_drivers.filter(test)
+    return rows.withColumn("updated_at", F.col("_ingestion_timestamp"))
+
+
+@query("snapshot_drivers", ("silver_drivers",))
+def _snapshot_drivers(w: Warehouse) -> DataFrame:
+    """Two snapshot runs: changed drivers get a new version, missing ones are closed."""
+    first = driver_snapshot(None, _as_loaded(w, "session_key < 199800"), "1998-01-01 00:00:00")
+    source = _as_loaded(w, "session_key > 199800 AND team_category <> 'Ferrari'")
+    second = driver_snapshot(first, source, "2002-01-01 00:00:00")
+    return second.select("driver_number", "team_name", "team_category", "valid_from", "valid_to")
+
+
+@query("snapshot_sessions", ("silver_sessions",))
+def _snapshot_sessions(w: Warehouse) -> DataFrame:
+    rows = w.silver_sessions.withColumn("updated_at", F.col("_ingestion_timestamp"))
+    first = session_snapshot(None, rows.filter("session_key < 200000"), "2000-01-01 00:00:00")
+    later = rows.filter("session_key > 199700").withColumn(
+        "updated_at", F.when(F.col("session_category") == "Race", F.lit("2001-09-01").cast("timestamp"))
+        .otherwise(F.col("updated_at")),
+    )
+    second = session_snapshot(first, later, "2002-01-01 00:00:00")
+    return second.select("session_key", "session_name", "valid_from", "valid_to")
+
+
+def _history(w: Warehouse) -> DataFrame:
+    return scd2_from_history(
+        w.silver_drivers, "driver_number", ["team_name", "team_colour", "team_category"],
+        "_ingestion_timestamp", ["session_key"],
+    )
+
+
+query("scd2_changes")(_history)
+query("driver_history", ("silver_drivers",))(lambda w: reports.driver_history(_history(w)))
+
+
+@query("asof_team", ("silver_laps", "silver_drivers"))
+def _asof_team(w: Warehouse) -> DataFrame:
+    """Every lap with the team its driver had on that day."""
+    laps = w.silver_laps.select(*silver.LAP_KEY, C.parse_time("date_start").alias("lap_time"))
+    return asof_join(laps, _history(w), "driver_number", "lap_time").select(
+        *silver.LAP_KEY, "team_name", "valid_from"
+    )
+
+
+def _spans(w: Warehouse) -> DataFrame:
+    """Per session and driver the time from the first to 40 days after the last lap."""
+    t = C.parse_time("date_start")
+    return w.silver_laps.groupBy("session_key", "driver_number").agg(
+        F.min(t).alias("valid_from"),
+        F.timestamp_add("DAY", F.lit(40), F.max(t)).alias("valid_to"),
+    )
+
+
+query("version_overlaps", ("silver_laps",))(
+    lambda w: version_overlaps(_spans(w), "driver_number", "2002-01-01")
+)
+query("interval_errors")(
+    lambda w: interval_order_errors(
+        _history(w).withColumn("is_current", F.col("team_category") == "Ferrari")
+    ).select("driver_number", "team_name", "valid_from", "valid_to", "issue")
+)
+
+
+# --- sessions, chunks -----------------------------------------------------------
+
+SESSION_VIEW = ["session_key", "session_name", "session_type", "date_start", "year"]
+
+
+def _sessions(name: str, **kwargs) -> None:
+    query(name)(lambda w: select_sessions(w.silver_sessions, **kwargs).select(*SESSION_VIEW))
+
+
+_sessions("select_latest", mode="latest", n=7)
+_sessions("select_oldest", mode="oldest", n=7)
+_sessions("select_year", mode="year", year=1998)
+_sessions("select_days", mode="manual", days=["1997-03-01", "1999-10-01", "2000-12-01"])
+query("recent_sessions")(
+    lambda w: recent_sessions(w.silver_sessions, 1999, 5).select(*SESSION_VIEW)
+)
+query("race_sessions")(lambda w: race_sessions(w.silver_sessions, 2000, 10).select(*SESSION_VIEW))
+query("stamp_children")(
+    lambda w: stamp_children(
+        w.bronze_laps.select("session_key", "driver_number", "lap_number", "session_name", "batch_day"),
+        w.silver_sessions,
+    )
+)
+query("chunk_plan")(lambda w: chunk_plan(w.event_sessions))
+query("chunk_coverage")(lambda w: chunk_coverage(w.event_sessions, w.bronze_locations))
+query("session_chunk_coverage")(
+    lambda w: chunk_coverage(w.event_sessions, w.bronze_locations, by=())
+)
+query("chunk_points_open")(
+    lambda w: points_in_chunks(w.bronze_locations, w.event_sessions, edges="open").select(
+        "session_key", "driver_number", "date", "x", "y", "chunk"
+    )
+)
+
+
+# --- ranks and column rules -----------------------------------------------------
+
+
+def _ranked(w: Warehouse, ties: str, nulls: str) -> DataFrame:
+    rows = w.silver_laps.select(*silver.LAP_KEY, "lap_duration")
+    return ranks(
+        rows, ["session_key"], "lap_duration", ties, ["driver_number", "lap_number"], nulls,
+        "lap_rank",
+    )
+
+
+query("lap_rank_nulls_last")(lambda w: _ranked(w, "row_number", "last"))
+query("lap_rank_shared", ("silver_laps",))(lambda w: _ranked(w, "rank", "first"))
+query("lap_rank_dense", ("silver_laps",))(lambda w: _ranked(w, "dense_rank", "last"))
+query("team_rank_nulls_last")(
+    lambda w: build_team_performance(w.driver_session_summary, w.run_ts, "last").select(
+        "session_key", "team_name", "team_fastest_lap", "team_rank"
+    )
+)
+query("personal_best", ("silver_laps",))(
+    lambda w: with_group_value(
+        w.silver_laps.select(*silver.LAP_KEY, "lap_duration", "is_valid_lap"),
+        ["session_key", "driver_number"],
+        F.min(F.when(F.col("is_valid_lap"), F.col("lap_duration"))), "best",
+    )
+)
+query("masked_names")(
+    lambda w: w.silver_drivers.select(
+        "session_key", "driver_number", C.mask_tail("full_name").alias("masked"),
+        C.surrogate_key("session_key", "driver_number", "full_name").alias("name_key"),
+    )
+)
+query("mart_filters")(
+    lambda w: w.session_leaderboard.filter(
+        (F.col("session_category") == "Race")
+        & F.col("team_name").like("%Red Bull%")
+        & (F.col("position") <= 20)
+    ).select("session_key", "driver_number", "team_name", "position", "fastest_lap_time")
+)
+
+
+# --- sources and sinks ----------------------------------------------------------
+
+LINES = {"glob": "*.json", "multi_line": False}
+LAP_VIEW = ["session_key", "driver_number", "lap_number", "date_start", "lap_duration",
+            "is_pit_out_lap", "i1_speed", "segments_sector_1", "batch_day"]
+
+
+def _landed(w: Warehouse, table: str) -> tuple[SparkSession, str]:
+    """A bronze table as JSON files in a new landing folder."""
+    df = w.table(table).drop("_ingestion_timestamp")
+    path = fresh_path(df.sparkSession, "landing")
+    export_json(df, path, stamp=False)
+    return df.sparkSession, path
+
+
+@query("json_reload")
+def _json_reload(w: Warehouse) -> DataFrame:
+    spark, landing = _landed(w, "bronze_laps")
+    return read_entity(spark, landing, "laps", **LINES).select(*LAP_VIEW)
+
+
+@query("json_inferred")
+def _json_inferred(w: Warehouse) -> DataFrame:
+    """Read without a schema: the fields come from the files."""
+    spark, landing = _landed(w, "bronze_drivers")
+    return read_entity(spark, landing, "drivers", typed=False, **LINES).select(
+        "session_key", "driver_number", "full_name", "team_name"
+    )
+
+
+@query("csv_reload")
+def _csv_reload(w: Warehouse) -> DataFrame:
+    df = w.bronze_laps.select(*LAP_VIEW)
+    spark = df.sparkSession
+    path = export_csv(df, fresh_path(spark, "csv"))
+    text = df.withColumn("segments_sector_1", F.lit("")).schema
+    return spark.read.schema(text).option("header", True).csv(path)
+
+
+@query("partition_read")
+def _partition_read(w: Warehouse) -> DataFrame:
+    """One day of a table written by day; only its folder is read."""
+    df = w.silver_laps
+    path = write_table(df, fresh_path(df.sparkSession, "by-day"), partition_by=["batch_day"])
+    rows = read_table(df.sparkSession, path).filter(F.col("batch_day") == "1998-05-01")
+    return rows.select(*silver.LAP_KEY, "lap_duration", F.col("batch_day").cast("string"))
+
+
+@query("clustered_read")
+def _clustered_read(w: Warehouse) -> DataFrame:
+    """Laps of one session from files sorted by key, after compaction."""
+    df = w.silver_laps.select(*silver.LAP_KEY, "lap_duration")
+    spark = df.sparkSession
+    path = write_table(df, fresh_path(spark, "clustered"), cluster_by=fv.LAYOUT_COLUMNS["laps"])
+    packed = compact(read_table(spark, path), fresh_path(spark, "compact"))
+    return read_table(spark, packed).filter(F.col("session_key") == 199805)
+
+
+@query("append_new_columns")
+def _append_new_columns(w: Warehouse) -> DataFrame:
+    """Two loads of which the second has one more column."""
+    df = w.bronze_drivers
+    path = fresh_path(df.sparkSession, "evolving")
+    cols = ["session_key", "driver_number", "team_name"]
+    append_table(df.filter("session_key < 199800").select(*cols), path, "first")
+    append_table(
+        df.filter("session_key >= 199800").select(*cols, "country_code"), path, "second"
+    )
+    return read_table(df.sparkSession, path)
+
+
+@query("table_counts")
+def _table_counts(w: Warehouse) -> DataFrame:
+    """Counts of named tables; one of them does not exist."""
+    names = ["bronze_sessions", "bronze_drivers", "bronze_laps"]
+    for name in names:
+        w.table(name).createOrReplaceTempView(f"counted_{name}")
+    spark = w.bronze_laps.sparkSession
+    return count_tables(spark, [f"counted_{n}" for n in (*names, "bronze_weather")])
+
+
+# --- streams --------------------------------------------------------------------
+
+
+@query("stream_bronze")
+def _stream_bronze(w: Warehouse) -> DataFrame:
+    """Landed laps through a stream into a table, each row once."""
+    spark, landing = _landed(w, "bronze_laps")
+    target = fresh_path(spark, "stream")
+    rows = stream_entity(spark, landing, "laps", **LINES)
+    append_stream(rows, target, fresh_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(target).select(*LAP_VIEW)
+
+
+@query("stream_quality")
+def _stream_quality(w: Warehouse) -> DataFrame:
+    """A second stream over the first one's table drops rows without keys."""
+    spark, landing = _landed(w, "bronze_laps")
+    raw, good = fresh_path(spark, "stream"), fresh_path(spark, "quality")
+    rows = stream_entity(spark, landing, "laps", **LINES)
+    append_stream(rows, raw, fresh_path(spark, "checkpoint")).awaitTermination()
+    kept = laps_quality(chain_stream(spark, raw))
+    append_stream(kept, good, fresh_path(spark, "checkpoint")).awaitTermination()
+    return spark.read.parquet(good).select(*LAP_VIEW)
+
+
+@query("stream_evolving")
+def _stream_evolving(w: Warehouse) -> DataFrame:
+    """Landed locations through a stream that infers each batch."""
+    spark, landing = _landed(w, "bronze_locations")
+    target = fresh_path(spark, "evolving")
+    evolving_stream(
+        spark, landing, "locations", target, fresh_path(spark, "checkpoint"), **LINES
+    ).awaitTermination()
+    return read_table(spark, target).select(
+        "session_key", "driver_number", "date", "x", "y", "z", "batch_day"
+    )
+
+
+query("expect_drop")(
+    lambda w: locations_quality(w.bronze_locations).select(
+        "session_key", "driver_number", "date", "x", "y", "z"
+    )
+)
+query("expectation_counts")(
+    lambda w: expectation_counts(w.bronze_laps, {**LAPS_DROP, **LAPS_TRACK})
+)

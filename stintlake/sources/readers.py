@@ -35,12 +35,14 @@ def read_json(
     path: str | Sequence[str],
     schema: StructType | str | None = None,
     glob: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Multi-line JSON: a file holds an array of records or one record.
 
-    Without a schema Spark infers the union of the fields of all files.
+    Without a schema Spark infers the union of the fields of all files. Files with
+    one record per line need ``multi_line=False``; they can also be split over tasks.
     """
-    reader = spark.read.option("multiLine", True)
+    reader = spark.read.option("multiLine", multi_line)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
     if schema is not None:
@@ -66,6 +68,8 @@ def read_entity(
     entity: str,
     typed: bool = True,
     batch_id: str | None = None,
+    glob: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Landed files of an entity (a folder, or a list of files) with ingestion columns.
 
@@ -73,7 +77,8 @@ def read_entity(
     schema is inferred, and new fields simply appear.
     """
     schema = entity_schema(entity) if typed else None
-    df = with_ingestion(read_json(spark, landing, schema, file_pattern(entity)), batch_id)
+    files = read_json(spark, landing, schema, glob or file_pattern(entity), multi_line)
+    df = with_ingestion(files, batch_id)
     return with_parsed_times(df, entity) if typed else df
 
 

@@ -19,13 +19,18 @@ def max_files(entity: str) -> int:
 
 
 def stream_entity(
-    spark: SparkSession, landing: str, entity: str, max_files_per_trigger: int | None = None
+    spark: SparkSession,
+    landing: str,
+    entity: str,
+    max_files_per_trigger: int | None = None,
+    glob: str | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """New files of an entity as a stream with the fixed schema."""
     reader = (
         spark.readStream.schema(entity_schema(entity))
-        .option("multiLine", True)
-        .option("pathGlobFilter", file_pattern(entity))
+        .option("multiLine", multi_line)
+        .option("pathGlobFilter", glob or file_pattern(entity))
         .option("maxFilesPerTrigger", max_files_per_trigger or max_files(entity))
     )
     return with_parsed_times(with_ingestion(reader.json(landing)), entity)
@@ -52,7 +57,7 @@ def chain_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
 
 
-def evolving_batch(entity: str, target: str):
+def evolving_batch(entity: str, target: str, multi_line: bool = True):
     """A ``foreachBatch`` function that infers each batch and keeps new columns.
 
     Known columns get their fixed type, others are kept as text, so files of
@@ -67,7 +72,7 @@ def evolving_batch(entity: str, target: str):
         paths = [r.path for r in batch.select("path").collect()]
         if not paths:
             return
-        raw = with_ingestion(read_json(spark, paths))
+        raw = with_ingestion(read_json(spark, paths, multi_line=multi_line))
         cols = []
         for f in raw.schema:
             if f.name in known:
@@ -93,6 +98,8 @@ def evolving_stream(
     checkpoint: str,
     max_files_per_trigger: int | None = None,
     every: str | None = None,
+    glob: str | None = None,
+    multi_line: bool = True,
 ) -> StreamingQuery:
     """Stream files without a fixed schema.
 
@@ -102,12 +109,12 @@ def evolving_stream(
     """
     names = (
         spark.readStream.format("binaryFile")
-        .option("pathGlobFilter", file_pattern(entity))
+        .option("pathGlobFilter", glob or file_pattern(entity))
         .option("maxFilesPerTrigger", max_files_per_trigger or max_files(entity))
         .load(landing)
         .select("path")
     )
-    writer = names.writeStream.foreachBatch(evolving_batch(entity, target)).option(
+    writer = names.writeStream.foreachBatch(evolving_batch(entity, target, multi_line)).option(
         "checkpointLocation", checkpoint
     )
     trigger = {"processingTime": every} if every else {"availableNow": True}
