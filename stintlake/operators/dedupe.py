@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,8 +26,11 @@ def latest_per_key(
 
 
 def require(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Drop rows in which any of the columns is NULL."""
-    return df.dropna(subset=list(columns))
+    """Drop rows in which any of the columns is NULL.
+
+    One test per column: unlike ``dropna``, each can be pushed to the scan.
+    """
+    return df.filter(reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns]))
 
 
 def duplicate_keys(df: DataFrame, keys: Sequence[str], name: str = "duplicate_count") -> DataFrame:

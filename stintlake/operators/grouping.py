@@ -137,7 +137,13 @@ def row_numbers(
     max_group_rows: int = MAX_GROUP_ROWS,
 ) -> DataFrame:
     """Number the rows of each group from 1 in the given order."""
-    return running_sums(df, keys, order, {name: F.lit(1).cast("long")}, max_group_rows)
+    cold, hot = split_hot(df, keys, max_group_rows)
+    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+    out = cold.withColumn(name, number.cast("long"))
+    if hot is None:
+        return out
+    ones = {name: F.lit(1).cast("long")}
+    return out.unionByName(_running_sums_hot(hot, keys, order, ones, max_group_rows))
 
 
 def ranks(

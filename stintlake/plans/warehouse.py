@@ -118,7 +118,11 @@ class Warehouse:
 
     @cached_property
     def dim_drivers(self) -> DataFrame:
-        return self._get("dim_drivers", lambda: gold.build_dim_drivers(self.silver_drivers))
+        # One row per driver, read by both marts and counted by one: written once.
+        return self._get(
+            "dim_drivers",
+            lambda: stage(gold.build_dim_drivers(self.silver_drivers), "dim_drivers"),
+        )
 
     @cached_property
     def fact_laps(self) -> DataFrame:

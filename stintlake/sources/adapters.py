@@ -6,13 +6,13 @@ input and hold no engine logic. Each reads its whole tables.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintlake.operators.grouping import row_numbers
 
-TABLES = ("lineitem", "orders", "supplier", "nation", "region", "events")
-
 LAP_ORDER = (
     "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice",
     "l_discount", "l_tax", "l_returnflag", "l_linestatus",
@@ -69,11 +69,11 @@ SELECT CASE WHEN p = '2-HIGH' AND m = 7 THEN NULL ELSE session_key END AS sessio
   CAST(session_key % 11 AS BIGINT) AS circuit_key,
   'C' || CAST(session_key % 11 AS STRING) AS circuit_short_name,
   CAST(y AS INT) AS year,
-  CAST(last_day AS TIMESTAMP) AS _ingestion_timestamp
+  CAST(month_day + CAST(session_key * CAST(SUBSTR(p, 1, 1) AS INT) % 7 AS INT) AS TIMESTAMP)
+    AS _ingestion_timestamp
 FROM (SELECT CAST(YEAR(o_orderdate) * 100 + MONTH(o_orderdate) AS BIGINT) AS session_key,
              YEAR(o_orderdate) AS y, MONTH(o_orderdate) AS m, o_orderpriority AS p,
-             CAST(MIN(DATE_TRUNC('month', o_orderdate)) AS DATE) AS month_day,
-             CAST(MAX(o_orderdate) AS DATE) AS last_day, COUNT(*) AS n
+             CAST(MIN(DATE_TRUNC('month', o_orderdate)) AS DATE) AS month_day, COUNT(*) AS n
       FROM {orders} GROUP BY 1, 2, 3, 4) o
 JOIN {nation} n ON n.n_nationkey = o.session_key % 25
 """
@@ -135,17 +135,15 @@ FROM {events} t GROUP BY 1, 2, 3, 4, 5, 6
 """
 
 
-def read_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+def bronze_from_tables(spark: SparkSession, sf_dir: str) -> dict[str, Callable[[], DataFrame]]:
+    """Builders of the four bronze tables (and the telemetry sessions) over one data set."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
-    return {name: spark.read.parquet(f"{sf_dir}/{name}.parquet") for name in TABLES}
-
 
-def bronze_from_tables(spark: SparkSession, sf_dir: str) -> dict[str, callable]:
-    """Builders of the four bronze tables (and the telemetry sessions) over one data set."""
-    t = read_tables(spark, sf_dir)
+    def given(name: str) -> DataFrame:
+        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
     def keyed() -> DataFrame:
-        return spark.sql(KEYED_LINEITEM, lineitem=t["lineitem"])
+        return spark.sql(KEYED_LINEITEM, lineitem=given("lineitem"))
 
     def laps() -> DataFrame:
         numbered = row_numbers(
@@ -162,9 +160,11 @@ def bronze_from_tables(spark: SparkSession, sf_dir: str) -> dict[str, callable]:
         ).drop("l_linenumber")
 
     return {
-        "bronze_sessions": lambda: spark.sql(SESSIONS, orders=t["orders"], nation=t["nation"]),
-        "bronze_drivers": lambda: spark.sql(DRIVERS, keyed=keyed(), supplier=t["supplier"]),
+        "bronze_sessions": lambda: spark.sql(
+            SESSIONS, orders=given("orders"), nation=given("nation")
+        ),
+        "bronze_drivers": lambda: spark.sql(DRIVERS, keyed=keyed(), supplier=given("supplier")),
         "bronze_laps": laps,
-        "bronze_locations": lambda: spark.sql(LOCATIONS, events=t["events"]),
-        "event_sessions": lambda: spark.sql(EVENT_SESSIONS, events=t["events"]),
+        "bronze_locations": lambda: spark.sql(LOCATIONS, events=given("events")),
+        "event_sessions": lambda: spark.sql(EVENT_SESSIONS, events=given("events")),
     }

@@ -10,6 +10,7 @@ from stintlake.sources.readers import file_pattern, read_json, with_ingestion, w
 from stintlake.sources.schemas import DDL, entity_schema
 
 FILES_PER_TRIGGER = 1000
+FILE_COLUMNS = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
 # Fixed value: location files are large, so a batch takes this many.
 LOCATION_FILES_PER_TRIGGER = 10
 
@@ -109,6 +110,7 @@ def evolving_stream(
     """
     names = (
         spark.readStream.format("binaryFile")
+        .schema(FILE_COLUMNS)
         .option("pathGlobFilter", glob or file_pattern(entity))
         .option("maxFilesPerTrigger", max_files_per_trigger or max_files(entity))
         .load(landing)
