@@ -41,24 +41,32 @@ def points_in_chunks(
     lead_minutes: int = fv.CHUNK_LEAD_MINUTES,
     edges: str = "half_open",
 ) -> DataFrame:
-    """Points with the number of their chunk, computed from the time since the first chunk.
+    """Points with the number of their chunk; points outside all chunks are left out.
 
     No range join: one equality join on the session, then arithmetic. A point on
     the start of a chunk belongs to it; with ``edges="open"`` to none.
     """
+    numbered = _numbered(points, sessions, minutes, chunks, lead_minutes, edges)
+    return numbered.filter("chunk IS NOT NULL")
+
+
+def _numbered(
+    points: DataFrame, sessions: DataFrame, minutes: int, chunks: int, lead_minutes: int, edges: str
+) -> DataFrame:
     first = sessions.select(
         "session_key",
         F.timestamp_add("MINUTE", F.lit(-lead_minutes), C.parse_time("date_start")).alias("_first"),
     )
     width = minutes * 60_000_000
     since = F.unix_micros(C.parse_time("date")) - F.unix_micros("_first")
-    inside = points.join(first, "session_key").withColumn("_since", since).filter(
-        (F.col("_since") >= 0) & (F.col("_since") < width * chunks)
-    )
+    inside = (F.col("_since") >= 0) & (F.col("_since") < width * chunks)
     if edges == "open":
-        inside = inside.filter(F.col("_since") % width != 0)
-    return inside.withColumn("chunk", F.floor(F.col("_since") / width).cast("int")).drop(
-        "_first", "_since"
+        inside = inside & (F.col("_since") % width != 0)
+    return (
+        points.join(first, "session_key")
+        .withColumn("_since", since)
+        .withColumn("chunk", F.when(inside, F.floor(F.col("_since") / width).cast("int")))
+        .drop("_first", "_since")
     )
 
 
@@ -75,21 +83,24 @@ def chunk_coverage(
     """Points per chunk, and whether a reader that stops after ``stop_after`` empty
     chunks in a row would still ask for the chunk.
 
-    Counts are reduced to one row per series and chunk before anything is ranked,
-    so the window below holds ``chunks`` rows whatever the size of a session.
+    One pass over the points counts them per series and chunk. A series is then a
+    row with at most one count per chunk, so nothing below grows with a session.
     """
     keys = ["session_key", *by]
     plan = chunk_plan(sessions, minutes, chunks, lead_minutes)
     counts = (
-        points_in_chunks(points, sessions, minutes, chunks, lead_minutes, edges)
-        .groupBy(*keys, "chunk")
-        .agg(F.count("*").alias("points"))
+        _numbered(points, sessions, minutes, chunks, lead_minutes, edges)
+        .dropna(subset=keys)
+        .groupBy(*keys, F.coalesce("chunk", F.lit(-1)).alias("chunk"))
+        .agg(F.count("*").alias("n"))
+    )
+    series = counts.groupBy(*keys).agg(
+        F.map_from_entries(F.collect_list(F.struct("chunk", "n"))).alias("_counts")
     )
-    if by:
-        series = points.select(*keys).dropna().distinct()
-        plan = series.join(plan, "session_key")
-    rows = plan.join(counts, [*keys, "chunk"], "left").withColumn(
-        "points", F.coalesce("points", F.lit(0).cast("long"))
+    # Without further keys a session is listed even if it has no points.
+    rows = plan.join(series, "session_key", "inner" if by else "left").select(
+        *keys, "chunk", "chunk_start", "chunk_end",
+        F.coalesce(F.col("_counts")[F.col("chunk")], F.lit(0).cast("long")).alias("points"),
     )
     ordered = Window.partitionBy(*keys).orderBy("chunk")
     recent = ordered.rowsBetween(-(stop_after - 1), 0)

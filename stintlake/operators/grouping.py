@@ -19,16 +19,26 @@ from pyspark.sql.window import Window
 
 from stintlake.session import stage
 
+LIMIT_KEY = "spark.stintlake.maxGroupRows"
 MAX_GROUP_ROWS = 5_000_000
 
 
-def hot_groups(df: DataFrame, keys: Sequence[str], max_group_rows: int) -> DataFrame | None:
+def group_limit(df: DataFrame, max_group_rows: int | None = None) -> int:
+    """Rows of one group that a task may take: as given, as set in the session, or five million."""
+    if max_group_rows is not None:
+        return max_group_rows
+    return int(df.sparkSession.conf.get(LIMIT_KEY, str(MAX_GROUP_ROWS)))
+
+
+def hot_groups(
+    df: DataFrame, keys: Sequence[str], max_group_rows: int | None = None
+) -> DataFrame | None:
     """Keys of the groups larger than the limit, or ``None`` if there are none.
 
     At most ``rows / max_group_rows`` keys can qualify, so the answer stays small.
     """
     sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    hot = sizes.filter(F.col("_n") > max_group_rows).select(*keys)
+    hot = sizes.filter(F.col("_n") > group_limit(df, max_group_rows)).select(*keys)
     return None if hot.isEmpty() else stage(hot, "hot-keys")
 
 
@@ -46,15 +56,27 @@ def join_same(
     return left.join(right, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
+IDENTITY = ["_file", "_row"]
+
+
 def split_hot(
-    df: DataFrame, keys: Sequence[str], max_group_rows: int = MAX_GROUP_ROWS
+    df: DataFrame, keys: Sequence[str], max_group_rows: int | None = None
 ) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of the groups within the limit, and rows of the larger ones (if any)."""
+    """Rows of the groups within the limit, and rows of the larger ones (if any).
+
+    The latter carry their place in the written rows (``_file``, ``_row``), which
+    tells even equal rows apart and stays the same when a task runs again.
+    """
     hot = hot_groups(df, keys, max_group_rows)
     if hot is None:
         return df, None
-    df = stage(df, "split")
-    return join_same(df, hot, keys, "left_anti"), join_same(df, hot, keys, "left_semi")
+    rows = stage(df, "split")
+    placed = rows.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.row_index").alias("_row"),
+    )
+    return join_same(rows, hot, keys, "left_anti"), join_same(placed, hot, keys, "left_semi")
 
 
 def running_sums(
@@ -62,7 +84,7 @@ def running_sums(
     keys: Sequence[str],
     order: Sequence[Column],
     sums: dict[str, Column],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Add, per output name, the sum of an expression over the group up to the row.
 
@@ -75,36 +97,35 @@ def running_sums(
     out = cold.select("*", *[F.sum(e).over(window).alias(n) for n, e in sums.items()])
     if hot is None:
         return out
-    return out.unionByName(_running_sums_hot(hot, keys, order, sums, max_group_rows))
+    return out.unionByName(running_sums_hot(hot, keys, order, sums, max_group_rows))
 
 
-def _running_sums_hot(
-    df: DataFrame,
+def running_sums_hot(
+    hot: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     sums: dict[str, Column],
-    max_group_rows: int,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
-    # Rows get a fixed identity from their place in a written file. With it as the
-    # last sort column every row differs, so even a group of equal rows spreads.
-    rows = stage(df, "rows").select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
-    )
-    by = [*[F.col(k) for k in keys], *order, F.col("_file"), F.col("_row")]
+    """Running sums for the large groups of :func:`split_hot`.
+
+    The rows are cut into slices by their place in the global order. Each slice is
+    summed on its own, then raised by the totals of the slices before it.
+    """
+    limit = group_limit(hot, max_group_rows)
     slices = max(
-        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-        2 * (rows.count() // max_group_rows + 1),
+        int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        2 * (hot.count() // limit + 1),
     )
+    by = [*[F.col(k) for k in keys], *order, *[F.col(c) for c in IDENTITY]]
     # The slices are written before use: the totals and the rows must agree on them.
     sliced = stage(
-        rows.repartitionByRange(slices, *by).withColumn("_slice", F.spark_partition_id()),
+        hot.repartitionByRange(slices, *by).withColumn("_slice", F.spark_partition_id()),
         "slices",
     )
     in_slice = (
         Window.partitionBy(*keys, "_slice")
-        .orderBy(*order, "_file", "_row")
+        .orderBy(*order, *IDENTITY)
         .rowsBetween(Window.unboundedPreceding, 0)
     )
     before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
@@ -121,7 +142,7 @@ def _running_sums_hot(
         "*", *[F.sum(e).over(in_slice).alias(f"_l_{n}") for n, e in sums.items()]
     )
     return join_same(local, offsets, [*keys, "_slice"]).select(
-        *df.columns,
+        *[c for c in hot.columns if c not in IDENTITY],
         *[
             (F.col(f"_l_{n}") + F.coalesce(F.col(f"_o_{n}"), F.lit(0))).alias(n)
             for n in sums
@@ -129,12 +150,23 @@ def _running_sums_hot(
     )
 
 
+def row_numbers_hot(
+    hot: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[Column],
+    name: str,
+    max_group_rows: int | None = None,
+) -> DataFrame:
+    """Row numbers for the large groups of :func:`split_hot`."""
+    return running_sums_hot(hot, keys, order, {name: F.lit(1).cast("long")}, max_group_rows)
+
+
 def row_numbers(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     name: str = "row_number",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Number the rows of each group from 1 in the given order."""
     cold, hot = split_hot(df, keys, max_group_rows)
@@ -142,8 +174,7 @@ def row_numbers(
     out = cold.withColumn(name, number.cast("long"))
     if hot is None:
         return out
-    ones = {name: F.lit(1).cast("long")}
-    return out.unionByName(_running_sums_hot(hot, keys, order, ones, max_group_rows))
+    return out.unionByName(row_numbers_hot(hot, keys, order, name, max_group_rows))
 
 
 def ranks(
@@ -154,7 +185,7 @@ def ranks(
     tie_break: Sequence[str] = (),
     nulls: str = "first",
     name: str = "rank",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Rank rows of a group by a measure, smallest first.
 
@@ -180,7 +211,7 @@ def with_previous(
     keys: Sequence[str],
     order: Sequence[Column],
     values: dict[str, str],
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Add values of the preceding row of the group: ``{new name: column}``."""
     cold, hot = split_hot(df, keys, max_group_rows)
@@ -188,10 +219,7 @@ def with_previous(
     out = cold.select("*", *[F.lag(c).over(window).alias(n) for n, c in values.items()])
     if hot is None:
         return out
-    numbered = stage(
-        _running_sums_hot(hot, keys, order, {"_pos": F.lit(1).cast("long")}, max_group_rows),
-        "numbered",
-    )
+    numbered = stage(row_numbers_hot(hot, keys, order, "_pos", max_group_rows), "numbered")
     earlier = numbered.select(
         *keys, (F.col("_pos") + 1).alias("_pos"), *[F.col(c).alias(n) for n, c in values.items()]
     )

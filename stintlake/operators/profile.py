@@ -18,38 +18,42 @@ def profile(
     highs: dict[str, str] | None = None,
     total: str = "total_records",
     by: Sequence[str] = (),
+    reduce_first: bool = False,
 ) -> DataFrame:
     """Counts, distinct counts, NULL counts, sums and extremes, as one row (or one per group).
 
-    Several exact distinct counts in one query would make Spark repeat every row
-    once per column. Here rows are first reduced to one per combination of the
-    distinct columns, with partial aggregation; only those few rows are repeated.
+    For several exact distinct counts Spark repeats every row once per column.
+    Where the distinct columns have few combinations for many rows (a session and
+    driver hold many laps), ``reduce_first`` first brings the rows down to one per
+    combination, with partial aggregation, so that only those are repeated.
     """
     distinct, nulls, sums = distinct or {}, nulls or {}, sums or {}
     lows, highs = lows or {}, highs or {}
     counts = {total: F.lit(1).cast("long")}
     counts |= {n: F.col(c).isNull().cast("long") for n, c in nulls.items()}
     counts |= sums
-    combos = list(dict.fromkeys([*by, *distinct.values()]))
-    parts = df.groupBy(*combos).agg(
-        *[F.sum(e).alias(f"_s_{n}") for n, e in counts.items()],
-        *[F.min(c).alias(f"_l_{n}") for n, c in lows.items()],
-        *[F.max(c).alias(f"_h_{n}") for n, c in highs.items()],
-    )
-    return parts.groupBy(*by).agg(
-        *[F.coalesce(F.sum(f"_s_{n}"), F.lit(0)).alias(n) for n in counts],
+    # What the last step sums and takes the extremes of.
+    added = {n: e for n, e in counts.items()}
+    least = {n: F.col(c) for n, c in lows.items()}
+    most = {n: F.col(c) for n, c in highs.items()}
+    if reduce_first:
+        combos = list(dict.fromkeys([*by, *distinct.values()]))
+        df = df.groupBy(*combos).agg(
+            *[F.sum(e).alias(f"_s_{n}") for n, e in added.items()],
+            *[F.min(e).alias(f"_l_{n}") for n, e in least.items()],
+            *[F.max(e).alias(f"_h_{n}") for n, e in most.items()],
+        )
+        added = {n: F.col(f"_s_{n}") for n in added}
+        least = {n: F.col(f"_l_{n}") for n in least}
+        most = {n: F.col(f"_h_{n}") for n in most}
+    return df.groupBy(*by).agg(
+        *[F.coalesce(F.sum(e), F.lit(0)).alias(n) for n, e in added.items()],
         *[F.count_distinct(c).alias(n) for n, c in distinct.items()],
-        *[F.min(f"_l_{n}").alias(n) for n in lows],
-        *[F.max(f"_h_{n}").alias(n) for n in highs],
+        *[F.min(e).alias(n) for n, e in least.items()],
+        *[F.max(e).alias(n) for n, e in most.items()],
     )
 
 
-def distinct_per_group(
-    df: DataFrame, by: Sequence[str], distinct: dict[str, str], total: str
-) -> DataFrame:
-    return profile(df, distinct=distinct, total=total, by=by)
-
-
 def count_rows(tables: dict[str, DataFrame], extra: dict[str, dict] | None = None) -> DataFrame:
     """One row per table with its row count, plus literal columns per table."""
     extra = extra or {}

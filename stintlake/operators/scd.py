@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from stintlake.functions import columns as C
 from stintlake.operators.dedupe import latest_per_key
-from stintlake.operators.grouping import MAX_GROUP_ROWS, running_sums, with_previous
+from stintlake.operators.grouping import running_sums, with_previous
+from stintlake.session import stage
 
 FOREVER = "9999-12-31"
 
@@ -67,7 +68,7 @@ def scd2_from_history(
     tracked: Sequence[str],
     ts: str,
     tie_break: Sequence[str] = (),
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Versions with closed intervals: one per run of equal tracked attributes of a key.
 
@@ -80,6 +81,7 @@ def scd2_from_history(
         [F.col(c).desc_nulls_last() for c in tie_break] or [F.col(ts)],
         tracked,
     ).select(key, F.col(ts).alias("valid_from"), *tracked)
+    rows = stage(rows, "states")  # read by both steps below
     state = C.surrogate_key(*tracked)
     order = [F.col("valid_from")]
     seen = with_previous(
@@ -139,7 +141,7 @@ def version_overlaps(
     until: str,
     from_col: str = "valid_from",
     to_col: str = "valid_to",
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Intervals that overlap others of their key, with the number of others.
 
@@ -152,7 +154,7 @@ def version_overlaps(
     rows = dim.select(key, F.col(from_col).alias("_s"), end.alias("_e")).filter("_s < _e")
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
     # Equal intervals of a key share their ends, so they are counted as one row.
-    spans = rows.groupBy(key, "_s", "_e").agg(F.count("*").alias("_n"))
+    spans = stage(rows.groupBy(key, "_s", "_e").agg(F.count("*").alias("_n")), "spans")
     ends = spans.select(key, "_s", "_e", "_n", F.col("_e").alias("_t"), zero.alias("_kind"))
     starts = spans.select(key, "_s", "_e", "_n", F.col("_s").alias("_t"), one.alias("_kind"))
     running = running_sums(

@@ -15,6 +15,7 @@ from stintlake.sources.writers import (
     table_exists,
     write_table,
 )
+from stintlake.streaming.ingest import append_stream, stream_entity
 
 PARTITIONED = {"silver_laps", "silver_locations", "fact_laps"}
 
@@ -28,14 +29,35 @@ def _current(spark: SparkSession, target: str) -> DataFrame | None:
     return read_table(spark, target) if table_exists(spark, target) else None
 
 
-def load_bronze(spark: SparkSession, landing: str, path: str, entity: str) -> int:
-    """Append the landed files that the table does not hold yet; returns how many."""
+def load_bronze(spark: SparkSession, landing: str, path: str, entity: str) -> None:
+    """Append the landed files that are new since the last call, each exactly once.
+
+    A triggered stream: its checkpoint remembers the files, and batches of bounded
+    size keep a first load of very many files as safe as a small one.
+    """
+    days = ["batch_day"] if entity in ("laps", "locations") else []
+    append_stream(
+        stream_entity(spark, landing, entity),
+        f"{path}/bronze_{entity}",
+        f"{path}/_checkpoints/bronze_{entity}",
+        partition_by=days,
+    ).awaitTermination()
+
+
+def load_new_files(
+    spark: SparkSession, landing: str, path: str, entity: str, max_files: int = 1000
+) -> int:
+    """The same without a stream: files are compared with those the table came from.
+
+    Files are taken ``max_files`` at a time until none is left; returns how many.
+    """
     target = f"{path}/bronze_{entity}"
-    files = unprocessed_files(spark, landing, entity, _current(spark, target))
-    if files:
-        days = ["batch_day"] if entity in ("laps", "locations") else []
+    days = ["batch_day"] if entity in ("laps", "locations") else []
+    loaded = 0
+    while files := unprocessed_files(spark, landing, entity, _current(spark, target), max_files):
         append_table(read_entity(spark, files, entity), target, partition_by=days)
-    return len(files)
+        loaded += len(files)
+    return loaded
 
 
 def refresh_silver(spark: SparkSession, path: str, run_ts: str, full: bool = False) -> None:

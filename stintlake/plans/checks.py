@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from stintlake.operators.dedupe import duplicate_keys
-from stintlake.operators.grouping import MAX_GROUP_ROWS, row_numbers, with_previous
+from stintlake.operators.grouping import row_numbers, with_previous
 from stintlake.operators.profile import reconcile
 from stintlake.operators.quality import (
     accepted,
@@ -226,7 +226,7 @@ def fastest_lap_mismatches(leaderboard: DataFrame, fact: DataFrame, dim: DataFra
     )
 
 
-def position_gaps(leaderboard: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def position_gaps(leaderboard: DataFrame, max_group_rows: int | None = None) -> DataFrame:
     """Positions that are not 1, 2, 3, ... within their session."""
     rows = leaderboard.select("session_key", "position")
     numbered = row_numbers(
@@ -238,7 +238,7 @@ def position_gaps(leaderboard: DataFrame, max_group_rows: int = MAX_GROUP_ROWS)
     )
 
 
-def position_steps(leaderboard: DataFrame, max_group_rows: int = MAX_GROUP_ROWS) -> DataFrame:
+def position_steps(leaderboard: DataFrame, max_group_rows: int | None = None) -> DataFrame:
     """Positions that do not follow the preceding one of their session."""
     rows = with_previous(
         leaderboard.select("session_key", "position"), ["session_key"], [F.col("position")],

@@ -9,8 +9,8 @@ from pyspark.sql.window import Window
 from stintlake.functions import columns as C
 from stintlake.operators.dedupe import latest_per_key
 from stintlake.operators.grouping import (
-    MAX_GROUP_ROWS,
     row_numbers,
+    row_numbers_hot,
     split_hot,
     with_group_value,
 )
@@ -57,7 +57,7 @@ def build_dim_drivers(silver_drivers: DataFrame) -> DataFrame:
 
 
 def rank_laps(
-    silver_laps: DataFrame, nulls: str = "first", max_group_rows: int = MAX_GROUP_ROWS
+    silver_laps: DataFrame, nulls: str = "first", max_group_rows: int | None = None
 ) -> DataFrame:
     """Add the lap sequence per driver, the lap-time rank per session and the personal best.
 
@@ -86,7 +86,7 @@ def rank_laps(
         F.min(valid_time).over(Window.partitionBy(*driver)).alias("driver_best_lap_time"),
     )
     if hot is not None:
-        h = row_numbers(hot, ["session_key"], time_order, "_time_rank", max_group_rows)
+        h = row_numbers_hot(hot, ["session_key"], time_order, "_time_rank", max_group_rows)
         h = row_numbers(h, driver, lap_order, "driver_lap_rank", max_group_rows)
         h = with_group_value(h, driver, F.min(valid_time), "driver_best_lap_time")
         out = out.unionByName(h)
@@ -95,7 +95,7 @@ def rank_laps(
 
 
 def build_fact_laps(
-    silver_laps: DataFrame, nulls: str = "first", max_group_rows: int = MAX_GROUP_ROWS
+    silver_laps: DataFrame, nulls: str = "first", max_group_rows: int | None = None
 ) -> DataFrame:
     """One row per lap with keys, ranks and the gap to the driver's best lap.
 

@@ -12,11 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stintlake.functions import columns as C
-from stintlake.operators.grouping import (
-    MAX_GROUP_ROWS,
-    row_numbers,
-    with_group_value,
-)
+from stintlake.operators.grouping import group_limit, row_numbers, with_group_value
 from stintlake.plans.silver import run_time
 from stintlake.session import stage
 
@@ -104,7 +100,7 @@ def fastest_laps(fact_laps: DataFrame) -> DataFrame:
 
 
 def rank_positions(
-    rows: DataFrame, measure: str, bound: int, max_group_rows: int = MAX_GROUP_ROWS
+    rows: DataFrame, measure: str, bound: int, max_group_rows: int | None = None
 ) -> DataFrame:
     """Add overall and team positions and the best value of each session.
 
@@ -113,7 +109,7 @@ def rank_positions(
     """
     order = [F.col(measure), F.col("driver_number")]
     session, team = ["session_key"], ["session_key", "team_category"]
-    if bound <= max_group_rows:
+    if bound <= group_limit(rows, max_group_rows):
         in_session = Window.partitionBy(*session)
         return rows.select(
             "*",
@@ -135,7 +131,7 @@ def build_session_leaderboard(
     dim_sessions: DataFrame,
     dim_drivers: DataFrame,
     run_ts: str | None = None,
-    max_group_rows: int = MAX_GROUP_ROWS,
+    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Drivers of each session by fastest valid lap, equal times by driver number."""
     drivers = current_drivers(dim_drivers)

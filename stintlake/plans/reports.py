@@ -335,6 +335,7 @@ def silver_laps_profile(w: Warehouse) -> DataFrame:
         lows={"fastest": "lap_duration"},
         highs={"slowest": "lap_duration"},
         total="total_laps",
+        reduce_first=True,
     ).select(
         "total_laps", "unique_sessions", "unique_drivers", "null_lap_durations", "pit_out_laps",
         F.round(C.mean_of("_units", "total_laps"), 2).alias("avg_lap_duration_seconds"),
@@ -359,6 +360,7 @@ def silver_locations_profile(w: Warehouse) -> DataFrame:
         nulls={"null_x_coords": "position_x", "null_y_coords": "position_y",
                "null_z_coords": "position_z"},
         total="total_location_points",
+        reduce_first=True,
     )
 
 
@@ -366,6 +368,7 @@ def points_per_session(w: Warehouse) -> DataFrame:
     out = profile(
         w.silver_locations, by=["session_key"], total="location_points",
         distinct={"drivers_count": "driver_number"},
+        reduce_first=True,
     ).withColumn(
         "avg_points_per_driver",
         F.round(F.col("location_points") / F.nullif(F.col("drivers_count"), F.lit(0)), 0),
@@ -434,6 +437,7 @@ def fact_laps_profile(w: Warehouse) -> DataFrame:
               "_units": C.mean_units("lap_duration")},
         lows={"fastest": "lap_duration"}, highs={"slowest": "lap_duration"},
         total="total_laps",
+        reduce_first=True,
     ).select(
         "total_laps", "unique_sessions", "unique_drivers", "valid_laps", "invalid_laps",
         F.round(C.mean_of("_units", "total_laps"), 2).alias("avg_lap_duration"),
@@ -448,6 +452,7 @@ def lap_stats_by_session(w: Warehouse) -> DataFrame:
         w.fact_laps.filter("is_valid_lap"), by=["session_key"], total="total_laps",
         distinct={"drivers": "driver_key"}, sums={"_units": C.mean_units("lap_duration")},
         lows={"fastest": "lap_duration"},
+        reduce_first=True,
     )
     rows = stats.join(
         w.dim_sessions.select("session_key", "session_name", "location"), "session_key"

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_STAGED: dict[str, list[str]] = {}
 
 
 def local_session(cpus: int | str = 8, app: str = "stintlake", **conf: str) -> SparkSession:
@@ -46,7 +47,9 @@ def shared_dir(spark: SparkSession) -> str:
 
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path in the shared folder that no other run uses."""
-    return f"{shared_dir(spark)}/stintlake/{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/stintlake/{label}-{uuid.uuid4().hex}"
+    _STAGED.setdefault(spark.sparkContext.applicationId, []).append(path)
+    return path
 
 
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
@@ -58,3 +61,11 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = fresh_path(df.sparkSession, label)
     df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def drop_stages(spark: SparkSession) -> None:
+    """Delete what this session wrote to the shared folder; results must have been read."""
+    hadoop = spark._jsc.hadoopConfiguration()
+    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+        target = spark._jvm.org.apache.hadoop.fs.Path(path)
+        target.getFileSystem(hadoop).delete(target, True)

@@ -83,11 +83,16 @@ def read_entity(
 
 
 def unprocessed_files(
-    spark: SparkSession, landing: str, entity: str, loaded: DataFrame | None
+    spark: SparkSession,
+    landing: str,
+    entity: str,
+    loaded: DataFrame | None,
+    max_files: int = 1000,
 ) -> list[str]:
-    """Names of landed files that no row of ``loaded`` came from.
+    """Names of landed files that no row of ``loaded`` came from, at most ``max_files``.
 
     Only names are listed; the content of files loaded before is not read again.
+    Call again after loading these to get the next ones.
     """
     names = (
         spark.read.format("binaryFile")
@@ -98,4 +103,4 @@ def unprocessed_files(
     if loaded is not None:
         done = loaded.select("_source_file").distinct()
         names = join_same(names, done, ["_source_file"], "left_anti")
-    return [r.path for r in names.select("path").collect()]
+    return [r.path for r in names.select("path").orderBy("path").limit(max_files).collect()]

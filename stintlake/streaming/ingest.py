@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -38,7 +40,11 @@ def stream_entity(
 
 
 def append_stream(
-    df: DataFrame, path: str, checkpoint: str, every: str | None = None
+    df: DataFrame,
+    path: str,
+    checkpoint: str,
+    every: str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> StreamingQuery:
     """Append a stream to parquet files, each row exactly once.
 
@@ -48,6 +54,8 @@ def append_stream(
     writer = df.writeStream.format("parquet").outputMode("append").option(
         "checkpointLocation", checkpoint
     )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     trigger = {"processingTime": every} if every else {"availableNow": True}
     return writer.trigger(**trigger).start(path)
 

@@ -93,9 +93,10 @@ def test_cross_table_checks(spark, rows):
 
 def test_profile(spark):
     df = spark.createDataFrame([(1, "a", 1.0), (1, "b", None), (2, "a", 3.0), (None, None, 5.0)], "k int, v string, n double")
-    r = P.profile(df, distinct={"ks": "k", "vs": "v"}, nulls={"no_n": "n"}, sums={"total": F.col("n")},
-                  lows={"lo": "n"}, highs={"hi": "n"}).first()
-    assert (r.total_records, r.ks, r.vs, r.no_n, r.total, r.lo, r.hi) == (4, 2, 2, 1, 9.0, 1.0, 5.0)
+    for first in (False, True):
+        r = P.profile(df, distinct={"ks": "k", "vs": "v"}, nulls={"no_n": "n"}, sums={"total": F.col("n")},
+                      lows={"lo": "n"}, highs={"hi": "n"}, reduce_first=first).first()
+        assert (r.total_records, r.ks, r.vs, r.no_n, r.total, r.lo, r.hi) == (4, 2, 2, 1, 9.0, 1.0, 5.0)
     empty = P.profile(df.limit(0), distinct={"ks": "k"}, nulls={"no_n": "n"}).first()
     assert (empty.total_records, empty.ks, empty.no_n) == (0, 0, 0)
     by = {r.k: r.vs for r in P.profile(df, by=["k"], distinct={"vs": "v"}).collect()}
@@ -106,7 +107,7 @@ def test_distinct_counts_do_not_multiply_rows(spark, tmp_path):
     """The input is reduced before Spark repeats rows per distinct column."""
     path = str(tmp_path / "t")
     spark.range(100).select((F.col("id") % 3).alias("a"), (F.col("id") % 5).alias("b")).write.parquet(path)
-    plan = P.profile(spark.read.parquet(path), distinct={"x": "a", "y": "b"})._jdf.queryExecution().executedPlan().toString()
+    plan = P.profile(spark.read.parquet(path), distinct={"x": "a", "y": "b"}, reduce_first=True)._jdf.queryExecution().executedPlan().toString()
     assert plan.index("Expand") < plan.rindex("HashAggregate") < plan.index("FileScan")
 
 
