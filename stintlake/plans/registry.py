@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -78,12 +78,12 @@ def plain(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def query(name: str, staged: Sequence[str] = ()):
+def query(name: str):
     """Register a function of a warehouse under a name."""
 
     def wrap(fn: Callable[[Warehouse], DataFrame]):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return plain(fn(Warehouse.over_tables(spark, sf_dir, RUN_TS, staged)))
+            return plain(fn(Warehouse.over_tables(spark, sf_dir, RUN_TS)))
 
         QUERIES[name] = run
         return fn
@@ -106,35 +106,27 @@ for _name in (
 
 # --- reports ------------------------------------------------------------------
 
-LAPS = ("bronze_laps",)
-SUMMARY = ("driver_session_summary",)
-
-for _name, _staged in {
-    "bronze_counts": (), "expected_vs_actual": (), "latest_sessions": (),
-    "latest_session_drivers": (), "latest_session_laps": (), "duplicate_sessions": (),
-    "sessions_missing_drivers": (), "sessions_without_laps": (), "null_keys": (),
-    "sessions_by_year": (), "sessions_by_type": (), "drivers_by_team": (),
-    "lap_stats_by_type": (), "driver_participation": (), "metric_values": (),
-    "bronze_freshness": (), "orphaned_drivers": (), "orphaned_bronze_laps": (),
-    "laps_without_driver": (), "quick_health": (), "silver_counts": (),
-    "silver_sessions_profile": (), "session_categories": (), "silver_drivers_profile": (),
-    "top_participants": (), "silver_laps_profile": (), "lap_distribution": (),
-    "silver_locations_profile": (), "points_per_session": (), "dim_sessions_profile": (),
-    "sessions_per_category": (), "sessions_per_year": (), "dim_drivers_profile": (),
-    "current_drivers_by_team": (), "fact_laps_profile": (), "lap_stats_by_session": (),
-    "leaderboard_profile": (), "latest_leaderboard": ("fact_laps",), "summary_profile": (),
-    "top_performers": (), "team_profile": (), "team_board": (), "bronze_to_silver": LAPS,
-    "silver_to_gold": (), "session_duration_check": (), "unreasonable_laps": (),
-    "silver_freshness": (), "silver_duplicates": (),
-    "all_layer_health": ("bronze_laps", "fact_laps", "silver_drivers", *SUMMARY),
-    "top_ten_per_session": (), "driver_performance": (), "race_team_ranking": (),
-    "critical_nulls": ("fact_laps",), "silver_gold_lineage": LAPS, "first_position_flags": (),
-    "team_driver_counts": SUMMARY, "top_qualifying_laps": (), "consistency_ranking": (),
-    "team_battle": (), "star_join_top_laps": (), "leaderboard_of": (), "team_rankings": (),
-    "fastest_lap_per_driver": (), "session_list": (), "driver_season_stats": (),
-    "sector_distribution": (),
-}.items():
-    query(_name, _staged)(getattr(reports, _name))
+for _name in (
+    "bronze_counts", "expected_vs_actual", "latest_sessions", "latest_session_drivers",
+    "latest_session_laps", "duplicate_sessions", "sessions_missing_drivers",
+    "sessions_without_laps", "null_keys", "sessions_by_year", "sessions_by_type",
+    "drivers_by_team", "lap_stats_by_type", "driver_participation", "metric_values",
+    "bronze_freshness", "orphaned_drivers", "orphaned_bronze_laps", "laps_without_driver",
+    "quick_health", "silver_counts", "silver_sessions_profile", "session_categories",
+    "silver_drivers_profile", "top_participants", "silver_laps_profile", "lap_distribution",
+    "silver_locations_profile", "points_per_session", "dim_sessions_profile",
+    "sessions_per_category", "sessions_per_year", "dim_drivers_profile",
+    "current_drivers_by_team", "fact_laps_profile", "lap_stats_by_session",
+    "leaderboard_profile", "latest_leaderboard", "summary_profile", "top_performers",
+    "team_profile", "team_board", "bronze_to_silver", "silver_to_gold",
+    "session_duration_check", "unreasonable_laps", "silver_freshness", "silver_duplicates",
+    "all_layer_health", "top_ten_per_session", "driver_performance", "race_team_ranking",
+    "critical_nulls", "silver_gold_lineage", "first_position_flags", "team_driver_counts",
+    "top_qualifying_laps", "consistency_ranking", "team_battle", "star_join_top_laps",
+    "leaderboard_of", "team_rankings", "fastest_lap_per_driver", "session_list",
+    "driver_season_stats", "sector_distribution",
+):
+    query(_name)(getattr(reports, _name))
 
 query("drivers_like")(lambda w: reports.drivers_like(w, "#00000001"))
 
@@ -147,17 +139,17 @@ def _checked(w: Warehouse, listed: dict) -> DataFrame:
     return run_checks({n: w.table(n) for n in names}, listed)
 
 
-query("dq_bronze", LAPS)(lambda w: _checked(w, checks.BRONZE_CHECKS))
-query("dq_silver", ("silver_laps", "silver_drivers", "silver_sessions"))(
+query("dq_bronze")(lambda w: _checked(w, checks.BRONZE_CHECKS))
+query("dq_silver")(
     lambda w: _checked(w, checks.SILVER_CHECKS)
 )
-query("dq_core", ("fact_laps", "dim_sessions"))(
+query("dq_core")(
     lambda w: _checked(w, checks.CORE_CHECKS)
 )
-query("dq_marts", ("fact_laps", *SUMMARY, "session_leaderboard", "team_performance"))(
+query("dq_marts")(
     lambda w: _checked(w, checks.MART_CHECKS)
 )
-query("orphaned_laps", ("silver_laps",))(
+query("orphaned_laps")(
     lambda w: checks.orphaned_laps(w.silver_laps, w.silver_drivers, w.silver_sessions)
 )
 query("summary_mismatches")(
@@ -165,7 +157,7 @@ query("summary_mismatches")(
 )
 
 
-@query("reconcile_bronze", ("bronze_laps",))
+@query("reconcile_bronze")
 def _reconcile_bronze(w: Warehouse) -> DataFrame:
     """Lap counts of the summary against the landed rows, some of which lack a key."""
     keys = ["session_key", "driver_number"]
@@ -173,7 +165,7 @@ def _reconcile_bronze(w: Warehouse) -> DataFrame:
     return reconcile(w.driver_session_summary, landed, keys, [("total_laps", "landed_laps")])
 
 
-query("fastest_lap_mismatches", ("fact_laps",))(
+query("fastest_lap_mismatches")(
     lambda w: checks.fastest_lap_mismatches(w.session_leaderboard, w.fact_laps, w.dim_sessions)
 )
 
@@ -182,13 +174,13 @@ def _without_ferrari(w: Warehouse) -> DataFrame:
     return w.session_leaderboard.filter("team_category <> 'Ferrari'")
 
 
-query("position_gaps", ("session_leaderboard",))(
+query("position_gaps")(
     lambda w: checks.position_gaps(_without_ferrari(w))
 )
-query("position_steps", ("session_leaderboard",))(
+query("position_steps")(
     lambda w: checks.position_steps(_without_ferrari(w))
 )
-query("team_count_mismatches", ("silver_drivers",))(
+query("team_count_mismatches")(
     lambda w: checks.team_count_mismatches(w.team_performance, w.silver_drivers)
 )
 query("not_one_current")(
@@ -226,7 +218,7 @@ query("counts_in_range")(lambda w: count_in_range(reports.bronze_counts(w), fv.R
 # --- incremental loads and history ---------------------------------------------
 
 
-@query("hwm_read", LAPS)
+@query("hwm_read")
 def _hwm_read(w: Warehouse) -> DataFrame:
     """Laps of the load batches after those already in the target."""
     target = w.bronze_laps.filter("_ingestion_timestamp <= '1998-01-01'")
@@ -248,11 +240,11 @@ def _merged(w: Warehouse, update_all: bool) -> DataFrame:
     )
 
 
-query("merge_partial", ("bronze_drivers",))(lambda w: _merged(w, False))
-query("merge_all", ("bronze_drivers",))(lambda w: _merged(w, True))
+query("merge_partial")(lambda w: _merged(w, False))
+query("merge_all")(lambda w: _merged(w, True))
 
 
-@query("append_dedupe", LAPS)
+@query("append_dedupe")
 def _append_dedupe(w: Warehouse) -> DataFrame:
     """Rows to append from a batch that repeats one load of the target."""
     target = w.bronze_laps.filter("_ingestion_timestamp <= '1998-01-01'").dropna(
@@ -271,7 +263,7 @@ def _as_loaded(w: Warehouse, test: str) -> DataFrame:
     return rows.withColumn("updated_at", F.col("_ingestion_timestamp"))
 
 
-@query("snapshot_drivers", ("silver_drivers",))
+@query("snapshot_drivers")
 def _snapshot_drivers(w: Warehouse) -> DataFrame:
     """Two snapshot runs: changed drivers get a new version, missing ones are closed."""
     first = driver_snapshot(None, _as_loaded(w, "session_key < 199800"), "1998-01-01 00:00:00")
@@ -280,7 +272,7 @@ def _snapshot_drivers(w: Warehouse) -> DataFrame:
     return second.select("driver_number", "team_name", "team_category", "valid_from", "valid_to")
 
 
-@query("snapshot_sessions", ("silver_sessions",))
+@query("snapshot_sessions")
 def _snapshot_sessions(w: Warehouse) -> DataFrame:
     rows = w.silver_sessions.withColumn("updated_at", F.col("_ingestion_timestamp"))
     first = session_snapshot(None, rows.filter("session_key < 200000"), "2000-01-01 00:00:00")
@@ -300,10 +292,10 @@ def _history(w: Warehouse) -> DataFrame:
 
 
 query("scd2_changes")(_history)
-query("driver_history", ("silver_drivers",))(lambda w: reports.driver_history(_history(w)))
+query("driver_history")(lambda w: reports.driver_history(_history(w)))
 
 
-@query("asof_team", ("silver_laps", "silver_drivers"))
+@query("asof_team")
 def _asof_team(w: Warehouse) -> DataFrame:
     """Every lap with the team its driver had on that day."""
     laps = w.silver_laps.select(*silver.LAP_KEY, C.parse_time("date_start").alias("lap_time"))
@@ -321,7 +313,7 @@ def _spans(w: Warehouse) -> DataFrame:
     )
 
 
-query("version_overlaps", ("silver_laps",))(
+query("version_overlaps")(
     lambda w: version_overlaps(_spans(w), "driver_number", "2002-01-01")
 )
 query("interval_errors")(
@@ -378,14 +370,14 @@ def _ranked(w: Warehouse, ties: str, nulls: str) -> DataFrame:
 
 
 query("lap_rank_nulls_last")(lambda w: _ranked(w, "row_number", "last"))
-query("lap_rank_shared", ("silver_laps",))(lambda w: _ranked(w, "rank", "first"))
-query("lap_rank_dense", ("silver_laps",))(lambda w: _ranked(w, "dense_rank", "last"))
+query("lap_rank_shared")(lambda w: _ranked(w, "rank", "first"))
+query("lap_rank_dense")(lambda w: _ranked(w, "dense_rank", "last"))
 query("team_rank_nulls_last")(
     lambda w: build_team_performance(w.driver_session_summary, w.run_ts, "last").select(
         "session_key", "team_name", "team_fastest_lap", "team_rank"
     )
 )
-query("personal_best", ("silver_laps",))(
+query("personal_best")(
     lambda w: with_group_value(
         w.silver_laps.select(*silver.LAP_KEY, "lap_duration", "is_valid_lap"),
         ["session_key", "driver_number"],

@@ -478,14 +478,14 @@ def leaderboard_profile(w: Warehouse) -> DataFrame:
 
 def latest_leaderboard(w: Warehouse) -> DataFrame:
     """The leaderboard of the session that started last, with lap statistics."""
-    latest = _top(
-        w.dim_sessions, 1, _desc("date_start"), _desc("session_key")
-    ).select("session_key")
-    stats = w.driver_session_summary.select(
+    # One value, as a literal: the filter then reaches the scan of every table.
+    last = _top(w.dim_sessions, 1, _desc("date_start"), _desc("session_key")).first()
+    in_latest = F.col("session_key") == F.lit(last.session_key if last else None)
+    stats = w.driver_session_summary.filter(in_latest).select(
         "session_key", "driver_number", "total_laps", "avg_lap_time", "pit_out_laps"
     )
     rows = (
-        w.session_leaderboard.join(F.broadcast(latest), "session_key")  # one row
+        w.session_leaderboard.filter(in_latest)
         .join(stats, ["session_key", "driver_number"])
         .select("position", "driver_number", "driver_name", "team_name", "total_laps",
                 "fastest_lap_time", "avg_lap_time", "pit_out_laps")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,26 +27,16 @@ class Warehouse:
     """
 
     def __init__(
-        self,
-        sources: dict[str, Callable[[], DataFrame]],
-        run_ts: str | None = None,
-        staged: Sequence[str] = (),
+        self, sources: dict[str, Callable[[], DataFrame]], run_ts: str | None = None
     ) -> None:
-        """``staged`` names tables that are written when built, for plans that read
-        them more than once."""
         self._sources = sources
-        self._staged = set(staged)
         self.run_ts = run_ts
 
     @classmethod
     def over_tables(
-        cls,
-        spark: SparkSession,
-        sf_dir: str,
-        run_ts: str | None = None,
-        staged: Sequence[str] = (),
+        cls, spark: SparkSession, sf_dir: str, run_ts: str | None = None
     ) -> Warehouse:
-        return cls(bronze_from_tables(spark, sf_dir), run_ts, staged)
+        return cls(bronze_from_tables(spark, sf_dir), run_ts)
 
     @classmethod
     def at_path(cls, spark: SparkSession, path: str) -> Warehouse:
@@ -58,13 +48,10 @@ class Warehouse:
         return getattr(self, name)
 
     def _get(self, name: str, build: Callable[[], DataFrame]) -> DataFrame:
-        if name in self._sources:
-            return self._sources[name]()
-        return stage(build(), name) if name in self._staged else build()
+        return self._sources.get(name, build)()
 
     def _source(self, name: str) -> DataFrame:
-        df = self._sources[name]()
-        return stage(df, name) if name in self._staged else df
+        return self._sources[name]()
 
     @cached_property
     def bronze_sessions(self) -> DataFrame:
