@@ -383,6 +383,13 @@ BODIES |= {
         GROUP BY 1, 2 ORDER BY fastest_lap, driver_number LIMIT 10""",
     "session_list": """SELECT session_key, session_name, location, year, session_category, date_start
         FROM dim_sessions""",
+    "newest_sessions": """
+        SELECT session_key, session_name, session_category, session_date, session_year
+        FROM dim_sessions ORDER BY session_date DESC NULLS LAST, session_key DESC LIMIT 5""",
+    "fastest_valid_laps": """
+        SELECT session_key, driver_number, lap_number, lap_duration, is_valid_lap
+        FROM fact_laps WHERE is_valid_lap
+        ORDER BY lap_duration, session_key, driver_number, lap_number LIMIT 10""",
     "driver_season_stats": f"""
         SELECT driver_number, driver_name, year, COUNT(DISTINCT session_key) AS sessions,
           {mean('fastest_lap_time')} AS avg_fastest_lap,
@@ -545,7 +552,7 @@ BODIES |= {
         WITH loads AS (SELECT *, _ingestion_timestamp AS u FROM silver_drivers),
         a AS (SELECT * FROM loads WHERE session_key < 199800 QUALIFY ROW_NUMBER() OVER
           (PARTITION BY driver_number ORDER BY u DESC, team_name, full_name NULLS FIRST) = 1),
-        b AS (SELECT * FROM loads WHERE session_key > 199800 AND team_category <> 'Ferrari'
+        b AS (SELECT * FROM loads WHERE team_category <> 'Ferrari'
           QUALIFY ROW_NUMBER() OVER
           (PARTITION BY driver_number ORDER BY u DESC, team_name, full_name NULLS FIRST) = 1),
         versions AS (

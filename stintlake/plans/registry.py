@@ -124,7 +124,7 @@ for _name in (
     "critical_nulls", "silver_gold_lineage", "first_position_flags", "team_driver_counts",
     "top_qualifying_laps", "consistency_ranking", "team_battle", "star_join_top_laps",
     "leaderboard_of", "team_rankings", "fastest_lap_per_driver", "session_list",
-    "driver_season_stats", "sector_distribution",
+    "driver_season_stats", "sector_distribution", "newest_sessions", "fastest_valid_laps",
 ):
     query(_name)(getattr(reports, _name))
 
@@ -267,7 +267,7 @@ def _as_loaded(w: Warehouse, test: str) -> DataFrame:
 def _snapshot_drivers(w: Warehouse) -> DataFrame:
     """Two snapshot runs: changed drivers get a new version, missing ones are closed."""
     first = driver_snapshot(None, _as_loaded(w, "session_key < 199800"), "1998-01-01 00:00:00")
-    source = _as_loaded(w, "session_key > 199800 AND team_category <> 'Ferrari'")
+    source = _as_loaded(w, "team_category <> 'Ferrari'")
     second = driver_snapshot(first, source, "2002-01-01 00:00:00")
     return second.select("driver_number", "team_name", "team_category", "valid_from", "valid_to")
 

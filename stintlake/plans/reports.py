@@ -825,6 +825,25 @@ def session_list(w: Warehouse) -> DataFrame:
     ).orderBy(_desc("date_start"), "session_key")
 
 
+def newest_sessions(w: Warehouse, n: int = 5) -> DataFrame:
+    rows = w.dim_sessions.select(
+        "session_key", "session_name", "session_category", "session_date", "session_year"
+    )
+    return _top(rows, n, _desc("session_date"), _desc("session_key"))
+
+
+def fastest_valid_laps(w: Warehouse, n: int = 10) -> DataFrame:
+    rows = w.fact_laps.filter("is_valid_lap").select(
+        "session_key", "driver_number", "lap_number", "lap_duration", "is_valid_lap"
+    )
+    return _top(rows, n, "lap_duration", "session_key", "driver_number", "lap_number")
+
+
+def some_rows(df: DataFrame, n: int = 5) -> DataFrame:
+    """Any ``n`` rows of a table, for a look at it."""
+    return df.limit(n)
+
+
 def driver_season_stats(w: Warehouse) -> DataFrame:
     return w.session_leaderboard.groupBy("driver_number", "driver_name", "year").agg(
         F.count_distinct("session_key").alias("sessions"),

@@ -44,6 +44,13 @@ class Warehouse:
         names = (*BRONZE, *SILVER, *DIMENSIONS, *FACTS, *MARTS)
         return cls({n: (lambda n=n: spark.read.parquet(f"{path}/{n}")) for n in names})
 
+    @classmethod
+    def in_schema(cls, spark: SparkSession, schema: str) -> Warehouse:
+        """The named tables of a schema; those it lacks are built from the others."""
+        names = (*BRONZE, *SILVER, *DIMENSIONS, *FACTS, *MARTS)
+        present = [n for n in names if spark.catalog.tableExists(f"{schema}.{n}")]
+        return cls({n: (lambda n=n: spark.table(f"{schema}.{n}")) for n in present})
+
     def table(self, name: str) -> DataFrame:
         return getattr(self, name)
 

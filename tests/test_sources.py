@@ -12,7 +12,9 @@ from stintlake.plans.build import (
     refresh_gold,
     refresh_silver,
 )
+from stintlake.plans import reports
 from stintlake.plans.warehouse import Warehouse
+from stintlake.session import drop_stages, stage
 from stintlake.sources import catalog, readers, writers
 from stintlake.sources.schemas import entity_schema
 
@@ -160,6 +162,14 @@ def test_append_with_new_columns(spark, tmp_path):
     assert sorted(r.k for r in writers.read_table(spark, path).collect()) == [1, 2, 3]
 
 
+def test_drop_stages(spark, tmp_path):
+    df = stage(spark.range(3), "gone")
+    path = df.inputFiles()[0].rsplit("/", 1)[0]
+    assert writers.table_exists(spark, path)
+    drop_stages(spark)
+    assert not writers.table_exists(spark, path)
+
+
 def test_exports(spark, tmp_path):
     df = spark.createDataFrame([(1, [1, None])], "k int, a array<int>")
     out = writers.export_json(df, str(tmp_path / "j"))
@@ -169,6 +179,17 @@ def test_exports(spark, tmp_path):
     assert spark.read.option("header", True).csv(text).first().a == "[1,null]"
 
 
+def test_named_tables_and_missing_ones(spark):
+    """A schema with bronze tables only: the rest is built on demand."""
+    lazy = Warehouse.over_tables(spark, "/root/testdata/sf0.001", "2024-02-01 00:00:00")
+    catalog.create_schema(spark, "layers_test")
+    for name in ("bronze_sessions", "bronze_drivers", "bronze_laps"):
+        catalog.save_table(lazy.table(name), f"layers_test.{name}")
+    w = Warehouse.in_schema(spark, "layers_test")
+    assert w.session_leaderboard.count() == lazy.session_leaderboard.count() > 0
+    assert reports.some_rows(w.silver_sessions, 3).count() == 3
+
+
 def test_catalog(spark):
     catalog.create_schema(spark, "bronze_test")
     catalog.create_schema(spark, "bronze_test")
