@@ -16,7 +16,7 @@ def key(*cols: str) -> str:
 def rnd(x: str, digits: int) -> str:
     """Half-up rounding of the printed number, as Spark rounds doubles."""
     return (
-        f"CAST(ROUND(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 15)), {digits})"
+        f"CAST(ROUND(CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38, 20)), {digits})"
         " AS DOUBLE)"
     )
 
