@@ -20,11 +20,11 @@ from pyspark.sql.window import Window
 from stintlake.session import stage
 
 LIMIT_KEY = "spark.stintlake.maxGroupRows"
-MAX_GROUP_ROWS = 5_000_000
+MAX_GROUP_ROWS = 2_000_000
 
 
 def group_limit(df: DataFrame, max_group_rows: int | None = None) -> int:
-    """Rows of one group that a task may take: as given, as set in the session, or five million."""
+    """Rows of one group that a task may take: as given, as set in the session, or two million."""
     if max_group_rows is not None:
         return max_group_rows
     return int(df.sparkSession.conf.get(LIMIT_KEY, str(MAX_GROUP_ROWS)))

@@ -17,12 +17,11 @@ from stintlake.sources.writers import (
 )
 from stintlake.streaming.ingest import append_stream, stream_entity
 
-PARTITIONED = {"silver_laps", "silver_locations", "fact_laps"}
+PARTITIONED = {"fact_laps"}
 
 
 def _write(df: DataFrame, path: str, name: str) -> None:
-    layout = {"partition_by": ["batch_day"]} if name in PARTITIONED else {}
-    write_table(df, f"{path}/{name}", "overwrite", **layout)
+    replace_table(df, f"{path}/{name}", ["batch_day"] if name in PARTITIONED else [])
 
 
 def _current(spark: SparkSession, target: str) -> DataFrame | None:

@@ -444,7 +444,7 @@ def _partition_read(w: Warehouse) -> DataFrame:
     df = w.silver_laps
     path = write_table(df, fresh_path(df.sparkSession, "by-day"), partition_by=["batch_day"])
     rows = read_table(df.sparkSession, path).filter(F.col("batch_day") == "1998-05-01")
-    return rows.select(*silver.LAP_KEY, "lap_duration", F.col("batch_day").cast("string"))
+    return rows.select(*silver.LAP_KEY, "lap_duration", "batch_day")
 
 
 @query("clustered_read")
@@ -467,7 +467,7 @@ def _append_new_columns(w: Warehouse) -> DataFrame:
     append_table(
         df.filter("session_key >= 199800").select(*cols, "country_code"), path, "second"
     )
-    return read_table(df.sparkSession, path)
+    return read_table(df.sparkSession, path, evolving=True)
 
 
 @query("table_counts")
@@ -513,7 +513,7 @@ def _stream_evolving(w: Warehouse) -> DataFrame:
     evolving_stream(
         spark, landing, "locations", target, fresh_path(spark, "checkpoint"), **LINES
     ).awaitTermination()
-    return read_table(spark, target).select(
+    return read_table(spark, target, evolving=True).select(
         "session_key", "driver_number", "date", "x", "y", "z", "batch_day"
     )
 

@@ -414,7 +414,11 @@ def dim_drivers_profile(w: Warehouse) -> DataFrame:
 
 
 def current_drivers_by_team(w: Warehouse) -> DataFrame:
-    """Current drivers per team with the set of their names, sorted."""
+    """Current drivers per team with the set of their names, sorted.
+
+    The list is the result; the dimension has one row per driver, and names are
+    made distinct before the shuffle.
+    """
     return w.dim_drivers.filter("is_current").groupBy("team_name").agg(
         F.count("*").alias("driver_count"),
         F.array_join(F.array_sort(F.collect_set("full_name")), ", ").alias("drivers"),

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from stintlake.plans import gold, marts, silver
 from stintlake.session import stage
 from stintlake.sources.adapters import bronze_from_tables
+from stintlake.sources.writers import read_table
 
 BRONZE = ("bronze_sessions", "bronze_drivers", "bronze_laps", "bronze_locations")
 SILVER = ("silver_sessions", "silver_drivers", "silver_laps", "silver_locations")
@@ -42,7 +43,7 @@ class Warehouse:
     def at_path(cls, spark: SparkSession, path: str) -> Warehouse:
         """Tables written by :func:`stintlake.plans.build.build_all`."""
         names = (*BRONZE, *SILVER, *DIMENSIONS, *FACTS, *MARTS)
-        return cls({n: (lambda n=n: spark.read.parquet(f"{path}/{n}")) for n in names})
+        return cls({n: (lambda n=n: read_table(spark, f"{path}/{n}")) for n in names})
 
     @classmethod
     def in_schema(cls, spark: SparkSession, schema: str) -> Warehouse:

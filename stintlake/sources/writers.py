@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,7 +10,6 @@ from pyspark.sql import functions as F
 
 from stintlake.operators.dedupe import latest_per_key
 from stintlake.operators.grouping import join_same
-from stintlake.session import stage
 
 
 def clustered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
@@ -46,19 +46,46 @@ def write_table(
     return path
 
 
-def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a table whose files may differ in columns."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+def read_table(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame:
+    """Read a table; ``evolving`` unites the columns of all its files.
 
+    Days stay text, although Spark takes folder names like ``2024-03-02`` for dates.
+    """
+    df = spark.read.option("mergeSchema", evolving).parquet(path)
+    if "batch_day" in df.columns:
+        df = df.withColumn("batch_day", F.col("batch_day").cast("string"))
+    return df
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+
+def _file_system(spark: SparkSession, path: str):
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+    return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    target, fs = _file_system(spark, path)
+    return fs.exists(target)
+
 
+def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
+    """Replace a table, also by rows derived from itself.
 
-def replace_table(df: DataFrame, path: str, **layout) -> str:
-    """Overwrite a table with rows derived from itself: staged first, then swapped in."""
-    return write_table(stage(df, "replace"), path, "overwrite", **layout)
+    The new rows are complete beside the old ones before the folders change names,
+    so a lost executor or a failed job leaves the old table as it was.
+    """
+    spark = df.sparkSession
+    mark = uuid.uuid4().hex
+    write_table(df, f"{path}__new_{mark}", "errorifexists", partition_by)
+    new, fs = _file_system(spark, f"{path}__new_{mark}")
+    old, _ = _file_system(spark, f"{path}__old_{mark}")
+    target, _ = _file_system(spark, path)
+    replaced = fs.exists(target) and fs.rename(target, old)
+    if not fs.rename(new, target):
+        raise RuntimeError(f"could not move the new rows to {path}")
+    if replaced:
+        fs.delete(old, True)
+    spark.catalog.refreshByPath(path)
+    return path
 
 
 def append_table(
@@ -69,7 +96,7 @@ def append_table(
     dedupe_keys: Sequence[str] = (),
     order: Sequence[str] = (),
 ) -> str:
-    """Append rows; new columns are kept, and read back through ``read_table``.
+    """Append rows; new columns are kept (read them with ``read_table(evolving=True)``).
 
     Plain append repeats rows that are loaded twice. ``dedupe_keys`` leaves out
     rows whose key is already there and keeps one row per key of the batch.

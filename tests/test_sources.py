@@ -115,7 +115,7 @@ def test_partitions(spark, tmp_path):
     path = str(tmp_path / "p")
     df = spark.createDataFrame([("d1", 1), ("d2", 2), ("d2", 3)], "batch_day string, v int")
     writers.write_table(df, path, partition_by=["batch_day"])
-    read = spark.read.parquet(path).filter("batch_day = 'd2'")
+    read = writers.read_table(spark, path).filter("batch_day = 'd2'")
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(batch_day" in plan and read.count() == 2
     new = spark.createDataFrame([("d2", 9)], "batch_day string, v int")
@@ -125,10 +125,23 @@ def test_partitions(spark, tmp_path):
     assert [r.v for r in spark.read.parquet(path).collect()] == [9]
 
 
+def test_days_stay_text_and_prune(spark, tmp_path):
+    path = str(tmp_path / "p")
+    df = spark.createDataFrame([("2024-03-02", 1), ("2024-03-03", 2)], "batch_day string, v int")
+    writers.replace_table(df, path, ["batch_day"])
+    read = writers.read_table(spark, path)
+    assert read.schema["batch_day"].dataType.typeName() == "string"
+    one = read.filter("batch_day = '2024-03-03'")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "2024-03-03" in plan.split("PartitionFilters: ")[1].split("PushedFilters")[0]
+    assert [r.v for r in one.collect()] == [2]
+
+
 def test_replace_table_reads_itself(spark, tmp_path):
     path = str(tmp_path / "t")
     writers.write_table(spark.range(5).toDF("v"), path)
     writers.replace_table(spark.read.parquet(path).withColumn("v", F.col("v") + 1), path)
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
     assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5]
 
 
@@ -155,7 +168,7 @@ def test_append_with_new_columns(spark, tmp_path):
     path = str(tmp_path / "a")
     writers.append_table(spark.createDataFrame([(1, "a")], "k int, v string"), path, "b1")
     writers.append_table(spark.createDataFrame([(2, "b", 5)], "k int, v string, w int"), path, "b2")
-    got = sorted((r.k, r.w, r._ingestion_batch_id) for r in writers.read_table(spark, path).collect())
+    got = sorted((r.k, r.w, r._ingestion_batch_id) for r in writers.read_table(spark, path, evolving=True).collect())
     assert got == [(1, None, "b1"), (2, 5, "b2")]
     again = spark.createDataFrame([(2, "b", 5), (3, "c", 6)], "k int, v string, w int")
     writers.append_table(again, path, "b3", dedupe_keys=["k"])

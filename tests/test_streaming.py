@@ -87,7 +87,7 @@ def test_evolving_stream(spark, tmp_path):
 
     def run():
         evolving_stream(spark, str(landing), "laps", out, state, 1).awaitTermination()
-        return read_table(spark, out)
+        return read_table(spark, out, evolving=True)
 
     assert run().count() == 1
     land(landing, "laps_2.json", [lap(1, 7, 2, 90.5, weather="dry", tyre={"set": 3})])
