@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stintlake.functions import columns as C
+
 
 def profile(
     df: DataFrame,
@@ -115,7 +117,7 @@ def freshness(tables: dict[str, DataFrame], ts_col: str = "_ingestion_timestamp"
 
 def stale(fresh: DataFrame, now: str, limit_hours: int) -> DataFrame:
     """Whole hours since the last load, and an alert beyond the limit."""
-    hours = F.timestamp_diff("HOUR", F.col("latest_ingestion"), F.lit(now).cast("timestamp"))
+    hours = C.hours_since("latest_ingestion", F.lit(now).cast("timestamp"))
     return fresh.select(
         "table_name", hours.alias("hours_stale"), (hours > limit_hours).alias("is_stale")
     )

@@ -117,13 +117,14 @@ def asof_join(
     first, last = fact.agg(F.min(fact_ts), F.max(fact_ts)).first()
     first, last = (F.lit(v).cast("timestamp") for v in (first, last))
     month_step = {"month": 1, "quarter": 3, "year": 12}[unit]
+    step = F.make_ym_interval(F.lit(0), F.lit(month_step))
     bucket = lambda c: F.date_trunc(unit, c).cast("date")
     lo = F.greatest(bucket(F.col(from_col)), bucket(first))
     hi = F.least(bucket(F.coalesce(F.col(to_col), last)), bucket(last))
     versions = (
         dim.withColumns({"_lo": lo, "_hi": hi})
         .filter("_lo <= _hi")
-        .withColumn("_unit", F.explode(F.sequence("_lo", "_hi", F.make_ym_interval(F.lit(0), F.lit(month_step)))))
+        .withColumn("_unit", F.explode(F.sequence("_lo", "_hi", step)))
         .drop("_lo", "_hi")
     )
     facts = fact.withColumn("_unit", bucket(F.col(fact_ts)))

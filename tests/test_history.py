@@ -4,7 +4,6 @@ import datetime as dt
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from stintlake.operators.incremental import high_water_mark, incremental_read, merge_upsert
 from stintlake.operators.scd import (
