@@ -4,7 +4,9 @@ import os
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from oracle.queries import oracle_sql
+from stintlake.plans.registry import QUERIES
 from tests.compare import connect, differences
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -17,7 +19,7 @@ def con():
 
 
 def test_every_query_has_sql():
-    assert set(queries()) == set(SQL)
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):
@@ -29,9 +31,9 @@ def test_entry(spark):
 ONE_ROW_PRODUCTS = {"bronze_to_silver", "silver_to_gold", "silver_gold_lineage"}
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query(spark, con, name):
-    df = queries()[name](spark, SF)
+    df = QUERIES[name](spark, SF)
     plan = df._jdf.queryExecution().executedPlan().toString()
     assert "EvalPython" not in plan and "MapInPandas" not in plan
     if name not in ONE_ROW_PRODUCTS:
