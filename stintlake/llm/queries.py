@@ -8,8 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlake.llm import exact_dedup, packing, sharding
-from stintlake.llm.common import documents
+from stintlake.llm import decontamination, exact_dedup, packing, quality, sharding
+from stintlake.llm.common import crc_remainder, documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -55,3 +55,28 @@ ORACLE["op5_exact_dedup"] = f"""
 @query("op8_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir), keep_ids=False)
+
+
+@query("op10_quality")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    model = quality.fit(
+        docs.filter(crc_remainder(F.col("doc_id"), 3) != 1), table(spark, sf_dir, "labels")
+    )
+    return quality.score(docs, model).select(
+        "doc_id", (crc_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+@query("op3_decontamination")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    found = decontamination.find_matches(docs, table(spark, sf_dir, "benchmark"))
+    hit = F.expr("aggregate(hit_spans, 0L, (n, s) -> n + s.last - s.first + 1)")
+    return found.select(
+        "doc_id", F.col("hit_words").cast("long").alias("n_words"), hit.alias("n_hit"),
+        F.size("hit_items").cast("long").alias("n_items"),
+        F.sha2(F.array_join(F.array_sort("hit_items"), ","), 256).alias("items_sha256"),
+        (F.size("hit_spans") > 0).alias("contaminated"),
+    )
