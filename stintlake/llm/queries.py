@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlake.llm import decontamination, exact_dedup, packing, quality, sharding
+from stintlake.llm import decontamination, exact_dedup, language, packing, quality, sharding
 from stintlake.llm.common import crc_remainder, documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -80,3 +80,13 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.array_join(F.array_sort("hit_items"), ","), 256).alias("items_sha256"),
         (F.size("hit_spans") > 0).alias("contaminated"),
     )
+
+
+@query("op2_language")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = crc_remainder(F.col("doc_id"), 4) == 2
+    learned = language.fit(docs.filter(~held_out).select("doc_id", "text", "lang"))
+    return language.identify(docs.select("doc_id", "text"), learned).select(
+        "doc_id", held_out.alias("held_out"), "lang_pred", "score", "entropy", "accepted"
+    )
