@@ -290,7 +290,8 @@ def remove_matches(
     """The rows of ``docs`` without the spans that match the benchmark, with the same columns.
 
     Rows with more than ``max_coverage`` of their words hit are dropped. Cutting repeats until
-    a text is free of hits, since the ends of a cut may match again. Other rows are unchanged.
+    a text is free of hits, since the ends of a cut may match again. A column n_chars follows the
+    text where it is cut. Other rows are unchanged.
     """
     names = docs.columns
     clean, dirty = [], stage(
@@ -313,6 +314,9 @@ def remove_matches(
 def _cut_texts(hits: DataFrame, names: list[str]) -> DataFrame:
     at = names.index("text")
     schema = hits.select(*names).schema
+    numbers = (T.IntegerType, T.LongType)
+    counted = "n_chars" in names and isinstance(schema["n_chars"].dataType, numbers)
+    count = names.index("n_chars") if counted else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -320,6 +324,8 @@ def _cut_texts(hits: DataFrame, names: list[str]) -> DataFrame:
             texts = [_cut(t, s) for t, s in zip(text_bytes(batch.column(at)), spans)]
             columns = batch.columns[:-1]
             columns[at] = pc.cast(pa.array(texts, pa.binary()), pa.string())
+            if count is not None:
+                columns[count] = pc.utf8_length(columns[at]).cast(columns[count].type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
     return hits.select(*names, "hit_spans").mapInArrow(run, schema)

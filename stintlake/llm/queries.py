@@ -8,7 +8,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlake.llm import decontamination, exact_dedup, language, packing, quality, sharding
+from stintlake.llm import (
+    decontamination,
+    exact_dedup,
+    jaccard_join,
+    language,
+    packing,
+    quality,
+    sharding,
+)
 from stintlake.llm.common import crc_remainder, documents, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -90,3 +98,10 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs.select("doc_id", "text"), learned).select(
         "doc_id", held_out.alias("held_out"), "lang_pred", "score", "entropy", "accepted"
     )
+
+
+@query("op7_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(documents(spark, sf_dir)).select(
+        "doc_id", "n_shingles", "component_id"
+    )
