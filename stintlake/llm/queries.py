@@ -13,6 +13,7 @@ from stintlake.llm import (
     exact_dedup,
     jaccard_join,
     language,
+    lm_scoring,
     packing,
     quality,
     sharding,
@@ -105,3 +106,12 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(documents(spark, sf_dir)).select(
         "doc_id", "n_shingles", "component_id"
     )
+
+
+@query("op9_lm_scoring")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir).select("doc_id", "text")
+    held_out = crc_remainder(F.col("doc_id"), 10) == 0
+    model = lm_scoring.train(docs.filter(~held_out))
+    scored = lm_scoring.score(docs, model)
+    return scored.withColumn("held_out", crc_remainder(F.col("doc_id"), 10) == 0)
