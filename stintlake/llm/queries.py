@@ -13,6 +13,7 @@ from stintlake.llm import (
     exact_dedup,
     jaccard_join,
     language,
+    licenses,
     lm_scoring,
     packing,
     quality,
@@ -115,3 +116,14 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = lm_scoring.train(docs.filter(~held_out))
     scored = lm_scoring.score(docs, model)
     return scored.withColumn("held_out", crc_remainder(F.col("doc_id"), 10) == 0)
+
+
+@query("op6_licenses")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan_licenses(documents(spark, sf_dir).select("doc_id", "text")).select(
+        "doc_id", F.array_join("licenses", ",").alias("licenses"),
+        F.size("licenses").cast("long").alias("n_licenses"),
+        F.array_join("unmatched", ",").alias("unmatched"),
+        F.col("copyrights").cast("long").alias("copyrights"),
+        F.col("unknown").cast("long").alias("unknown"),
+    )
