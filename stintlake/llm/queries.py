@@ -18,8 +18,10 @@ from stintlake.llm import (
     packing,
     quality,
     sharding,
+    token_files,
 )
 from stintlake.llm.common import crc_remainder, documents, table
+from stintlake.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -127,3 +129,10 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("copyrights").cast("long").alias("copyrights"),
         F.col("unknown").cast("long").alias("unknown"),
     )
+
+
+@query("op1_token_files")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "token-files")
+    token_files.write_token_files(documents(spark, sf_dir), path)
+    return token_files.read_token_files(spark, path, ids=False)
