@@ -59,9 +59,8 @@ class _Mixer:
     def _refresh(self) -> None:
         """Shares of order 0 from the counts: at least one each, 2 ** _SHARE together."""
         if self.seen:
-            step = np.stack(self.seen)  # later steps may have fewer blocks
-            flat = (step + self.base1[:step.shape[1]]).ravel()
-            self.counts += 24 * np.bincount(flat, minlength=self.counts.size).reshape(self.counts.shape).astype(np.int32)
+            new = np.bincount(np.concatenate(self.seen), minlength=self.counts.size)
+            self.counts += 24 * new.reshape(self.counts.shape).astype(np.int32)
             self.seen = []
         total = self.counts.sum(axis=1, dtype=np.int64)
         upto = np.cumsum(self.counts, axis=1, dtype=np.int64)
@@ -155,9 +154,7 @@ class _Mixer:
         self.take1[self.atw] = np.where(some, self.p1 + ((target - self.p1) >> _RATE), self.p1)
         self.before[:n] = self.last[:n]
         self.last[:n] = x
-        if self.seen and len(self.seen[-1]) != n:
-            self._refresh()
-        self.seen.append(x.copy())
+        self.seen.append(self.base1[:n] + x)
         self.next -= 1
         if self.next == 0:
             self._refresh()
