@@ -15,6 +15,7 @@ joins what is left in blocks that still hold several components.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -52,7 +53,7 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 300_000:
+        if len(self) > 400_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
@@ -70,7 +71,7 @@ def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
     n = max(1, len(h) - words + 1)
     out = np.full(n, min(len(h), words), np.uint64)
     for i in range(min(words, len(h))):
-        out += mix64(h[i:i + n] + np.uint64(i + 1)) * _MULTIPLIERS[i % 5] * np.uint64(2 * (i // 5) + 1)
+        out += h[i:i + n] * (_MULTIPLIERS[i % 5] * np.uint64(2 * (i // 5) + 1))
     return np.unique(mix64(out))
 
 
@@ -406,45 +407,79 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     return joined.select("a", "b", "n_a", "n_b", "point_a", "point_b").mapInArrow(run, "a long, b long")
 
 
+#: Bits of the filter that picks the texts to read again.
+FILTER_BITS = 27
+
+
+def _filter_of(keys: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size that holds the places of all ``keys(text_key)``.
+
+    It only spares work: a text that passes by chance is left out by the join that follows.
+    """
+    place = F.col("text_key").bitwiseAND((1 << FILTER_BITS) - 1)
+    bit = F.expr(f"shiftleft(1L, cast(text_key & {(1 << FILTER_BITS) - 1} & 63 as int))")
+    rows = (
+        keys.select(F.shiftright(place, 6).alias("word"), bit.alias("bit"))
+        .groupBy("word").agg(F.bit_or("bit").alias("bits")).toArrow()
+    )
+    words = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    words[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+    return words
+
+
 def _sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """node and set of every class in ``pairs``, read again from one text of the class."""
+    """node and words of every class in ``pairs``, read again from one text of the class.
+
+    Compressed words are a fraction of the hashes of their shingles.
+    """
     import xxhash
 
     nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    wanted = classes.join(nodes, "node", "left_semi").select("node", "text_hash", "text_key")
-    texts = docs.select("text", F.xxhash64(F.col("text")).alias("text_key")).join(
-        wanted.select("text_key"), "text_key", "left_semi"
+    wanted = stage(
+        classes.join(nodes, "node", "left_semi").select("node", "text_hash", "text_key"), "wanted"
     )
+    filter_ = docs.sparkSession.sparkContext.broadcast(_filter_of(wanted))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: set[bytes] = set()  # copies of a text lie in one partition, or in a few if it is split
+        seen: set[bytes] = set()
         for batch in batches:
+            place = batch.column(1).to_numpy() & ((1 << FILTER_BITS) - 1)
+            passes = (filter_.value[place >> 6] >> (place & 63)) & 1 == 1
             names, sets = [], []
-            for text in text_bytes(batch.column(0)):
+            for text in text_bytes(batch.column(0).filter(pa.array(passes))):
                 name = xxhash.xxh3_128_digest(text)
                 if name not in seen:
                     seen.add(name)
                     names.append(name)
-                    sets.append(shingles(text, words).tobytes())
+                    sets.append(zlib.compress(b" ".join(text.translate(LOWER).split()), 1))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(names, pa.binary()), pa.array(sets, pa.binary())], ["text_hash", "set"]
+                [pa.array(names, pa.binary()), pa.array(sets, pa.binary())], ["text_hash", "words"]
             )
 
-    found = texts.select("text").mapInArrow(run, "text_hash binary, set binary")
+    found = docs.select("text", F.xxhash64("text").alias("text_key")).mapInArrow(
+        run, "text_hash binary, words binary"
+    )
+    # equal texts from several tasks: any of them will do
     return stage(
-        found.join(wanted, "text_hash").groupBy("node").agg(F.first("set").alias("set")), "sets"
+        found.join(wanted, "text_hash").groupBy("node").agg(F.first("words").alias("words")), "sets"
     )
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _verified(pairs: DataFrame, sets: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs whose sets are similar."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last: dict[int, tuple[bytes, np.ndarray]] = {}
+
+        def set_of(side: int, packed: bytes) -> np.ndarray:
+            if side not in last or last[side][0] != packed:
+                last[side] = packed, shingles(zlib.decompress(packed), words)
+            return last[side][1]
+
         for batch in batches:
             keep = np.zeros(batch.num_rows, bool)
             for i, (x, y) in enumerate(zip(batch.column(2), batch.column(3))):
-                x = np.frombuffer(x.as_buffer(), np.uint64)
-                y = np.frombuffer(y.as_buffer(), np.uint64)
+                x, y = set_of(0, x.as_py()), set_of(1, y.as_py())
                 if len(x) > len(y):
                     x, y = y, x
                 both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
@@ -453,8 +488,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 [batch.column(0).filter(pa.array(keep)), batch.column(1).filter(pa.array(keep))], ["a", "b"]
             )
 
-    first = pairs.join(sets.toDF("a", "set_a"), "a")
-    return first.join(sets.toDF("b", "set_b"), "b").select("a", "b", "set_a", "set_b").mapInArrow(
+    first = pairs.join(sets.toDF("a", "words_a"), "a")
+    return first.join(sets.toDF("b", "words_b"), "b").select("a", "b", "words_a", "words_b").mapInArrow(
         run, "a long, b long"
     )
 
@@ -503,12 +538,12 @@ def jaccard_components(
         "node <> other"
     ).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
     tried = stage(_bounded(pairs, classes, percent), "pairs")
-    links = stage(_verified(tried, _sets_of(docs, classes, tried, words), percent), "links")
+    links = stage(_verified(tried, _sets_of(docs, classes, tried, words), words, percent), "links")
     found = stage(connected(links), "components")
 
     rest = stage(_mixed_blocks(shared, classes, found, percent).join(tried, ["a", "b"], "left_anti"), "rest")
     if not rest.isEmpty():
-        more = stage(_verified(rest, _sets_of(docs, classes, rest, words), percent), "more-links")
+        more = stage(_verified(rest, _sets_of(docs, classes, rest, words), words, percent), "more-links")
         if not more.isEmpty():
             tree = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
             found = stage(connected(more.unionByName(tree)), "components")
