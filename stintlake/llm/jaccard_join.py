@@ -85,19 +85,40 @@ def _prefix_length(n: int, percent: int) -> int:
 
 
 def _point(h: np.ndarray) -> bytes:
-    """Counts per group in the smallest type that holds them all."""
-    counts = np.bincount((h >> np.uint64(58)).astype(np.int64), minlength=GROUPS)
-    kind = "<u1" if counts.max() < 1 << 8 else "<u2" if counts.max() < 1 << 16 else "<u4"
-    return counts.astype(kind).tobytes()
+    """Counts per group, and before them the bytes of a count.
 
-
-def _points(values: list[bytes]) -> np.ndarray:
-    """Points of equal width as rows; the width says the type."""
-    widest = max(map(len, values))
-    kinds = {GROUPS: "<u1", 2 * GROUPS: "<u2", 4 * GROUPS: "<u4"}
-    if all(len(v) == widest for v in values):
-        return np.frombuffer(b"".join(values), kinds[widest]).reshape(-1, GROUPS)
-    return np.array([np.frombuffer(v, kinds[len(v)]).astype(kinds[widest]) for v in values])
+    The number of groups doubles with the size of the set, since counts of many shingles in few
+    groups tell no two texts apart. Groups follow the top bits, so halves of a group add up.
+    """
+    bits = max(6, (len(h) >> 3).bit_length())
+    counts = np.bincount((h >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
+    width = 1 if counts.max() < 1 << 8 else 2 if counts.max() < 1 << 16 else 4
+    return bytes([width]) + counts.astype(f"<u{width}").tobytes()
+
+
+def _points(values: list[bytes], groups: int = GROUPS) -> np.ndarray:
+    """Points as rows of ``groups`` counts, finer ones added up."""
+    out = np.zeros((len(values), groups), np.int32)
+    kinds = np.array([v[0] for v in values])
+    sizes = np.array([len(v) for v in values])
+    for width, size in {(int(k), int(n)) for k, n in zip(kinds, sizes)}:
+        at = np.flatnonzero((kinds == width) & (sizes == size))
+        raw = np.frombuffer(b"".join([values[i][1:] for i in at]), f"<u{width}")
+        out[at] = raw.reshape(len(at), groups, -1).sum(axis=2)
+    return out if out.size and out.max() >= 256 else out.astype(np.uint8)
+
+
+def _overlap_bound(a: list[bytes], b: list[bytes]) -> np.ndarray:
+    """Sums of coordinate minima of pairs, each in the finest groups that both points have."""
+    groups = np.array([min((len(x) - 1) // x[0], (len(y) - 1) // y[0]) for x, y in zip(a, b)])
+    out = np.zeros(len(a), np.int64)
+    for g in np.unique(groups):
+        at = np.flatnonzero(groups == g)
+        for part in range(0, len(at), max(1, 4_000_000 // int(g))):
+            some = at[part:part + max(1, 4_000_000 // int(g))]
+            x, y = _points([a[i] for i in some], int(g)), _points([b[i] for i in some], int(g))
+            out[some] = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+    return out
 
 
 def frequency_sketch(docs: DataFrame, words: int, texts: int = SKETCH_TEXTS) -> tuple[np.ndarray, float]:
@@ -167,8 +188,8 @@ def describe(docs: DataFrame, sketch, words: int, percent: int) -> DataFrame:
 # Blocks
 
 
-def _block_rows(classes: DataFrame, sketch, share: float, salt_rows: int) -> DataFrame:
-    """A row for each shingle of each prefix: key, salt, n, node."""
+def _block_rows(prefixes: DataFrame, sketch, share: float, salt_rows: int) -> DataFrame:
+    """A row for each shingle of each prefix: key, salt, salted, n, node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         levels = sketch.value
@@ -189,16 +210,19 @@ def _block_rows(classes: DataFrame, sketch, share: float, salt_rows: int) -> Dat
                     ["key", "salt", "salted", "n", "node"],
                 )
 
-    return classes.select("node", "n", "keys").mapInArrow(
+    return prefixes.select("node", "n", "keys").mapInArrow(
         run, "key long, salt int, salted boolean, n int, node long"
     )
 
 
-_SHARED = "key long, salt int, salted boolean, n int, node long, before long, lead long"
+_SHARED = "key long, salted boolean, n int, node long, first boolean, before long, lead long, salt int"
 
 
-def _shared(rows: DataFrame, *block: str) -> DataFrame:
-    """Rows of blocks with several nodes, each with its neighbour and the block's first node."""
+def _shared(rows: DataFrame, percent: int, *block: str) -> DataFrame:
+    """Rows of blocks with several nodes, with the node before and the block's first node.
+
+    Both are the row's own node where the sizes cannot be similar; ``first`` marks first nodes.
+    """
     in_order = rows.repartition(*block).sortWithinPartitions(*block, "n", "node")
     names = ["key", "salt", "salted", "n", "node"]
     by_salt = "salt" in block
@@ -218,24 +242,28 @@ def _shared(rows: DataFrame, *block: str) -> DataFrame:
             size = len(t[0])
             after = np.concatenate([[False], same])
             head = np.maximum.accumulate(np.where(after, 0, np.arange(size)))
-            first = t[4][head]
+            first, least = t[4][head], t[3][head]
             if last is not None:
-                first = np.where(head == 0, lead, first)
-            before = np.where(after, np.concatenate([[0], t[4][:-1]]), t[4])
+                first, least = np.where(head == 0, lead[0], first), np.where(head == 0, lead[1], least)
+            starts = first == t[4]
+            near = after & (100 * np.concatenate([[0], t[3][:-1]]).astype(np.int64) >= percent * t[3].astype(np.int64))
+            before = np.where(near, np.concatenate([[0], t[4][:-1]]), t[4])
+            fits = 100 * least.astype(np.int64) >= percent * t[3].astype(np.int64)
+            leads = np.where(fits, first, t[4])
             out = after.copy()
             out[:-1] |= same & ~after[:-1]
             out |= t[2]  # a salted block's only node may meet others of its key
             if last is not None:
                 out[0] = waiting and bool(same[0])
             took = np.flatnonzero(out)
-            columns = [x[took] for x in (*t, before, first)]
+            columns = [x[took] for x in (t[0], t[2], t[3], t[4], starts, before, leads, t[1])]
+            kinds = (pa.int64(), pa.bool_(), pa.int32(), pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, (
-                    pa.int64(), pa.int32(), pa.bool_(), pa.int32(), pa.int64(), pa.int64(), pa.int64()
-                ))], [*names, "before", "lead"],
+                [pa.array(c, k) for c, k in zip(columns, kinds)],
+                ["key", "salted", "n", "node", "first", "before", "lead", "salt"],
             )
             waiting = not out[-1]
-            last, lead = [x[-1] for x in t], first[-1]
+            last, lead = [x[-1] for x in t], (first[-1], least[-1])
 
     return in_order.select(*names).mapInArrow(run, _SHARED)
 
@@ -386,7 +414,7 @@ def _pair_batch(node: np.ndarray, found: list) -> pa.RecordBatch:
 
 
 def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs whose points allow the threshold."""
+    """Pairs whose points, in full, allow the threshold."""
     point = classes.select("node", "n", "point")
     joined = (
         pairs.join(point.toDF("a", "n_a", "point_a"), "a").join(point.toDF("b", "n_b", "point_b"), "b")
@@ -395,12 +423,8 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
             a, b, n_a, n_b = (batch.column(i).to_numpy() for i in range(4))
-            bound = np.minimum(
-                _points(batch.column(4).to_pylist()), _points(batch.column(5).to_pylist())
-            ).sum(axis=1, dtype=np.int64)
+            bound = _overlap_bound(batch.column(4).to_pylist(), batch.column(5).to_pylist())
             keep = bound >= needed_overlap(n_a.astype(np.int64), n_b.astype(np.int64), percent)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
 
@@ -498,14 +522,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, words: int, percent: int) -> Da
 
 
 def _classes(texts: DataFrame) -> DataFrame:
-    """One row per distinct set: node, n, keys, point, one text's hash, and the smallest id."""
-    return stage(
-        texts.filter("n > 0").groupBy("digest").agg(
-            F.min("doc_id").alias("label"),
-            F.first(F.struct("n", "keys", "point", "text_hash", "text_key")).alias("of"),
-        ).select("digest", "label", "of.*", F.monotonically_increasing_id().alias("node")),
-        "classes",
+    """One row per distinct set: digest, node, label (the smallest id), and one of its texts."""
+    sets = texts.filter("n > 0").groupBy("digest").agg(
+        F.min("doc_id").alias("label"), F.min("place").alias("place")
     )
+    of = texts.select("place", "n", "point", "text_hash", "text_key")
+    numbered = sets.join(of, "place").withColumn("node", F.monotonically_increasing_id())
+    return stage(numbered, "classes")
 
 
 def jaccard_components(
@@ -527,11 +550,14 @@ def jaccard_components(
     docs = docs.select("doc_id", "text")
     levels, share = frequency_sketch(docs, words, sketch_texts)
     sketch = context.broadcast(levels)
-    texts = stage(describe(docs, sketch, words, percent), "texts")
+    described = describe(docs, sketch, words, percent)
+    texts = stage(described.withColumn("place", F.monotonically_increasing_id()), "texts")
     classes = _classes(texts)
-    shared = stage(_shared(_block_rows(classes, sketch, share, salt_rows), "key", "salt"), "shared")
+    prefixes = texts.select("place", "keys").join(classes.select("place", "node", "n"), "place")
+    blocks = _block_rows(prefixes, sketch, share, salt_rows)
+    shared = stage(_shared(blocks, percent, "key", "salt"), "shared")
     leads = _shared(
-        shared.filter("salted and node = lead").select("key", "salt", "salted", "n", "node"), "key"
+        shared.filter("salted and first").select("key", "salt", "salted", "n", "node"), percent, "key"
     )
     neighbours = shared.select("node", "before", "lead").unionByName(leads.select("node", "before", "lead"))
     pairs = neighbours.select("node", F.explode(F.array("before", "lead")).alias("other")).filter(
@@ -541,7 +567,11 @@ def jaccard_components(
     links = stage(_verified(tried, _sets_of(docs, classes, tried, words), words, percent), "links")
     found = stage(connected(links), "components")
 
-    rest = stage(_mixed_blocks(shared, classes, found, percent).join(tried, ["a", "b"], "left_anti"), "rest")
+    rest = _bounded(
+        _mixed_blocks(shared, classes, found, percent).join(tried, ["a", "b"], "left_anti"),
+        classes, percent,
+    )
+    rest = stage(rest, "rest")
     if not rest.isEmpty():
         more = stage(_verified(rest, _sets_of(docs, classes, rest, words), words, percent), "more-links")
         if not more.isEmpty():

@@ -80,6 +80,18 @@ def test_tree_join_loses_no_pair():
         assert {(j, i) for j in np.flatnonzero(fits).tolist()} <= got
 
 
+def test_points_bound_the_overlap():
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 1 << 63, n, dtype=np.uint64) * np.uint64(2)) for n in (1, 40, 600, 700, 9000, 9500)]
+    sets += [np.unique(np.concatenate([s[: len(s) * 9 // 10], sets[1]])) for s in sets] + [np.arange(400, dtype=np.uint64)]
+    points = [J._point(s) for s in sets]
+    a, b = zip(*[(i, j) for i in range(len(sets)) for j in range(len(sets))])
+    bound = J._overlap_bound([points[i] for i in a], [points[j] for j in b])
+    for i, j, most in zip(a, b, bound):
+        assert most >= len(np.intersect1d(sets[i], sets[j]))
+        assert most <= min(len(sets[i]), len(sets[j]))
+
+
 def test_odd_rows(docs):
     rows = [(5, "a b"), (5, "a b"), (7, "A  B"), (None, "a b"), (1, None), (2, ""), (3, " "), (4, "x" * 100_000), (None, "z")]
     out = J.jaccard_components(docs(*rows).withColumnRenamed("lang", "node")).collect()
