@@ -163,6 +163,11 @@ def _count_keys(docs: DataFrame, keys_of: Callable[[list[bytes]], np.ndarray]) -
     return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
 
+def _kept_counts(counts: DataFrame, least: int, label: str) -> DataFrame:
+    """Only what may enter a level is written; most sequences occur once."""
+    return stage(counts.filter(F.col("n") >= least), label)
+
+
 def _kept(counts: DataFrame, key: str, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
     """Sorted keys and counts of at least ``least``; that rises while more than ``most`` are left."""
     sizes = counts.filter(F.col("n") >= least).groupBy(
@@ -190,8 +195,6 @@ class Level:
     width: int
     log_p: np.ndarray
     p_book: np.ndarray
-    log_backoff: np.ndarray
-    backoff_book: np.ndarray
 
     @staticmethod
     def build(
@@ -201,19 +204,10 @@ class Level:
         ends = np.cumsum(np.bincount(context, minlength=contexts))
         pointers = succinct.EliasFano.build(np.concatenate([[0], ends]).astype(np.int64))
         book = succinct.code_book(log_p)
-        none = np.zeros(len(child), np.uint8)
         return Level(
-            pointers, succinct.pack_bits(child, width), width, succinct.encode_levels(log_p, book), book,
-            none, np.zeros(256),
+            pointers, succinct.pack_bits(child, width), width, succinct.encode_levels(log_p, book), book
         )
 
-    def with_backoff(self, log_backoff: np.ndarray, has_children: np.ndarray) -> None:
-        """Weights of the entries as contexts; the last code says that nothing is below."""
-        book = succinct.code_book(log_backoff[has_children])[:255]
-        codes = np.minimum(succinct.encode_levels(log_backoff, book), 254)
-        self.backoff_book = np.concatenate([book, [0.0]])
-        self.log_backoff = np.where(has_children, codes, LEAF).astype(np.uint8)
-
     def range_of(self, context: np.ndarray) -> np.ndarray:
         """First and last-but-one place of what is below each context, as two columns."""
         both = self.pointers.get(np.concatenate([context, context + 1]))
@@ -237,20 +231,29 @@ class Level:
 
     def save(self, path: str) -> None:
         arrays, numbers = succinct.flat([("pointers", self.pointers)])
-        for name in ("children", "log_p", "p_book", "log_backoff", "backoff_book"):
+        for name in ("children", "log_p", "p_book"):
             arrays[name] = getattr(self, name)
         succinct.save(path, arrays, {**numbers, "width": self.width})
 
     @staticmethod
     def load(path: str) -> Level:
         arrays, numbers = succinct.load(path)
-        names = ("log_p", "p_book", "log_backoff", "backoff_book")
         return Level(
             succinct.sequence(arrays, numbers, "pointers"), arrays["children"], numbers["width"],
-            *(arrays[n] for n in names),
+            arrays["log_p"], arrays["p_book"],
         )
 
 
+def _weights(log_backoff: np.ndarray, has_children: np.ndarray) -> dict[str, np.ndarray]:
+    """Quantised weights of contexts; the last code says that nothing is below."""
+    book = succinct.code_book(log_backoff[has_children])[:255]
+    codes = np.minimum(succinct.encode_levels(log_backoff, book), 254)
+    return {
+        "codes": np.where(has_children, codes, LEAF).astype(np.uint8),
+        "book": np.concatenate([book, [0.0]]),
+    }
+
+
 def _ship(context: SparkContext, save: Callable[[str], None]) -> str:
     """Give a file to all executors, now and later; its name there."""
     name = f"lm-{uuid.uuid4().hex}.bin"
@@ -286,6 +289,9 @@ class Model:
     words: str
     pairs: str
     triples: str
+    #: back-off weights of words and of pairs as contexts
+    weights: list[str]
+    #: the rest of the vocabulary
     blocks: list[str]
     total: int
     kinds: int
@@ -329,8 +335,11 @@ class Model:
         two, three = _level(self.pairs), _level(self.triples)
         pairs = self.pair_entries(t)
         contexts = _shifted(pairs, t.starts, -1)
-        weight = np.where(contexts >= 0, two.log_backoff[np.maximum(contexts, 0)] if len(two.log_backoff) else LEAF, LEAF)
-        log = two.backoff_book[weight]
+        of_word, of_pair = _table(self.weights[0]), _table(self.weights[1])
+        weight = np.full(len(pairs), LEAF, np.uint8)
+        at = np.flatnonzero(contexts >= 0)
+        weight[at] = of_pair["codes"][contexts[at]]
+        log = of_pair["book"][weight]
         at = np.flatnonzero(pairs >= 0)
         log[at] += two.p_book[two.log_p[pairs[at]]]
         at = np.flatnonzero((pairs >= 0) & (weight != LEAF))
@@ -339,7 +348,7 @@ class Model:
         log[at[hit]] = three.p_book[three.log_p[entry[hit]]]
         single = pairs < 0
         at = np.flatnonzero(single & (t.before >= 0))
-        log[at] += _table(self.words)["log_backoff"][t.before[at]]
+        log[at] += of_word["book"][of_word["codes"][t.before[at]]]
         return log, single, t
 
 
@@ -376,20 +385,23 @@ def train(
     counts = stage(count_words(docs), "word-counts")
     total, kinds = counts.agg(F.sum("n"), F.count("*")).first()
     total, kinds = total or 0, kinds or 0
-    model = Model(uuid.uuid4().hex, "", "", "", _vocabulary_blocks(counts, kinds, block_words), total, kinds)
-
     hashes, n = _kept(counts, "hash", min_count, max_entries)
     hashes, size = hashes.view(np.uint64), len(hashes)
     width = max(1, size.bit_length())
-    no_weights = {"hashes": hashes, "log_backoff": np.zeros(size + 1)}
-    model.words = _ship(context, lambda p: succinct.save(p, no_weights, {}))
+    level = {"hashes": hashes, "n": _narrow(n)}
+    words = _ship(context, lambda p: succinct.save(p, level, {}))
+    rest = counts.filter(F.col("n") < int(n.min() if size else 1 << 62))
+    model = Model(uuid.uuid4().hex, words, "", "", [], [], total, kinds)
 
     def pairs_of(texts: list[bytes], model: Model = model) -> np.ndarray:
         t = model.tokens(texts)
         ok = (t.ids >= 0) & (t.before >= 0)
         return t.before[ok] * max(size, 1) + t.ids[ok]
 
-    key, seen = _kept(stage(_count_keys(docs, pairs_of), "pair-counts"), "key", min_count, max_entries)
+    key, seen = _kept(
+        _kept_counts(_count_keys(docs, pairs_of), min_count, "pair-counts"), "key",
+        min_count, max_entries,
+    )
     first, second = np.divmod(key, max(size, 1))
     texts = docs.count()
     as_context = np.concatenate([n, [texts]]).astype(float)
@@ -397,7 +409,8 @@ def train(
     weight = np.maximum(1 - mass, 1e-9)
     p = (seen - DISCOUNT) / as_context[first] + weight[first] * 10 ** model.log_base(n[second])
     two = Level.build(first, second, size + 1, width, np.log10(p))
-    pairs_only = Model(uuid.uuid4().hex, model.words, _ship(context, two.save), "", [], total, kinds)
+    pairs = _ship(context, two.save)
+    pairs_only = Model(uuid.uuid4().hex, words, pairs, "", [], [], total, kinds)
 
     def triples_of(texts: list[bytes], model: Model = pairs_only) -> np.ndarray:
         t = model.tokens(texts)
@@ -407,7 +420,8 @@ def train(
         return contexts[ok] * max(size, 1) + t.ids[ok]
 
     key, seen_three = _kept(
-        stage(_count_keys(docs, triples_of), "triple-counts"), "key", min_count, max_entries
+        _kept_counts(_count_keys(docs, triples_of), min_count, "triple-counts"), "key",
+        min_count, max_entries,
     )
     above, third = np.divmod(key, max(size, 1))
     mass = np.bincount(above, seen_three - DISCOUNT, len(seen)) / np.maximum(seen, 1)
@@ -419,25 +433,32 @@ def train(
     else:
         p = np.zeros(0)
     three = Level.build(above, third, len(seen), width, np.log10(p))
-    two.with_backoff(np.log10(back), np.bincount(above, minlength=len(seen)) > 0)
-    with_weights = {"hashes": hashes, "log_backoff": np.log10(weight)}
-    model.words = _ship(context, lambda p: succinct.save(p, with_weights, {}))
-    model.pairs = _ship(context, two.save)
-    model.triples = _ship(context, three.save)
-    return model
+    of_words = _weights(np.log10(weight), np.bincount(first, minlength=size + 1) > 0)
+    of_pairs = _weights(np.log10(back), np.bincount(above, minlength=len(seen)) > 0)
+    return Model(
+        uuid.uuid4().hex, words, pairs, _ship(context, three.save),
+        [_ship(context, lambda p, w=w: succinct.save(p, w, {})) for w in (of_words, of_pairs)],
+        [words, *_vocabulary_blocks(rest, block_words)], total, kinds,
+    )
+
+
+def _narrow(n: np.ndarray) -> np.ndarray:
+    """Counts in the smallest type that holds them all."""
+    most = int(n.max()) if len(n) else 0
+    return n.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8")
 
 
-def _vocabulary_blocks(counts: DataFrame, kinds: int, block_words: int) -> list[str]:
-    """Files with hash and count of all words, split by ranges of the hash."""
+def _vocabulary_blocks(counts: DataFrame, block_words: int) -> list[str]:
+    """Files with hash and count of the words that level 1 does not hold."""
     context = counts.sparkSession.sparkContext
-    blocks = max(1, -(-kinds // block_words))
+    blocks = -(-counts.count() // block_words)
     out = []
     for block in range(blocks):
         part = counts.filter(F.pmod(F.col("hash"), F.lit(blocks)) == block) if blocks > 1 else counts
         rows = part.select("hash", "n").toArrow()
         hashes = rows.column(0).to_numpy().view(np.uint64)
         order = np.argsort(hashes)
-        arrays = {"hashes": hashes[order], "n": rows.column(1).to_numpy()[order]}
+        arrays = {"hashes": hashes[order], "n": _narrow(rows.column(1).to_numpy()[order])}
         out.append(_ship(context, lambda p, a=arrays: succinct.save(p, a, {})))
     return out
 
@@ -479,7 +500,9 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         def counts(h: np.ndarray) -> np.ndarray:
             table = _table(name)
             at = _find(table["hashes"], h)
-            return np.where(at >= 0, table["n"][np.maximum(at, 0)], 0) if len(table["n"]) else at * 0
+            out = np.zeros(len(h), np.int64)
+            out[at >= 0] = table["n"][at[at >= 0]]
+            return out
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             memo = _words()
