@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from oracle.tables import mean, over, rnd, ts
+from oracle.tables import CTES, mean, over, rnd, ts
 from stintlake.functions import fixed_values as fv
 from stintlake.plans import checks
 
@@ -427,6 +427,10 @@ def _checks(listed) -> str:
     return f"SELECT * FROM (WITH {stamped} {parts})"
 
 
+_WITH_GAPS = """(SELECT session_key, position FROM session_leaderboard UNION ALL
+    SELECT session_key, CAST(1000 AS BIGINT) FROM session_leaderboard
+    WHERE position = 1 AND session_key % 3 = 0)"""
+
 BODIES |= {
     "dq_bronze": _checks(checks.BRONZE_CHECKS),
     "dq_silver": _checks(checks.SILVER_CHECKS),
@@ -455,16 +459,16 @@ BODIES |= {
         FROM session_leaderboard JOIN (SELECT session_key, MIN(lap_duration) AS m FROM fact_laps
             WHERE is_valid_lap AND session_key IN (SELECT session_key FROM dim_sessions) GROUP BY 1)
           USING (session_key) WHERE position = 1 AND ABS(fastest_lap_time - m) > 0.01""",
-    "position_gaps": """
+    "position_gaps": f"""
         SELECT session_key, position AS actual_position, e AS expected_position,
           'Position gap detected' AS issue
         FROM (SELECT session_key, position,
                 ROW_NUMBER() OVER (PARTITION BY session_key ORDER BY position) AS e
-              FROM session_leaderboard WHERE team_category <> 'Ferrari') WHERE position <> e""",
-    "position_steps": """
+              FROM {_WITH_GAPS}) WHERE position <> e""",
+    "position_steps": f"""
         SELECT * FROM (SELECT session_key, position,
             LAG(position) OVER (PARTITION BY session_key ORDER BY position) AS prev_position
-          FROM session_leaderboard WHERE team_category <> 'Ferrari')
+          FROM {_WITH_GAPS})
         WHERE position <> COALESCE(prev_position + 1, 1)""",
     "team_count_mismatches": """
         SELECT session_key, t.team_name, drivers_count AS reported_count, n AS actual_count,
@@ -473,7 +477,8 @@ BODIES |= {
             COUNT(DISTINCT driver_number) AS n FROM silver_drivers GROUP BY 1, 2)
           USING (session_key, team_name) WHERE drivers_count <> n""",
     "not_one_current": """SELECT driver_number, COUNT(*) FILTER (WHERE is_current) AS current_count
-        FROM team_history WHERE team_category <> 'Ferrari'
+        FROM (SELECT * FROM team_history UNION ALL
+          SELECT * FROM team_history WHERE team_category = 'Ferrari')
         GROUP BY 1 HAVING current_count <> 1""",
     "no_future_dates": """
         SELECT CAST(_ingestion_timestamp AS VARCHAR) AS date_value, COUNT(*) AS violation_count
@@ -509,18 +514,17 @@ _LAP = "session_key, driver_number, lap_number, lap_duration"
 _NOT_NULL = "session_key IS NOT NULL AND driver_number IS NOT NULL AND lap_number IS NOT NULL"
 
 
-def _merge(update_all: bool) -> str:
-    def side(name: str, test: str) -> str:
-        # The silver rules over one load: the layer text with its source replaced.
-        from oracle.tables import CTES
+def _side(name: str, test: str) -> str:
+    """The silver rules over one load: the layer text with its source replaced."""
+    source = f"(SELECT * FROM bronze_drivers WHERE _ingestion_timestamp {test} TIMESTAMP '1998-06-15')"
+    return f"{name} AS ({CTES['silver_drivers'].replace('FROM bronze_drivers', f'FROM {source}')})"
 
-        source = f"(SELECT * FROM bronze_drivers WHERE _ingestion_timestamp {test} TIMESTAMP '1998-06-15')"
-        return f"{name} AS ({CTES['silver_drivers'].replace('FROM bronze_drivers', f'FROM {source}')})"
 
+def _merge(update_all: bool) -> str:
     kept = "new_rows" if update_all else "old_rows"
     other = "old_rows" if update_all else "new_rows"
     return f"""SELECT * FROM (
-        WITH {side('old_rows', '<')}, {side('new_rows', '>=')}
+        WITH {_side('old_rows', '<')}, {_side('new_rows', '>=')}
         SELECT COALESCE(o.session_key, n.session_key) AS session_key,
           COALESCE(o.driver_number, n.driver_number) AS driver_number,
           COALESCE(n.team_name, o.team_name) AS team_name,
@@ -544,9 +548,9 @@ BODIES |= {
     "append_dedupe": f"""
         SELECT {_LAP} FROM bronze_laps b WHERE {_NOT_NULL}
           AND _ingestion_timestamp >= TIMESTAMP '1998-01-01'
-          AND (session_key, driver_number, lap_number) NOT IN
-            (SELECT (session_key, driver_number, lap_number) FROM bronze_laps
-             WHERE {_NOT_NULL} AND _ingestion_timestamp <= TIMESTAMP '1998-01-01')""",
+          AND NOT EXISTS (SELECT 1 FROM bronze_laps o WHERE o.session_key = b.session_key
+            AND o.driver_number = b.driver_number AND o.lap_number = b.lap_number
+            AND o._ingestion_timestamp <= TIMESTAMP '1998-01-01')""",
     "snapshot_drivers": """
         SELECT * FROM (
         WITH loads AS (SELECT *, _ingestion_timestamp AS u FROM silver_drivers),
@@ -656,10 +660,11 @@ BODIES |= {
     "recent_sessions": f"{_VIEW} WHERE year = 1999 {_NEWEST} LIMIT 5",
     "race_sessions": f"{_VIEW} WHERE year = 2000 AND session_type = 'Race' {_NEWEST} LIMIT 10",
     "stamp_children": f"""
-        SELECT l.session_key, driver_number, lap_number, s.session_name, {_STAMP_DAY} AS batch_day,
-          'laps_' || {_STAMP_DAY} || '_' || {_CLEAN_LOCATION} || '_'
-            || REPLACE(s.session_name, ' ', '_') AS file_key
-        FROM bronze_laps l JOIN silver_sessions s ON s.session_key = l.session_key""",
+        SELECT l.session_key, driver_number, lap_number,
+          COALESCE(s.session_name, 'Unknown') AS session_name, {_STAMP_DAY} AS batch_day,
+          'laps_' || {_STAMP_DAY} || '_' || COALESCE({_CLEAN_LOCATION}, 'Unknown') || '_'
+            || COALESCE(REPLACE(s.session_name, ' ', '_'), 'Unknown') AS file_key
+        FROM bronze_laps l LEFT JOIN silver_sessions s ON s.session_key = l.session_key""",
     "chunk_plan": f"""SELECT session_key, chunk, CAST(a AS VARCHAR) AS chunk_start,
         CAST(b AS VARCHAR) AS chunk_end FROM {_PLAN}""",
     "chunk_coverage": _coverage(", driver_number"),
@@ -727,6 +732,29 @@ BODIES |= {
     ),
 }
 
+BODIES |= {
+    "snapshot_tables": BODIES["snapshot_drivers"],
+    "stream_counts": BODIES["expectation_counts"],
+    "load_twice": """
+        SELECT session_key, session_name, date_start,
+          CAST(COALESCE(((session_key % 8) + 8) % 8, 0) AS VARCHAR) AS source_part FROM bronze_sessions""",
+    "replace_twice": """
+        SELECT session_key, driver_number, team_name FROM silver_drivers
+        WHERE session_key % 2 = 0""",
+    "json_stamped": "SELECT session_key, driver_number, TRUE AS stamped FROM silver_drivers",
+    "merge_new_columns": f"""
+        SELECT * FROM (
+        WITH {_side('old_rows', '<')}, {_side('new_rows', '>=')}
+        SELECT COALESCE(o.session_key, n.session_key) AS session_key,
+          COALESCE(o.driver_number, n.driver_number) AS driver_number,
+          CASE WHEN n.session_key IS NULL THEN o.team_name ELSE n.team_name END AS team_name,
+          o.team_colour, n.country_code,
+          CASE WHEN o.session_key IS NULL THEN 'inserted' WHEN n.session_key IS NULL THEN 'kept'
+            ELSE 'updated' END AS _merge
+        FROM old_rows o FULL JOIN new_rows n
+          ON o.session_key = n.session_key AND o.driver_number = n.driver_number)""",
+}
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: over(body) for name, body in BODIES.items()}

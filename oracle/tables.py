@@ -22,11 +22,14 @@ def rnd(x: str, digits: int) -> str:
 
 
 def mean(x: str, where: str = "") -> str:
-    """Mean from whole units, so that the order of rows does not matter."""
+    """Mean from a sum of decimals, so that the order of rows does not matter.
+
+    Casts go through text, which keeps every printed digit.
+    """
     f = f" FILTER (WHERE {where})" if where else ""
     return (
-        f"(CAST(SUM(CAST(FLOOR({x} * 1e5 + 0.5e0) AS BIGINT)){f} AS DOUBLE)"
-        f" / NULLIF(COUNT({x}){f}, 0) / 1e5)"
+        f"(CAST(CAST(SUM(CAST(CAST({x} AS VARCHAR) AS DECIMAL(38, 18))){f} AS VARCHAR) AS DOUBLE)"
+        f" / NULLIF(COUNT({x}){f}, 0))"
     )
 
 

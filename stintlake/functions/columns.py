@@ -98,7 +98,11 @@ def flag(test: Column) -> Column:
 
 
 def surrogate_key(*cols: ColumnOrName) -> Column:
-    """MD5 hex over the parts as text; a NULL part has its own mark, so keys never merge."""
+    """MD5 hex over the parts as text; a NULL part has its own mark.
+
+    Parts are joined by a separator, so text that holds it can give one key to two rows:
+    the key names rows with number keys, and is no test of equality.
+    """
     parts = [F.coalesce(_c(c).cast("string"), F.lit(fv.KEY_NULL)) for c in cols]
     return F.md5(F.concat_ws(fv.KEY_SEPARATOR, *parts))
 
@@ -179,24 +183,21 @@ def ratio(a: ColumnOrName, b: ColumnOrName) -> Column:
     return _c(a) / F.nullif(_c(b), F.lit(0.0))
 
 
-def mean_units(col: ColumnOrName, digits: int = 5) -> Column:
-    """A measurement as a whole number of ``10^-digits``."""
-    return F.floor(_c(col).cast("double") * F.lit(float(10**digits)) + F.lit(0.5))
+def exact(col: ColumnOrName) -> Column:
+    """A measurement as a decimal with 18 digits behind the point, to add up in any order.
 
+    A sum of doubles changes in its last bits with the order in which tasks finish, which is
+    enough to flip a later rounding. A sum of decimals does not, is partially aggregated
+    before the shuffle, and raises under ANSI mode if a value or a sum passes 10^20.
+    """
+    return _c(col).cast("decimal(38,18)")
 
-def mean_of(units: ColumnOrName, rows: ColumnOrName, digits: int = 5) -> Column:
-    """The mean of measurements, from the sum of their units and their number."""
-    n = F.nullif(_c(rows), F.lit(0))
-    return _c(units).cast("double") / n / F.lit(float(10**digits))
 
+def mean_of(total: ColumnOrName, rows: ColumnOrName) -> Column:
+    """The mean of measurements, from their exact sum and their number."""
+    return _c(total).cast("double") / F.nullif(_c(rows), F.lit(0))
 
-def mean(col: ColumnOrName, digits: int = 5) -> Column:
-    """Average of decimal measurements that does not depend on the order of rows.
 
-    A sum of doubles changes in its last bits with the order in which tasks
-    finish, which is enough to flip a later rounding. Timing data has three
-    decimal digits, so the values are summed as whole units of ``10^-digits``:
-    a long sum, partially aggregated before the shuffle, equal on every run.
-    Under ANSI mode an overflow (about 3e11 laps of 300 s) raises.
-    """
-    return mean_of(F.sum(mean_units(col, digits)), F.count(_c(col)), digits)
+def mean(col: ColumnOrName) -> Column:
+    """Average of measurements that does not depend on the order of rows."""
+    return mean_of(F.sum(exact(col)), F.count(_c(col)))

@@ -1,11 +1,11 @@
 """Ranking and running totals within groups, whatever the size of a group.
 
-A plain window sends all rows of a group to one task. That is the best plan
-while groups are small, and no plan at all once one session or driver holds a
-third of a large table. So every operator here first counts rows per group (a
-partially aggregated count over the key columns alone). Groups within
-``max_group_rows`` use the window; the rows of larger groups are range-sorted
-over many tasks and numbered from per-task totals. Both ways give the same rows.
+A plain window sends all rows of a group to one task. That is the best plan where keys bound a
+group, and no plan at all once one session or driver holds a third of a large table. So a
+caller whose groups are not bounded names slices: an expression that rises with the order, such
+as the whole second of a lap time or the month of a start. A window then covers one slice of a
+group, and the totals of earlier slices, one row per group and slice, are joined to it. There is
+one way for groups of any size, and it is one lazy plan: nothing runs while it is built.
 """
 
 from __future__ import annotations
@@ -17,29 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from stintlake.session import stage
-
-LIMIT_KEY = "spark.stintlake.maxGroupRows"
-MAX_GROUP_ROWS = 2_000_000
-
-
-def group_limit(df: DataFrame, max_group_rows: int | None = None) -> int:
-    """Rows of one group that a task may take: as given, as set in the session, or two million."""
-    if max_group_rows is not None:
-        return max_group_rows
-    return int(df.sparkSession.conf.get(LIMIT_KEY, str(MAX_GROUP_ROWS)))
-
-
-def hot_groups(
-    df: DataFrame, keys: Sequence[str], max_group_rows: int | None = None
-) -> DataFrame | None:
-    """Keys of the groups larger than the limit, or ``None`` if there are none.
-
-    At most ``rows / max_group_rows`` keys can qualify, so the answer stays small.
-    """
-    sizes = df.groupBy(*keys).agg(F.count("*").alias("_n"))
-    hot = sizes.filter(F.col("_n") > group_limit(df, max_group_rows)).select(*keys)
-    return None if hot.isEmpty() else stage(hot, "hot-keys")
+_SLICE = "_slice"
 
 
 def join_same(
@@ -56,93 +34,36 @@ def join_same(
     return left.join(right, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-IDENTITY = ["_file", "_row"]
-
-
-def split_hot(
-    df: DataFrame, keys: Sequence[str], max_group_rows: int | None = None
-) -> tuple[DataFrame, DataFrame | None]:
-    """Rows of the groups within the limit, and rows of the larger ones (if any).
-
-    The latter carry their place in the written rows (``_file``, ``_row``), which
-    tells even equal rows apart and stays the same when a task runs again.
-    """
-    hot = hot_groups(df, keys, max_group_rows)
-    if hot is None:
-        return df, None
-    rows = stage(df, "split")
-    placed = rows.select(
-        "*",
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.row_index").alias("_row"),
-    )
-    return join_same(rows, hot, keys, "left_anti"), join_same(placed, hot, keys, "left_semi")
-
-
 def running_sums(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     sums: dict[str, Column],
-    max_group_rows: int | None = None,
+    slices: Column | None = None,
 ) -> DataFrame:
     """Add, per output name, the sum of an expression over the group up to the row.
 
     ``order`` should be total within a group; rows that tie are numbered in any order.
+    ``slices`` must never fall along ``order`` (NULL is lowest). It may be left out only if
+    keys bound the rows of a group.
     """
-    cold, hot = split_hot(df, keys, max_group_rows)
-    window = (
-        Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    )
-    out = cold.select("*", *[F.sum(e).over(window).alias(n) for n, e in sums.items()])
-    if hot is None:
-        return out
-    return out.unionByName(running_sums_hot(hot, keys, order, sums, max_group_rows))
-
-
-def running_sums_hot(
-    hot: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    sums: dict[str, Column],
-    max_group_rows: int | None = None,
-) -> DataFrame:
-    """Running sums for the large groups of :func:`split_hot`.
-
-    The rows are cut into slices by their place in the global order. Each slice is
-    summed on its own, then raised by the totals of the slices before it.
-    """
-    limit = group_limit(hot, max_group_rows)
-    slices = max(
-        int(hot.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-        2 * (hot.count() // limit + 1),
-    )
-    by = [*[F.col(k) for k in keys], *order, *[F.col(c) for c in IDENTITY]]
-    # The slices are written before use: the totals and the rows must agree on them.
-    sliced = stage(
-        hot.repartitionByRange(slices, *by).withColumn("_slice", F.spark_partition_id()),
-        "slices",
-    )
-    in_slice = (
-        Window.partitionBy(*keys, "_slice")
-        .orderBy(*order, *IDENTITY)
-        .rowsBetween(Window.unboundedPreceding, 0)
-    )
-    before = Window.partitionBy(*keys).orderBy("_slice").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    totals = sliced.groupBy(*keys, "_slice").agg(
+    upto = [Window.unboundedPreceding, 0]
+    if slices is None:
+        window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
+        return df.select("*", *[F.sum(e).over(window).alias(n) for n, e in sums.items()])
+    sliced = df.withColumn(_SLICE, slices)
+    window = Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(*upto)
+    local = sliced.select("*", *[F.sum(e).over(window).alias(f"_l_{n}") for n, e in sums.items()])
+    totals = sliced.groupBy(*keys, _SLICE).agg(
         *[F.sum(e).alias(f"_t_{n}") for n, e in sums.items()]
     )
     # One row per group and slice: the number of slices bounds this window.
+    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
-        *keys, "_slice", *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in sums]
+        *keys, _SLICE, *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in sums]
     )
-    local = sliced.select(
-        "*", *[F.sum(e).over(in_slice).alias(f"_l_{n}") for n, e in sums.items()]
-    )
-    return join_same(local, offsets, [*keys, "_slice"]).select(
-        *[c for c in hot.columns if c not in IDENTITY],
+    return join_same(local, offsets, [*keys, _SLICE]).select(
+        *df.columns,
         *[
             (F.col(f"_l_{n}") + F.coalesce(F.col(f"_o_{n}"), F.lit(0))).alias(n)
             for n in sums
@@ -150,31 +71,18 @@ def running_sums_hot(
     )
 
 
-def row_numbers_hot(
-    hot: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[Column],
-    name: str,
-    max_group_rows: int | None = None,
-) -> DataFrame:
-    """Row numbers for the large groups of :func:`split_hot`."""
-    return running_sums_hot(hot, keys, order, {name: F.lit(1).cast("long")}, max_group_rows)
-
-
 def row_numbers(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[Column],
     name: str = "row_number",
-    max_group_rows: int | None = None,
+    slices: Column | None = None,
 ) -> DataFrame:
-    """Number the rows of each group from 1 in the given order."""
-    cold, hot = split_hot(df, keys, max_group_rows)
-    number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
-    out = cold.withColumn(name, number.cast("long"))
-    if hot is None:
-        return out
-    return out.unionByName(row_numbers_hot(hot, keys, order, name, max_group_rows))
+    """Number the rows of each group from 1 in the given order; see :func:`running_sums`."""
+    if slices is None:
+        number = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
+        return df.withColumn(name, number.cast("long"))
+    return running_sums(df, keys, order, {name: F.lit(1).cast("long")}, slices)
 
 
 def ranks(
@@ -185,22 +93,25 @@ def ranks(
     tie_break: Sequence[str] = (),
     nulls: str = "first",
     name: str = "rank",
-    max_group_rows: int | None = None,
 ) -> DataFrame:
-    """Rank rows of a group by a measure, smallest first.
+    """Rank rows of a group by a number, smallest first.
 
     ``ties``: ``row_number`` (the tie-break decides), ``rank`` (equal measures share
-    the lowest number) or ``dense_rank`` (as ``rank``, without gaps).
+    the lowest number) or ``dense_rank`` (as ``rank``, without gaps). Slices are the whole
+    part of the measure; rows without one are sliced by the first tie-break.
     """
     col = F.col(measure)
     first = col.asc_nulls_first() if nulls == "first" else col.asc_nulls_last()
+    missing = col.isNull() if nulls == "last" else col.isNotNull()
+    whole = F.floor(col)
     if ties == "row_number":
         order = [first, *[F.col(c) for c in tie_break]]
-        return row_numbers(df, keys, order, name, max_group_rows)
+        finer = F.when(col.isNull(), F.col(tie_break[0])) if tie_break else F.lit(None).cast("int")
+        return row_numbers(df, keys, order, name, F.struct(missing, whole, finer))
     # Ranks of ties depend on the measure alone: rank the distinct values, join back.
     values = df.groupBy(*keys, measure).agg(F.count("*").alias("_rows"))
     add = F.col("_rows") if ties == "rank" else F.lit(1).cast("long")
-    placed = running_sums(values, keys, [first], {"_upto": add}, max_group_rows)
+    placed = running_sums(values, keys, [first], {"_upto": add}, F.struct(missing, whole))
     own = F.col("_rows") if ties == "rank" else F.lit(1)
     placed = placed.select(*keys, measure, (F.col("_upto") - own + 1).alias(name))
     return join_same(df, placed, [*keys, measure])
@@ -209,21 +120,43 @@ def ranks(
 def with_previous(
     df: DataFrame,
     keys: Sequence[str],
-    order: Sequence[Column],
+    order: Sequence[str],
     values: dict[str, str],
-    max_group_rows: int | None = None,
+    slices: Column | None = None,
+    descending: bool = False,
 ) -> DataFrame:
-    """Add values of the preceding row of the group: ``{new name: column}``."""
-    cold, hot = split_hot(df, keys, max_group_rows)
-    window = Window.partitionBy(*keys).orderBy(*order)
-    out = cold.select("*", *[F.lag(c).over(window).alias(n) for n, c in values.items()])
-    if hot is None:
-        return out
-    numbered = stage(row_numbers_hot(hot, keys, order, "_pos", max_group_rows), "numbered")
-    earlier = numbered.select(
-        *keys, (F.col("_pos") + 1).alias("_pos"), *[F.col(c).alias(n) for n, c in values.items()]
+    """Add values of the preceding row of the group: ``{new name: column}``.
+
+    ``order`` must be total within a group (NULL is lowest); ``slices`` as in
+    :func:`running_sums`. The first row of a slice takes the last row of the slice before, one
+    row per group and slice.
+    """
+    rising = [F.col(c).asc_nulls_first() for c in order]
+    falling = [F.col(c).desc_nulls_last() for c in order]
+    forth, back = (falling, rising) if descending else (rising, falling)
+    if slices is None:
+        window = Window.partitionBy(*keys).orderBy(*forth)
+        return df.select("*", *[F.lag(c).over(window).alias(n) for n, c in values.items()])
+    sliced = df.withColumn(_SLICE, slices)
+    window = Window.partitionBy(*keys, _SLICE).orderBy(*forth)
+    number = F.row_number().over(window)
+    local = sliced.select(
+        "*", number.alias("_n"), *[F.lag(c).over(window).alias(f"_p_{n}") for n, c in values.items()]
+    )
+    # WindowGroupLimit leaves one row per slice in each task before the shuffle.
+    backwards = Window.partitionBy(*keys, _SLICE).orderBy(*back)
+    last = sliced.withColumn("_n", F.row_number().over(backwards)).filter("_n = 1")
+    by_slice = Window.partitionBy(*keys).orderBy(_SLICE)
+    earlier = last.select(
+        *keys, _SLICE, *[F.lag(c).over(by_slice).alias(f"_e_{n}") for n, c in values.items()]
+    )
+    return join_same(local, earlier, [*keys, _SLICE]).select(
+        *df.columns,
+        *[
+            F.when(F.col("_n") == 1, F.col(f"_e_{n}")).otherwise(F.col(f"_p_{n}")).alias(n)
+            for n in values
+        ],
     )
-    return out.unionByName(join_same(numbered, earlier, [*keys, "_pos"], "left").drop("_pos"))
 
 
 def with_group_value(

@@ -23,7 +23,11 @@ def incremental_read(
     The mark is one value and enters the plan as a literal, so it is pushed to the scan.
     """
     mark = high_water_mark(target, ts_col)
-    return source if mark is None else source.filter(F.col(ts_col) > F.lit(mark))
+    return source if mark is None else newer_than(source, mark, ts_col)
+
+
+def newer_than(source: DataFrame, mark, ts_col: str = MARK) -> DataFrame:
+    return source.filter(F.col(ts_col) > F.lit(mark))
 
 
 def merge_upsert(
@@ -36,6 +40,9 @@ def merge_upsert(
 ) -> DataFrame:
     """Rows of the target after a merge with a batch that is unique on the keys.
 
+    The result has the columns of both sides. A column that only the batch has is taken from
+    it and NULL in other rows; one that only the target has keeps its values.
+
     Matched rows take the ``update_cols`` of the batch and keep the rest, so
     derived columns and the ingestion time of an updated row stay as they were.
     ``update_all=True`` takes every column, which also moves the high-water mark.
@@ -43,17 +50,26 @@ def merge_upsert(
     """
     if target is None:
         return batch.withColumn("_merge", F.lit("inserted")) if report else batch
-    cols = target.columns
-    update = set(cols if update_all else update_cols)
-    old = target.select(*[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_old"))
-    new = batch.select(*[F.col(c).alias(f"_b_{c}") for c in cols], F.lit(True).alias("_new"))
+    added = [c for c in batch.columns if c not in target.columns]
+    cols = [*target.columns, *added]
+    update = {*(batch.columns if update_all else update_cols), *added}
+    missing = F.lit(None)
+    old = target.select(
+        *[(F.col(c) if c in target.columns else missing.cast(batch.schema[c].dataType)).alias(f"_t_{c}")
+          for c in cols], F.lit(True).alias("_old"),
+    )
+    new = batch.select(
+        *[(F.col(c) if c in batch.columns else missing.cast(target.schema[c].dataType)).alias(f"_b_{c}")
+          for c in cols], F.lit(True).alias("_new"),
+    )
     on = [F.col(f"_t_{k}") == F.col(f"_b_{k}") for k in keys]
     both = old.join(new, on, "full")
     matched = F.col("_old").isNotNull() & F.col("_new").isNotNull()
 
     def merged(c: str):
         before, after = F.col(f"_t_{c}"), F.col(f"_b_{c}")
-        take_new = F.col("_old").isNull() if c not in update else F.col("_new").isNotNull()
+        known = c in update and c in batch.columns
+        take_new = F.col("_new").isNotNull() if known else F.col("_old").isNull()
         return F.when(take_new, after).otherwise(before).alias(c)
 
     action = (

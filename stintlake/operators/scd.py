@@ -4,13 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stintlake.functions import columns as C
 from stintlake.operators.dedupe import latest_per_key
 from stintlake.operators.grouping import running_sums, with_previous
-from stintlake.session import stage
 
 FOREVER = "9999-12-31"
 
@@ -62,39 +61,40 @@ def snapshot(
     return closed.unionByName(versions)
 
 
+def _month(ts: str, sign: int = 1) -> Column:
+    """The month of a time as a number that rises (or falls) with it: slices of a history."""
+    return F.lit(sign) * (F.year(ts) * 12 + F.month(ts))
+
+
 def scd2_from_history(
     df: DataFrame,
     key: str,
     tracked: Sequence[str],
     ts: str,
     tie_break: Sequence[str] = (),
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Versions with closed intervals: one per run of equal tracked attributes of a key.
 
-    Rows are first reduced to one per key and time. A version lasts until the next
-    one starts; the last is current.
+    Rows are first reduced to one per key and time. Attributes are compared column by column,
+    NULL equal to NULL. A version lasts until the next one starts; the last is current.
     """
     rows = latest_per_key(
         df.dropna(subset=[key, ts]),
         [key, ts],
         [F.col(c).desc_nulls_last() for c in tie_break] or [F.col(ts)],
         tracked,
-    ).select(key, F.col(ts).alias("valid_from"), *tracked)
-    rows = stage(rows, "states")  # read by both steps below
-    state = C.surrogate_key(*tracked)
-    order = [F.col("valid_from")]
+    ).select(key, F.col(ts).alias("valid_from"), F.struct(*tracked).alias("_state"))
     seen = with_previous(
-        rows.withColumn("_state", state), [key], order, {"_before": "_state"}, max_group_rows
+        rows, [key], ["valid_from"], {"_before": "_state"}, _month("valid_from")
     )
-    changes = seen.filter(
-        F.col("_before").isNull() | (F.col("_before") != F.col("_state"))
-    ).drop("_before", "_state")
+    changes = seen.filter(~F.col("_before").eqNullSafe(F.col("_state"))).drop("_before")
     ended = with_previous(
-        changes, [key], [F.col("valid_from").desc()], {"valid_to": "valid_from"}, max_group_rows
+        changes, [key], ["valid_from"], {"valid_to": "valid_from"}, _month("valid_from", -1),
+        descending=True,
     )
     return ended.select(
-        key, *tracked, "valid_from", "valid_to", F.col("valid_to").isNull().alias("is_current")
+        key, *[F.col(f"_state.{c}").alias(c) for c in tracked], "valid_from", "valid_to",
+        F.col("valid_to").isNull().alias("is_current"),
     )
 
 
@@ -142,7 +142,6 @@ def version_overlaps(
     until: str,
     from_col: str = "valid_from",
     to_col: str = "valid_to",
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Intervals that overlap others of their key, with the number of others.
 
@@ -155,7 +154,7 @@ def version_overlaps(
     rows = dim.select(key, F.col(from_col).alias("_s"), end.alias("_e")).filter("_s < _e")
     one, zero = F.lit(1).cast("long"), F.lit(0).cast("long")
     # Equal intervals of a key share their ends, so they are counted as one row.
-    spans = stage(rows.groupBy(key, "_s", "_e").agg(F.count("*").alias("_n")), "spans")
+    spans = rows.groupBy(key, "_s", "_e").agg(F.count("*").alias("_n"))
     ends = spans.select(key, "_s", "_e", "_n", F.col("_e").alias("_t"), zero.alias("_kind"))
     starts = spans.select(key, "_s", "_e", "_n", F.col("_s").alias("_t"), one.alias("_kind"))
     running = running_sums(
@@ -166,7 +165,7 @@ def version_overlaps(
             "_starts": F.when(F.col("_kind") == 1, F.col("_n")).otherwise(zero),
             "_ends": F.when(F.col("_kind") == 0, F.col("_n")).otherwise(zero),
         },
-        max_group_rows,
+        _month("_t"),
     )
     # At an end, all starts before it are counted; at a start, all ends up to it.
     return (

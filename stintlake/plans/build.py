@@ -3,19 +3,30 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from stintlake.operators.incremental import incremental_read, merge_upsert
+from stintlake.operators.incremental import (
+    high_water_mark,
+    incremental_read,
+    merge_upsert,
+    newer_than,
+)
 from stintlake.plans import gold, marts, silver
+from stintlake.plans.snapshots import driver_snapshot, session_snapshot
 from stintlake.plans.warehouse import BRONZE, Warehouse
+from stintlake.session import stage
 from stintlake.sources.readers import read_entity, unprocessed_files
 from stintlake.sources.writers import (
     append_table,
     read_table,
     replace_table,
+    store_mark,
+    stored_mark,
     table_exists,
     write_table,
 )
-from stintlake.streaming.ingest import append_stream, stream_entity
+from stintlake.streaming.expectations import LAPS_DROP, LAPS_TRACK, LOCATIONS_DROP
+from stintlake.streaming.ingest import append_stream, chain_stream, checked_stream, stream_entity
 
 PARTITIONED = {"fact_laps"}
 
@@ -28,65 +39,135 @@ def _current(spark: SparkSession, target: str) -> DataFrame | None:
     return read_table(spark, target) if table_exists(spark, target) else None
 
 
+def _days(entity: str) -> list[str]:
+    return ["batch_day"] if entity in ("laps", "locations") else []
+
+
+def _log_path(path: str, entity: str) -> str:
+    return f"{path}/_files/bronze_{entity}"
+
+
 def load_bronze(spark: SparkSession, landing: str, path: str, entity: str) -> None:
     """Append the landed files that are new since the last call, each exactly once.
 
     A triggered stream: its checkpoint remembers the files, and batches of bounded
-    size keep a first load of very many files as safe as a small one.
+    size keep a first load of very many files as safe as a small one. A table has one way of
+    loading: one that :func:`load_new_files` began is refused.
     """
-    days = ["batch_day"] if entity in ("laps", "locations") else []
+    if table_exists(spark, _log_path(path, entity)):
+        raise ValueError(f"bronze_{entity} is loaded in batches; a stream would hide their rows")
     append_stream(
         stream_entity(spark, landing, entity),
         f"{path}/bronze_{entity}",
         f"{path}/_checkpoints/bronze_{entity}",
-        partition_by=days,
+        partition_by=_days(entity),
     ).awaitTermination()
 
 
 def load_new_files(
-    spark: SparkSession, landing: str, path: str, entity: str, max_files: int = 1000
+    spark: SparkSession, landing: str, path: str, entity: str, max_files: int = 1000,
+    glob: str | None = None, multi_line: bool = True,
 ) -> int:
-    """The same without a stream: files are compared with those the table came from.
+    """The same without a stream, by a log of the files that were loaded; returns how many.
 
-    Files are taken ``max_files`` at a time until none is left; returns how many.
+    The landed files are listed once and taken ``max_files`` at a time. A batch is a folder of
+    the table that a repeated load overwrites, and its files are logged when the folder is
+    complete, so a stop at any point neither loses nor doubles rows. A file without rows is
+    logged like any other. A table that a stream loads is refused.
     """
-    target = f"{path}/bronze_{entity}"
-    days = ["batch_day"] if entity in ("laps", "locations") else []
-    loaded = 0
-    while files := unprocessed_files(spark, landing, entity, _current(spark, target), max_files):
-        append_table(read_entity(spark, files, entity), target, partition_by=days)
-        loaded += len(files)
+    target, log = f"{path}/bronze_{entity}", _log_path(path, entity)
+    if table_exists(spark, f"{target}/_spark_metadata"):
+        raise ValueError(f"bronze_{entity} is loaded by a stream, which would hide other rows")
+    done = _current(spark, log)
+    batch = (done.agg(F.max("batch")).first()[0] or 0) + 1 if done is not None else 1
+    listed = stage(unprocessed_files(spark, landing, entity, done, glob), "landed")
+    last, loaded = "", 0
+    # At most max_files names are on the driver at a time.
+    while files := listed.filter(F.col("path") > last).orderBy("path").limit(max_files).collect():
+        names = [r.path for r in files]
+        rows = read_entity(
+            spark, names, entity, batch_id=str(batch), glob="*", multi_line=multi_line
+        )
+        write_table(rows, f"{target}/load={batch}", "overwrite", _days(entity))
+        taken = listed.filter(F.col("path").between(names[0], names[-1]))
+        write_table(taken.select("_source_file"), f"{log}/batch={batch}")
+        last, loaded, batch = names[-1], loaded + len(names), batch + 1
     return loaded
 
 
+def load_quality(spark: SparkSession, path: str) -> None:
+    """Bring the laps and locations quality tables up to their bronze tables.
+
+    Each is a stream over the bronze table. Per batch, the rows that meet the expectations and
+    the counts of those that do not go to folders that a repeated batch overwrites.
+    """
+    for entity, (drop, track) in {
+        "laps": (LAPS_DROP, LAPS_TRACK), "locations": (LOCATIONS_DROP, {}),
+    }.items():
+        if table_exists(spark, f"{path}/bronze_{entity}"):
+            checked_stream(
+                chain_stream(spark, f"{path}/bronze_{entity}"), f"{path}/quality_{entity}",
+                f"{path}/quality_{entity}_counts", f"{path}/_checkpoints/quality_{entity}",
+                drop, track,
+            ).awaitTermination()
+
+
+def refresh_snapshots(spark: SparkSession, path: str, run_ts: str) -> None:
+    """Take the next snapshot of drivers and sessions from the silver tables.
+
+    The stored state is read, changed versions are closed and opened, and the result replaces
+    it as a whole.
+    """
+    for name, build, source in (
+        ("driver_snapshot", driver_snapshot, "silver_drivers"),
+        ("session_snapshot", session_snapshot, "silver_sessions"),
+    ):
+        target = f"{path}/{name}"
+        rows = read_table(spark, f"{path}/{source}")
+        replace_table(build(_current(spark, target), rows, run_ts), target)
+
+
 def refresh_silver(spark: SparkSession, path: str, run_ts: str, full: bool = False) -> None:
     """Bring the silver tables up to the bronze ones.
 
     Sessions and drivers are merged, laps and locations appended; only bronze rows
-    beyond the high-water mark of each table are read. ``full`` rebuilds them all.
+    beyond the high-water mark of each table are read. The mark is the newest load time that
+    went in; it is stored beside the table, so the table itself is not read for it. ``full``
+    rebuilds them all.
     """
 
-    def step(entity: str) -> tuple[DataFrame | None, DataFrame]:
-        old = None if full else _current(spark, f"{path}/silver_{entity}")
-        return old, incremental_read(read_table(spark, f"{path}/bronze_{entity}"), old)
-
-    old, new = step("sessions")
-    batch = silver.build_silver_sessions(new, run_ts)
-    merged = merge_upsert(old, batch, silver.SESSION_KEY, silver.SESSION_UPDATES)
-    replace_table(merged, f"{path}/silver_sessions")
-
-    old, new = step("drivers")
-    batch = silver.build_silver_drivers(new, run_ts)
-    merged = merge_upsert(old, batch, silver.DRIVER_KEY, silver.DRIVER_UPDATES)
-    replace_table(merged, f"{path}/silver_drivers")
+    def step(entity: str) -> tuple[DataFrame | None, DataFrame, str | None]:
+        target = f"{path}/silver_{entity}"
+        old = None if full else _current(spark, target)
+        bronze = read_table(spark, f"{path}/bronze_{entity}", evolving=True)
+        mark = None if old is None else stored_mark(spark, f"{path}/_marks/silver_{entity}")
+        new = newer_than(bronze, mark) if mark else incremental_read(bronze, old)
+        return old, new, high_water_mark(new)
+
+    def keep_mark(entity: str, mark: object) -> None:
+        if mark is not None:
+            store_mark(spark, f"{path}/_marks/silver_{entity}", mark)
+
+    for entity, build, key, updates in (
+        ("sessions", silver.build_silver_sessions, silver.SESSION_KEY, silver.SESSION_UPDATES),
+        ("drivers", silver.build_silver_drivers, silver.DRIVER_KEY, silver.DRIVER_UPDATES),
+    ):
+        old, new, mark = step(entity)
+        merged = merge_upsert(old, build(new, run_ts), key, updates)
+        replace_table(merged, f"{path}/silver_{entity}")
+        keep_mark(entity, mark)
 
-    mode = "overwrite" if full else "append"
     for entity, build in (
         ("laps", silver.build_silver_laps),
         ("locations", silver.build_silver_locations),
     ):
-        _, new = step(entity)
-        write_table(build(new, run_ts), f"{path}/silver_{entity}", mode, ["batch_day"])
+        _, new, mark = step(entity)
+        target = f"{path}/silver_{entity}"
+        if full:
+            replace_table(build(new, run_ts), target, ["batch_day"])
+        else:
+            append_table(build(new, run_ts), target, partition_by=["batch_day"])
+        keep_mark(entity, mark)
 
 
 def refresh_gold(spark: SparkSession, path: str, run_ts: str) -> None:

@@ -226,23 +226,21 @@ def fastest_lap_mismatches(leaderboard: DataFrame, fact: DataFrame, dim: DataFra
     )
 
 
-def position_gaps(leaderboard: DataFrame, max_group_rows: int | None = None) -> DataFrame:
-    """Positions that are not 1, 2, 3, ... within their session."""
+def position_gaps(leaderboard: DataFrame) -> DataFrame:
+    """Positions that are not 1, 2, 3, ... within their session, which lists a driver once."""
     rows = leaderboard.select("session_key", "position")
-    numbered = row_numbers(
-        rows, ["session_key"], [F.col("position")], "expected_position", max_group_rows
-    )
+    numbered = row_numbers(rows, ["session_key"], [F.col("position")], "expected_position")
     return numbered.filter("position <> expected_position").select(
         "session_key", F.col("position").alias("actual_position"), "expected_position",
         F.lit("Position gap detected").alias("issue"),
     )
 
 
-def position_steps(leaderboard: DataFrame, max_group_rows: int | None = None) -> DataFrame:
+def position_steps(leaderboard: DataFrame) -> DataFrame:
     """Positions that do not follow the preceding one of their session."""
     rows = with_previous(
-        leaderboard.select("session_key", "position"), ["session_key"], [F.col("position")],
-        {"prev_position": "position"}, max_group_rows,
+        leaderboard.select("session_key", "position"), ["session_key"], ["position"],
+        {"prev_position": "position"},
     )
     return rows.filter(F.col("position") != F.coalesce(F.col("prev_position") + 1, F.lit(1)))
 

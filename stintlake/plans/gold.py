@@ -8,12 +8,7 @@ from pyspark.sql.window import Window
 
 from stintlake.functions import columns as C
 from stintlake.operators.dedupe import latest_per_key
-from stintlake.operators.grouping import (
-    row_numbers,
-    row_numbers_hot,
-    split_hot,
-    with_group_value,
-)
+from stintlake.operators.grouping import row_numbers
 
 DRIVER_ATTRIBUTES = [
     "full_name", "broadcast_name", "name_acronym", "team_name", "team_colour",
@@ -56,54 +51,43 @@ def build_dim_drivers(silver_drivers: DataFrame) -> DataFrame:
     )
 
 
-def rank_laps(
-    silver_laps: DataFrame, nulls: str = "first", max_group_rows: int | None = None
-) -> DataFrame:
+def rank_laps(silver_laps: DataFrame, nulls: str = "first") -> DataFrame:
     """Add the lap sequence per driver, the lap-time rank per session and the personal best.
 
     Invalid and untimed laps take ranks too, but show none; untimed laps come first
-    unless ``nulls="last"``. Sessions within ``max_group_rows`` need one shuffle for
-    all three columns; larger ones are ranked over many tasks.
+    unless ``nulls="last"``. Laps of a session are ranked in slices, by whole second or, without
+    a time, by driver; the laps of one driver in one session are few, and need no slices.
     """
-    by_time = F.col("lap_duration")
-    by_time = by_time.asc_nulls_first() if nulls == "first" else by_time.asc_nulls_last()
-    lap_order = [F.col("lap_number"), F.col("date_start").asc_nulls_first()]
+    time, number = F.col("lap_duration"), F.col("lap_number")
+    by_time = time.asc_nulls_first() if nulls == "first" else time.asc_nulls_last()
+    # Total: rows that agree in all of these differ in no column that a rank shows.
+    lap_order = [
+        number, F.col("date_start").asc_nulls_first(), time, F.col("is_pit_out_lap"),
+        F.col("updated_at"), F.col("speed_trap_speed"), F.col("max_speed"),
+    ]
     time_order = [by_time, F.col("driver_number"), *lap_order]
-    driver = ["session_key", "driver_number"]
-    valid_time = F.when(F.col("is_valid_lap"), F.col("lap_duration"))
+    missing = time.isNull() if nulls == "last" else time.isNotNull()
+    slices = F.struct(missing, F.floor(time), F.when(time.isNull(), F.col("driver_number")))
+    driver = Window.partitionBy("session_key", "driver_number")
+    valid_time = F.when(F.col("is_valid_lap"), time)
 
-    cold, hot = split_hot(silver_laps, ["session_key"], max_group_rows)
-    out = cold.select(
+    out = row_numbers(silver_laps, ["session_key"], time_order, "_time_rank", slices).select(
         "*",
-        F.row_number()
-        .over(Window.partitionBy("session_key").orderBy(*time_order))
-        .cast("long")
-        .alias("_time_rank"),
-        F.row_number()
-        .over(Window.partitionBy(*driver).orderBy(*lap_order))
-        .cast("long")
-        .alias("driver_lap_rank"),
-        F.min(valid_time).over(Window.partitionBy(*driver)).alias("driver_best_lap_time"),
+        F.row_number().over(driver.orderBy(*lap_order)).cast("long").alias("driver_lap_rank"),
+        F.min(valid_time).over(driver).alias("driver_best_lap_time"),
     )
-    if hot is not None:
-        h = row_numbers_hot(hot, ["session_key"], time_order, "_time_rank", max_group_rows)
-        h = row_numbers(h, driver, lap_order, "driver_lap_rank", max_group_rows)
-        h = with_group_value(h, driver, F.min(valid_time), "driver_best_lap_time")
-        out = out.unionByName(h)
     rank = F.when(F.col("is_valid_lap"), F.col("_time_rank"))
     return out.withColumn("session_lap_time_rank", rank).drop("_time_rank")
 
 
-def build_fact_laps(
-    silver_laps: DataFrame, nulls: str = "first", max_group_rows: int | None = None
-) -> DataFrame:
+def build_fact_laps(silver_laps: DataFrame, nulls: str = "first") -> DataFrame:
     """One row per lap with keys, ranks and the gap to the driver's best lap.
 
     ``is_personal_best_lap`` compares times only, so an invalid lap that equals
     the best valid one is flagged as well.
     """
     best = F.col("driver_best_lap_time")
-    return rank_laps(silver_laps, nulls, max_group_rows).select(
+    return rank_laps(silver_laps, nulls).select(
         C.surrogate_key("session_key", "driver_number", "lap_number").alias("lap_key"),
         C.surrogate_key("session_key").alias("session_dim_key"),
         C.surrogate_key("driver_number").alias("driver_key"),

@@ -12,9 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from stintlake.functions import columns as C
-from stintlake.operators.grouping import group_limit, row_numbers, with_group_value
 from stintlake.plans.silver import run_time
-from stintlake.session import stage
 
 SESSION_COLUMNS = ["session_name", "session_category", "location", "session_date"]
 
@@ -99,31 +97,21 @@ def fastest_laps(fact_laps: DataFrame) -> DataFrame:
     )
 
 
-def rank_positions(
-    rows: DataFrame, measure: str, bound: int, max_group_rows: int | None = None
-) -> DataFrame:
+def rank_positions(rows: DataFrame, measure: str) -> DataFrame:
     """Add overall and team positions and the best value of each session.
 
-    ``bound`` is a proven limit on the rows of one session (the number of drivers).
-    Within ``max_group_rows`` one shuffle by session serves all three columns.
+    A session lists a driver once, so its rows are bounded by the driver dimension, and one
+    shuffle by session serves all three columns.
     """
     order = [F.col(measure), F.col("driver_number")]
-    session, team = ["session_key"], ["session_key", "team_category"]
-    if bound <= group_limit(rows, max_group_rows):
-        in_session = Window.partitionBy(*session)
-        return rows.select(
-            "*",
-            F.row_number().over(in_session.orderBy(*order)).cast("long").alias("position"),
-            F.row_number()
-            .over(Window.partitionBy(*team).orderBy(*order))
-            .cast("long")
-            .alias("team_position"),
-            F.min(measure).over(in_session).alias("session_best"),
-        )
-    rows = stage(rows, "positions")
-    rows = row_numbers(rows, session, order, "position", max_group_rows)
-    rows = row_numbers(rows, team, order, "team_position", max_group_rows)
-    return with_group_value(rows, session, F.min(measure), "session_best")
+    in_session = Window.partitionBy("session_key")
+    in_team = Window.partitionBy("session_key", "team_category")
+    return rows.select(
+        "*",
+        F.row_number().over(in_session.orderBy(*order)).cast("long").alias("position"),
+        F.row_number().over(in_team.orderBy(*order)).cast("long").alias("team_position"),
+        F.min(measure).over(in_session).alias("session_best"),
+    )
 
 
 def build_session_leaderboard(
@@ -131,7 +119,6 @@ def build_session_leaderboard(
     dim_sessions: DataFrame,
     dim_drivers: DataFrame,
     run_ts: str | None = None,
-    max_group_rows: int | None = None,
 ) -> DataFrame:
     """Drivers of each session by fastest valid lap, equal times by driver number."""
     drivers = current_drivers(dim_drivers)
@@ -140,8 +127,7 @@ def build_session_leaderboard(
         .join(dim_sessions.select("session_key", *SESSION_COLUMNS, "year"), "session_key")
         .join(drivers, "driver_number")
     )
-    # A session lists a driver once, so the driver dimension bounds every session.
-    rows = rank_positions(rows, "fastest", drivers.count(), max_group_rows)
+    rows = rank_positions(rows, "fastest")
     gap = F.col("fastest") - F.col("session_best")
     return rows.select(
         C.surrogate_key("session_key", "driver_number").alias("leaderboard_key"),

@@ -29,6 +29,7 @@ from stintlake.operators.sessions import (
     stamp_children,
 )
 from stintlake.plans import checks, reports, silver
+from stintlake.plans.build import load_new_files, refresh_snapshots
 from stintlake.plans.marts import build_team_performance
 from stintlake.plans.snapshots import driver_snapshot, session_snapshot
 from stintlake.plans.warehouse import Warehouse
@@ -42,6 +43,7 @@ from stintlake.sources.writers import (
     export_csv,
     export_json,
     read_table,
+    replace_table,
     write_table,
 )
 from stintlake.streaming.expectations import (
@@ -54,6 +56,7 @@ from stintlake.streaming.expectations import (
 from stintlake.streaming.ingest import (
     append_stream,
     chain_stream,
+    checked_stream,
     evolving_stream,
     stream_entity,
 )
@@ -170,21 +173,22 @@ query("fastest_lap_mismatches")(
 )
 
 
-def _without_ferrari(w: Warehouse) -> DataFrame:
-    return w.session_leaderboard.filter("team_category <> 'Ferrari'")
+def _with_gaps(w: Warehouse) -> DataFrame:
+    """The whole leaderboard, and for some sessions one more row far behind the last."""
+    rows = w.session_leaderboard.select("session_key", "position")
+    wrong = rows.filter("position = 1 AND session_key % 3 = 0")
+    return rows.unionByName(wrong.withColumn("position", F.lit(1000).cast("long")))
 
 
-query("position_gaps")(
-    lambda w: checks.position_gaps(_without_ferrari(w))
-)
-query("position_steps")(
-    lambda w: checks.position_steps(_without_ferrari(w))
-)
+query("position_gaps")(lambda w: checks.position_gaps(_with_gaps(w)))
+query("position_steps")(lambda w: checks.position_steps(_with_gaps(w)))
 query("team_count_mismatches")(
     lambda w: checks.team_count_mismatches(w.team_performance, w.silver_drivers)
 )
-query("not_one_current")(
-    lambda w: checks.not_one_current(_history(w).filter("team_category <> 'Ferrari'"))
+query("not_one_current")(  # the whole history, and the versions of one team a second time
+    lambda w: checks.not_one_current(
+        _history(w).unionByName(_history(w).filter("team_category = 'Ferrari'"))
+    )
 )
 query("no_future_dates")(
     lambda w: quality.no_future_dates(
@@ -240,6 +244,17 @@ def _merged(w: Warehouse, update_all: bool) -> DataFrame:
     )
 
 
+@query("merge_new_columns")
+def _merge_new_columns(w: Warehouse) -> DataFrame:
+    """A batch with one column that the target lacks, and without one that it has."""
+    old, new = _two_loads(w)
+    keys = silver.DRIVER_KEY
+    return merge_upsert(
+        old.select(*keys, "team_name", "team_colour"), new.select(*keys, "team_name", "country_code"),
+        keys, ["team_name", "team_colour"], report=True,
+    )
+
+
 query("merge_partial")(lambda w: _merged(w, False))
 query("merge_all")(lambda w: _merged(w, True))
 
@@ -284,6 +299,21 @@ def _snapshot_sessions(w: Warehouse) -> DataFrame:
     return second.select("session_key", "session_name", "valid_from", "valid_to")
 
 
+@query("snapshot_tables")
+def _snapshot_tables(w: Warehouse) -> DataFrame:
+    """The runs of ``snapshot_drivers`` as tables, the second over the stored first."""
+    spark = w.bronze_drivers.sparkSession
+    path = fresh_path(spark, "snapshots")
+    replace_table(w.silver_sessions, f"{path}/silver_sessions")
+    replace_table(_as_loaded(w, "session_key < 199800"), f"{path}/silver_drivers")
+    refresh_snapshots(spark, path, "1998-01-01 00:00:00")
+    replace_table(_as_loaded(w, "team_category <> 'Ferrari'"), f"{path}/silver_drivers")
+    refresh_snapshots(spark, path, "2002-01-01 00:00:00")
+    return read_table(spark, f"{path}/driver_snapshot").select(
+        "driver_number", "team_name", "team_category", "valid_from", "valid_to"
+    )
+
+
 def _history(w: Warehouse) -> DataFrame:
     return scd2_from_history(
         w.silver_drivers, "driver_number", ["team_name", "team_colour", "team_category"],
@@ -429,6 +459,56 @@ def _json_inferred(w: Warehouse) -> DataFrame:
     )
 
 
+@query("load_twice")
+def _load_twice(w: Warehouse) -> DataFrame:
+    """Array JSON in three loads: some files, the others and one without rows, and none."""
+    df = w.bronze_sessions.drop("_ingestion_timestamp")
+    spark = df.sparkSession
+    landing, path = fresh_path(spark, "landing"), fresh_path(spark, "bronze")
+    # A file per group of sessions; sessions are few, so a group fits a file of one array.
+    part = F.coalesce(F.pmod("session_key", F.lit(8)), F.lit(0))
+    arrays = df.withColumn("part", part).groupBy("part").agg(
+        F.to_json(F.collect_list(F.struct(*df.columns))).alias("value")
+    )
+
+    def land(rows: DataFrame) -> None:
+        rows.write.mode("append").partitionBy("part").text(landing)
+
+    def load() -> int:
+        return load_new_files(spark, landing, path, "sessions", max_files=3, glob="*.txt")
+
+    land(arrays.filter("part < 4"))
+    load()
+    land(arrays.filter("part >= 4"))
+    land(spark.range(1).select(F.lit(99).alias("part"), F.lit("[]").alias("value")))
+    load()
+    if load():
+        raise RuntimeError("a loaded file was taken again")
+    return read_table(spark, f"{path}/bronze_sessions").select(
+        "session_key", "session_name", "date_start",
+        F.regexp_extract("_source_file", "part=([0-9]+)", 1).alias("source_part"),
+    )
+
+
+@query("replace_twice")
+def _replace_twice(w: Warehouse) -> DataFrame:
+    """A table replaced by rows derived from itself."""
+    df = w.silver_drivers.select("session_key", "driver_number", "team_name")
+    spark = df.sparkSession
+    path = replace_table(df, fresh_path(spark, "replaced"))
+    replace_table(read_table(spark, path).filter("session_key % 2 = 0"), path)
+    return read_table(spark, path)
+
+
+@query("json_stamped")
+def _json_stamped(w: Warehouse) -> DataFrame:
+    df = w.silver_drivers.select("session_key", "driver_number")
+    path = export_json(df, fresh_path(df.sparkSession, "stamped"))
+    return df.sparkSession.read.json(path).select(
+        "session_key", "driver_number", F.col("ingestion_timestamp").isNotNull().alias("stamped")
+    )
+
+
 @query("csv_reload")
 def _csv_reload(w: Warehouse) -> DataFrame:
     df = w.bronze_laps.select(*LAP_VIEW)
@@ -453,7 +533,9 @@ def _clustered_read(w: Warehouse) -> DataFrame:
     df = w.silver_laps.select(*silver.LAP_KEY, "lap_duration")
     spark = df.sparkSession
     path = write_table(df, fresh_path(spark, "clustered"), cluster_by=fv.LAYOUT_COLUMNS["laps"])
-    packed = compact(read_table(spark, path), fresh_path(spark, "compact"))
+    packed = compact(
+        read_table(spark, path), fresh_path(spark, "compact"), fv.LAYOUT_COLUMNS["laps"]
+    )
     return read_table(spark, packed).filter(F.col("session_key") == 199805)
 
 
@@ -505,6 +587,24 @@ def _stream_quality(w: Warehouse) -> DataFrame:
     return spark.read.parquet(good).select(*LAP_VIEW)
 
 
+@query("stream_counts")
+def _stream_counts(w: Warehouse) -> DataFrame:
+    """The counts that a quality stream keeps per batch, added up."""
+    spark, landing = _landed(w, "bronze_laps")
+    raw = fresh_path(spark, "stream")
+    rows = stream_entity(spark, landing, "laps", **LINES)
+    append_stream(rows, raw, fresh_path(spark, "checkpoint")).awaitTermination()
+    counts = fresh_path(spark, "counts")
+    checked_stream(
+        chain_stream(spark, raw), fresh_path(spark, "quality"), counts,
+        fresh_path(spark, "checkpoint"), LAPS_DROP, LAPS_TRACK,
+    ).awaitTermination()
+    return spark.read.parquet(counts).groupBy("expectation").agg(
+        F.sum("passed_records").alias("passed_records"),
+        F.sum("failed_records").alias("failed_records"),
+    )
+
+
 @query("stream_evolving")
 def _stream_evolving(w: Warehouse) -> DataFrame:
     """Landed locations through a stream that infers each batch."""

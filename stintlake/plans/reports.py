@@ -175,7 +175,7 @@ def lap_stats_by_type(w: Warehouse) -> DataFrame:
     """
     laps = w.bronze_laps.groupBy("session_key").agg(
         F.count("lap_number").alias("laps"),
-        F.sum(C.mean_units("lap_duration")).alias("units"),
+        F.sum(C.exact("lap_duration")).alias("units"),
         F.count("lap_duration").alias("timed"),
         F.min("lap_duration").alias("low"),
         F.max("lap_duration").alias("high"),
@@ -331,7 +331,7 @@ def silver_laps_profile(w: Warehouse) -> DataFrame:
         distinct={"unique_sessions": "session_key", "unique_drivers": "driver_number"},
         nulls={"null_lap_durations": "lap_duration"},
         sums={"pit_out_laps": F.col("is_pit_out_lap").cast("long"),
-              "_units": C.mean_units("lap_duration")},
+              "_units": C.exact("lap_duration")},
         lows={"fastest": "lap_duration"},
         highs={"slowest": "lap_duration"},
         total="total_laps",
@@ -438,7 +438,7 @@ def fact_laps_profile(w: Warehouse) -> DataFrame:
         distinct={"unique_sessions": "session_key", "unique_drivers": "driver_key"},
         sums={"valid_laps": F.col("is_valid_lap").cast("long"),
               "invalid_laps": (~F.col("is_valid_lap")).cast("long"),
-              "_units": C.mean_units("lap_duration")},
+              "_units": C.exact("lap_duration")},
         lows={"fastest": "lap_duration"}, highs={"slowest": "lap_duration"},
         total="total_laps",
         reduce_first=True,
@@ -454,7 +454,7 @@ def lap_stats_by_session(w: Warehouse) -> DataFrame:
     """Valid-lap statistics of the ten largest sessions; laps are reduced before the join."""
     stats = profile(
         w.fact_laps.filter("is_valid_lap"), by=["session_key"], total="total_laps",
-        distinct={"drivers": "driver_key"}, sums={"_units": C.mean_units("lap_duration")},
+        distinct={"drivers": "driver_key"}, sums={"_units": C.exact("lap_duration")},
         lows={"fastest": "lap_duration"},
         reduce_first=True,
     )
@@ -502,7 +502,7 @@ def summary_profile(w: Warehouse) -> DataFrame:
         w.driver_session_summary,
         distinct={"unique_sessions": "session_key", "unique_drivers": "driver_number"},
         sums={"all_laps_combined": F.col("total_laps"),
-              "_units": C.mean_units("avg_lap_time"),
+              "_units": C.exact("avg_lap_time"),
               "_timed": F.col("avg_lap_time").isNotNull().cast("long")},
         total="total_summaries",
     ).select(
@@ -529,7 +529,7 @@ def team_profile(w: Warehouse) -> DataFrame:
         w.team_performance,
         distinct={"unique_sessions": "session_key", "unique_teams": "team_name"},
         sums={"all_laps_combined": F.col("team_total_laps"),
-              "_units": C.mean_units("team_avg_fastest_lap"),
+              "_units": C.exact("team_avg_fastest_lap"),
               "_timed": F.col("team_avg_fastest_lap").isNotNull().cast("long")},
         total="total_team_session_records",
     ).select(

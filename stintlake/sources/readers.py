@@ -86,21 +86,20 @@ def unprocessed_files(
     spark: SparkSession,
     landing: str,
     entity: str,
-    loaded: DataFrame | None,
-    max_files: int = 1000,
-) -> list[str]:
-    """Names of landed files that no row of ``loaded`` came from, at most ``max_files``.
+    log: DataFrame | None,
+    glob: str | None = None,
+) -> DataFrame:
+    """path and _source_file of the landed files that the ``log(_source_file)`` does not name.
 
-    Only names are listed; the content of files loaded before is not read again.
-    Call again after loading these to get the next ones.
+    Only names are listed; no file is opened, and the loaded rows are not read.
     """
     names = (
         spark.read.format("binaryFile")
-        .option("pathGlobFilter", file_pattern(entity))
+        .option("pathGlobFilter", glob or file_pattern(entity))
+        .option("recursiveFileLookup", True)
         .load(landing)
         .select("path", F.col("_metadata.file_path").alias("_source_file"))
     )
-    if loaded is not None:
-        done = loaded.select("_source_file").distinct()
-        names = join_same(names, done, ["_source_file"], "left_anti")
-    return [r.path for r in names.select("path").orderBy("path").limit(max_files).collect()]
+    if log is None:
+        return names
+    return join_same(names, log.select("_source_file"), ["_source_file"], "left_anti")

@@ -49,9 +49,10 @@ def write_table(
 def read_table(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame:
     """Read a table; ``evolving`` unites the columns of all its files.
 
-    Days stay text, although Spark takes folder names like ``2024-03-02`` for dates.
+    A table that :func:`replace_table` wrote is read at its current version. Days stay text,
+    although Spark takes folder names like ``2024-03-02`` for dates.
     """
-    df = spark.read.option("mergeSchema", evolving).parquet(path)
+    df = spark.read.option("mergeSchema", evolving).parquet(current_version(spark, path) or path)
     if "batch_day" in df.columns:
         df = df.withColumn("batch_day", F.col("batch_day").cast("string"))
     return df
@@ -63,31 +64,69 @@ def _file_system(spark: SparkSession, path: str):
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether a table stands there; versions without a pointer are none."""
     target, fs = _file_system(spark, path)
-    return fs.exists(target)
+    if not fs.exists(target):
+        return False
+    versions, _ = _file_system(spark, f"{path}/{_VERSIONS}")
+    return not fs.exists(versions) or current_version(spark, path) is not None
+
+
+_VERSIONS, _POINTERS = "_versions", "_pointers"
+
+
+def _pointers(spark: SparkSession, path: str) -> list[str]:
+    """Names ``{number}-{version}`` of the pointers, oldest first."""
+    folder, fs = _file_system(spark, f"{path}/{_POINTERS}")
+    if not fs.exists(folder):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder))
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder of the version that counts, or ``None`` for a table without versions."""
+    names = _pointers(spark, path)
+    return f"{path}/{_VERSIONS}/{names[-1].split('-', 1)[1]}" if names else None
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Replace a table, also by rows derived from itself.
 
-    The new rows are complete beside the old ones before the folders change names,
-    so a lost executor or a failed job leaves the old table as it was.
+    The new rows are written to a folder of their own; only when they are complete does a new
+    pointer, an empty file whose name says the version, make them the table. Nothing is moved,
+    so this holds on object stores too, and whoever stops before the pointer leaves the old
+    table as it was. The version before stays for readers that are under way; older ones go.
     """
     spark = df.sparkSession
-    mark = uuid.uuid4().hex
-    write_table(df, f"{path}__new_{mark}", "errorifexists", partition_by)
-    new, fs = _file_system(spark, f"{path}__new_{mark}")
-    old, _ = _file_system(spark, f"{path}__old_{mark}")
-    target, _ = _file_system(spark, path)
-    replaced = fs.exists(target) and fs.rename(target, old)
-    if not fs.rename(new, target):
-        raise RuntimeError(f"could not move the new rows to {path}")
-    if replaced:
-        fs.delete(old, True)
-    spark.catalog.refreshByPath(path)
+    version = uuid.uuid4().hex
+    write_table(df, f"{path}/{_VERSIONS}/{version}", "errorifexists", partition_by)
+    switch_version(spark, path, version)
     return path
 
 
+def switch_version(spark: SparkSession, path: str, version: str) -> None:
+    """Make a complete version the current one."""
+    names = _pointers(spark, path)
+    number = int(names[-1].split("-", 1)[0]) + 1 if names else 0
+    pointer, fs = _file_system(spark, f"{path}/{_POINTERS}/{number:012d}-{version}")
+    if not fs.createNewFile(pointer):
+        raise RuntimeError(f"another writer replaced {path} meanwhile")
+    for name in names[:-1]:
+        for old in (f"{path}/{_VERSIONS}/{name.split('-', 1)[1]}", f"{path}/{_POINTERS}/{name}"):
+            fs.delete(_file_system(spark, old)[0], True)
+    spark.catalog.refreshByPath(path)
+
+
+def store_mark(spark: SparkSession, path: str, mark: object) -> None:
+    """Keep a high-water mark as a small table with versions."""
+    replace_table(spark.createDataFrame([(mark,)], ["mark"]).coalesce(1), path)
+
+
+def stored_mark(spark: SparkSession, path: str):
+    """The kept mark, or ``None``."""
+    return read_table(spark, path).first()["mark"] if table_exists(spark, path) else None
+
+
 def append_table(
     df: DataFrame,
     path: str,
@@ -107,7 +146,7 @@ def append_table(
     if dedupe_keys:
         old = read_table(spark, path) if table_exists(spark, path) else None
         df = append_new(old, df, dedupe_keys, order)
-    return write_table(df, path, "append", partition_by)
+    return write_table(df, current_version(spark, path) or path, "append", partition_by)
 
 
 def append_new(
@@ -133,9 +172,14 @@ def append_new(
     return join_same(rows, target.select(*dedupe_keys), dedupe_keys, "left_anti")
 
 
-def compact(df: DataFrame, path: str) -> str:
-    """Rewrite many small files to ``path`` as files of the advisory partition size."""
-    df.hint("rebalance").write.mode("errorifexists").parquet(path)
+def compact(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> str:
+    """Rewrite many small files to ``path`` as files of the advisory partition size.
+
+    ``cluster_by`` names the columns that the table is clustered by: their ranges stay apart.
+    Without it rows are dealt to files in any order.
+    """
+    out = clustered(df, cluster_by) if cluster_by else df.hint("rebalance")
+    out.write.mode("errorifexists").parquet(path)
     return path
 
 

@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stintlake.sources.readers import file_pattern, read_json, with_ingestion, with_parsed_times
 from stintlake.sources.schemas import DDL, entity_schema
+from stintlake.streaming.expectations import expect_drop, expectation_counts
 
 FILES_PER_TRIGGER = 1000
 FILE_COLUMNS = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
@@ -66,12 +67,45 @@ def chain_stream(spark: SparkSession, path: str) -> DataFrame:
     return spark.readStream.schema(schema).parquet(path)
 
 
+def checked_stream(
+    df: DataFrame,
+    path: str,
+    counts: str,
+    checkpoint: str,
+    drop: dict[str, str],
+    track: dict[str, str],
+    every: str | None = None,
+) -> StreamingQuery:
+    """Append the rows that meet the ``drop`` expectations, and count all violations per batch.
+
+    ``counts`` gets expectation, passed_records and failed_records of each batch.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # spills to disk; read for the rows and for the counts
+        good = batch
+        for name, predicate in drop.items():
+            good = expect_drop(good, name, predicate)
+        good.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
+        expectation_counts(batch, {**drop, **track}).write.mode("overwrite").parquet(
+            f"{counts}/batch={batch_id}"
+        )
+        batch.unpersist()
+
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        df.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
+        .trigger(**trigger).start()
+    )
+
+
 def evolving_batch(entity: str, target: str, multi_line: bool = True):
     """A ``foreachBatch`` function that infers each batch and keeps new columns.
 
     Known columns get their fixed type, others are kept as text, so files of
-    different loads never disagree on a type. A batch has its own folder, which a
-    retry overwrites: rows are neither lost nor doubled.
+    different loads never disagree on a type. A value that does not fit its type becomes NULL,
+    and its text is kept in ``_rescued``, a JSON object by column name. A batch has its own
+    folder, which a retry overwrites: rows are neither lost nor doubled.
     """
     known = {f.name: f.dataType for f in entity_schema(entity)} if entity in DDL else {}
 
@@ -82,16 +116,24 @@ def evolving_batch(entity: str, target: str, multi_line: bool = True):
         if not paths:
             return
         raw = with_ingestion(read_json(spark, paths, multi_line=multi_line))
-        cols = []
+        cols, rescued = [], []
         for f in raw.schema:
+            nested = f.dataType.typeName() in ("struct", "array", "map")
+            text = F.to_json(f.name) if nested else F.col(f.name).cast("string")
             if f.name in known:
-                cols.append(F.col(f.name).cast(known[f.name]).alias(f.name))
+                # Spark has no cast from a nested type to a plain one, not even one that may fail.
+                same = nested == (known[f.name].typeName() in ("struct", "array", "map"))
+                value = (F.col(f.name) if same else F.lit(None)).try_cast(known[f.name])
+                cols.append(value.alias(f.name))
+                bad = value.isNull() & F.col(f.name).isNotNull()
+                rescued += [F.lit(f.name), F.when(bad, text)]
             elif f.name.startswith("_"):
                 cols.append(F.col(f.name))
-            elif f.dataType.typeName() in ("struct", "array", "map"):
-                cols.append(F.to_json(f.name).alias(f.name))
             else:
-                cols.append(F.col(f.name).cast("string").alias(f.name))
+                cols.append(text.alias(f.name))
+        if rescued:
+            kept = F.map_filter(F.create_map(*rescued), lambda _, v: v.isNotNull())
+            cols.append(F.when(F.size(kept) > 0, F.to_json(kept)).alias("_rescued"))
         raw.select(*cols).write.mode("overwrite").parquet(
             f"{target}/_ingestion_batch_id={batch_id}"
         )

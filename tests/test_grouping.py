@@ -1,4 +1,4 @@
-"""Small and large groups must give the same rows: every operator runs both ways."""
+"""Sliced and plain windows must give the same rows: every operator runs both ways."""
 
 import random
 
@@ -31,9 +31,10 @@ def order():
     return [F.col("v").asc_nulls_first(), F.col("id")]
 
 
-@pytest.mark.parametrize("limit", [10_000, 100, 1])
-def test_row_numbers(spark, limit):
-    got = row_numbers(skewed(spark), ["k"], order(), "n", limit).collect()
+@pytest.mark.parametrize("slices", [None, "floor(v)", "struct(v, floor(id / 10))"])
+def test_row_numbers(spark, slices):
+    by = None if slices is None else F.expr(slices)
+    got = row_numbers(skewed(spark), ["k"], order(), "n", by).collect()
     want = {}
     for r in skewed(spark).collect():
         want.setdefault(r.k, []).append((r.v is not None, r.v or 0.0, r.id))
@@ -49,7 +50,7 @@ def test_row_numbers(spark, limit):
 
 def test_copies_of_one_row(spark):
     df = spark.range(500).select(F.lit(1).alias("k"), F.lit("x").alias("v"))
-    got = row_numbers(df, ["k"], [F.col("v")], "n", 20)
+    got = row_numbers(df, ["k"], [F.col("v")], "n", F.length("v"))
     assert sorted(r.n for r in got.collect()) == list(range(1, 501))
 
 
@@ -57,7 +58,7 @@ def test_copies_of_one_row(spark):
 @given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 9)), min_size=1, max_size=40))
 def test_running_sums(spark, pairs):
     df = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(pairs)], "k int, v long, id int")
-    got = running_sums(df, ["k"], [F.col("v"), F.col("id")], {"s": F.col("v")}, 3)
+    got = running_sums(df, ["k"], [F.col("v"), F.col("id")], {"s": F.col("v")}, F.floor(F.col("v") / 3))
     want, totals = {}, {}
     for k, v, i in sorted((k, v, i) for i, (k, v) in enumerate(pairs)):
         totals[k] = totals.get(k, 0) + v
@@ -69,25 +70,28 @@ def test_running_sums(spark, pairs):
 @pytest.mark.parametrize("nulls", ["first", "last"])
 def test_ranks(spark, ties, nulls, rows):
     df = skewed(spark).distinct()
-    small = ranks(df, ["k"], "v", ties, ["id"], nulls, "r")
-    large = ranks(df, ["k"], "v", ties, ["id"], nulls, "r", max_group_rows=5)
-    assert rows(small, "k", "v", "id", "r") == rows(large, "k", "v", "id", "r")
+    got = ranks(df, ["k"], "v", ties, ["id"], nulls, "r")
     by_sql = {"row_number": "row_number()", "rank": "rank()", "dense_rank": "dense_rank()"}[ties]
     more = ", id" if ties == "row_number" else ""
     want = df.selectExpr(
         "k", "v", "id",
         f"{by_sql} over (partition by k order by v nulls {nulls}{more}) as r",
     )
-    assert rows(small, "k", "v", "id", "r") == rows(want)
+    assert rows(got, "k", "v", "id", "r") == rows(want)
 
 
-def test_with_previous(spark, rows):
+@pytest.mark.parametrize("descending", [False, True])
+def test_with_previous(spark, rows, descending):
     df = skewed(spark).dropDuplicates(["k", "v", "id"])
-    small = with_previous(df, ["k"], order(), {"before": "id"})
-    large = with_previous(df, ["k"], order(), {"before": "id"}, 7)
-    want = df.selectExpr("k", "v", "id", "lag(id) over (partition by k order by v nulls first, id) as before")
-    assert rows(small, "k", "v", "id", "before") == rows(want)
-    assert rows(large, "k", "v", "id", "before") == rows(want)
+    sign = -1 if descending else 1
+    # NULL is lowest: it comes first going up, and last going down.
+    slices = F.coalesce(F.floor("v"), F.lit(-1)) * sign
+    plain = with_previous(df, ["k"], ["v", "id"], {"before": "id"}, None, descending)
+    sliced = with_previous(df, ["k"], ["v", "id"], {"before": "id"}, slices, descending)
+    how = "v desc nulls last, id desc" if descending else "v nulls first, id"
+    want = df.selectExpr("k", "v", "id", f"lag(id) over (partition by k order by {how}) as before")
+    assert rows(plain, "k", "v", "id", "before") == rows(want)
+    assert rows(sliced, "k", "v", "id", "before") == rows(want)
 
 
 def test_group_value_keeps_every_row(spark, rows):

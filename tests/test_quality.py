@@ -58,12 +58,11 @@ def board(spark):
     return spark.createDataFrame([(1, 1), (1, 2), (1, 4), (2, 1), (2, 1), (2, 2), (3, 2)], "session_key int, position int")
 
 
-@pytest.mark.parametrize("limit", [100, 1])
-def test_positions(board, rows, limit):
-    gaps = checks.position_gaps(board, limit)
+def test_positions(board, rows):
+    gaps = checks.position_gaps(board)
     assert rows(gaps, "session_key", "actual_position", "expected_position") == [
         (1, 4, 3), (2, 1, 2), (2, 2, 3), (3, 2, 1)]
-    steps = checks.position_steps(board, limit)
+    steps = checks.position_steps(board)
     assert rows(steps, "session_key", "position") == [(1, 4), (2, 1), (3, 2)]
 
 

@@ -22,13 +22,17 @@ def keys(df):
     return [r.session_key for r in df.collect()]
 
 
-def test_selection(sessions):
+def test_selection(spark, sessions):
     assert keys(select_sessions(sessions, "latest", 2)) == [1, 2]
     assert keys(select_sessions(sessions, "oldest", 2)) == [4, 3]  # a missing start sorts first
     assert sorted(keys(select_sessions(sessions, "year", year=2024))) == [1, 2, 4]
     assert keys(select_sessions(sessions, "manual", days=["2024-03-01"])) == [2]
     assert keys(race_sessions(sessions, 2024)) == [1, 4]
-    assert keys(select_sessions(sessions, "latest", 5, 2024, session_type="Race", newest_of=1)) == [1]
+    more = spark.range(10, 160).selectExpr(
+        "cast(id as int) AS session_key", "'FP' AS session_name", "'Practice' AS session_type",
+        "'2024-12-01T10:00:00+00:00' AS date_start", "2024 AS year", "'Z' AS location",
+    )
+    assert keys(race_sessions(sessions.unionByName(more), 2024)) == [1, 4]
     with pytest.raises(ValueError):
         select_sessions(sessions, "some")
 
@@ -36,12 +40,16 @@ def test_selection(sessions):
 def test_stamp(spark, sessions):
     laps = spark.createDataFrame([(1, 7), (2, 7), (9, 7)], "session_key int, driver_number int")
     got = {r.session_key: r for r in stamp_children(laps, sessions).collect()}
-    assert set(got) == {1, 2}
+    assert set(got) == {1, 2, 9}
+    assert (got[9].batch_day, got[9].session_name) == ("unknown", "Unknown")
+    assert got[9].file_key == "laps_unknown_Unknown_Unknown"
+    twice = stamp_children(laps, sessions.unionByName(sessions))
+    assert twice.count() == 3 and twice.columns[-1] == "file_key"
     assert (got[1].batch_day, got[1].session_name, got[1].file_key) == ("2024-03-02", "Race", "laps_2024-03-02_A_B_C_Race")
     assert got[2].file_key == "laps_2024-03-01_Unknown_FP1"
 
 
-def test_plan(sessions):
+def test_plan(spark, sessions):
     plan = sorted((r.session_key, r.chunk, r.chunk_start, r.chunk_end) for r in chunk_plan(sessions).collect())
     assert len(plan) == 36
     assert plan[0] == (1, 0, dt.datetime(2024, 3, 2, 14, 30), dt.datetime(2024, 3, 2, 14, 45))

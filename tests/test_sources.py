@@ -5,6 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
+from stintlake.plans import build
 from stintlake.plans.build import (
     build_all,
     load_bronze,
@@ -77,6 +78,60 @@ def test_unprocessed_files(spark, landing, tmp_path):
     assert writers.read_table(spark, f"{path}/bronze_laps").count() == 4
 
 
+def test_load_of_files_without_rows_ends(spark, landing, tmp_path):
+    path = str(tmp_path / "tables")
+    land(landing, "laps_empty.json", [])
+    assert load_new_files(spark, str(landing), path, "laps") == 3
+    assert load_new_files(spark, str(landing), path, "laps") == 0
+
+
+def test_load_stopped_before_the_log(spark, landing, tmp_path, monkeypatch):
+    """Rows are there, the log is not: the next load writes the same folder again."""
+    path = str(tmp_path / "tables")
+    write = build.write_table
+
+    def stop(df, target, *rest):
+        if "_files" in target:
+            raise RuntimeError("stopped")
+        return write(df, target, *rest)
+
+    monkeypatch.setattr(build, "write_table", stop)
+    with pytest.raises(RuntimeError):
+        load_new_files(spark, str(landing), path, "laps")
+    monkeypatch.undo()
+    assert load_new_files(spark, str(landing), path, "laps") == 2
+    assert writers.read_table(spark, f"{path}/bronze_laps").count() == 3
+
+
+def test_one_way_of_loading_per_table(spark, landing, tmp_path):
+    path = str(tmp_path / "tables")
+    load_bronze(spark, str(landing), path, "laps")
+    with pytest.raises(ValueError):
+        load_new_files(spark, str(landing), path, "laps")
+    load_new_files(spark, str(landing), path, "drivers")
+    with pytest.raises(ValueError):
+        load_bronze(spark, str(landing), path, "drivers")
+
+
+def test_quality_and_snapshot_tables(spark, landing, tmp_path):
+    path = str(tmp_path / "tables")
+    land(landing, "laps_bad.json", [lap(None, 7, 9, 80.0), lap(1, 7, 10, -1.0)])
+    for entity in ("sessions", "drivers", "laps", "locations"):
+        load_bronze(spark, str(landing), path, entity)
+    build.load_quality(spark, path)
+    build.load_quality(spark, path)
+    assert spark.read.parquet(f"{path}/quality_laps").count() == 4
+    failed = spark.read.parquet(f"{path}/quality_laps_counts").groupBy("expectation").sum("failed_records")
+    assert dict(map(tuple, failed.collect())) == {
+        "valid_session_key": 1, "valid_driver_number": 0, "valid_lap_duration": 1
+    }
+    for name, run_ts in (("first", "2024-06-01 00:00:00"), ("second", "2024-06-02 00:00:00")):
+        refresh_silver(spark, path, run_ts, full=True)
+        build.refresh_snapshots(spark, path, run_ts)
+    drivers = writers.read_table(spark, f"{path}/driver_snapshot").orderBy("valid_from").collect()
+    assert [r.valid_to is None for r in drivers] == [False, True]
+
+
 def test_layers_from_landing_files(spark, landing, tmp_path):
     """Load, refresh, land more, refresh again: rows are merged or appended once."""
     path = str(tmp_path / "tables")
@@ -139,10 +194,27 @@ def test_days_stay_text_and_prune(spark, tmp_path):
 
 def test_replace_table_reads_itself(spark, tmp_path):
     path = str(tmp_path / "t")
-    writers.write_table(spark.range(5).toDF("v"), path)
-    writers.replace_table(spark.read.parquet(path).withColumn("v", F.col("v") + 1), path)
-    assert [p.name for p in tmp_path.iterdir()] == ["t"]
-    assert sorted(r.v for r in spark.read.parquet(path).collect()) == [1, 2, 3, 4, 5]
+    writers.replace_table(spark.range(5).toDF("v"), path)
+    for _ in range(3):
+        old = writers.read_table(spark, path)
+        writers.replace_table(old.withColumn("v", F.col("v") + 1), path)
+    assert sorted(r.v for r in writers.read_table(spark, path).collect()) == [3, 4, 5, 6, 7]
+    assert len(list((tmp_path / "t" / "_versions").glob("[0-9a-f]*"))) == 2  # this and the last
+
+
+def test_replacement_stopped_before_the_switch(spark, tmp_path, monkeypatch):
+    path, new = str(tmp_path / "t"), str(tmp_path / "new")
+
+    def stop(*_):
+        raise RuntimeError("stopped")
+
+    writers.replace_table(spark.range(2).toDF("v"), path)
+    monkeypatch.setattr(writers, "switch_version", stop)
+    for target in (path, new):
+        with pytest.raises(RuntimeError):
+            writers.replace_table(spark.range(9).toDF("v"), target)
+    assert writers.read_table(spark, path).count() == 2
+    assert not writers.table_exists(spark, new)
 
 
 def test_clustered_files_hold_disjoint_ranges(spark, tmp_path):
@@ -164,6 +236,19 @@ def test_compaction(spark, tmp_path):
     assert spark.read.parquet(packed).distinct().count() == 1000
 
 
+def test_compaction_keeps_clusters_apart(spark, tmp_path):
+    small, packed = str(tmp_path / "small"), str(tmp_path / "packed")
+    writers.write_table(spark.range(4000).selectExpr("id * 37 % 4000 AS k"), small, cluster_by=["k"])
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    writers.compact(spark.read.parquet(small), packed, ["k"])
+    spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spans = sorted(
+        (r.lo, r.hi) for r in spark.read.parquet(packed).groupBy(F.col("_metadata.file_path")).agg(
+            F.min("k").alias("lo"), F.max("k").alias("hi")).collect()
+    )
+    assert len(spans) > 1 and all(a[1] < b[0] for a, b in zip(spans, spans[1:]))
+
+
 def test_append_with_new_columns(spark, tmp_path):
     path = str(tmp_path / "a")
     writers.append_table(spark.createDataFrame([(1, "a")], "k int, v string"), path, "b1")

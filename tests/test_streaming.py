@@ -95,6 +95,11 @@ def test_evolving_stream(spark, tmp_path):
     got = sorted((r.lap_number, r.lap_duration, r.weather, r.tyre) for r in run().collect())
     assert got == [(1, 90.0, None, None), (2, 90.5, "dry", '{"set":3}'), (3, 91.5, "12", None)]
     assert run().count() == 3
+    land(landing, "laps_4.json", [lap("n/a", 7, 4, 70.0), lap(1, 7, 5, {"s": 3})])
+    got = {r.lap_number: (r.session_key, r.lap_duration, r._rescued) for r in run().collect()}
+    assert got[4] == (None, 70.0, '{"session_key":"n/a"}')
+    assert got[5][:2] == (1, None) and got[5][2].startswith('{"lap_duration":"{') and got[1][2] is None
+    assert run().count() == 5
 
 
 def test_interval_trigger(spark, tmp_path):
