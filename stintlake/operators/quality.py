@@ -1,7 +1,7 @@
 """Declarative data-quality checks.
 
 A check counts violations; nothing is collected. All row-level checks of a table
-run in one pass over it.
+run in one pass over it, and all checks of its keys in another.
 """
 
 from __future__ import annotations
@@ -13,8 +13,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from stintlake.operators.dedupe import duplicate_keys
-
 
 @dataclass(frozen=True)
 class Check:
@@ -86,20 +84,50 @@ def check_table(
         counted = df.agg(*[F.count_if(_violates(c)).alias(f"_{i}") for i, c in enumerate(rows)])
         labelled = [_labelled(c, name, F.col(f"_{i}")) for i, c in enumerate(rows)]
         out.append(counted.select(F.inline(F.array(*labelled))))
-    for c in checks:
+    keyed = [c for c in checks if c.kind != "row"]
+    if keyed:
+        counts = _key_violations(df, keyed, tables)
+        labelled = [_labelled(c, name, F.col(f"_{i}")) for i, c in enumerate(keyed)]
+        out.append(counts.select(F.inline(F.array(*labelled))))
+    return out
+
+
+def _key_violations(
+    df: DataFrame, checks: Sequence[Check], tables: dict[str, DataFrame]
+) -> DataFrame:
+    """One row with the violations of each unique and relationship check, from one pass.
+
+    The table is reduced to its distinct keys with their counts before anything is joined, so a
+    key with very many rows meets its parent once.
+    """
+    pairs = [
+        F.struct(F.lit(i).alias("_i"), F.expr(c.expr).cast("string").alias("_k"))
+        for i, c in enumerate(checks)
+    ]
+    keys = (
+        df.select(F.inline(F.array(*pairs))).filter("_k IS NOT NULL")
+        .groupBy("_i", "_k").agg(F.count("*").alias("_n"))
+    )
+    known = [
+        tables[c.parent[0]].select(
+            F.lit(i).alias("_i"), F.col(c.parent[1]).cast("string").alias("_k")
+        )
+        for i, c in enumerate(checks) if c.kind == "relationship"
+    ]
+    if known:
+        parents = reduce(DataFrame.unionByName, known).distinct().withColumn("_known", F.lit(True))
+        keys = keys.join(parents, ["_i", "_k"], "left")
+    else:
+        keys = keys.withColumn("_known", F.lit(False))
+    sums = []
+    for i, c in enumerate(checks):
         if c.kind == "unique":
-            keyed = df.select(F.expr(c.expr).alias("_k")).filter("_k IS NOT NULL")
-            bad = duplicate_keys(keyed, ["_k"])
-        elif c.kind == "relationship":
-            parent, column = c.parent
-            keys = tables[parent].select(F.col(column).alias("_p"))
-            child = df.select(F.col(c.expr).alias("_k")).filter("_k IS NOT NULL")
-            bad = child.join(keys, F.col("_k") == F.col("_p"), "left_anti")
+            bad = F.when(F.col("_n") > 1, 1)
         else:
-            continue
-        counted = bad.agg(F.count("*").alias("_n"))
-        out.append(counted.select(F.inline(F.array(_labelled(c, name, F.col("_n"))))))
-    return out
+            bad = F.when(F.col("_known").isNull(), F.col("_n"))
+        own = F.when(F.col("_i") == i, bad).cast("long")
+        sums.append(F.coalesce(F.sum(own), F.lit(0)).alias(f"_{i}"))
+    return keys.agg(*sums)
 
 
 def run_checks(
