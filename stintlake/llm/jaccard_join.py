@@ -37,6 +37,8 @@ SMALL_BLOCK = 12
 SKETCH_TEXTS = 30_000
 SKETCH_BITS = 24
 SKETCH_LEAST = 8
+#: Neighbours of a text that the first round verifies: those met in most of its blocks.
+NEIGHBOURS = 4
 #: A block expected to be larger is dealt to several tasks in the first round.
 SALT_ROWS = 4096
 
@@ -361,20 +363,33 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
             return
         n, node = block.column("n").to_numpy(), block.column("node").to_numpy()
         component = block.column("component").to_numpy()
-        points = _points(block.column("point").to_pylist())
+        raw = block.column("point").to_pylist()
+        groups = np.array([(len(v) - 1) // v[0] for v in raw])
         edges = np.flatnonzero(np.diff(key)) + 1
         starts = np.concatenate([[0], edges, [len(key)]])
         sizes = np.diff(starts)
         small = np.repeat(sizes <= SMALL_BLOCK, sizes)
         at = np.flatnonzero(small)
-        found = [(at[a], at[b]) for a, b in _near_rows(key[at], points[at], n[at], component[at], percent)]
+        found = []
+        coarse = _points([raw[i] for i in at])
+        for a, b in _near_rows(key[at], coarse, n[at], component[at], percent):
+            a, b = at[a], at[b]
+            bound = _overlap_bound([raw[i] for i in a], [raw[i] for i in b])
+            keep = bound >= needed_overlap(n[a].astype(np.int64), n[b].astype(np.int64), percent)
+            found.append((a[keep], b[keep]))
         for i in np.flatnonzero(sizes > SMALL_BLOCK):
-            lo, hi = starts[i], starts[i + 1]
-            for a, b in tree_join(points[lo:hi], n[lo:hi], component[lo:hi], percent):
-                found.append((a + lo, b + lo))
-                if sum(len(a) for a, _ in found) > 500_000:
-                    yield _pair_batch(node, found)
-                    found = []
+            rows = np.arange(starts[i], starts[i + 1])
+            for g in np.unique(groups[rows]):
+                # Similar texts differ in size by a third at most, so their groups at most by half.
+                own = rows[(groups[rows] == g) | (groups[rows] == 2 * g)]
+                points = _points([raw[k] for k in own], int(g))
+                for a, b in tree_join(points, n[own], component[own], percent):
+                    a, b = own[a], own[b]
+                    new = (groups[a] == g) | (groups[b] == g)
+                    found.append((a[new], b[new]))
+                    if sum(len(a) for a, _ in found) > 500_000:
+                        yield _pair_batch(node, found)
+                        found = []
         yield _pair_batch(node, found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -560,9 +575,14 @@ def jaccard_components(
         shared.filter("salted and first").select("key", "salt", "salted", "n", "node"), percent, "key"
     )
     neighbours = shared.select("node", "before", "lead").unionByName(leads.select("node", "before", "lead"))
-    pairs = neighbours.select("node", F.explode(F.array("before", "lead")).alias("other")).filter(
+    met = neighbours.select("node", F.explode(F.array("before", "lead")).alias("other")).filter(
         "node <> other"
-    ).select(F.least("node", "other").alias("a"), F.greatest("node", "other").alias("b")).distinct()
+    ).groupBy("node", "other").agg(F.count("*").alias("blocks"))
+    # At most two for each shingle of the prefix; the second round finds what this one leaves out.
+    best = F.slice(F.sort_array(F.collect_list(F.struct("blocks", "other")), False), 1, NEIGHBOURS)
+    pairs = met.groupBy("node").agg(best.alias("near")).select("node", F.explode("near").alias("near")).select(
+        F.least("node", "near.other").alias("a"), F.greatest("node", "near.other").alias("b")
+    ).distinct()
     tried = stage(_bounded(pairs, classes, percent), "pairs")
     links = stage(_verified(tried, _sets_of(docs, classes, tried, words), words, percent), "links")
     found = stage(connected(links), "components")
