@@ -8,7 +8,7 @@ the files into memory; a sequence is found by a successor search inside its cont
 
 Probabilities are interpolated by absolute discounting. A context gives what its kept sequences
 do not take to the next shorter one; the last step is the smoothed relative frequency of the
-word, for which every training word is looked up, in blocks of the vocabulary.
+word, for which every training word can be looked up.
 """
 
 from __future__ import annotations
@@ -35,7 +35,7 @@ MIN_COUNT = 2
 SMOOTHING = 0.1
 #: Entries of one level; the least count rises until a level fits. Bounds memory and transfer.
 MAX_ENTRIES = 24_000_000
-#: Words of one block of the vocabulary.
+#: Words of one file of the vocabulary; bounds what is on the driver at a time.
 BLOCK_WORDS = 12_000_000
 #: Texts are gathered to about so many words before arrays are searched.
 CHUNK_WORDS = 150_000
@@ -52,7 +52,7 @@ def words_of(text: bytes) -> list[bytes]:
 class _Words(dict):
     """Words a worker has met, numbered; their hashes lie in ``hashes``."""
 
-    def __init__(self, size: int = 400_000):
+    def __init__(self, size: int = 250_000):
         super().__init__()
         self.size = size
         self.hashes = np.zeros(1024, np.uint64)
@@ -134,7 +134,7 @@ def count_words(docs: DataFrame) -> DataFrame:
             for text in text_bytes(batch.column(0)):
                 counts.update(words_of(text))
                 counts[_END] += 1
-                if len(counts) > 400_000:
+                if len(counts) > 250_000:
                     yield out()
         yield out()
 
@@ -149,16 +149,18 @@ def _count_keys(docs: DataFrame, keys_of: Callable[[list[bytes]], np.ndarray]) -
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
 
-        def out() -> pa.RecordBatch:
+        def out() -> Iterator[pa.RecordBatch]:
             key, n = np.unique(np.concatenate([*held, np.zeros(0, np.int64)]), return_counts=True)
             held.clear()
-            return pa.RecordBatch.from_arrays([pa.array(key), pa.array(n)], ["key", "n"])
+            for at in range(0, len(key), 100_000):
+                part = slice(at, at + 100_000)
+                yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(n[part])], ["key", "n"])
 
         for _, texts in _chunks(batches, 0):
             held.append(keys_of(texts))
-            if sum(map(len, held)) > 3_000_000:
-                yield out()
-        yield out()
+            if sum(map(len, held)) > 1_500_000:
+                yield from out()
+        yield from out()
 
     return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -310,7 +312,7 @@ class Model:
         ids = known[numbers]
         before = _shifted(ids, starts, size)  # the start of a text is a context of its own
         if not self.pairs:
-            return Tokens(ids, before, starts, ends, None)
+            return Tokens(numbers, ids, before, starts, ends, None)
         two = _level(self.pairs)
 
         def ranges(h: np.ndarray) -> np.ndarray:
@@ -322,7 +324,20 @@ class Model:
         at = np.empty_like(below)
         at[1:] = below[:-1]
         at[starts] = first
-        return Tokens(ids, before, starts, ends, np.where((ids >= 0)[:, None], at, 0))
+        return Tokens(numbers, ids, before, starts, ends, np.where((ids >= 0)[:, None], at, 0))
+
+    def counts(self, numbers: np.ndarray) -> np.ndarray:
+        """Training counts of tokens, by the numbers of their words."""
+
+        def find(h: np.ndarray) -> np.ndarray:
+            out = np.zeros(len(h), np.int64)
+            for name in self.blocks:
+                table = _table(name)
+                at = _find(table["hashes"], h)
+                out[at >= 0] = table["n"][at[at >= 0]]
+            return out
+
+        return _words().looked_up((self.key, "n"), find)[numbers]
 
     def pair_entries(self, t: Tokens) -> np.ndarray:
         """Entry of each token with the one before, -1 where not kept."""
@@ -356,6 +371,7 @@ class Model:
 class Tokens:
     """Tokens of several texts one after the other."""
 
+    numbers: np.ndarray
     ids: np.ndarray
     before: np.ndarray
     starts: np.ndarray
@@ -465,9 +481,6 @@ def _vocabulary_blocks(counts: DataFrame, block_words: int) -> list[str]:
 
 # Scoring
 
-_PARTIAL = """n_tokens long, n_known long, base_score double, score double, open long,
-    single binary"""
-
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, n_tokens, n_known, train_tokens, base_score and score of each row of ``docs(doc_id, text)``.
@@ -479,59 +492,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     - Texts of any length are scored whole; other columns are ignored; no rows give no rows.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, text string, {_PARTIAL}"
-    names = ["doc_id", "text", "n_tokens", "n_known", "base_score", "score", "open", "single"]
+    names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
 
-    def begin(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part, texts in _chunks(batches, 1):
             log, single, t = model.score(texts)
-            flags = [single[a:b].tobytes() for a, b in zip(t.starts, t.ends)]
-            n = len(texts)
+            n = model.counts(t.numbers)
+            base = model.log_base(n)
+            log[single] += base[single]
+            known = np.add.reduceat((n > 0).astype(np.int64), t.starts)
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(t.ends - t.starts), pa.array(np.zeros(n, np.int64)),
-                 pa.array(np.zeros(n)), pa.array(np.add.reduceat(log, t.starts)),
-                 pa.array(np.add.reduceat(single.astype(np.int64), t.starts)),
-                 pa.array(flags, pa.binary())], names,
+                [part.column(0), pa.array(t.ends - t.starts), pa.array(known),
+                 pa.array(np.full(len(texts), model.total)),
+                 pa.array(np.add.reduceat(base, t.starts)), pa.array(np.add.reduceat(log, t.starts))],
+                names,
             )
 
-    def add(name: str):
-        """Adds what the words of one block of the vocabulary give."""
-
-        def counts(h: np.ndarray) -> np.ndarray:
-            table = _table(name)
-            at = _find(table["hashes"], h)
-            out = np.zeros(len(h), np.int64)
-            out[at >= 0] = table["n"][at[at >= 0]]
-            return out
-
-        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            memo = _words()
-            for part, texts in _chunks(batches, 1):
-                numbers, ends = memo.numbers(texts)
-                starts = np.concatenate([[0], ends[:-1]])
-                n = memo.looked_up((name, "n"), counts)[numbers]
-                found = n > 0
-                single = np.frombuffer(b"".join(part.column(7).to_pylist()), bool) & found
-                log = np.where(found, model.log_base(n), 0.0)
-                _, known, base, total, open_ = (part.column(i).to_numpy() for i in range(2, 7))
-                columns = (
-                    known + np.add.reduceat(found.astype(np.int64), starts),
-                    base + np.add.reduceat(log, starts),
-                    total + np.add.reduceat(np.where(single, log, 0.0), starts),
-                    open_ - np.add.reduceat(single.astype(np.int64), starts),
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [*part.columns[:3], *map(pa.array, columns), part.column(7)], names
-                )
-
-        return run
-
-    out = docs.select("doc_id", "text").mapInArrow(begin, schema)
-    for name in model.blocks:
-        out = out.mapInArrow(add(name), schema)
-    unseen = float(model.log_base(np.zeros(1))[0])
-    return out.select(
-        "doc_id", "n_tokens", "n_known", F.lit(model.total).cast("long").alias("train_tokens"),
-        (F.col("base_score") + (F.col("n_tokens") - F.col("n_known")) * unseen).alias("base_score"),
-        (F.col("score") + F.col("open") * unseen).alias("score"),
+    return docs.select("doc_id", "text").mapInArrow(
+        run, f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
