@@ -14,7 +14,7 @@ from stintlake.operators.incremental import (
 from stintlake.plans import gold, marts, silver
 from stintlake.plans.snapshots import driver_snapshot, session_snapshot
 from stintlake.plans.warehouse import BRONZE, Warehouse
-from stintlake.session import stage
+from stintlake.session import stage, staging
 from stintlake.sources.readers import read_entity, unprocessed_files
 from stintlake.sources.writers import (
     append_table,
@@ -80,18 +80,19 @@ def load_new_files(
         raise ValueError(f"bronze_{entity} is loaded by a stream, which would hide other rows")
     done = _current(spark, log)
     batch = (done.agg(F.max("batch")).first()[0] or 0) + 1 if done is not None else 1
-    listed = stage(unprocessed_files(spark, landing, entity, done, glob), "landed")
-    last, loaded = "", 0
-    # At most max_files names are on the driver at a time.
-    while files := listed.filter(F.col("path") > last).orderBy("path").limit(max_files).collect():
-        names = [r.path for r in files]
-        rows = read_entity(
-            spark, names, entity, batch_id=str(batch), glob="*", multi_line=multi_line
-        )
-        write_table(rows, f"{target}/load={batch}", "overwrite", _days(entity))
-        taken = listed.filter(F.col("path").between(names[0], names[-1]))
-        write_table(taken.select("_source_file"), f"{log}/batch={batch}")
-        last, loaded, batch = names[-1], loaded + len(names), batch + 1
+    with staging(spark):
+        listed = stage(unprocessed_files(spark, landing, entity, done, glob), "landed")
+        last, loaded = "", 0
+        # At most max_files names are on the driver at a time.
+        while files := listed.filter(F.col("path") > last).orderBy("path").limit(max_files).collect():
+            names = [r.path for r in files]
+            rows = read_entity(
+                spark, names, entity, batch_id=str(batch), glob="*", multi_line=multi_line
+            )
+            write_table(rows, f"{target}/load={batch}", "overwrite", _days(entity))
+            taken = listed.filter(F.col("path").between(names[0], names[-1]))
+            write_table(taken.select("_source_file"), f"{log}/batch={batch}")
+            last, loaded, batch = names[-1], loaded + len(names), batch + 1
     return loaded
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -63,9 +65,21 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_stages(spark: SparkSession) -> None:
+def drop_stages(spark: SparkSession, since: int = 0) -> None:
     """Delete what this session wrote to the shared folder; results must have been read."""
     hadoop = spark._jsc.hadoopConfiguration()
-    for path in _STAGED.pop(spark.sparkContext.applicationId, []):
+    paths = _STAGED.get(spark.sparkContext.applicationId, [])
+    for path in paths[since:]:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(hadoop).delete(target, True)
+    del paths[since:]
+
+
+@contextmanager
+def staging(spark: SparkSession) -> Iterator[None]:
+    """Own what is staged inside: it is deleted at the end, when results must be written."""
+    since = len(_STAGED.get(spark.sparkContext.applicationId, []))
+    try:
+        yield
+    finally:
+        drop_stages(spark, since)
