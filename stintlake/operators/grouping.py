@@ -159,6 +159,38 @@ def with_previous(
     )
 
 
+def with_last(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    value: str,
+    name: str,
+    slices: Column,
+) -> DataFrame:
+    """Add the last value that is not NULL, of the row itself or of one before it in its group.
+
+    ``order`` and ``slices`` as in :func:`with_previous`; a slice that begins without a value
+    takes the last one of the slices before, one row per group and slice.
+    """
+    sliced = df.withColumn(_SLICE, slices)
+    upto = [Window.unboundedPreceding, 0]
+    rising = [F.col(c).asc_nulls_first() for c in order]
+    window = Window.partitionBy(*keys, _SLICE).orderBy(*rising).rowsBetween(*upto)
+    local = sliced.withColumn("_local", F.last(value, ignorenulls=True).over(window))
+    ends = sliced.filter(F.col(value).isNotNull()).groupBy(*keys, _SLICE).agg(
+        F.max_by(value, F.struct(*order)).alias("_end")
+    )
+    # Every slice of a group asks for the ends before it, also a slice without one.
+    all_slices = sliced.select(*keys, _SLICE).distinct()
+    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    earlier = join_same(
+        all_slices, ends, [*keys, _SLICE], "left"
+    ).select(*keys, _SLICE, F.last("_end", ignorenulls=True).over(before).alias("_earlier"))
+    return join_same(local, earlier, [*keys, _SLICE]).select(
+        *df.columns, F.coalesce("_local", "_earlier").alias(name)
+    )
+
+
 def with_group_value(
     df: DataFrame, keys: Sequence[str], value: Column, name: str
 ) -> DataFrame:

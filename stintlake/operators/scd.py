@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from stintlake.functions import columns as C
 from stintlake.operators.dedupe import latest_per_key
-from stintlake.operators.grouping import running_sums, with_previous
+from stintlake.operators.grouping import running_sums, with_last, with_previous
 
 FOREVER = "9999-12-31"
 
@@ -105,34 +105,45 @@ def asof_join(
     fact_ts: str,
     from_col: str = "valid_from",
     to_col: str = "valid_to",
-    unit: str = "quarter",
 ) -> DataFrame:
     """Facts with the dimension rows valid at their time (both ends included).
 
-    Each version is listed under every calendar unit it touches, up to the last
-    fact, and the join is on key and unit. So the facts of one very frequent key
-    spread over many join groups, and a fact meets the few versions of its unit
-    instead of the whole history of the key.
+    The versions of a key must not overlap beyond their ends. Versions and facts of a key are
+    put in one order and the version that started last is carried forward, so the work follows
+    the rows of both sides and not their product; histories are cut into months, so a key with
+    very many facts spreads. A fact at the very end of a version also gets that version.
     """
-    first, last = fact.agg(F.min(fact_ts), F.max(fact_ts)).first()
-    first, last = (F.lit(v).cast("timestamp") for v in (first, last))
-    month_step = {"month": 1, "quarter": 3, "year": 12}[unit]
-    step = F.make_ym_interval(F.lit(0), F.lit(month_step))
-    bucket = lambda c: F.date_trunc(unit, c).cast("date")
-    lo = F.greatest(bucket(F.col(from_col)), bucket(first))
-    hi = F.least(bucket(F.coalesce(F.col(to_col), last)), bucket(last))
-    versions = (
-        dim.withColumns({"_lo": lo, "_hi": hi})
-        .filter("_lo <= _hi")
-        .withColumn("_unit", F.explode(F.sequence("_lo", "_hi", step)))
-        .drop("_lo", "_hi")
+    attributes = [c for c in dim.columns if c != key]
+    versions = with_previous(
+        dim.filter(F.col(key).isNotNull() & F.col(from_col).isNotNull()).select(
+            key, from_col, F.struct(*attributes).alias("_now")
+        ),
+        [key], [from_col], {"_before": "_now"}, _month(from_col),
+    ).select(
+        key, F.col(from_col).alias("_at"), F.lit(0).alias("_kind"),
+        F.struct("_now", "_before").alias("_version"),
     )
-    facts = fact.withColumn("_unit", bucket(F.col(fact_ts)))
-    valid_to = F.coalesce(F.col(to_col), F.lit(FOREVER).cast("timestamp"))
-    return (
-        facts.join(versions, [key, "_unit"])
-        .filter(F.col(fact_ts).between(F.col(from_col), valid_to))
-        .drop("_unit")
+    facts = fact.filter(F.col(key).isNotNull() & F.col(fact_ts).isNotNull()).select(
+        key, F.col(fact_ts).alias("_at"), F.lit(1).alias("_kind"), F.struct(*fact.columns).alias("_fact")
+    )
+    events = versions.unionByName(facts, allowMissingColumns=True)
+    carried = with_last(events, [key], ["_at", "_kind"], "_version", "_found", _month("_at"))
+    forever = F.lit(FOREVER).cast("timestamp")
+
+    def valid(version: str) -> Column:
+        return F.col("_at").between(
+            F.col(f"{version}.{from_col}"), F.coalesce(F.col(f"{version}.{to_col}"), forever)
+        )
+
+    matches = F.array(
+        F.when(valid("_found._now"), F.col("_found._now")),
+        F.when(valid("_found._before"), F.col("_found._before")),
+    )
+    return carried.filter("_kind = 1").select(
+        "_fact", F.explode(F.array_compact(matches)).alias("_match")
+    ).select(
+        *[F.col(f"_fact.{c}").alias(c) for c in [key, *[c for c in fact.columns if c != key]]],
+        *[F.col(f"_match.{c}").alias(c) for c in attributes],
     )
 
 

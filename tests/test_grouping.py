@@ -13,6 +13,7 @@ from stintlake.operators.grouping import (
     row_numbers,
     running_sums,
     with_group_value,
+    with_last,
     with_previous,
 )
 
@@ -94,6 +95,15 @@ def test_with_previous(spark, rows, descending):
     assert rows(sliced, "k", "v", "id", "before") == rows(want)
 
 
+def test_with_last(spark, rows):
+    df = skewed(spark).dropDuplicates(["k", "id"]).withColumn("v", F.when(F.col("id") % 3 == 0, F.col("v")))
+    got = with_last(df, ["k"], ["id"], "v", "last", F.floor(F.col("id") / 7))
+    want = df.selectExpr(
+        "k", "v", "id", "last(v, true) over (partition by k order by id rows unbounded preceding) as last"
+    )
+    assert rows(got, "k", "v", "id", "last") == rows(want)
+
+
 def test_group_value_keeps_every_row(spark, rows):
     df = skewed(spark)
     got = with_group_value(df, ["k"], F.min("v"), "low")
