@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import os
+import shutil
 import string
 import zlib
 from collections.abc import Iterable, Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,11 +21,27 @@ from stintlake.session import stage
 LOWER = bytes(range(256)).lower()
 
 __all__ = [
-    "LOWER", "ascii_lower", "crc_remainder", "documents", "drop_extra", "mix64", "stage",
+    "LOWER", "ascii_lower", "crc_remainder", "documents", "drop_extra", "mix64", "ship", "stage",
     "string_array", "table", "text_bytes", "word_hash",
 ]
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Give this package to the executors, once per application, wherever it is run from."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    package = Path(__file__).resolve().parents[1]
+    folder = os.path.join(os.path.dirname(SparkFiles.getRootDirectory()), "py-files")
+    os.makedirs(folder, exist_ok=True)
+    name = os.path.join(folder, package.name)
+    context.addPyFile(shutil.make_archive(name, "zip", package.parent, package.name))
+    _SHIPPED.add(context.applicationId)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

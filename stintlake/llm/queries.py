@@ -20,7 +20,7 @@ from stintlake.llm import (
     sharding,
     token_files,
 )
-from stintlake.llm.common import crc_remainder, documents, table
+from stintlake.llm.common import crc_remainder, documents, ship, table
 from stintlake.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -35,7 +35,11 @@ _LOWER = (
 
 def query(name: str) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
-        QUERIES[name] = fn
+        def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = run
         return fn
 
     return register
