@@ -124,7 +124,7 @@ def keep_unique(docs: DataFrame, index: DigestIndex) -> DataFrame:
     text = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
     keyed = docs.withColumn("_digest", F.unhex(F.sha2(text.cast("binary"), 256)))
     same = (F.col("_digest") == F.col("_kept")) & F.col("doc_id").eqNullSafe(F.col("_id"))
-    rows = keyed.join(decided, same)
+    rows = keyed.join(decided.hint("shuffle_hash"), same)  # texts are streamed, not sorted
     if decided.filter("repeated").isEmpty():
         return rows.select(*names)
     once = rows.filter("repeated").dropDuplicates(["_digest"])
