@@ -27,10 +27,17 @@ __all__ = [
 
 
 _SHIPPED: set[str] = set()
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def ship(spark: SparkSession) -> None:
-    """Give this package to the executors, once per application, wherever it is run from."""
+    """Give this package to the executors, once per application, wherever it is run from.
+
+    Texts are long, so where the session leaves the rows of an Arrow batch at their default,
+    batches of 2,000 rows bound the memory of Python workers.
+    """
+    if spark.conf.get(_BATCH_ROWS) == "10000":
+        spark.conf.set(_BATCH_ROWS, "2000")
     context = spark.sparkContext
     if context.applicationId in _SHIPPED:
         return
