@@ -34,7 +34,7 @@ MIN_COUNT = 2
 #: Added to each count, and the number of word kinds is raised by one for words never seen.
 SMOOTHING = 0.1
 #: Entries of one level; the least count rises until a level fits. Bounds memory and transfer.
-MAX_ENTRIES = 8_000_000
+MAX_ENTRIES = 3_000_000
 #: Words of one file of the vocabulary; bounds what is on the driver at a time.
 BLOCK_WORDS = 4_000_000
 #: Texts are gathered to about so many words before arrays are searched.
