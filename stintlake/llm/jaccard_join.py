@@ -9,9 +9,8 @@ cannot reach the overlap that the threshold asks for, or that are connected alre
 Surviving pairs are verified on the sets.
 
 Texts with equal sets are one class from the start. A first round verifies only neighbours in
-each block, which connects large groups of copies with a few pairs per text. In blocks that still
-hold several components, a second round verifies the closest pairs across components by the bound,
-and a third all pairs that are left.
+each block, which connects large groups of copies with a few pairs per text; the second round
+joins what is left in blocks that still hold several components.
 """
 
 from __future__ import annotations
@@ -354,22 +353,8 @@ def _near_rows(key: np.ndarray, points: np.ndarray, n: np.ndarray, component: np
         yield a[keep], a[keep] + step
 
 
-def _nearest(a: np.ndarray, b: np.ndarray, closeness: np.ndarray, top: int) -> np.ndarray:
-    """Which pairs are among the ``top`` closest of one of their ends."""
-    keep = np.zeros(len(a), bool)
-    for end in (a, b):
-        order = np.lexsort((-closeness, end))
-        first = np.flatnonzero(np.diff(end[order], prepend=-1))
-        place = np.arange(len(order)) - np.repeat(first, np.diff(np.append(first, len(order))))
-        keep[order[place < top]] = True
-    return keep
-
-
-def _block_pairs(rows: DataFrame, percent: int, top: int | None) -> DataFrame:
-    """Pairs (a, b) of nodes that survive the trees of blocks: rows are key, n, node, component, point.
-
-    With ``top``, only the closest of each node by the bound.
-    """
+def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) of nodes that survive the trees of blocks: rows are key, n, node, component, point."""
     in_order = rows.repartition("key").sortWithinPartitions("key", "n", "node")
 
     def pairs(block: pa.Table) -> Iterator[pa.RecordBatch]:
@@ -403,20 +388,9 @@ def _block_pairs(rows: DataFrame, percent: int, top: int | None) -> DataFrame:
                     new = (groups[a] == g) | (groups[b] == g)
                     found.append((a[new], b[new]))
                     if sum(len(a) for a, _ in found) > 500_000:
-                        yield _pair_batch(node, nearest(found, raw, n))
+                        yield _pair_batch(node, found)
                         found = []
-        yield _pair_batch(node, nearest(found, raw, n))
-
-    def nearest(found: list, raw: list[bytes], n: np.ndarray) -> list:
-        if top is None or not found:
-            return found
-        a, b = (np.concatenate(x) for x in zip(*found))
-        bound = np.concatenate([
-            _overlap_bound([raw[i] for i in a[at:at + 50_000]], [raw[i] for i in b[at:at + 50_000]])
-            for at in range(0, max(1, len(a)), 50_000)
-        ])
-        keep = _nearest(a, b, bound / np.maximum(n[a].astype(float) + n[b], 1), top)
-        return [(a[keep], b[keep])]
+        yield _pair_batch(node, found)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[pa.RecordBatch] = []
@@ -613,24 +587,18 @@ def jaccard_components(
     links = stage(_verified(tried, _sets_of(docs, classes, tried, words), words, percent), "links")
     found = stage(connected(links), "components")
 
-    for top in (NEIGHBOURS, None):  # the closest of each text first, then all that is left
-        mixed = stage(_mixed_blocks(shared, classes, found, percent, top), "mixed")
-        rest = stage(
-            _bounded(mixed.join(tried, ["a", "b"], "left_anti"), classes, percent), "rest"
-        )
-        if rest.isEmpty():
-            continue
+    # Written first, so that the pairs are distinct before they meet those already tried.
+    mixed = stage(_mixed_blocks(shared, classes, found, percent), "mixed")
+    rest = stage(_bounded(mixed.join(tried, ["a", "b"], "left_anti"), classes, percent), "rest")
+    if not rest.isEmpty():
         more = stage(_verified(rest, _sets_of(docs, classes, rest, words), words, percent), "more-links")
-        tried = tried.unionByName(rest)
         if not more.isEmpty():
             tree = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
             found = stage(connected(more.unionByName(tree)), "components")
     return _labelled(texts, classes, found)
 
 
-def _mixed_blocks(
-    shared: DataFrame, classes: DataFrame, found: DataFrame, percent: int, top: int | None
-) -> DataFrame:
+def _mixed_blocks(shared: DataFrame, classes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
     """Surviving pairs in the blocks that hold several components, each pair across two of them."""
     of = shared.select("key", "n", "node").join(found, "node", "left").select(
         "key", "n", "node", F.coalesce("root", "node").alias("component")
@@ -640,7 +608,7 @@ def _mixed_blocks(
         F.min("component").alias("low"), F.max("component").alias("high")
     ).filter("low <> high").select("key")
     rows = of.join(mixed, "key", "left_semi").join(classes.select("node", "point"), "node")
-    return _block_pairs(rows, percent, top)
+    return _block_pairs(rows, percent)
 
 
 def _labelled(texts: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:
