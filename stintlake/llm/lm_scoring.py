@@ -1,20 +1,23 @@
-"""Scoring texts with a word n-gram model in an Elias-Fano trie.
+"""Scoring texts with a word n-gram model in shards of an Elias-Fano trie.
 
-Counts come from all training texts. Level 1 of the trie holds the words, levels 2 and 3 the
-two- and three-word sequences that occur at least ``min_count`` times, each as the ids of the
-last words, sorted inside the range of their context; the ranges are monotone pointers in
-Elias-Fano code, and probabilities and back-off weights are quantised to a byte. Executors map
-the files into memory; a sequence is found by a successor search inside its context's range.
+Counts come from all training texts. Every word is kept, and every two- and three-word sequence
+that occurs at least ``min_count`` times, whatever the size of the input. A sequence belongs to the
+shard that its last two words hash to. A shard is a small trie: words, under each the words that
+follow it, under each such pair the words before it; the ranges are monotone pointers in
+Elias-Fano code, and probabilities and back-off weights are quantised to a byte.
 
 Probabilities are interpolated by absolute discounting. A context gives what its kept sequences
 do not take to the next shorter one; the last step is the smoothed relative frequency of the
-word, for which every training word can be looked up.
+word. In logarithms the score is a sum of one value for each word, kept pair and kept triple of a
+text, so shards add up their parts and no shard needs another. Shards are rows of a staged table;
+sequences travel to them as dictionary-coded columns, and nothing passes through the driver.
 """
 
 from __future__ import annotations
 
-import os
-import uuid
+import gc
+import itertools
+import math
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -22,27 +25,34 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import SparkContext, SparkFiles
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintlake.llm import succinct
-from stintlake.llm.common import LOWER, stage, text_bytes
+from stintlake.llm.common import LOWER, mix64, stage, text_bytes
+from stintlake.session import fresh_path, staging
 
 DISCOUNT = 0.75
 MIN_COUNT = 2
 #: Added to each count, and the number of word kinds is raised by one for words never seen.
 SMOOTHING = 0.1
-#: Entries of one level; the least count rises until a level fits. Bounds memory and transfer.
-MAX_ENTRIES = 3_000_000
-#: Words of one file of the vocabulary; bounds what is on the driver at a time.
-BLOCK_WORDS = 4_000_000
-#: Texts are gathered to about so many words before arrays are searched.
-CHUNK_WORDS = 150_000
+#: Training tokens for each shard, which bound its sequences. The number of shards follows the input.
+MAX_ENTRIES = 1_000_000
+#: Words of the vocabulary for each shard.
+BLOCK_WORDS = 1_000_000
+#: Shards at least, so that small inputs spread too.
+LEAST_SHARDS = 24
+#: Texts are gathered to about so many words before they are dealt to shards.
+CHUNK_WORDS = 400_000
+#: Bits of the filters of words and pairs that may be in the model.
+FILTER_BITS = 27
+#: Frequent words that are sent as places in a table.
+COMMON = 65_536
 
 _END = b"\n"  # no word holds white space
-#: Code of a context with nothing below it.
-LEAF = 255
+#: In place of the hash of a word: none, and the start of a text.
+NONE, START = 0, 1
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -56,7 +66,6 @@ class _Words(dict):
         super().__init__()
         self.size = size
         self.hashes = np.zeros(1024, np.uint64)
-        self.known: dict = {}  # per use: an array of what was looked up for the numbers so far
 
     def __missing__(self, word: bytes) -> int:
         import xxhash
@@ -71,7 +80,6 @@ class _Words(dict):
         """Numbers of the tokens of all texts, each with its end, and the end of each text."""
         if len(self) > self.size:
             self.clear()
-            self.known.clear()
         flat: list[int] = []
         ends = np.zeros(len(texts), np.int64)
         get, end = self.__getitem__, self[_END]
@@ -81,28 +89,24 @@ class _Words(dict):
             ends[i] = len(flat)
         return np.array(flat, np.int64), ends
 
-    def looked_up(self, name: tuple[str, str], find: Callable[[np.ndarray], np.ndarray]) -> np.ndarray:
-        """``find`` of the hashes of all words so far; only new words are searched."""
-        had = self.known.get(name)
-        done = 0 if had is None else len(had)
-        if done < len(self):
-            new = find(self.hashes[done:len(self)])
-            had = self.known[name] = new if had is None else np.concatenate([had, new])
-        return had
 
-
-def _chunks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.RecordBatch, list[bytes]]]:
-    """Slices of batches with about CHUNK_WORDS words, and their texts."""
+def _chunks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.Table, list[bytes]]]:
+    """Rows with about CHUNK_WORDS words, without the texts, and their texts."""
+    parts: list[pa.RecordBatch] = []
+    texts: list[bytes] = []
+    size = 0
     for batch in batches:
-        texts, start, size = [], 0, 0
+        rows, start = batch.drop_columns([batch.schema.names[at]]), 0
         for i, text in enumerate(text_bytes(batch.column(at))):
             texts.append(text)
             size += len(text)
             if size > 6 * CHUNK_WORDS:
-                yield batch.slice(start, i + 1 - start), texts
-                texts, start, size = [], i + 1, 0
-        if texts:
-            yield batch.slice(start), texts
+                parts.append(rows.slice(start, i + 1 - start))
+                yield pa.Table.from_batches(parts), texts
+                parts, texts, size, start = [], [], 0, i + 1
+        parts.append(rows.slice(start))
+    if texts:
+        yield pa.Table.from_batches(parts), texts
 
 
 def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -143,54 +147,229 @@ def count_words(docs: DataFrame) -> DataFrame:
     )
 
 
-def _count_keys(docs: DataFrame, keys_of: Callable[[list[bytes]], np.ndarray]) -> DataFrame:
-    """key and n over all texts, added up in each chunk first."""
+# Sequences on their way to shards
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[np.ndarray] = []
 
-        def out() -> Iterator[pa.RecordBatch]:
-            key, n = np.unique(np.concatenate([*held, np.zeros(0, np.int64)]), return_counts=True)
-            held.clear()
-            for at in range(0, len(key), 100_000):
-                part = slice(at, at + 100_000)
-                yield pa.RecordBatch.from_arrays([pa.array(key[part]), pa.array(n[part])], ["key", "n"])
+def _shifted(values: np.ndarray, starts: np.ndarray, first: int) -> np.ndarray:
+    """The value before each token, ``first`` at the start of a text."""
+    out = np.empty_like(values)
+    out[1:] = values[:-1]
+    out[starts] = first
+    return out
+
+
+@cache
+def _words() -> _Words:
+    """One numbering per worker."""
+    return _Words()
 
-        for _, texts in _chunks(batches, 0):
-            held.append(keys_of(texts))
-            if sum(map(len, held)) > 1_500_000:
-                yield from out()
-        yield from out()
 
-    return docs.select("text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+@dataclass
+class Tokens:
+    """Tokens of several texts as places in ``names``, the hashes of words; two before each."""
+
+    names: np.ndarray
+    u: np.ndarray
+    v: np.ndarray
+    w: np.ndarray
+    #: the text of each token
+    text: np.ndarray
+
+    @staticmethod
+    def of(texts: list[bytes]) -> Tokens:
+        memo = _words()
+        numbers, ends = memo.numbers(texts)
+        sizes = np.diff(np.concatenate([[0], ends]))
+        names = np.concatenate([np.array([NONE, START], np.uint64), memo.hashes[:len(memo)]])
+        w = numbers + 2
+        v = _shifted(w, ends - sizes, START)
+        return Tokens(names, _shifted(v, ends - sizes, NONE), v, w, np.repeat(np.arange(len(texts)), sizes))
+
+    def pair_hashes(self) -> np.ndarray:
+        return _pair_hashes(self.names[self.v], self.names[self.w])
+
+    def only(self, keep: np.ndarray, keep_u: np.ndarray) -> Tokens:
+        """Some of the tokens, and the first word of their triples only where it matters."""
+        return Tokens(
+            self.names, np.where(keep_u, self.u, 0)[keep], self.v[keep], self.w[keep], self.text[keep]
+        )
+
+
+def _pair_hashes(v: np.ndarray, w: np.ndarray) -> np.ndarray:
+    return (mix64(v * np.uint64(0x9E3779B97F4A7C15) + w) >> np.uint64(1)).view(np.int64)
+
+
+def _bits_of(places: DataFrame) -> np.ndarray:
+    """A bitmap of fixed size of ``places(place)``, modulo its size.
+
+    It only spares work: what passes by chance is counted or looked up as without it.
+    """
+    rows = places.select(F.expr(f"place & {(1 << FILTER_BITS) - 1}").alias("place")).groupBy(
+        F.shiftright("place", 6).alias("word")
+    ).agg(F.bit_or(F.expr("shiftleft(1L, cast(place & 63 as int))")).alias("bits")).toArrow()
+    bits = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    bits[rows.column(0).to_numpy()] = rows.column(1).to_numpy()
+    return bits
 
 
-def _kept_counts(counts: DataFrame, least: int, label: str) -> DataFrame:
-    """Only what may enter a level is written; most sequences occur once."""
-    return stage(counts.filter(F.col("n") >= least), label)
+def _passes(bits: np.ndarray, places: np.ndarray) -> np.ndarray:
+    at = places & ((1 << FILTER_BITS) - 1)
+    return (bits[at >> 6] >> (at & 63)) & 1 == 1
 
 
-def _kept(counts: DataFrame, key: str, least: int, most: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted keys and counts of at least ``least``; that rises while more than ``most`` are left."""
-    sizes = counts.filter(F.col("n") >= least).groupBy(
-        F.least(F.col("n"), F.lit(1000)).alias("n")
-    ).count().collect()
-    by_count = {r["n"]: r["count"] for r in sizes}
-    while sum(c for n, c in by_count.items() if n >= least) > most and least < 1000:
-        least += 1
-    rows = counts.filter(F.col("n") >= least).select(key, "n").toArrow()
-    keys = rows.column(0).to_numpy()
-    n = rows.column(1).to_numpy()
-    order = np.argsort(keys.view(np.uint64) if key == "hash" else keys)
-    return keys[order], n[order]
+def _word_shard(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """As pmod(hash, shards) on Spark."""
+    return hashes.view(np.int64) % shards
+
+
+def _code(v: np.ndarray, w: np.ndarray, u: np.ndarray, kinds: int) -> np.ndarray:
+    """One number for each three, in their order."""
+    both = v * kinds + w
+    if kinds >= 1 << 21:
+        both = np.unique(both, return_inverse=True)[1]
+    return both * kinds + u
+
+
+def _dealt(shard: np.ndarray) -> dict[int, np.ndarray]:
+    """The places of each shard, rising."""
+    order = np.argsort(shard, kind="stable")
+    edges = np.flatnonzero(np.diff(shard[order])) + 1
+    return {int(shard[part[0]]): part for part in np.split(order, edges)} if len(order) else {}
+
+
+def _narrow(n: np.ndarray) -> np.ndarray:
+    """Counts in the smallest type that holds them all."""
+    most = int(n.max()) if len(n) else 0
+    return n.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8")
+
+
+def _common_words(words: DataFrame) -> np.ndarray:
+    """Sorted hashes of at most COMMON of the most frequent words. They only shorten what is sent."""
+    band = F.floor(F.log2("n") * 4)
+    sizes = {r[0]: r[1] for r in words.groupBy(band).count().collect()}  # a few hundred at most
+    least, held = None, 0
+    for b in sorted(sizes, reverse=True):
+        held += sizes[b]
+        if held > COMMON:
+            break
+        least = b
+    if least is None:
+        return np.zeros(0, np.uint64)
+    return np.sort(words.filter(band >= least).select("hash").toArrow().column(0).to_numpy().view(np.uint64))
+
+
+def _columns(names: np.ndarray, common: np.ndarray, **columns: np.ndarray) -> dict[str, np.ndarray]:
+    """Places in ``names`` as places among the names that occur, which come with them: first
+    those that are common, as places there, then the hashes of the others."""
+    kept, at = np.unique(np.concatenate(list(columns.values())), return_inverse=True)
+    place = _find(common, names[kept])
+    order = np.argsort(place < 0, kind="stable")
+    moved = np.empty(len(kept), np.int64)
+    moved[order] = np.arange(len(kept))
+    parts = np.split(moved[at], np.cumsum([len(c) for c in columns.values()])[:-1])
+    rare = place < 0
+    return {"common": _narrow(place[~rare]), "names": names[kept[rare]], **{k: _narrow(p) for k, p in zip(columns, parts)}}
+
+
+def _pack(arrays: dict[str, np.ndarray]) -> bytes:
+    data = succinct.dump(arrays, {})
+    return len(data).to_bytes(8, "little") + pa.compress(data, "zstd", asbytes=True)
+
+
+def _unpack(data: pa.Buffer, common: np.ndarray) -> dict[str, np.ndarray]:
+    size = int.from_bytes(data.slice(0, 8).to_pybytes(), "little")
+    arrays = succinct.parse(pa.decompress(data.slice(8), size, "zstd"))[0]
+    return {**arrays, "names": np.concatenate([common[arrays["common"]], arrays["names"]])}
+
+
+def _shard_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:
+    """The batches of each shard, from rows in order of the first column."""
+    def cut() -> Iterator[tuple[int, pa.RecordBatch]]:
+        for batch in batches:
+            shard = batch.column(0).to_numpy()
+            edges = [0, *(np.flatnonzero(np.diff(shard)) + 1), len(shard)]
+            for a, b in itertools.pairwise(edges):
+                if a < b:
+                    yield int(shard[a]), batch.slice(a, b - a)
+
+    for shard, group in itertools.groupby(cut(), key=lambda x: x[0]):
+        yield shard, (part for _, part in group)
+
+
+def _signed(hashes: np.ndarray) -> pa.Array:
+    return pa.array(np.ascontiguousarray(hashes, np.uint64).view(np.int64))
+
+
+# Counting sequences
+
+
+def _kept(docs: DataFrame, frequent: Broadcast, common: Broadcast, shards: int, least: int) -> DataFrame:
+    """shard, u, v, w, n of every sequence with at least ``least`` occurrences; u is NULL in pairs.
+
+    Only words that pass the filter ``frequent`` can be in one.
+    """
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, texts in _chunks(batches, 0):
+            t = Tokens.of(texts)
+            often = _passes(frequent.value, t.names.view(np.int64)) | (t.names == START)
+            t = t.only(often[t.v] & often[t.w], often[t.u])
+            _, first, n = np.unique(
+                _code(t.v, t.w, t.u, len(t.names)), return_index=True, return_counts=True
+            )
+            t = Tokens(t.names, t.u[first], t.v[first], t.w[first], first)
+            for shard, at in _dealt(t.pair_hashes() % shards).items():
+                columns = _columns(t.names, common.value, u=t.u[at], v=t.v[at], w=t.w[at])
+                data = _pack({**columns, "n": _narrow(n[at])})
+                yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([data])], ["shard", "data"])
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for shard, group in _shard_groups(batches):
+            # parts sent by chunks; the number of shards bounds what one of them holds
+            parts = [_unpack(data.as_buffer(), common.value) for part in group for data in part.column(1)]
+            names, at = np.unique(np.concatenate([p["names"] for p in parts]), return_inverse=True)
+            at = np.split(at, np.cumsum([len(p["names"]) for p in parts])[:-1])
+            u, v, w = (np.concatenate([a[p[c]] for a, p in zip(at, parts)]) for c in "uvw")
+            n = np.concatenate([p["n"].astype(np.int64) for p in parts])
+            code = _code(v, w, u, len(names))
+            order = np.argsort(code)
+            u, v, w, n = u[order], v[order], w[order], n[order]
+            new_pair = np.concatenate([[True], (np.diff(v) != 0) | (np.diff(w) != 0)])
+            three = np.flatnonzero(new_pair | np.concatenate([[True], np.diff(u) != 0]))
+            two = np.flatnonzero(new_pair)
+            for at_, is_pair in ((two, True), (three, False)):
+                sums = np.add.reduceat(n, at_)
+                keep = sums >= least
+                if not is_pair:
+                    keep &= names[u[at_]] != NONE
+                at_, sums = at_[keep], sums[keep]
+                before = pa.nulls(len(at_), pa.int64()) if is_pair else _signed(names[u[at_]])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at_), shard, np.int32)), before, _signed(names[v[at_]]),
+                     _signed(names[w[at_]]), pa.array(sums), pa.array(_pair_hashes(names[v[at_]], names[w[at_]]))],
+                    ["shard", "u", "v", "w", "n", "place"],
+                )
+
+    dealt = docs.select("text").mapInArrow(deal, "shard int, data binary")
+    return dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(
+        add, "shard int, u long, v long, w long, n long, place long"
+    )
 
 
 # The trie
 
 
+def _book(values: np.ndarray) -> np.ndarray:
+    """Levels of a byte: half at equal shares, half at equal steps, so that no value is far off."""
+    if not len(values):
+        return np.zeros(256)
+    shares = np.quantile(values, (np.arange(128) + 0.5) / 128)
+    return np.sort(np.concatenate([shares, np.linspace(values.min(), values.max(), 128)]))
+
+
 @dataclass
 class Level:
-    """Sequences of one length: pointers of their contexts, last words, probabilities, weights."""
+    """Sequences of one length: pointers of what they extend, the words added, quantised values."""
 
     pointers: succinct.EliasFano
     children: np.ndarray
@@ -205,7 +384,7 @@ class Level:
         """From entries sorted by context and child."""
         ends = np.cumsum(np.bincount(context, minlength=contexts))
         pointers = succinct.EliasFano.build(np.concatenate([[0], ends]).astype(np.int64))
-        book = succinct.code_book(log_p)
+        book = _book(log_p)
         return Level(
             pointers, succinct.pack_bits(child, width), width, succinct.encode_levels(log_p, book), book
         )
@@ -231,160 +410,113 @@ class Level:
         out[at[same]] = lo[at[same]]
         return out
 
-    def save(self, path: str) -> None:
-        arrays, numbers = succinct.flat([("pointers", self.pointers)])
-        for name in ("children", "log_p", "p_book"):
-            arrays[name] = getattr(self, name)
-        succinct.save(path, arrays, {**numbers, "width": self.width})
+    def put(self, name: str) -> tuple[dict[str, np.ndarray], dict[str, int]]:
+        """Arrays and numbers under a name, for a file that holds several levels."""
+        arrays, numbers = succinct.flat([(f"{name}.pointers", self.pointers)])
+        for part in ("children", "log_p", "p_book"):
+            arrays[f"{name}.{part}"] = getattr(self, part)
+        return arrays, {**numbers, f"{name}.width": self.width}
 
     @staticmethod
-    def load(path: str) -> Level:
-        arrays, numbers = succinct.load(path)
+    def taken(arrays: dict[str, np.ndarray], numbers: dict[str, int], name: str) -> Level:
         return Level(
-            succinct.sequence(arrays, numbers, "pointers"), arrays["children"], numbers["width"],
-            arrays["log_p"], arrays["p_book"],
+            succinct.sequence(arrays, numbers, f"{name}.pointers"), arrays[f"{name}.children"],
+            numbers[f"{name}.width"], arrays[f"{name}.log_p"], arrays[f"{name}.p_book"],
         )
 
 
-def _weights(log_backoff: np.ndarray, has_children: np.ndarray) -> dict[str, np.ndarray]:
-    """Quantised weights of contexts; the last code says that nothing is below."""
-    book = succinct.code_book(log_backoff[has_children])[:255]
-    codes = np.minimum(succinct.encode_levels(log_backoff, book), 254)
-    return {
-        "codes": np.where(has_children, codes, LEAF).astype(np.uint8),
-        "book": np.concatenate([book, [0.0]]),
-    }
-
+def _log_base(count: np.ndarray, total: int, kinds: int) -> np.ndarray:
+    """log10 of the smoothed relative frequency of words with these counts."""
+    return np.log10((count + SMOOTHING) / (total + SMOOTHING * (kinds + 1)))
 
-def _ship(context: SparkContext, save: Callable[[str], None]) -> str:
-    """Give a file to all executors, now and later; its name there."""
-    name = f"lm-{uuid.uuid4().hex}.bin"
-    folder = os.path.join(os.path.dirname(SparkFiles.getRootDirectory()), "lm-files")
-    os.makedirs(folder, exist_ok=True)
-    final = os.path.join(folder, name)
-    save(final)
-    context.addFile(final)
-    return name
-
-
-@cache
-def _level(name: str) -> Level:
-    return Level.load(SparkFiles.get(name))
 
+def _shard_file(rows: dict[str, np.ndarray]) -> bytes:
+    """The trie of one shard. Rows are words (kind 0: w, n and weight x), pairs (kind 1: v, w,
+    probability x and value y) and triples (kind 2: u, v, w, the share x that their context
+    leaves them, and its weight y)."""
+    one, two, three = ({c: a[rows["kind"] == k] for c, a in rows.items()} for k in range(3))
+    order = np.argsort(one["w"])
+    log_back = np.log10(one["x"][order])
+    book = _book(log_back)
+    arrays = {
+        "hashes": one["w"][order], "n": _narrow(one["n"][order]), "book": book,
+        "back": succinct.encode_levels(log_back, book),
+    }
 
-@cache
-def _table(name: str) -> dict[str, np.ndarray]:
-    return succinct.load(SparkFiles.get(name))[0]
-
+    names = np.unique(np.concatenate([two["v"], two["w"], three["u"]]))
+    width = max(1, len(names).bit_length())
+    v, w = _find(names, two["v"]), _find(names, two["w"])
+    order = np.lexsort((w, v))
+    v, w, two = v[order], w[order], {c: a[order] for c, a in two.items()}
+    pairs = Level.build(v, w, len(names), width, two["y"].astype(float))
 
-@cache
-def _words() -> _Words:
-    """One numbering per worker; what is looked up for it is kept by model."""
-    return _Words()
+    place = np.searchsorted(
+        v * len(names) + w, _find(names, three["v"]) * len(names) + _find(names, three["w"])
+    )
+    u = _find(names, three["u"])
+    order = np.lexsort((u, place))
+    place, u, three = place[order], u[order], {c: a[order] for c, a in three.items()}
+    shorter, back = two["x"][place], three["y"].astype(float)
+    value = np.log10(three["x"] + back * shorter) - np.log10(back) - np.log10(shorter)
+    triples = Level.build(place, u, len(v), width, value)
+    numbers = {}
+    for name, level in (("pairs", pairs), ("triples", triples)):
+        more, also = level.put(name)
+        arrays, numbers = {**arrays, **more}, {**numbers, **also}
+    return succinct.dump({**arrays, "names": names}, numbers)
 
 
 @dataclass
 class Model:
-    """Names of the shipped files and the totals of the training texts."""
-
-    key: str
-    words: str
-    pairs: str
-    triples: str
-    #: back-off weights of words and of pairs as contexts
-    weights: list[str]
-    #: the rest of the vocabulary
-    blocks: list[str]
+    """The staged shards and the totals of the training texts."""
+
+    #: shard and data
+    files: DataFrame
+    shards: int
     total: int
     kinds: int
-
-    def log_base(self, count: np.ndarray) -> np.ndarray:
-        """log10 of the smoothed relative frequency of words with these counts."""
-        return np.log10((count + SMOOTHING) / (self.total + SMOOTHING * (self.kinds + 1)))
-
-    def tokens(self, texts: list[bytes]) -> Tokens:
-        """Ids of all tokens (-1: not in level 1), of the words before, and the texts' ends."""
-        memo, table = _words(), _table(self.words)
-        numbers, ends = memo.numbers(texts)
-        size = len(table["hashes"])
-        known = memo.looked_up((self.key, "id"), lambda h: _find(table["hashes"], h))
-        starts = np.concatenate([[0], ends[:-1]])[:len(ends)]
-        ids = known[numbers]
-        before = _shifted(ids, starts, size)  # the start of a text is a context of its own
-        if not self.pairs:
-            return Tokens(numbers, ids, before, starts, ends, None)
-        two = _level(self.pairs)
-
-        def ranges(h: np.ndarray) -> np.ndarray:
-            context = _find(table["hashes"], h)
-            return two.range_of(np.maximum(context, 0)) * (context >= 0)[:, None]
-
-        below = memo.looked_up((self.key, "range"), ranges)[numbers]
-        first = two.range_of(np.array([size]))[0]
-        at = np.empty_like(below)
-        at[1:] = below[:-1]
-        at[starts] = first
-        return Tokens(numbers, ids, before, starts, ends, np.where((ids >= 0)[:, None], at, 0))
-
-    def counts(self, numbers: np.ndarray) -> np.ndarray:
-        """Training counts of tokens, by the numbers of their words."""
-
-        def find(h: np.ndarray) -> np.ndarray:
-            out = np.zeros(len(h), np.int64)
-            for name in self.blocks:
-                table = _table(name)
-                at = _find(table["hashes"], h)
-                out[at >= 0] = table["n"][at[at >= 0]]
+    #: log10 of the weight of a text's start
+    start: float
+    #: filter of the hashes of kept pairs
+    pairs: Broadcast
+    #: hashes of frequent words
+    common: Broadcast
+
+
+class Shard:
+    """One shard as it is looked up."""
+
+    def __init__(self, data: pa.Buffer):
+        self.arrays, numbers = succinct.parse(data)
+        self.pairs = Level.taken(self.arrays, numbers, "pairs")
+        self.triples = Level.taken(self.arrays, numbers, "triples")
+
+    def words(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts and log10 weights, 0 of unknown words."""
+        at = _find(self.arrays["hashes"], hashes)
+        n, log_back = np.zeros(len(hashes), np.int64), np.zeros(len(hashes))
+        hit = np.flatnonzero(at >= 0)
+        n[hit] = self.arrays["n"][at[hit]]
+        log_back[hit] = self.arrays["book"][self.arrays["back"][at[hit]]]
+        return n, log_back
+
+    def sequences(self, names: np.ndarray, u: np.ndarray, v: np.ndarray, w: np.ndarray) -> np.ndarray:
+        """What the pair and the triple that end at each token add to its log10 probability."""
+        out = np.zeros(len(w))
+        if not len(self.arrays["names"]):
             return out
-
-        return _words().looked_up((self.key, "n"), find)[numbers]
-
-    def pair_entries(self, t: Tokens) -> np.ndarray:
-        """Entry of each token with the one before, -1 where not kept."""
-        return _level(self.pairs).find(t.ranges, t.ids)
-
-    def score(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, Tokens]:
-        """Per token the log10 probability without its last step to single words, and whether
-        that step is needed."""
-        t = self.tokens(texts)
-        two, three = _level(self.pairs), _level(self.triples)
-        pairs = self.pair_entries(t)
-        contexts = _shifted(pairs, t.starts, -1)
-        of_word, of_pair = _table(self.weights[0]), _table(self.weights[1])
-        weight = np.full(len(pairs), LEAF, np.uint8)
-        at = np.flatnonzero(contexts >= 0)
-        weight[at] = of_pair["codes"][contexts[at]]
-        log = of_pair["book"][weight]
-        at = np.flatnonzero(pairs >= 0)
-        log[at] += two.p_book[two.log_p[pairs[at]]]
-        at = np.flatnonzero((pairs >= 0) & (weight != LEAF))
-        entry = three.find(three.range_of(contexts[at]), t.ids[at])
+        known = _find(self.arrays["names"], names)
+        at = np.flatnonzero((known[v] >= 0) & (known[w] >= 0))
+        ranges = self.pairs.range_of(np.maximum(known, 0))
+        entry = self.pairs.find(ranges[v[at]], known[w[at]])
+        at, entry = at[entry >= 0], entry[entry >= 0]
+        out[at] = self.pairs.p_book[self.pairs.log_p[entry]]
+        some = known[u[at]] >= 0
+        at, entry = at[some], entry[some]
+        entry = self.triples.find(self.triples.range_of(entry), known[u[at]])
         hit = entry >= 0
-        log[at[hit]] = three.p_book[three.log_p[entry[hit]]]
-        single = pairs < 0
-        at = np.flatnonzero(single & (t.before >= 0))
-        log[at] += of_word["book"][of_word["codes"][t.before[at]]]
-        return log, single, t
-
-
-@dataclass
-class Tokens:
-    """Tokens of several texts one after the other."""
-
-    numbers: np.ndarray
-    ids: np.ndarray
-    before: np.ndarray
-    starts: np.ndarray
-    ends: np.ndarray
-    ranges: np.ndarray | None
-
-
-def _shifted(values: np.ndarray, starts: np.ndarray, first: int) -> np.ndarray:
-    """The value before each token, ``first`` at the start of a text."""
-    out = np.empty_like(values)
-    out[1:] = values[:-1]
-    out[starts] = first
-    return out
+        out[at[hit]] += self.triples.p_book[self.triples.log_p[entry[hit]]]
+        return out
 
 
 def train(
@@ -393,90 +525,102 @@ def train(
 ) -> Model:
     """Learn from every row of ``docs(text)``; NULL counts as an empty text, which is one end.
 
-    Sequences seen fewer than ``min_count`` times are left to shorter contexts; the least count
-    rises where a level would have more than ``max_entries``. An empty table learns a model in
-    which every word has the same small probability.
+    Sequences seen fewer than ``min_count`` times are left to shorter contexts. There is a shard
+    for every ``max_entries`` tokens and ``block_words`` words, which changes no result beyond
+    the rounding to bytes. An empty table learns a model in which every word has the same small
+    probability.
     """
-    context = docs.sparkSession.sparkContext
-    counts = stage(count_words(docs), "word-counts")
-    total, kinds = counts.agg(F.sum("n"), F.count("*")).first()
+    spark = docs.sparkSession
+    path = fresh_path(spark, "shards")
+    with staging(spark):
+        shards, total, kinds, back, pairs, common = _write_shards(docs, path, min_count, max_entries, block_words)
+    _release(spark)
+    files = spark.read.schema("shard int, data binary").parquet(path)
+    return Model(files, shards, total, kinds, math.log10(back), pairs, common)
+
+
+def _release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of plans that are done; it does so as their objects go."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def _write_shards(docs: DataFrame, path: str, min_count: int, max_entries: int, block_words: int) -> tuple:
+    """Number of shards, tokens, words, the weight of a text's start, the filter of pairs, frequent words."""
+    spark = docs.sparkSession
+    context = spark.sparkContext
+    words = stage(count_words(docs), "word-counts")
+    total, kinds = words.agg(F.sum("n"), F.count("*")).first()
     total, kinds = total or 0, kinds or 0
-    hashes, n = _kept(counts, "hash", min_count, max_entries)
-    hashes, size = hashes.view(np.uint64), len(hashes)
-    width = max(1, size.bit_length())
-    level = {"hashes": hashes, "n": _narrow(n)}
-    words = _ship(context, lambda p: succinct.save(p, level, {}))
-    rest = counts.filter(F.col("n") < int(n.min() if size else 1 << 62))
-    model = Model(uuid.uuid4().hex, words, "", "", [], [], total, kinds)
-
-    def pairs_of(texts: list[bytes], model: Model = model) -> np.ndarray:
-        t = model.tokens(texts)
-        ok = (t.ids >= 0) & (t.before >= 0)
-        return t.before[ok] * max(size, 1) + t.ids[ok]
-
-    key, seen = _kept(
-        _kept_counts(_count_keys(docs, pairs_of), min_count, "pair-counts"), "key",
-        min_count, max_entries,
-    )
-    first, second = np.divmod(key, max(size, 1))
+    shards = max(LEAST_SHARDS, -(-total // max_entries), -(-kinds // block_words))
+    frequent = context.broadcast(_bits_of(words.filter(F.col("n") >= min_count).select(F.col("hash").alias("place"))))
+    common = context.broadcast(_common_words(words))
+    kept = stage(_kept(docs, frequent, common, shards, min_count), "kept")
+    _release(spark)
+    pairs = kept.filter("u IS NULL").drop("u", "place")
+    triples = kept.filter("u IS NOT NULL").drop("place")
+    filter_ = context.broadcast(_bits_of(kept.filter("u IS NULL").select("place")))
+
+    def weight(taken: str, n: str) -> Column:
+        return F.greatest(F.lit(1) - F.coalesce(F.col(taken), F.lit(0.0)) / F.greatest(F.col(n), F.lit(1)), F.lit(1e-9))
+
+    mass = F.sum("n") - F.lit(DISCOUNT) * F.count("*")
+    # The start of a text is a context of its own; it is followed as often as there are texts.
     texts = docs.count()
-    as_context = np.concatenate([n, [texts]]).astype(float)
-    mass = np.bincount(first, seen - DISCOUNT, size + 1) / np.maximum(as_context, 1)
-    weight = np.maximum(1 - mass, 1e-9)
-    p = (seen - DISCOUNT) / as_context[first] + weight[first] * 10 ** model.log_base(n[second])
-    two = Level.build(first, second, size + 1, width, np.log10(p))
-    pairs = _ship(context, two.save)
-    pairs_only = Model(uuid.uuid4().hex, words, pairs, "", [], [], total, kinds)
-
-    def triples_of(texts: list[bytes], model: Model = pairs_only) -> np.ndarray:
-        t = model.tokens(texts)
-        pairs = model.pair_entries(t)
-        contexts = _shifted(pairs, t.starts, -1)
-        ok = (pairs >= 0) & (contexts >= 0)
-        return contexts[ok] * max(size, 1) + t.ids[ok]
-
-    key, seen_three = _kept(
-        _kept_counts(_count_keys(docs, triples_of), min_count, "triple-counts"), "key",
-        min_count, max_entries,
+    start = spark.range(1).select(F.lit(START).cast("long").alias("v"), F.lit(texts).alias("m"))
+    follows = stage(
+        words.select(F.col("hash").alias("v"), F.col("n").alias("m")).unionByName(start)
+        .join(pairs.groupBy("v").agg(mass.alias("taken")), "v", "left")
+        .select("v", "m", weight("taken", "m").alias("back")), "word-weights",
     )
-    above, third = np.divmod(key, max(size, 1))
-    mass = np.bincount(above, seen_three - DISCOUNT, len(seen)) / np.maximum(seen, 1)
-    back = np.maximum(1 - mass, 1e-9)
-    # the same two words without the first: their probability is the next shorter one
-    place = np.searchsorted(first * max(size, 1) + second, second[above] * max(size, 1) + third)
-    if len(key):
-        p = (seen_three - DISCOUNT) / seen[above] + back[above] * p[place]
-    else:
-        p = np.zeros(0)
-    three = Level.build(above, third, len(seen), width, np.log10(p))
-    of_words = _weights(np.log10(weight), np.bincount(first, minlength=size + 1) > 0)
-    of_pairs = _weights(np.log10(back), np.bincount(above, minlength=len(seen)) > 0)
-    return Model(
-        uuid.uuid4().hex, words, pairs, _ship(context, three.save),
-        [_ship(context, lambda p, w=w: succinct.save(p, w, {})) for w in (of_words, of_pairs)],
-        [words, *_vocabulary_blocks(rest, block_words)], total, kinds,
+    extended = triples.groupBy(F.col("u").alias("v"), F.col("v").alias("w")).agg(mass.alias("taken"))
+    one = (F.col("k") + SMOOTHING) / F.lit(total + SMOOTHING * (kinds + 1))
+    p = (F.col("n") - DISCOUNT) / F.col("m") + F.col("back") * one
+    two = stage(
+        pairs.join(follows, "v").join(words.select(F.col("hash").alias("w"), F.col("n").alias("k")), "w")
+        .join(extended, ["v", "w"], "left")
+        .withColumns({"p": p, "back2": weight("taken", "n")}).select(
+            "shard", "v", "w", "n", "back2", F.col("p").alias("x"),
+            (F.log10(F.col("p") / F.col("back") / one) + F.log10("back2")).cast("float").alias("y"),
+        ), "pairs",
+    )
+    _release(spark)
+    contexts = two.select(
+        F.col("v").alias("u"), F.col("w").alias("v"), F.col("n").alias("m"), F.col("back2").cast("float").alias("y")
+    )
+    three = stage(
+        triples.join(contexts, ["u", "v"]).select(
+            "shard", "u", "v", "w", ((F.col("n") - DISCOUNT) / F.col("m")).alias("x"), "y",
+        ), "triples",
+    )
+    _release(spark)
+    none = F.lit(None).cast("long")
+    columns = ["shard", "kind", "u", "v", "w", "n", "x", "y"]
+    rows = (
+        follows.filter(F.col("v") != START).select(
+            F.pmod(F.col("v"), F.lit(shards)).cast("int").alias("shard"), F.lit(0).alias("kind"), none.alias("u"),
+            F.col("v").alias("w"), F.col("m").alias("n"), F.col("back").alias("x"), F.lit(None).cast("float").alias("y"),
+        ).withColumn("v", none).select(columns)
+        .unionByName(two.withColumns({"kind": F.lit(1), "u": none, "n": none}).select(columns))
+        .unionByName(three.withColumns({"kind": F.lit(2), "n": none}).select(columns))
     )
 
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for number, group in _shard_groups(batches):
+            table = pa.Table.from_batches(list(group))
+            got = {}
+            for name in columns[1:]:
+                a = table[name].combine_chunks().fill_null(0).to_numpy(zero_copy_only=False)
+                got[name] = a.view(np.uint64) if name in ("u", "v", "w") else a
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([number], pa.int32()), pa.array([_shard_file(got)])], ["shard", "data"]
+            )
 
-def _narrow(n: np.ndarray) -> np.ndarray:
-    """Counts in the smallest type that holds them all."""
-    most = int(n.max()) if len(n) else 0
-    return n.astype("<u1" if most < 1 << 8 else "<u2" if most < 1 << 16 else "<u4" if most < 1 << 32 else "<u8")
-
-
-def _vocabulary_blocks(counts: DataFrame, block_words: int) -> list[str]:
-    """Files with hash and count of the words that level 1 does not hold."""
-    context = counts.sparkSession.sparkContext
-    blocks = -(-counts.count() // block_words)
-    out = []
-    for block in range(blocks):
-        part = counts.filter(F.pmod(F.col("hash"), F.lit(blocks)) == block) if blocks > 1 else counts
-        rows = part.select("hash", "n").toArrow()
-        hashes = rows.column(0).to_numpy().view(np.uint64)
-        order = np.argsort(hashes)
-        arrays = {"hashes": hashes[order], "n": _narrow(rows.column(1).to_numpy()[order])}
-        out.append(_ship(context, lambda p, a=arrays: succinct.save(p, a, {})))
-    return out
+    rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(
+        build, "shard int, data binary"
+    ).write.parquet(path)
+    back = follows.filter(F.col("v") == START).first()["back"]  # one row
+    return shards, total, kinds, back, filter_, common
 
 
 # Scoring
@@ -492,22 +636,92 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     - Texts of any length are scored whole; other columns are ignored; no rows give no rows.
     """
     kind = docs.schema["doc_id"].dataType.simpleString()
-    names = ["doc_id", "n_tokens", "n_known", "train_tokens", "base_score", "score"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part, texts in _chunks(batches, 1):
-            log, single, t = model.score(texts)
-            n = model.counts(t.numbers)
-            base = model.log_base(n)
-            log[single] += base[single]
-            known = np.add.reduceat((n > 0).astype(np.int64), t.starts)
+    shards, total, kinds, start = model.shards, model.total, model.kinds, model.start
+    kept, common = model.pairs, model.common
+    names = ["shard", "kind", "place", "doc_id", "n_tokens", "data"]
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in _chunks(batches, 1):
+            t = Tokens.of(texts)
+            place = rows["place"].combine_chunks().to_numpy()
+            sizes = np.bincount(t.text, minlength=len(texts))
+            # every row once with its id, for the sums to be named after
+            size, doc_id = len(texts), rows["doc_id"].combine_chunks()
             yield pa.RecordBatch.from_arrays(
-                [part.column(0), pa.array(t.ends - t.starts), pa.array(known),
-                 pa.array(np.full(len(texts), model.total)),
-                 pa.array(np.add.reduceat(base, t.starts)), pa.array(np.add.reduceat(log, t.starts))],
-                names,
+                [pa.array(place % shards, pa.int32()), pa.array(np.full(size, 2, np.int32)), pa.array(place), doc_id,
+                 pa.array(sizes), pa.nulls(size, pa.binary())], names,
             )
+            # every word of a text once, with how often it occurs
+            both, times = np.unique(t.text * len(t.names) + t.w, return_counts=True)
+            of, word = np.divmod(both, len(t.names))
+            may = _passes(kept.value, t.pair_hashes())
+            t = t.only(may, np.concatenate([[False], may[:-1]]))
+            words, pairs = _dealt(_word_shard(t.names[word], shards)), _dealt(t.pair_hashes() % shards)
+            for shard in sorted({*words, *pairs}):
+                a, b = (d.get(shard, np.zeros(0, np.int64)) for d in (words, pairs))
+                columns = _columns(t.names, common.value, word=word[a], u=t.u[b], v=t.v[b], w=t.w[b])
+                counts = [np.bincount(x, minlength=size) for x in (of[a], t.text[b])]
+                data = _pack({
+                    **columns, "times": _narrow(times[a]), "place": place,
+                    "word_sizes": _narrow(counts[0]), "pair_sizes": _narrow(counts[1]),
+                })
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([shard], pa.int32()), pa.array([1], pa.int32()), pa.nulls(1, pa.int64()),
+                     pa.nulls(1, doc_id.type), pa.nulls(1, pa.int64()), pa.array([data])], names,
+                )
+
+    def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for _, group in _shard_groups(batches):
+            found = None
+            for batch in group:
+                kinds_of = batch.column(1).to_numpy()
+                for i in np.flatnonzero(kinds_of < 2):
+                    if kinds_of[i] == 0:
+                        found = Shard(batch.column(5)[int(i)].as_buffer())
+                    else:
+                        yield _sums(found, batch.column(5)[int(i)].as_buffer(), batch.column(3).type)
+                ids = batch.filter(pa.array(kinds_of == 2))
+                zero, size = np.zeros(ids.num_rows), ids.num_rows
+                yield pa.RecordBatch.from_arrays(
+                    [ids.column(2), ids.column(3), ids.column(4), pa.array(zero.astype(np.int64)),
+                     pa.array(zero), pa.array(np.full(size, start))], out,
+                )
+
+    def _sums(found: Shard | None, data: pa.Buffer, id_type: pa.DataType) -> pa.RecordBatch:
+        a = _unpack(data, common.value)
+        size = len(a["place"])
+        n, log_back = np.zeros(len(a["names"]), np.int64), np.zeros(len(a["names"]))
+        more = np.zeros(len(a["w"]))
+        if found:
+            n, log_back = found.words(a["names"])
+            more = found.sequences(a["names"], a["u"], a["v"], a["w"])
+        word, times = a["word"], a["times"].astype(np.int64)
+        of = np.repeat(np.arange(size), a["word_sizes"])
+        base = np.bincount(of, times * _log_base(n, total, kinds)[word], size).astype(float)
+        full = base + np.bincount(of, times * log_back[word], size)
+        full = full + np.bincount(np.repeat(np.arange(size), a["pair_sizes"]), more, size)
+        known = np.bincount(of, times * (n[word] > 0), size).astype(np.int64)
+        at = np.flatnonzero((a["word_sizes"] > 0) | (a["pair_sizes"] > 0))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(a["place"][at]), pa.nulls(len(at), id_type), pa.array(np.zeros(len(at), np.int64)),
+             pa.array(known[at]), pa.array(base[at]), pa.array(full[at])], out,
+        )
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, f"doc_id {kind}, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    out = ["place", "doc_id", "n_tokens", "n_known", "base_score", "score"]
+    dealt = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("place")).mapInArrow(
+        deal, f"shard int, kind int, place long, doc_id {kind}, n_tokens long, data binary"
+    )
+    files = model.files.select(
+        "shard", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("place"),
+        F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("long").alias("n_tokens"), "data",
+    )
+    parts = files.unionByName(dealt).repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(
+        look_up,
+        f"place long, doc_id {kind}, n_tokens long, n_known long, base_score double, score double",
+    )
+    return parts.groupBy("place").agg(
+        F.first("doc_id", ignorenulls=True).alias("doc_id"),
+        *[F.sum(c).alias(c) for c in out[2:]],
+    ).select(
+        "doc_id", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score"
     )

@@ -80,24 +80,23 @@ def encode_levels(values: np.ndarray, book: np.ndarray) -> np.ndarray:
     return np.searchsorted((book[1:] + book[:-1]) / 2, values).astype(np.uint8)
 
 
-def save(path: str, arrays: dict[str, np.ndarray], numbers: dict[str, int]) -> None:
-    """Write named arrays one after the other, with a head that says where each lies."""
+def dump(arrays: dict[str, np.ndarray], numbers: dict[str, int]) -> bytes:
+    """Named arrays one after the other, with a head that says where each lies."""
     head, at = {}, 0
     for name, a in arrays.items():
         head[name] = (at, len(a), a.dtype.str)
         at += -(-a.nbytes // 64) * 64
     text = json.dumps({"arrays": head, "numbers": numbers}).encode()
     text += b" " * (-(len(text) + 8) % 64)
-    with open(path, "wb") as f:
-        f.write(len(text).to_bytes(8, "little") + text)
-        for a in arrays.values():
-            f.write(np.ascontiguousarray(a).tobytes())
-            f.write(b"\0" * (-a.nbytes % 64))
+    parts = [len(text).to_bytes(8, "little"), text]
+    for a in arrays.values():
+        parts += np.ascontiguousarray(a).tobytes(), b"\0" * (-a.nbytes % 64)
+    return b"".join(parts)
 
 
-def load(path: str) -> tuple[dict[str, np.ndarray], dict[str, int]]:
-    """Map the arrays of a file into memory; nothing is read before it is used."""
-    whole = np.memmap(path, np.uint8, "r")
+def parse(data) -> tuple[dict[str, np.ndarray], dict[str, int]]:
+    """The arrays of a buffer; nothing is copied."""
+    whole = np.frombuffer(data, np.uint8)
     size = int.from_bytes(whole[:8].tobytes(), "little")
     head = json.loads(whole[8:8 + size].tobytes())
     start = 8 + size
@@ -108,6 +107,17 @@ def load(path: str) -> tuple[dict[str, np.ndarray], dict[str, int]]:
     return arrays, head["numbers"]
 
 
+def save(path: str, arrays: dict[str, np.ndarray], numbers: dict[str, int]) -> None:
+    """Write what ``dump`` gives."""
+    with open(path, "wb") as f:
+        f.write(dump(arrays, numbers))
+
+
+def load(path: str) -> tuple[dict[str, np.ndarray], dict[str, int]]:
+    """Map the arrays of a file into memory; nothing is read before it is used."""
+    return parse(np.memmap(path, np.uint8, "r"))
+
+
 def flat(named: Iterable[tuple[str, EliasFano]]) -> tuple[dict[str, np.ndarray], dict[str, int]]:
     """Arrays and numbers of sequences, for ``save``."""
     arrays: dict[str, np.ndarray] = {}

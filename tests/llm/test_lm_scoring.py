@@ -125,3 +125,19 @@ def test_packed_integers(width):
     v = np.random.default_rng(width).integers(0, 1 << width, 70_001)
     packed = S.pack_bits(v, width)
     assert (S.read_bits(packed, np.arange(len(v)), width) == v).all()
+
+
+def test_least_count_does_not_rise_with_the_input(docs):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdefghij") for _ in range(12)) for _ in range(40)]
+    texts += ["one rare pair", "one rare pair"]
+    df = docs(*texts)
+    # far more sequences than fit one shard; those seen twice are all kept
+    out = M.score(df, M.train(df, max_entries=20)).collect()
+    compare(out, texts, dict(enumerate(texts)))
+
+
+def test_equal_ids_are_scored_one_by_one(docs):
+    model = M.train(docs("a b a b", "a b"))
+    out = M.score(docs((1, "a b"), (1, "a"), (None, "a b")), model).collect()
+    assert sorted((r.doc_id or 0, r.n_tokens) for r in out) == [(0, 3), (1, 2), (1, 3)]
