@@ -20,6 +20,7 @@ from stintlake.llm.common import text_bytes
 # Sentences of public licence texts and notices, normalised, as patterns. A named
 # group ``v`` holds a version and ``k`` the kind of a Creative Commons licence.
 _V = r"(?:v|version )?(?P<v>\d(?:\.\d)*)"
+_VERB = r"(?:licensed|released|distributed|available|published|provided)"
 _NOTICE = r"(?:.* )?(?:is |are )?(?:licensed|released|distributed|available|published|provided|made available) under "
 SENTENCES: list[tuple[str, str]] = [
     ("copyright", r"(?:copyright|\(c\)|©)(?: \(c\)| ©)? .*|all rights reserved"),
@@ -94,9 +95,28 @@ _KIND_WORDS = {
     "non-commercial": "NC", "sharealike": "SA", "share alike": "SA", "noderivatives": "ND", "noderivs": "ND",
 }
 
-_PATTERNS = [(name, re.compile(pattern)) for name, pattern in SENTENCES]
-#: Ends of sentences: a mark before white space or the end, or an empty line.
-_BREAK = re.compile(r"[.!?;]+(?=\s|$)|\n[ \t\r]*\n")
+_PATTERNS = [
+    (name, re.compile(pattern)) for name, pattern in SENTENCES if not pattern.startswith(_NOTICE)
+]
+#: What stands behind the verb of a notice, wherever it is in a sentence.
+_NOTICES = [
+    (name, re.compile(pattern.removeprefix(_NOTICE).removesuffix(".*") + r"(?!\w|\.\w)"))
+    for name, pattern in SENTENCES if pattern.startswith(_NOTICE)
+]
+_UNDER = re.compile(r"\b" + _VERB + r" under (?:either |both )?")
+#: Between two licences of one notice.
+_JOIN = re.compile(r",? (?:and/or|and|or|as well as) (?:under )?")
+_STARTS_NOTICE = re.compile(_VERB, re.I)
+_SIGN = r"(?://+|/?\*+/?|#+|--|>+)"
+#: A line that opens a copyright statement; wrapped words on copyright holders and the like do not.
+_COPYRIGHT = (
+    rf"^[ \t]*{_SIGN}?[ \t]*(?:(?:\(c\)|©)[ \t]*(?:copyright\b|\d{{4}})|copyright[ \t:]+(?:\(c\)|©|\d{{4}}|by\b"
+    r"|(?!(?:notices?|holders?|owners?|laws?|licen[cs]es?|statements?|and|or|is|in|to|the above)\b)\w))"
+)
+#: Ends of sentences: a mark before white space or the end, a line that is empty or holds a
+#: comment sign only, and both ends of a line that opens a copyright statement.
+_BREAK = re.compile(rf"[.!?;]+(?=\s|$)|\n[ \t\r]*{_SIGN}?[ \t\r]*\n")
+_COPYRIGHT_LINE = re.compile(_COPYRIGHT + r"[^\n]*", re.I | re.M)
 #: Lines that one sentence may be wrapped over.
 MAX_LINES = 12
 
@@ -109,32 +129,59 @@ def normalise(sentence: str) -> str:
     return " ".join(s.split()).strip(" .,-*/#")
 
 
-def identify(sentence: str) -> tuple[str, dict[str, str | None]] | None:
-    """The identifier of a known sentence and its groups."""
+def notices(text: str) -> list[tuple[str, dict[str, str | None]]]:
+    """Identifiers and groups of all notices in a normalised sentence, in order."""
+    found, at = [], 0
+    while verb := _UNDER.search(text, at):
+        at = verb.end()
+        while True:
+            hits = [(m.end(), name, m) for name, p in _NOTICES if (m := p.match(text, at))]
+            if not hits:
+                break
+            at, name, m = max(hits, key=lambda h: h[0])
+            found.append((name, m.groupdict()))
+            more = _JOIN.match(text, at)
+            if not more:
+                break
+            at = more.end()
+    return found
+
+
+def identify(sentence: str) -> list[tuple[str, dict[str, str | None]]]:
+    """The identifier of a known sentence and its groups, and those of notices inside."""
     if not _TRIGGER.search(sentence):
-        return None
+        return []
     text = normalise(sentence)
     for name, pattern in _PATTERNS:
+        if name == "copyright" and "\n" in sentence.strip():
+            continue  # a copyright statement ends with its line
         m = pattern.fullmatch(text)
         if m:
-            return name, m.groupdict()
-    return None
+            inside = notices(text)
+            # an open beginning stands before the words, an open end after them
+            own = [(name, m.groupdict())]
+            return [*inside, *own] if name == "public-domain" else [*own, *inside]
+    return []
 
 
 def sentences(text: str) -> Iterator[tuple[int, int]]:
     """Places of the sentences that a trigger word occurs in."""
+    breaks = [m.span() for m in _BREAK.finditer(text)]
+    for m in _COPYRIGHT_LINE.finditer(text):
+        breaks += [(m.start(), m.start()), (m.end(), m.end())]
     start = 0
-    for end in [*(m.span() for m in _BREAK.finditer(text)), (len(text), len(text))]:
-        if _TRIGGER.search(text, start, end[0]):
+    for end in [*sorted(breaks), (len(text), len(text))]:
+        if start < end[0] and _TRIGGER.search(text, start, end[0]):
             yield start, end[0]
-        start = end[1]
+        start = max(start, end[1])
 
 
 def _known(text: str, start: int, end: int) -> Iterator[tuple[str | None, dict, int, int]]:
     """Identified sentences in one stretch; lines are tried alone if the whole is unknown."""
     whole = identify(text[start:end])
     if whole:
-        yield *whole, start, end
+        for hit in whole:
+            yield *hit, start, end
         return
     places, at = [], start
     for line in text[start:end].split("\n"):
@@ -142,14 +189,28 @@ def _known(text: str, start: int, end: int) -> Iterator[tuple[str | None, dict,
         at += len(line) + 1
     i, found = 0, False
     while i < len(places):
-        for j in range(min(len(places), i + MAX_LINES), i, -1):
-            hit = identify(text[places[i][0]:places[j - 1][1]])
-            if hit:
+        last = min(len(places), i + MAX_LINES)
+        for j in range(last, i, -1):
+            hits = identify(text[places[i][0]:places[j - 1][1]])
+            if hits:
                 found = True
-                yield *hit, places[i][0], places[j - 1][1]
+                for hit in hits:
+                    yield *hit, places[i][0], places[j - 1][1]
                 i = j
                 break
         else:
+            if _STARTS_NOTICE.search(text, *places[i]):
+                def of(first: int, upto: int) -> list:
+                    return notices(normalise(text[places[first][0]:places[upto - 1][1]])) if first < upto else []
+
+                # those that begin in this line: without it they are not found
+                own = of(i, last)
+                own = own[:len(own) - len(of(i + 1, last))]
+                if own:
+                    found = True
+                    j = next(j for j in range(i + 1, last + 1) if of(i, j)[:len(own)] == own)
+                    for hit in own:
+                        yield *hit, places[i][0], places[j - 1][1]
             i += 1
     if not found:
         yield None, {}, start, end
@@ -170,7 +231,7 @@ def _name(template: str, groups: list[dict]) -> str:
 
 def scan(text: str) -> dict:
     """Licences of one text in order of place, what is left over, and spans of the evidence."""
-    found = [k for a, b in sentences(text) for k in _known(text, a, b)]
+    found = [(*k, n) for n, k in enumerate(k for a, b in sentences(text) for k in _known(text, a, b))]
     known = [k for k in found if k[0]]
     licenses: list[tuple[int, str]] = []
     for template, wanted in RULES:
@@ -179,7 +240,7 @@ def scan(text: str) -> dict:
         while i + len(wanted) <= len(plain):
             took = plain[i:i + len(wanted)]
             if tuple(known[n][0] for n in took) == wanted:
-                licenses.append((known[took[0]][2], _name(template, [known[n][1] for n in took])))
+                licenses.append((known[took[0]][4], _name(template, [known[n][1] for n in took])))
                 known = [k for n, k in enumerate(known) if n not in took]
                 plain = [n for n, k in enumerate(known) if k[0] != "copyright"]
             else:

@@ -67,3 +67,32 @@ def test_odd_rows(docs):
     s = rows[4].spans[0]
     assert rows[4].text[s["first"]:s["last"]].strip().endswith("MIT License")
     assert L.scan_licenses(docs()).count() == 0
+
+
+APACHE = '''// Copyright 2020 Foo
+//
+// Licensed under the Apache License, Version 2.0 (the "License");
+// you may not use this file except in compliance with the License.
+'''
+
+
+@pytest.mark.parametrize("text,names,copyrights", [
+    (APACHE, ["Apache-2.0"], 1),
+    (APACHE.replace("//\n", ""), ["Apache-2.0"], 1),
+    ("Copyright 2020 Foo\nLicensed under the MIT License", ["MIT"], 1),
+    ("(c) Foo\nLicensed under the MIT License", ["MIT"], 1),
+    ("Copyright 2020 Foo, licensed under the MIT License", ["MIT"], 1),
+    ("".join(f" * {line}\n" for line in ["Copyright (c) 2020 A. Person", "", *MIT.split("\n")]), ["MIT"], 1),
+    ("Licensed under the Apache License, Version 2.0\nReleased under the MIT License", ["Apache-2.0", "MIT"], 0),
+    ("Released under the MIT License and distributed under the GNU GPL, version 2 or later", ["MIT", "GPL-2.0-or-later"], 0),
+    ("Licensed under either the MIT License or the Apache License, Version 2.0.", ["MIT", "Apache-2.0"], 0),
+    ("title\nThis work is licensed\nunder the Apache License,\nVersion 2.0\nmore words", ["Apache-2.0"], 0),
+])
+def test_neighbours_are_not_swallowed(text, names, copyrights):
+    got = L.scan(text)
+    assert got["licenses"] == names and got["copyrights"] == copyrights
+
+
+def test_holders_at_a_line_start_open_no_statement():
+    text = "IN NO EVENT SHALL THE AUTHORS OR\nCOPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY."
+    assert L.scan(text)["unmatched"] == ["mit-liability"]
