@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stintlake.llm.common import stage, text_bytes
+from stintlake.llm.common import ascii_lower, stage, text_bytes
 
 #: Consecutive words that make a hit.
 WINDOW = 10
@@ -230,17 +230,19 @@ def find_matches(
         F.array().cast(_SPANS).alias("hit_spans"), F.array().cast("array<string>").alias("hit_items"),
     )
     blocks = item_blocks(benchmark, window, block_words)
+    searched = False
     for number, block in enumerate(blocks):
         if number and number % CHAIN == 0:
             out = stage(out, "matched")
         out = out.mapInArrow(_searcher(context.broadcast(block), window, at, len(names)), schema)
-    if not benchmark.head(1):
+        searched = True
+    if not searched:  # no item has a word
         return out.withColumn("hit_words", _count_words(F.col("text")))
     return out
 
 
 def _count_words(text: Column) -> Column:
-    return F.coalesce(F.regexp_count(text, F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")), F.lit(0))
+    return F.coalesce(F.regexp_count(ascii_lower(text), F.lit(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")), F.lit(0))
 
 
 def _searcher(items, window: int, at: int, width: int):

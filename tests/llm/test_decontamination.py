@@ -84,3 +84,11 @@ def test_empty_tables_and_clashing_names(docs, items):
     assert [r.hit_items for r in D.find_matches(df, items((7, "b"))).collect()] == [["7"], ["7"]]
     assert D.find_matches(docs(), items((7, "b"))).count() == 0
     assert D.remove_matches(docs("x"), items()).count() == 1
+
+
+@pytest.mark.parametrize("rows", [[], [("a", None), ("b", " ")]])
+def test_words_are_counted_without_an_automaton(spark, docs, rows):
+    texts = ["USA", "iPhone one", "ÄB c", None, "..."]
+    bench = spark.createDataFrame(rows, "item_id string, text string")
+    out = D.find_matches(docs(*texts), bench).collect()
+    assert {r.doc_id: r.hit_words for r in out} == {i: len(D.words_of((t or "").encode())) for i, t in enumerate(texts)}
