@@ -15,6 +15,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass, field
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -259,11 +260,19 @@ def fit(
                  pa.array(list(grams.values()), pa.int64())], ["lang", "gram", "n"],
             )
 
-    rows = (
-        sample.filter("not calibrates").select("text", "lang")
-        .mapInArrow(count, "lang string, gram string, n long")
-        .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
-    )
+    def counted() -> pd.DataFrame:
+        return (
+            sample.filter("not calibrates").select("text", "lang")
+            .mapInArrow(count, "lang string, gram string, n long")
+            .groupBy("lang", "gram").agg(F.sum("n").alias("n")).toPandas()
+        )
+
+    rows = counted()
+    # a rare language may have all its texts set aside; they are fitted on instead
+    lost = {r.lang for r in sample.filter("calibrates").select("lang").distinct().collect()} - set(rows.lang)
+    if lost:
+        sample = sample.withColumn("calibrates", F.col("calibrates") & ~F.col("lang").isin(*lost))
+        rows = counted()
     counts = {lang: dict(zip(part.gram, part.n)) for lang, part in rows.groupby("lang")}
     alphabet = len({c for grams in counts.values() for g in grams for c in g})
     names = sorted(counts)

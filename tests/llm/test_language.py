@@ -57,3 +57,10 @@ def test_odd_rows(spark, docs, known):
 def test_nothing_learned(docs):
     empty = L.fit(docs())
     assert [r.lang_pred for r in L.identify(docs("a", None), empty).collect()] == ["und", "und"]
+
+
+def test_rare_languages_keep_their_texts_for_fitting(spark):
+    rows = [(i, "the cat sat on the mat and the dog ran", "en") for i in range(30)]
+    rows += [(100 + i, f"slowo {'qxz' * (i + 1)} zolw", f"rare{i}") for i in range(40)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert set(L.fit(labelled).languages) == {r[2] for r in rows}
