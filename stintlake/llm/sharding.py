@@ -31,14 +31,14 @@ def _key() -> Column:
     return F.struct(*_KEY)
 
 
-def _splitters(rows: DataFrame, ranges: int) -> list:
-    """Quantile boundaries of a size-weighted sample; at most ``ranges - 1`` keys reach the driver."""
-    total = rows.agg(F.sum("size")).first()[0] or 0
+def _splitters(rows: DataFrame, ranges: int, by: str = "size") -> list:
+    """Quantile boundaries of a sample weighted by a column; at most ``ranges - 1`` keys reach the driver."""
+    total = rows.agg(F.sum(by)).first()[0] or 0
     if ranges < 2 or not total:
         return []
     # The chance is proportional to the size; a record beyond one step counts as often as it holds steps.
     step = total / (ranges * OVERSAMPLE)
-    weight = F.col("size") / step
+    weight = F.col(by) / step
     draw = F.floor(weight + F.rand(7)).cast("long")
     drawn = stage(rows.withColumn("draws", draw).filter("draws > 0").select(*_KEY, "draws"), "drawn")
     count = drawn.agg(F.sum("draws")).first()[0]
@@ -111,7 +111,7 @@ def shard_documents(
     n, total = rows.agg(F.count("*"), F.sum("size")).first()
     wanted = max(shards * ranges_per_shard, -(-2 * n // range_rows))
     first = _range_of(_key(), _splitters(rows, wanted), kinds)
-    dealt = rows.withColumn("range", F.struct(first.cast("int").alias("a"), F.lit(0).alias("b")))
+    dealt = rows.withColumn("range", F.array(first.cast("int")))
     dealt = _subdivide(stage(dealt, "dealt"), total, wanted, range_rows, kinds)
 
     in_order = Window.partitionBy("range").orderBy(*_KEY)
@@ -145,20 +145,33 @@ def shard_documents(
 
 
 def _subdivide(dealt: DataFrame, total: int, wanted: int, range_rows: int, kinds: str) -> DataFrame:
-    """Split ranges with over four fair shares of the bytes or over ``range_rows`` rows."""
+    """Split ranges with over four fair shares of the bytes or over ``range_rows`` rows, until none is.
+
+    A range is the list of its places, one for each round. One that a round by bytes leaves whole,
+    since a single long text makes it large, stays.
+    """
     fair = (total or 0) / max(1, wanted)
     over = (F.col("bytes") > 4 * fair) & (F.col("n") > 1) | (F.col("n") > range_rows)
-    large = (
-        dealt.groupBy("range").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
-        .filter(over).orderBy("range").collect()
-    )
-    for r in large:  # few: the sample bounds a range's bytes; rows differ only where texts are short
-        mine = F.col("range") == F.struct(F.lit(r["range"].a).alias("a"), F.lit(0).alias("b"))
-        parts = max(2, int(max(r["bytes"] / max(fair, 1), 2 * r["n"] / range_rows)) + 1)
-        finer = _range_of(_key(), _splitters(dealt.filter(mine), parts), kinds)
-        split = F.struct(F.col("range.a").alias("a"), finer.cast("int").alias("b"))
-        dealt = dealt.withColumn("range", F.when(mine, split).otherwise(F.col("range")))
-    return stage(dealt, "subdivided") if large else dealt
+    had: dict[tuple, int] = {}
+    while True:
+        sizes = (
+            dealt.groupBy("range").agg(F.count("*").alias("n"), F.sum("size").alias("bytes"))
+            .filter(over).orderBy("range").collect()
+        )
+        large = [r for r in sizes if r["n"] > range_rows or had.get(tuple(r["range"][:-1])) != r["n"]]
+        if not large:
+            return dealt
+        for r in large:  # few: the sample bounds a range's bytes; rows differ only where texts are short
+            mine = F.col("range") == F.array(*map(F.lit, r["range"]))
+            parts = max(2, int(max(r["bytes"] / max(fair, 1), 2 * r["n"] / range_rows)) + 1)
+            rows = dealt.filter(mine).withColumn("one", F.lit(1))
+            by = "one" if r["n"] > range_rows else "size"
+            finer = _range_of(_key(), _splitters(rows, parts, by), kinds).cast("int")
+            dealt = dealt.withColumn(
+                "range", F.when(mine, F.concat("range", F.array(finer))).otherwise(F.col("range"))
+            )
+            had[tuple(r["range"])] = r["n"]
+        dealt = stage(dealt, "subdivided")
 
 
 def write_shards(docs: DataFrame, path: str, **options: int) -> None:

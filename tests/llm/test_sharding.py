@@ -2,6 +2,7 @@ import zlib
 
 import pytest
 
+from stintlake.llm import sharding
 from stintlake.llm.sharding import shard_documents, write_shards
 
 
@@ -50,3 +51,17 @@ def test_written_shards(spark, docs, tmp_path):
     write_shards(docs("a", "bb", None).withColumnRenamed("lang", "shard"), str(tmp_path / "s"), shards=2)
     back = spark.read.parquet(str(tmp_path / "s")).select("shard", "slot", "record.*").collect()
     assert {r.text for r in back} == {"a", "bb", None}
+
+
+def test_no_range_keeps_more_rows_than_its_limit(docs, monkeypatch):
+    seen = []
+    cut = sharding._subdivide
+
+    def watched(*args):
+        seen.append(cut(*args))
+        return seen[-1]
+
+    monkeypatch.setattr(sharding, "_subdivide", watched)
+    df = docs(*[None] * 600, *[f"{i} " * 40_000 for i in range(6)])
+    assert shard_documents(df, shards=2, ranges_per_shard=2, range_rows=100).count() == 606
+    assert max(r["count"] for r in seen[0].groupBy("range").count().collect()) <= 100
