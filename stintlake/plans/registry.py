@@ -431,6 +431,8 @@ query("mart_filters")(
 
 # --- sources and sinks ----------------------------------------------------------
 
+#: Rows at most in a landed file that is one JSON array.
+ARRAY_ROWS = 5000
 LINES = {"glob": "*.json", "multi_line": False}
 LAP_VIEW = ["session_key", "driver_number", "lap_number", "date_start", "lap_duration",
             "is_pit_out_lap", "i1_speed", "segments_sector_1", "batch_day"]
@@ -465,14 +467,15 @@ def _load_twice(w: Warehouse) -> DataFrame:
     df = w.bronze_sessions.drop("_ingestion_timestamp")
     spark = df.sparkSession
     landing, path = fresh_path(spark, "landing"), fresh_path(spark, "bronze")
-    # A file per group of sessions; sessions are few, so a group fits a file of one array.
+    # A folder per group of sessions, in it files of one array with a bounded number of rows.
     part = F.coalesce(F.pmod("session_key", F.lit(8)), F.lit(0))
-    arrays = df.withColumn("part", part).groupBy("part").agg(
+    file = F.floor(F.monotonically_increasing_id() / ARRAY_ROWS)
+    arrays = df.withColumns({"part": part, "file": file}).groupBy("part", "file").agg(
         F.to_json(F.collect_list(F.struct(*df.columns))).alias("value")
-    )
+    ).drop("file")
 
     def land(rows: DataFrame) -> None:
-        rows.write.mode("append").partitionBy("part").text(landing)
+        rows.write.mode("append").option("maxRecordsPerFile", 1).partitionBy("part").text(landing)
 
     def load() -> int:
         return load_new_files(spark, landing, path, "sessions", max_files=3, glob="*.txt")
