@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintlake.llm import (
+    conversations,
     decontamination,
     exact_dedup,
     jaccard_join,
@@ -20,7 +21,8 @@ from stintlake.llm import (
     sharding,
     token_files,
 )
-from stintlake.llm.common import crc_remainder, documents, ship, table
+from stintlake.llm.common import crc_remainder, documents, ship, stage, table
+from stintlake.operators.grouping import join_same
 from stintlake.session import fresh_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -140,3 +142,90 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
     token_files.write_token_files(documents(spark, sf_dir), path)
     return token_files.read_token_files(spark, path, ids=False)
+
+
+@query("op11_conversations")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations")
+    harmed = conversations.damage(rows)
+    solved = stage(conversations.solve(harmed), "conversations-solved")
+    digests = conversations.repaired_digests(harmed, solved)
+    every = rows.select("conv_id").distinct()
+    found = join_same(join_same(every, solved, ["conv_id"], "left"), digests, ["conv_id"], "left")
+    faults = ("gaps", "blank", "duplicate", "truncated", "illegal", "cost")
+    return found.select(
+        "conv_id", *[F.coalesce(c, F.lit(0).cast("long")).alias(c) for c in faults],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"),
+    )
+
+
+#: crc32 of "conv_id:turn", bit by bit.
+_CRC = """xor(4294967295::BIGINT, list_reduce(
+      list_transform(string_split(coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' '), ''),
+        lambda x: unicode(x)::BIGINT),
+      lambda c, b: list_reduce(range(8), lambda d, i: xor(d >> 1, (d & 1) * 3988292384), xor(c, b)),
+      4294967295::BIGINT))"""
+
+# The best prefix of each state, row by row, with the text that it gives.
+ORACLE["op11_conversations"] = f"""
+    WITH RECURSIVE harmed AS (
+      SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+        CASE kind WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text
+      FROM (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, {_CRC} % 20 AS kind
+            FROM conversations), (VALUES (1), (2)) AS copies(copy)
+      WHERE kind <> 0 AND (copy = 1 OR kind = 3)),
+    digests AS (
+      SELECT *, sha256(length(role) || ':' || role || text) AS digest, left(role, 1) AS initial,
+        rtrim(text, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS bare FROM harmed),
+    ordered AS (
+      SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, digest) AS n
+      FROM digests),
+    marked AS (
+      SELECT *, bare = '' AS blank, bare <> '' AND n > min(n) OVER (PARTITION BY conv_id, digest) AS repeated,
+        lag(initial) OVER (PARTITION BY conv_id ORDER BY n) AS earlier,
+        (right(bare, 1) NOT IN ('.', '!', '?'))::BIGINT AS cut FROM ordered),
+    counted AS (
+      SELECT conv_id, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+        count(*) FILTER (blank) AS blank, count(*) FILTER (repeated) AS duplicate,
+        count(*) FILTER (NOT blank AND NOT repeated AND cut = 1) AS truncated,
+        count(*) FILTER (earlier || initial NOT IN ('su', 'ua', 'au')) AS illegal, max(n) AS last
+      FROM marked GROUP BY conv_id),
+    inserts(a, b, cost, letters, lines) AS (
+      SELECT * FROM (VALUES (0, 2, 2, 'I', chr(10) || 'user:'), (1, 2, 2, 'I', chr(10) || 'user:'),
+        (3, 2, 2, 'I', chr(10) || 'user:'), (2, 3, 2, 'I', chr(10) || 'assistant:'),
+        (0, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+        (1, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+        (3, 3, 4, 'II', chr(10) || 'user:' || chr(10) || 'assistant:'),
+        (2, 2, 4, 'II', chr(10) || 'assistant:' || chr(10) || 'user:'),
+        (0, 0, 0, '', ''), (1, 1, 0, '', ''), (2, 2, 0, '', ''), (3, 3, 0, '', ''))),
+    moves(b, initial, c, cost, letter, role) AS (
+      SELECT * FROM (VALUES (0, 's', 1, 0, 'K', NULL), (0, 'u', 2, 0, 'K', NULL), (1, 'u', 2, 0, 'K', NULL),
+        (3, 'u', 2, 0, 'K', NULL), (2, 'a', 3, 0, 'K', NULL), (0, NULL, 2, 2, 'R', 'user'),
+        (1, NULL, 2, 2, 'R', 'user'), (3, NULL, 2, 2, 'R', 'user'), (2, NULL, 3, 2, 'R', 'assistant'),
+        (0, NULL, 0, 3, 'D', NULL), (1, NULL, 1, 3, 'D', NULL), (2, NULL, 2, 3, 'D', NULL),
+        (3, NULL, 3, 3, 'D', NULL))),
+    best(conv_id, n, state, p) AS (
+      SELECT conv_id, 0::BIGINT, 0, {{'cost': 0::BIGINT, 'audit': '', 'lines': ''}} FROM counted
+      UNION ALL
+      SELECT best.conv_id, best.n + 1, moves.c, min({{
+        'cost': (best.p).cost + inserts.cost + moves.cost + CASE WHEN letter = 'D' THEN 0 ELSE cut END,
+        'audit': (best.p).audit || letters || letter,
+        'lines': (best.p).lines || inserts.lines || CASE WHEN letter = 'D' THEN ''
+          ELSE chr(10) || coalesce(moves.role, marked.role) || ':' || text END}})
+      FROM best JOIN marked ON marked.conv_id IS NOT DISTINCT FROM best.conv_id AND marked.n = best.n + 1
+      JOIN inserts ON inserts.a = best.state JOIN moves ON moves.b = inserts.b
+      WHERE letter = 'D' OR NOT (blank OR repeated) AND coalesce(moves.initial, marked.initial) = marked.initial
+      GROUP BY best.conv_id, best.n + 1, moves.c),
+    done AS (
+      SELECT counted.conv_id, min({{'cost': (p).cost + inserts.cost, 'audit': (p).audit || letters,
+        'lines': (p).lines || inserts.lines}}) AS p
+      FROM best JOIN counted ON counted.conv_id IS NOT DISTINCT FROM best.conv_id AND n = last
+      JOIN inserts ON inserts.a = state WHERE b IN (0, 3) GROUP BY counted.conv_id)
+    SELECT every.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank,
+      coalesce(duplicate, 0) AS duplicate, coalesce(truncated, 0) AS truncated,
+      coalesce(illegal, 0) AS illegal, coalesce((p).cost, 0) AS cost, coalesce((p).audit, '') AS audit,
+      sha256(coalesce(substr((p).lines, 2), '')) AS repaired_sha256
+    FROM (SELECT DISTINCT conv_id FROM conversations) AS every
+    LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM every.conv_id
+    LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM every.conv_id"""
