@@ -20,6 +20,7 @@ from stintlake.llm import (
     quality,
     sharding,
     token_files,
+    url_filters,
 )
 from stintlake.llm.common import crc_remainder, documents, ship, stage, table
 from stintlake.operators.grouping import join_same
@@ -229,3 +230,29 @@ ORACLE["op11_conversations"] = f"""
     FROM (SELECT DISTINCT conv_id FROM conversations) AS every
     LEFT JOIN counted ON counted.conv_id IS NOT DISTINCT FROM every.conv_id
     LEFT JOIN done ON done.conv_id IS NOT DISTINCT FROM every.conv_id"""
+
+
+#: Fixed values of the task.
+URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
+
+
+@query("op12_url_filters")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = url_filters.build_index(spark.createDataFrame(URL_RULES, "rule string, verdict string"))
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return url_filters.judge_urls(pages, index).select("page_id", "host", "path", "rule", "verdict")
+
+
+ORACLE["op12_url_filters"] = f"""
+    WITH rules(rule, verdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+    parts AS (
+      SELECT page_id, translate(coalesce(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), ''),
+          'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path, row_number() OVER () AS n
+      FROM pages),
+    fitting AS (
+      SELECT n, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS verdict
+      FROM parts JOIN rules ON ('.' || host) LIKE ('%.' || split_part(rule, '/', 1))
+        AND starts_with(path, substr(rule, strpos(rule, '/'))) GROUP BY n)
+    SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+    FROM parts LEFT JOIN fitting USING (n)"""
