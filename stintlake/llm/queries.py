@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintlake.llm import (
+    collocations,
     conversations,
     decontamination,
     exact_dedup,
@@ -256,3 +257,49 @@ ORACLE["op12_url_filters"] = f"""
         AND starts_with(path, substr(rule, strpos(rule, '/'))) GROUP BY n)
     SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
     FROM parts LEFT JOIN fitting USING (n)"""
+
+
+@query("op13_collocations")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(documents(spark, sf_dir))
+
+
+#: All occurrences of phrases of one to three words within pieces, by language.
+ORACLE["op13_collocations"] = f"""
+    WITH pieces AS (
+      SELECT lang, piece, row_number() OVER () AS id FROM (
+        SELECT coalesce(lang, 'und') AS lang,
+          unnest(regexp_split_to_array({_LOWER}, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM documents)),
+    words AS (
+      SELECT lang, id, unnest(w) AS a, unnest(range(len(w))) AS i FROM (
+        SELECT lang, id, list_filter(regexp_split_to_array(piece, '[\\x20\\x09]+'), lambda w: w <> '') AS w
+        FROM pieces)),
+    followed AS (
+      SELECT lang, a, lead(a) OVER p AS b, lead(a, 2) OVER p AS c FROM words
+      WINDOW p AS (PARTITION BY id ORDER BY i)),
+    f1 AS (SELECT lang, a, count(*) AS n FROM followed GROUP BY ALL HAVING count(*) >= 10),
+    f2 AS (SELECT lang, a, b, count(*) AS n FROM followed WHERE b IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+    f3 AS (SELECT lang, a, b, c, count(*) AS n FROM followed WHERE c IS NOT NULL GROUP BY ALL HAVING count(*) >= 10),
+    longer AS (
+      SELECT lang, a, b, max(n) AS most FROM (
+        SELECT lang, a, b, n FROM f3 UNION ALL SELECT lang, b, c, n FROM f3) GROUP BY ALL),
+    cuts AS (
+      SELECT f2.lang, f2.a || ' ' || f2.b AS phrase, f2.n AS a, 1 AS cut, l.n AS l, r.n AS r
+      FROM f2 JOIN f1 AS l ON l.lang = f2.lang AND l.a = f2.a JOIN f1 AS r ON r.lang = f2.lang AND r.a = f2.b
+      LEFT JOIN longer ON longer.lang = f2.lang AND longer.a = f2.a AND longer.b = f2.b
+      WHERE most IS NULL OR 100 * most < 50 * f2.n
+      UNION ALL SELECT f3.lang, f3.a || ' ' || f3.b || ' ' || c, f3.n, 1, l.n, r.n
+      FROM f3 JOIN f1 AS l ON l.lang = f3.lang AND l.a = f3.a
+      JOIN f2 AS r ON r.lang = f3.lang AND r.a = f3.b AND r.b = f3.c
+      UNION ALL SELECT f3.lang, f3.a || ' ' || f3.b || ' ' || c, f3.n, 2, l.n, r.n
+      FROM f3 JOIN f2 AS l ON l.lang = f3.lang AND l.a = f3.a AND l.b = f3.b
+      JOIN f1 AS r ON r.lang = f3.lang AND r.a = f3.c),
+    worst AS (
+      SELECT lang, phrase, a, min({{'score': (1000000::HUGEINT * a * a // (l::HUGEINT * r))::BIGINT,
+        'cut': cut, 'l': l, 'r': r}}) AS m FROM cuts GROUP BY lang, phrase, a),
+    ranked AS (
+      SELECT lang, phrase, a, m.l AS l, m.r AS r, m.score AS score,
+        row_number() OVER (PARTITION BY lang ORDER BY m.score DESC, a DESC, encode(phrase)) AS rank FROM worst)
+    SELECT ranked.lang, rank, phrase, ranked.a, l, r, n, score FROM ranked
+    JOIN (SELECT lang, count(*) AS n FROM words GROUP BY lang) AS total ON total.lang = ranked.lang
+    WHERE rank <= 2000"""
