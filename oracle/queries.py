@@ -540,6 +540,13 @@ def _merge(update_all: bool) -> str:
 
 
 BODIES |= {
+    "merge_touched": f"""SELECT session_key, driver_number, team_name, team_category,
+        FALSE AS wrongly_placed FROM (
+        WITH {_side('old_rows', '<')}, {_side('new_rows', '>=')}
+        SELECT * FROM old_rows WHERE (session_key, driver_number) NOT IN
+          (SELECT session_key, driver_number FROM new_rows WHERE session_key = 199901 AND driver_number < 12)
+        UNION ALL SELECT * FROM new_rows WHERE session_key = 199901 AND driver_number < 12)""",
+    "append_resumed": f"SELECT {_LAP}, batch_day FROM silver_laps",
     "hwm_read": f"""SELECT {_LAP} FROM bronze_laps WHERE _ingestion_timestamp >
         (SELECT MAX(_ingestion_timestamp) FROM bronze_laps
          WHERE _ingestion_timestamp <= TIMESTAMP '1998-01-01')""",

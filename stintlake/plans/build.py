@@ -5,24 +5,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stintlake.operators.incremental import (
-    high_water_mark,
-    incremental_read,
-    merge_upsert,
-    newer_than,
-)
+from stintlake.operators.incremental import merge_upsert
 from stintlake.plans import gold, marts, silver
 from stintlake.plans.snapshots import driver_snapshot, session_snapshot
 from stintlake.plans.warehouse import BRONZE, Warehouse
 from stintlake.session import stage, staging
+from stintlake.sources.batches import append_new_files, merge_new_files
+from stintlake.sources.parts import append_history, change_buckets
 from stintlake.sources.readers import read_entity, unprocessed_files
 from stintlake.sources.writers import (
-    append_table,
+    new_version,
+    next_pointer,
     read_table,
+    remove,
     replace_table,
-    store_mark,
-    stored_mark,
+    switch_version,
     table_exists,
+    version_path,
     write_table,
 )
 from stintlake.streaming.expectations import LAPS_DROP, LAPS_TRACK, LOCATIONS_DROP
@@ -116,59 +115,58 @@ def load_quality(spark: SparkSession, path: str) -> None:
 def refresh_snapshots(spark: SparkSession, path: str, run_ts: str) -> None:
     """Take the next snapshot of drivers and sessions from the silver tables.
 
-    The stored state is read, changed versions are closed and opened, and the result replaces
-    it as a whole.
+    Only open versions are read and written again; those that close are added once.
     """
     for name, build, source in (
         ("driver_snapshot", driver_snapshot, "silver_drivers"),
         ("session_snapshot", session_snapshot, "silver_sessions"),
     ):
-        target = f"{path}/{name}"
         rows = read_table(spark, f"{path}/{source}")
-        replace_table(build(_current(spark, target), rows, run_ts), target)
+        with staging(spark):
+            append_history(
+                spark, f"{path}/{name}", lambda opened: build(opened, rows, run_ts), "valid_to IS NULL"
+            )
 
 
 def refresh_silver(spark: SparkSession, path: str, run_ts: str, full: bool = False) -> None:
     """Bring the silver tables up to the bronze ones.
 
-    Sessions and drivers are merged, laps and locations appended; only bronze rows
-    beyond the high-water mark of each table are read. The mark is the newest load time that
-    went in; it is stored beside the table, so the table itself is not read for it. ``full``
-    rebuilds them all.
+    Sessions and drivers are merged, laps and locations appended, from the bronze files that no
+    earlier load took; a load that stopped is repeated first (see
+    :mod:`stintlake.sources.batches`). ``full`` rebuilds them all.
     """
-
-    def step(entity: str) -> tuple[DataFrame | None, DataFrame, str | None]:
-        target = f"{path}/silver_{entity}"
-        old = None if full else _current(spark, target)
-        bronze = read_table(spark, f"{path}/bronze_{entity}", evolving=True)
-        mark = None if old is None else stored_mark(spark, f"{path}/_marks/silver_{entity}")
-        new = newer_than(bronze, mark) if mark else incremental_read(bronze, old)
-        return old, new, high_water_mark(new)
-
-    def keep_mark(entity: str, mark: object) -> None:
-        if mark is not None:
-            store_mark(spark, f"{path}/_marks/silver_{entity}", mark)
-
     for entity, build, key, updates in (
         ("sessions", silver.build_silver_sessions, silver.SESSION_KEY, silver.SESSION_UPDATES),
         ("drivers", silver.build_silver_drivers, silver.DRIVER_KEY, silver.DRIVER_UPDATES),
     ):
-        old, new, mark = step(entity)
-        merged = merge_upsert(old, build(new, run_ts), key, updates)
-        replace_table(merged, f"{path}/silver_{entity}")
-        keep_mark(entity, mark)
+        target, source = f"{path}/silver_{entity}", f"{path}/bronze_{entity}"
+
+        log = f"{path}/_loads/silver_{entity}"
+        anew = full or not table_exists(spark, target)
+        if anew:  # one load of all files, which replaces the table when it is complete
+            remove(spark, log)
+
+        def merge(new: DataFrame) -> None:
+            change_buckets(
+                target, build(new, run_ts), key,
+                lambda old, batch: merge_upsert(old, batch, key, updates), fresh=anew,
+            )
+
+        merge_new_files(spark, source, log, merge)
 
     for entity, build in (
         ("laps", silver.build_silver_laps),
         ("locations", silver.build_silver_locations),
     ):
-        _, new, mark = step(entity)
-        target = f"{path}/silver_{entity}"
-        if full:
-            replace_table(build(new, run_ts), target, ["batch_day"])
-        else:
-            append_table(build(new, run_ts), target, partition_by=["batch_day"])
-        keep_mark(entity, mark)
+        target, source = f"{path}/silver_{entity}", f"{path}/bronze_{entity}"
+        if not full:
+            append_new_files(spark, source, target, lambda new: build(new, run_ts), ["batch_day"])
+            continue
+        number, version = next_pointer(spark, target), new_version()
+        append_new_files(
+            spark, source, version_path(target, version), lambda new: build(new, run_ts), ["batch_day"]
+        )
+        switch_version(spark, target, version, number)
 
 
 def refresh_gold(spark: SparkSession, path: str, run_ts: str) -> None:

@@ -34,12 +34,15 @@ from stintlake.plans.marts import build_team_performance
 from stintlake.plans.snapshots import driver_snapshot, session_snapshot
 from stintlake.plans.warehouse import Warehouse
 from stintlake.session import fresh_path
+from stintlake.sources.batches import append_new_files
 from stintlake.sources.catalog import count_tables
+from stintlake.sources.parts import bucket_of, change_buckets
 from stintlake.sources.readers import read_entity
 from stintlake.sources.writers import (
     append_new,
     append_table,
     compact,
+    current_parts,
     export_csv,
     export_json,
     read_table,
@@ -259,6 +262,67 @@ query("merge_partial")(lambda w: _merged(w, False))
 query("merge_all")(lambda w: _merged(w, True))
 
 
+@query("merge_touched")
+def _merge_touched(w: Warehouse) -> DataFrame:
+    """A merge that rewrites the key buckets of its batch; no other file may change."""
+    old, new = _two_loads(w)
+    spark, keys = old.sparkSession, silver.DRIVER_KEY
+    path = fresh_path(spark, "merged")
+
+    def merge(batch: DataFrame) -> None:
+        change_buckets(
+            path, batch, keys, lambda t, b: merge_upsert(t, b, keys, silver.DRIVER_UPDATES)
+        )
+
+    merge(old)
+    before = dict(current_parts(spark, path))
+    few = new.filter("session_key = 199901 AND driver_number < 12")
+    merge(few)
+    touched = few.select(bucket_of(keys).alias("bucket")).distinct()
+    rows = read_table(spark, path).select(
+        *keys, "team_name", "team_category", bucket_of(keys).alias("bucket"),
+        F.regexp_replace("_metadata.file_path", "/[^/]*$", "").alias("folder"),
+    )
+    stale = [f"%{folder.split('/_versions/')[1]}" for folder in before.values()]
+    kept = F.lit(False)
+    for folder in stale:
+        kept = kept | F.col("folder").like(folder)
+    return rows.join(touched.withColumn("touched", F.lit(True)), "bucket", "left").select(
+        *keys, "team_name", "team_category",
+        (kept == F.coalesce("touched", F.lit(False))).alias("wrongly_placed"),
+    )
+
+
+@query("append_resumed")
+def _append_resumed(w: Warehouse) -> DataFrame:
+    """Laps appended in two loads, the second of which stops once and is run again.
+
+    Rows of the second load were brought in under an older load time than those of the first.
+    """
+    bronze = w.bronze_laps
+    spark = bronze.sparkSession
+    source, target = fresh_path(spark, "bronze"), fresh_path(spark, "silver")
+
+    def land(rows: DataFrame) -> None:
+        rows.write.mode("append").parquet(source)
+
+    def build(rows: DataFrame) -> DataFrame:
+        return silver.build_silver_laps(rows, w.run_ts)
+
+    def stopping(rows: DataFrame) -> DataFrame:
+        raise InterruptedError
+
+    land(bronze.filter("_ingestion_timestamp >= '1998-01-01'"))
+    append_new_files(spark, source, target, build, ["batch_day"])
+    land(bronze.filter("_ingestion_timestamp < '1998-01-01' OR _ingestion_timestamp IS NULL"))
+    try:
+        append_new_files(spark, source, target, stopping, ["batch_day"])
+    except InterruptedError:
+        append_new_files(spark, source, target, build, ["batch_day"])
+    append_new_files(spark, source, target, build, ["batch_day"])
+    return read_table(spark, target).select(*silver.LAP_KEY, "lap_duration", "batch_day")
+
+
 @query("append_dedupe")
 def _append_dedupe(w: Warehouse) -> DataFrame:
     """Rows to append from a batch that repeats one load of the target."""

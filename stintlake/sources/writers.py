@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from urllib.parse import quote
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -49,12 +51,20 @@ def write_table(
 def read_table(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame:
     """Read a table; ``evolving`` unites the columns of all its files.
 
-    A table that :func:`replace_table` wrote is read at its current version. Days stay text,
+    A table that :func:`replace_table` or :func:`replace_parts` wrote is read at its current state,
+    one that is appended to in numbered batches without batches that are not complete. Days and batch ids stay text,
     although Spark takes folder names like ``2024-03-02`` for dates.
     """
-    df = spark.read.option("mergeSchema", evolving).parquet(current_version(spark, path) or path)
-    if "batch_day" in df.columns:
-        df = df.withColumn("batch_day", F.col("batch_day").cast("string"))
+    folders = [folder for _, folder in current_parts(spark, path) or [("", path)]]
+    batches = complete_batches(spark, folders[0]) if len(folders) == 1 else None
+    reader = spark.read.option("mergeSchema", evolving)
+    if batches is None:
+        df = reader.parquet(*folders)
+    else:
+        df = reader.option("basePath", folders[0]).parquet(*batches).drop("batch")
+    for name in ("batch_day", "_ingestion_batch_id"):
+        if name in df.columns:
+            df = df.withColumn(name, F.col(name).cast("string"))
     return df
 
 
@@ -63,68 +73,158 @@ def _file_system(spark: SparkSession, path: str):
     return target, target.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    target, fs = _file_system(spark, path)
+    return fs.exists(target)
+
+
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """Names in a folder, sorted; none if it is missing."""
+    folder, fs = _file_system(spark, path)
+    if not fs.exists(folder):
+        return []
+    return sorted(s.getPath().getName() for s in fs.listStatus(folder))
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    target, fs = _file_system(spark, path)
+    stream = fs.open(target)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def claim(spark: SparkSession, path: str, content: str) -> bool:
+    """Create a small file with its content; ``False`` if the name is taken already."""
+    target, fs = _file_system(spark, path)
+    if fs.exists(target):
+        return False
+    try:
+        stream = fs.create(target, False)
+    except Py4JJavaError:
+        if fs.exists(target):
+            return False
+        raise
+    try:
+        stream.write(bytearray(content.encode()))
+    finally:
+        stream.close()
+    return True
+
+
+def complete_batches(spark: SparkSession, root: str) -> list[str] | None:
+    """Folders of the complete numbered batches; ``None`` for a table without plans of them."""
+    names = list_names(spark, root)
+    if "_plans" not in names:
+        return None
+    return [
+        f"{root}/{n}" for n in names
+        if n.startswith("batch=") and exists(spark, f"{root}/{n}/_SUCCESS")
+    ]
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     """Whether a table stands there; versions without a pointer are none."""
-    target, fs = _file_system(spark, path)
-    if not fs.exists(target):
+    if not exists(spark, path):
         return False
-    versions, _ = _file_system(spark, f"{path}/{_VERSIONS}")
-    return not fs.exists(versions) or current_version(spark, path) is not None
+    return not exists(spark, f"{path}/{_VERSIONS}") or current_parts(spark, path) is not None
 
 
 _VERSIONS, _POINTERS = "_versions", "_pointers"
 
 
 def _pointers(spark: SparkSession, path: str) -> list[str]:
-    """Names ``{number}-{version}`` of the pointers, oldest first."""
-    folder, fs = _file_system(spark, f"{path}/{_POINTERS}")
-    if not fs.exists(folder):
-        return []
-    return sorted(s.getPath().getName() for s in fs.listStatus(folder))
+    """Names of the pointers, which are numbers, oldest first."""
+    return list_names(spark, f"{path}/{_POINTERS}")
+
+
+Parts = list[tuple[str, str]]
+
+
+def _folders(text: str) -> Parts:
+    """Label and folder of each part that a pointer names; a table in one part has no label."""
+    return [(label, folder) for label, _, folder in (x.rpartition("\t") for x in text.split("\n"))]
+
+
+def current_parts(spark: SparkSession, path: str) -> Parts | None:
+    """Labels and folders of the parts that count, or ``None`` for a table without versions."""
+    for name in reversed(_pointers(spark, path)):
+        if text := read_text(spark, f"{path}/{_POINTERS}/{name}"):
+            return [(label, version_path(path, folder)) for label, folder in _folders(text)]
+    return None
 
 
 def current_version(spark: SparkSession, path: str) -> str | None:
-    """The folder of the version that counts, or ``None`` for a table without versions."""
-    names = _pointers(spark, path)
-    return f"{path}/{_VERSIONS}/{names[-1].split('-', 1)[1]}" if names else None
+    """The folder of a table in one part, or ``None`` for a table without versions."""
+    parts = current_parts(spark, path)
+    if parts and len(parts) > 1:
+        raise ValueError(f"{path} is a table of several parts")
+    return parts[0][1] if parts else None
 
 
 def replace_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> str:
     """Replace a table, also by rows derived from itself.
 
     The new rows are written to a folder of their own; only when they are complete does a new
-    pointer, an empty file whose name says the version, make them the table. Nothing is moved,
-    so this holds on object stores too, and whoever stops before the pointer leaves the old
-    table as it was. The version before stays for readers that are under way; older ones go.
+    pointer, a small file that names the version, make them the table. Nothing is moved, so this
+    holds on object stores too, and whoever stops before the pointer leaves the old table as it
+    was. The version before stays for readers that are under way; older ones go. Of two writers
+    that began from one version, the second is refused.
     """
     spark = df.sparkSession
-    version = uuid.uuid4().hex
+    seen = next_pointer(spark, path)
+    version = new_version()
     write_table(df, f"{path}/{_VERSIONS}/{version}", "errorifexists", partition_by)
-    switch_version(spark, path, version)
+    switch_version(spark, path, version, seen)
     return path
 
 
-def switch_version(spark: SparkSession, path: str, version: str) -> None:
-    """Make a complete version the current one."""
+def new_version() -> str:
+    return uuid.uuid4().hex
+
+
+def version_path(path: str, version: str) -> str:
+    return f"{path}/{_VERSIONS}/{version}"
+
+
+def next_pointer(spark: SparkSession, path: str) -> int:
+    """The number that the next version will have; a writer asks before it reads the table."""
     names = _pointers(spark, path)
-    number = int(names[-1].split("-", 1)[0]) + 1 if names else 0
-    pointer, fs = _file_system(spark, f"{path}/{_POINTERS}/{number:012d}-{version}")
-    if not fs.createNewFile(pointer):
+    return int(names[-1]) + 1 if names else 0
+
+
+def switch_version(spark: SparkSession, path: str, version: str, number: int) -> None:
+    """Make a complete version the current one, unless another writer took the number."""
+    replace_parts(spark, path, [("", version)], number)
+
+
+def replace_parts(spark: SparkSession, path: str, parts: Parts, number: int) -> None:
+    """Make complete folders, named below the versions of the table, the current state.
+
+    Parts that stay are named again; their files are not touched. Folders that neither this
+    state nor the one before names are deleted.
+    """
+    names = _pointers(spark, path)
+    later = names and int(names[-1]) >= number
+    text = "\n".join(f"{label}\t{folder}" if label else folder for label, folder in parts)
+    if later or not claim(spark, f"{path}/{_POINTERS}/{number:012d}", text):
         raise RuntimeError(f"another writer replaced {path} meanwhile")
+    kept = {folder for _, folder in parts}
+    if names:
+        kept |= {folder for _, folder in _folders(read_text(spark, f"{path}/{_POINTERS}/{names[-1]}"))}
     for name in names[:-1]:
-        for old in (f"{path}/{_VERSIONS}/{name.split('-', 1)[1]}", f"{path}/{_POINTERS}/{name}"):
-            fs.delete(_file_system(spark, old)[0], True)
+        pointer = f"{path}/{_POINTERS}/{name}"
+        for _, folder in _folders(read_text(spark, pointer)):
+            if folder and folder not in kept:
+                remove(spark, version_path(path, folder))
+        remove(spark, pointer)
     spark.catalog.refreshByPath(path)
 
 
-def store_mark(spark: SparkSession, path: str, mark: object) -> None:
-    """Keep a high-water mark as a small table with versions."""
-    replace_table(spark.createDataFrame([(mark,)], ["mark"]).coalesce(1), path)
-
-
-def stored_mark(spark: SparkSession, path: str):
-    """The kept mark, or ``None``."""
-    return read_table(spark, path).first()["mark"] if table_exists(spark, path) else None
+def remove(spark: SparkSession, path: str) -> None:
+    target, fs = _file_system(spark, path)
+    fs.delete(target, True)
 
 
 def append_table(
@@ -137,16 +237,25 @@ def append_table(
 ) -> str:
     """Append rows; new columns are kept (read them with ``read_table(evolving=True)``).
 
-    Plain append repeats rows that are loaded twice. ``dedupe_keys`` leaves out
-    rows whose key is already there and keeps one row per key of the batch.
+    With a ``batch_id`` the rows go to a folder of that name, which a repeat overwrites, so a load
+    that stopped, or is run again, gives each row once. Without one, rows loaded twice are there twice.
+    ``dedupe_keys`` leaves out rows whose key other batches have and keeps one row per key.
     """
     spark = df.sparkSession
-    if batch_id is not None:
-        df = df.withColumn("_ingestion_batch_id", F.lit(batch_id))
+    root = current_version(spark, path) or path
     if dedupe_keys:
         old = read_table(spark, path) if table_exists(spark, path) else None
+        if old is not None and batch_id is not None and BATCH in old.columns:
+            old = old.filter(~F.col(BATCH).eqNullSafe(batch_id))
         df = append_new(old, df, dedupe_keys, order)
-    return write_table(df, current_version(spark, path) or path, "append", partition_by)
+    if batch_id is None:
+        return write_table(df, root, "append", partition_by)
+    write_table(df, f"{root}/{BATCH}={quote(batch_id, safe='')}", "overwrite", partition_by)
+    return root
+
+
+#: Column, and folder, of the batch that brought a row.
+BATCH = "_ingestion_batch_id"
 
 
 def append_new(
