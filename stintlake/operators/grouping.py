@@ -2,10 +2,14 @@
 
 A plain window sends all rows of a group to one task. That is the best plan where keys bound a
 group, and no plan at all once one session or driver holds a third of a large table. So a
-caller whose groups are not bounded names slices: an expression that rises with the order, such
-as the whole second of a lap time or the month of a start. A window then covers one slice of a
-group, and the totals of earlier slices, one row per group and slice, are joined to it. There is
-one way for groups of any size, and it is one lazy plan: nothing runs while it is built.
+caller whose groups are not bounded names slices, from coarse to fine: expressions that rise with the
+order, such as the whole second of a lap time and then the time itself with the driver, or the
+day of a start and then its second. A window covers the rows of one finest slice. The totals of earlier
+slices, one row per group and slice, are added up level by level, so that a window of theirs covers
+the slices within the next coarser one only: seconds of a day, days of a group. Slices follow
+the values down to single ones, wherever rows crowd, and the number of values at a level bounds every
+window above the finest. There is one way for groups of any size, in one lazy plan; nothing runs
+while it is built, and all parts of it agree, since slices depend on the row alone.
 """
 
 from __future__ import annotations
@@ -17,7 +21,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-_SLICE = "_slice"
+def _sliced(df: DataFrame, slices: Column | Sequence[Column]) -> tuple[DataFrame, list[str]]:
+    levels = [slices] if isinstance(slices, Column) else list(slices)
+    names = [f"_slice{i}" for i in range(len(levels))]
+    return df.withColumns(dict(zip(names, levels))), names
 
 
 def join_same(
@@ -39,35 +46,43 @@ def running_sums(
     keys: Sequence[str],
     order: Sequence[Column],
     sums: dict[str, Column],
-    slices: Column | None = None,
+    slices: Column | Sequence[Column] | None = None,
 ) -> DataFrame:
     """Add, per output name, the sum of an expression over the group up to the row.
 
     ``order`` should be total within a group; rows that tie are numbered in any order.
-    ``slices`` must never fall along ``order`` (NULL is lowest). It may be left out only if
-    keys bound the rows of a group.
+    ``slices`` must never fall along ``order`` (NULL is lowest), each level within the one before. They
+    may be left out only if keys bound the rows of a group.
     """
     upto = [Window.unboundedPreceding, 0]
     if slices is None:
         window = Window.partitionBy(*keys).orderBy(*order).rowsBetween(*upto)
         return df.select("*", *[F.sum(e).over(window).alias(n) for n, e in sums.items()])
-    sliced = df.withColumn(_SLICE, slices)
-    window = Window.partitionBy(*keys, _SLICE).orderBy(*order).rowsBetween(*upto)
+    sliced, names = _sliced(df, slices)
+    window = Window.partitionBy(*keys, *names).orderBy(*order).rowsBetween(*upto)
     local = sliced.select("*", *[F.sum(e).over(window).alias(f"_l_{n}") for n, e in sums.items()])
-    totals = sliced.groupBy(*keys, _SLICE).agg(
-        *[F.sum(e).alias(f"_t_{n}") for n, e in sums.items()]
+    totals = sliced.groupBy(*keys, *names).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
+    offsets = _before(totals, keys, names, list(sums)).withColumnsRenamed({n: f"_o_{n}" for n in sums})
+    return join_same(local, offsets, [*keys, *names]).select(
+        *df.columns, *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums]
     )
-    # One row per group and slice: the number of slices bounds this window.
-    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(
-        *keys, _SLICE, *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in sums]
+
+
+def _before(
+    totals: DataFrame, keys: Sequence[str], names: Sequence[str], sums: Sequence[str]
+) -> DataFrame:
+    """For each slice the sums of all earlier slices of its group, under the same names."""
+    *outer, inner = names
+    earlier = Window.partitionBy(*keys, *outer).orderBy(inner).rowsBetween(Window.unboundedPreceding, -1)
+    own = totals.select(
+        *keys, *names, *[F.coalesce(F.sum(n).over(earlier), F.lit(0)).alias(n) for n in sums]
     )
-    return join_same(local, offsets, [*keys, _SLICE]).select(
-        *df.columns,
-        *[
-            (F.col(f"_l_{n}") + F.coalesce(F.col(f"_o_{n}"), F.lit(0))).alias(n)
-            for n in sums
-        ],
+    if not outer:
+        return own
+    whole = totals.groupBy(*keys, *outer).agg(*[F.sum(n).alias(n) for n in sums])
+    above = _before(whole, keys, outer, sums).withColumnsRenamed({n: f"_a_{n}" for n in sums})
+    return join_same(own, above, [*keys, *outer]).select(
+        *keys, *names, *[(F.col(n) + F.col(f"_a_{n}")).alias(n) for n in sums]
     )
 
 
@@ -76,7 +91,7 @@ def row_numbers(
     keys: Sequence[str],
     order: Sequence[Column],
     name: str = "row_number",
-    slices: Column | None = None,
+    slices: Column | Sequence[Column] | None = None,
 ) -> DataFrame:
     """Number the rows of each group from 1 in the given order; see :func:`running_sums`."""
     if slices is None:
@@ -98,7 +113,7 @@ def ranks(
 
     ``ties``: ``row_number`` (the tie-break decides), ``rank`` (equal measures share
     the lowest number) or ``dense_rank`` (as ``rank``, without gaps). Slices are the whole
-    part of the measure; rows without one are sliced by the first tie-break.
+    part of the measure, and within it the measure with the first tie-break.
     """
     col = F.col(measure)
     first = col.asc_nulls_first() if nulls == "first" else col.asc_nulls_last()
@@ -106,8 +121,8 @@ def ranks(
     whole = F.floor(col)
     if ties == "row_number":
         order = [first, *[F.col(c) for c in tie_break]]
-        finer = F.when(col.isNull(), F.col(tie_break[0])) if tie_break else F.lit(None).cast("int")
-        return row_numbers(df, keys, order, name, F.struct(missing, whole, finer))
+        finer = F.struct(col, *[F.col(c) for c in tie_break[:1]])
+        return row_numbers(df, keys, order, name, [F.struct(missing, whole), finer])
     # Ranks of ties depend on the measure alone: rank the distinct values, join back.
     values = df.groupBy(*keys, measure).agg(F.count("*").alias("_rows"))
     add = F.col("_rows") if ties == "rank" else F.lit(1).cast("long")
@@ -122,72 +137,44 @@ def with_previous(
     keys: Sequence[str],
     order: Sequence[str],
     values: dict[str, str],
-    slices: Column | None = None,
+    slices: Column | Sequence[Column] | None = None,
     descending: bool = False,
 ) -> DataFrame:
     """Add values of the preceding row of the group: ``{new name: column}``.
 
     ``order`` must be total within a group (NULL is lowest); ``slices`` as in
-    :func:`running_sums`. The first row of a slice takes the last row of the slice before, one
-    row per group and slice.
+    :func:`running_sums`. The first row of a slice takes the last row of the slice before.
     """
-    rising = [F.col(c).asc_nulls_first() for c in order]
-    falling = [F.col(c).desc_nulls_last() for c in order]
-    forth, back = (falling, rising) if descending else (rising, falling)
+    forth = [F.col(c).desc_nulls_last() if descending else F.col(c).asc_nulls_first() for c in order]
     if slices is None:
         window = Window.partitionBy(*keys).orderBy(*forth)
         return df.select("*", *[F.lag(c).over(window).alias(n) for n, c in values.items()])
-    sliced = df.withColumn(_SLICE, slices)
-    window = Window.partitionBy(*keys, _SLICE).orderBy(*forth)
-    number = F.row_number().over(window)
+    sliced, names = _sliced(df, slices)
+    window = Window.partitionBy(*keys, *names).orderBy(*forth)
+    both = F.struct(*[F.col(c).alias(n) for n, c in values.items()])
     local = sliced.select(
-        "*", number.alias("_n"), *[F.lag(c).over(window).alias(f"_p_{n}") for n, c in values.items()]
+        "*", F.row_number().over(window).alias("_n"), F.lag(both).over(window).alias("_p")
     )
-    # WindowGroupLimit leaves one row per slice in each task before the shuffle.
-    backwards = Window.partitionBy(*keys, _SLICE).orderBy(*back)
-    last = sliced.withColumn("_n", F.row_number().over(backwards)).filter("_n = 1")
-    by_slice = Window.partitionBy(*keys).orderBy(_SLICE)
-    earlier = last.select(
-        *keys, _SLICE, *[F.lag(c).over(by_slice).alias(f"_e_{n}") for n, c in values.items()]
-    )
-    return join_same(local, earlier, [*keys, _SLICE]).select(
+    pick = F.min_by if descending else F.max_by
+    ends = sliced.groupBy(*keys, *names).agg(pick(both, F.struct(*order)).alias("_end"))
+    return join_same(local, _entering(ends, keys, names), [*keys, *names]).select(
         *df.columns,
-        *[
-            F.when(F.col("_n") == 1, F.col(f"_e_{n}")).otherwise(F.col(f"_p_{n}")).alias(n)
-            for n in values
-        ],
+        *[F.when(F.col("_n") == 1, F.col(f"_before.{n}")).otherwise(F.col(f"_p.{n}")).alias(n) for n in values],
     )
 
 
-def with_last(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str],
-    value: str,
-    name: str,
-    slices: Column,
-) -> DataFrame:
-    """Add the last value that is not NULL, of the row itself or of one before it in its group.
-
-    ``order`` and ``slices`` as in :func:`with_previous`; a slice that begins without a value
-    takes the last one of the slices before, one row per group and slice.
-    """
-    sliced = df.withColumn(_SLICE, slices)
-    upto = [Window.unboundedPreceding, 0]
-    rising = [F.col(c).asc_nulls_first() for c in order]
-    window = Window.partitionBy(*keys, _SLICE).orderBy(*rising).rowsBetween(*upto)
-    local = sliced.withColumn("_local", F.last(value, ignorenulls=True).over(window))
-    ends = sliced.filter(F.col(value).isNotNull()).groupBy(*keys, _SLICE).agg(
-        F.max_by(value, F.struct(*order)).alias("_end")
-    )
-    # Every slice of a group asks for the ends before it, also a slice without one.
-    all_slices = sliced.select(*keys, _SLICE).distinct()
-    before = Window.partitionBy(*keys).orderBy(_SLICE).rowsBetween(Window.unboundedPreceding, -1)
-    earlier = join_same(
-        all_slices, ends, [*keys, _SLICE], "left"
-    ).select(*keys, _SLICE, F.last("_end", ignorenulls=True).over(before).alias("_earlier"))
-    return join_same(local, earlier, [*keys, _SLICE]).select(
-        *df.columns, F.coalesce("_local", "_earlier").alias(name)
+def _entering(ends: DataFrame, keys: Sequence[str], names: Sequence[str]) -> DataFrame:
+    """For each slice, as ``_before``, the ``_end`` of the slice before it in its group."""
+    *outer, inner = names
+    rising = Window.partitionBy(*keys, *outer).orderBy(inner)
+    own = ends.select(*keys, *names, F.lag("_end").over(rising).alias("_before"))
+    if not outer:
+        return own
+    # The first slice within a coarser one takes the end of the coarser one before.
+    last = ends.groupBy(*keys, *outer).agg(F.max_by("_end", F.struct(inner)).alias("_end"))
+    above = _entering(last, keys, outer).withColumnRenamed("_before", "_above")
+    return join_same(own, above, [*keys, *outer]).select(
+        *keys, *names, F.coalesce("_before", "_above").alias("_before")
     )
 
 

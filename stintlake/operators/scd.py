@@ -6,12 +6,16 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from stintlake.functions import columns as C
 from stintlake.operators.dedupe import latest_per_key
-from stintlake.operators.grouping import running_sums, with_last, with_previous
+from stintlake.operators.grouping import running_sums, with_previous
+from stintlake.session import stage
 
 FOREVER = "9999-12-31"
+#: Versions of one key and month that an as-of lookup holds together.
+PAGE = 1024
 
 
 def snapshot(
@@ -61,9 +65,13 @@ def snapshot(
     return closed.unionByName(versions)
 
 
-def _month(ts: str, sign: int = 1) -> Column:
-    """The month of a time as a number that rises (or falls) with it: slices of a history."""
-    return F.lit(sign) * (F.year(ts) * 12 + F.month(ts))
+def _times(ts: str, sign: int = 1) -> list[Column]:
+    """The day and the second of a time as numbers that rise (or fall) with it: slices of a history."""
+    return [F.lit(sign) * F.unix_date(F.to_date(ts)), F.lit(sign) * F.unix_seconds(ts)]
+
+
+def _month(ts: Column) -> Column:
+    return F.year(ts) * 12 + F.month(ts)
 
 
 def scd2_from_history(
@@ -76,7 +84,8 @@ def scd2_from_history(
     """Versions with closed intervals: one per run of equal tracked attributes of a key.
 
     Rows are first reduced to one per key and time. Attributes are compared column by column,
-    NULL equal to NULL. A version lasts until the next one starts; the last is current.
+    NULL equal to NULL. A version lasts until the next one starts; the last is current. The rows
+    at which something changes are written once before their ends are looked up.
     """
     rows = latest_per_key(
         df.dropna(subset=[key, ts]),
@@ -85,11 +94,12 @@ def scd2_from_history(
         tracked,
     ).select(key, F.col(ts).alias("valid_from"), F.struct(*tracked).alias("_state"))
     seen = with_previous(
-        rows, [key], ["valid_from"], {"_before": "_state"}, _month("valid_from")
+        rows, [key], ["valid_from"], {"_before_state": "_state"}, _times("valid_from")
     )
-    changes = seen.filter(~F.col("_before").eqNullSafe(F.col("_state"))).drop("_before")
+    changes = seen.filter(~F.col("_before_state").eqNullSafe(F.col("_state"))).drop("_before_state")
+    changes = stage(changes, "history")  # few rows of many, needed several times
     ended = with_previous(
-        changes, [key], ["valid_from"], {"valid_to": "valid_from"}, _month("valid_from", -1),
+        changes, [key], ["valid_from"], {"valid_to": "valid_from"}, _times("valid_from", -1),
         descending=True,
     )
     return ended.select(
@@ -108,42 +118,37 @@ def asof_join(
 ) -> DataFrame:
     """Facts with the dimension rows valid at their time (both ends included).
 
-    The versions of a key must not overlap beyond their ends. Versions and facts of a key are
-    put in one order and the version that started last is carried forward, so the work follows
-    the rows of both sides and not their product; histories are cut into months, so a key with
-    very many facts spreads. A fact at the very end of a version also gets that version.
+    Versions are laid out once for each month that they cover, up to the month of the last fact, and
+    those of a key and month are held together in time order, ``PAGE`` at a time. A fact asks for the
+    versions of its key and month, so facts are read once beside the search for their last month and are
+    never sorted, and a key with very many facts is split like any skewed join.
     """
     attributes = [c for c in dim.columns if c != key]
-    versions = with_previous(
-        dim.filter(F.col(key).isNotNull() & F.col(from_col).isNotNull()).select(
-            key, from_col, F.struct(*attributes).alias("_now")
-        ),
-        [key], [from_col], {"_before": "_now"}, _month(from_col),
-    ).select(
-        key, F.col(from_col).alias("_at"), F.lit(0).alias("_kind"),
-        F.struct("_now", "_before").alias("_version"),
+    until = F.coalesce(F.col(to_col), F.lit(FOREVER).cast("timestamp"))
+    last = fact.agg(F.max(_month(F.col(fact_ts)))).scalar()
+    covered = dim.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("_key"), F.col(from_col).alias("_from"), until.alias("_to"),
+        F.struct(*attributes).alias("_version"), _month(F.col(from_col)).alias("_first"),
+        F.least(_month(until), last).alias("_last"),
+    ).filter("_first <= _last")
+    months = covered.withColumn("_at_month", F.explode(F.sequence("_first", "_last")))
+    place = F.row_number().over(Window.partitionBy("_key", "_at_month").orderBy("_from"))
+    pages = months.withColumn("_page", F.floor(place / PAGE)).groupBy("_key", "_at_month", "_page").agg(
+        F.min("_from").alias("_low"), F.max("_to").alias("_high"),
+        F.collect_list(F.struct("_from", "_to", "_version")).alias("_versions"),
     )
-    facts = fact.filter(F.col(key).isNotNull() & F.col(fact_ts).isNotNull()).select(
-        key, F.col(fact_ts).alias("_at"), F.lit(1).alias("_kind"), F.struct(*fact.columns).alias("_fact")
+    facts = fact.filter(F.col(key).isNotNull()).select(
+        F.struct(*fact.columns).alias("_fact"), F.col(key).alias("_fact_key"),
+        F.col(fact_ts).alias("_time"), _month(F.col(fact_ts)).alias("_fact_month"),
     )
-    events = versions.unionByName(facts, allowMissingColumns=True)
-    carried = with_last(events, [key], ["_at", "_kind"], "_version", "_found", _month("_at"))
-    forever = F.lit(FOREVER).cast("timestamp")
-
-    def valid(version: str) -> Column:
-        return F.col("_at").between(
-            F.col(f"{version}.{from_col}"), F.coalesce(F.col(f"{version}.{to_col}"), forever)
-        )
-
-    matches = F.array(
-        F.when(valid("_found._now"), F.col("_found._now")),
-        F.when(valid("_found._before"), F.col("_found._before")),
+    on = (
+        (F.col("_fact_key") == F.col("_key")) & (F.col("_fact_month") == F.col("_at_month"))
+        & F.col("_time").between(F.col("_low"), F.col("_high"))
     )
-    return carried.filter("_kind = 1").select(
-        "_fact", F.explode(F.array_compact(matches)).alias("_match")
-    ).select(
+    valid = F.filter("_versions", lambda v: F.col("_time").between(v["_from"], v["_to"]))
+    return facts.join(pages, on).select("_fact", F.explode(valid).alias("_match")).select(
         *[F.col(f"_fact.{c}").alias(c) for c in [key, *[c for c in fact.columns if c != key]]],
-        *[F.col(f"_match.{c}").alias(c) for c in attributes],
+        *[F.col(f"_match._version.{c}").alias(c) for c in attributes],
     )
 
 
@@ -176,7 +181,10 @@ def version_overlaps(
             "_starts": F.when(F.col("_kind") == 1, F.col("_n")).otherwise(zero),
             "_ends": F.when(F.col("_kind") == 0, F.col("_n")).otherwise(zero),
         },
-        _month("_t"),
+        [
+            F.unix_date(F.to_date("_t")), F.struct("_t", "_kind"),
+            F.unix_date(F.to_date(F.when(F.col("_kind") == 1, F.col("_e")).otherwise(F.col("_s")))),
+        ],
     )
     # At an end, all starts before it are counted; at a start, all ends up to it.
     return (

@@ -55,8 +55,9 @@ def rank_laps(silver_laps: DataFrame, nulls: str = "first") -> DataFrame:
     """Add the lap sequence per driver, the lap-time rank per session and the personal best.
 
     Invalid and untimed laps take ranks too, but show none; untimed laps come first
-    unless ``nulls="last"``. Laps of a session are ranked in slices, by whole second or, without
-    a time, by driver; the laps of one driver in one session are few, and need no slices.
+    unless ``nulls="last"``. Laps of a session are ranked in slices, by whole second and within it by
+    time and driver, so neither a session nor one lap time has to fit a task; the laps of one
+    driver in one session are few, and need no slices.
     """
     time, number = F.col("lap_duration"), F.col("lap_number")
     by_time = time.asc_nulls_first() if nulls == "first" else time.asc_nulls_last()
@@ -67,7 +68,7 @@ def rank_laps(silver_laps: DataFrame, nulls: str = "first") -> DataFrame:
     ]
     time_order = [by_time, F.col("driver_number"), *lap_order]
     missing = time.isNull() if nulls == "last" else time.isNotNull()
-    slices = F.struct(missing, F.floor(time), F.when(time.isNull(), F.col("driver_number")))
+    slices = [F.struct(missing, F.floor(time)), F.struct(time, "driver_number")]
     driver = Window.partitionBy("session_key", "driver_number")
     valid_time = F.when(F.col("is_valid_lap"), time)
 

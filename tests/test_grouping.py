@@ -13,7 +13,6 @@ from stintlake.operators.grouping import (
     row_numbers,
     running_sums,
     with_group_value,
-    with_last,
     with_previous,
 )
 
@@ -32,9 +31,11 @@ def order():
     return [F.col("v").asc_nulls_first(), F.col("id")]
 
 
-@pytest.mark.parametrize("slices", [None, "floor(v)", "struct(v, floor(id / 10))"])
+@pytest.mark.parametrize("slices", [
+    None, "floor(v)", ["floor(v)", "struct(v, floor(id / 10))"], ["isnotnull(v)", "floor(v)", "v", "id"],
+])
 def test_row_numbers(spark, slices):
-    by = None if slices is None else F.expr(slices)
+    by = [F.expr(x) for x in slices] if isinstance(slices, list) else slices and F.expr(slices)
     got = row_numbers(skewed(spark), ["k"], order(), "n", by).collect()
     want = {}
     for r in skewed(spark).collect():
@@ -59,7 +60,8 @@ def test_copies_of_one_row(spark):
 @given(st.lists(st.tuples(st.integers(0, 2), st.integers(0, 9)), min_size=1, max_size=40))
 def test_running_sums(spark, pairs):
     df = spark.createDataFrame([(k, v, i) for i, (k, v) in enumerate(pairs)], "k int, v long, id int")
-    got = running_sums(df, ["k"], [F.col("v"), F.col("id")], {"s": F.col("v")}, F.floor(F.col("v") / 3))
+    levels = [F.floor(F.col("v") / 5), F.floor(F.col("v") / 3), F.col("v")]
+    got = running_sums(df, ["k"], [F.col("v"), F.col("id")], {"s": F.col("v")}, levels)
     want, totals = {}, {}
     for k, v, i in sorted((k, v, i) for i, (k, v) in enumerate(pairs)):
         totals[k] = totals.get(k, 0) + v
@@ -86,7 +88,7 @@ def test_with_previous(spark, rows, descending):
     df = skewed(spark).dropDuplicates(["k", "v", "id"])
     sign = -1 if descending else 1
     # NULL is lowest: it comes first going up, and last going down.
-    slices = F.coalesce(F.floor("v"), F.lit(-1)) * sign
+    slices = [F.coalesce(F.floor("v"), F.lit(-1)) * sign, F.coalesce("v", F.lit(-1)) * sign, F.floor(F.col("id") / 5) * sign]
     plain = with_previous(df, ["k"], ["v", "id"], {"before": "id"}, None, descending)
     sliced = with_previous(df, ["k"], ["v", "id"], {"before": "id"}, slices, descending)
     how = "v desc nulls last, id desc" if descending else "v nulls first, id"
@@ -95,15 +97,6 @@ def test_with_previous(spark, rows, descending):
     assert rows(sliced, "k", "v", "id", "before") == rows(want)
 
 
-def test_with_last(spark, rows):
-    df = skewed(spark).dropDuplicates(["k", "id"]).withColumn("v", F.when(F.col("id") % 3 == 0, F.col("v")))
-    got = with_last(df, ["k"], ["id"], "v", "last", F.floor(F.col("id") / 7))
-    want = df.selectExpr(
-        "k", "v", "id", "last(v, true) over (partition by k order by id rows unbounded preceding) as last"
-    )
-    assert rows(got, "k", "v", "id", "last") == rows(want)
-
-
 def test_group_value_keeps_every_row(spark, rows):
     df = skewed(spark)
     got = with_group_value(df, ["k"], F.min("v"), "low")
@@ -124,3 +117,25 @@ def test_duplicate_keys(spark):
     df = spark.createDataFrame([(1, 1), (1, 1), (2, 1), (None, 1), (None, 1)], "a int, b int")
     got = {r.a: r.duplicate_count for r in duplicate_keys(df, ["a"]).collect()}
     assert got == {1: 2, None: 2}
+
+
+def test_no_slice_is_large(spark):
+    """Half of all rows in one session and a third in one lap time: windows stay small.
+
+    The finest slices and the slices within a coarser one are what a window covers.
+    """
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 2 == 0, 1).otherwise(F.col("id") % 97).alias("k"),
+        F.when(F.col("id") % 3 == 0, 90.0).otherwise(60 + F.col("id") * 7919 % 30_000 / 1000).alias("v"),
+        (F.col("id") % 500).alias("driver"),
+    )
+    levels = df.select("k", F.floor("v").alias("a"), F.struct("v", "driver").alias("b"))
+    finest = levels.groupBy("k", "a", "b").count()
+    inner = finest.groupBy("k", "a").count()
+    outer = inner.groupBy("k").count()
+    assert max(x.agg(F.max("count")).first()[0] for x in (finest, inner, outer)) <= 1000
+    got = ranks(df, ["k"], "v", "row_number", ["driver"], "first", "n")
+    numbered = got.groupBy("k").agg(
+        (F.max("n") == F.count("*")).alias("whole"), (F.count_distinct("n") == F.count("*")).alias("once")
+    )
+    assert numbered.filter("NOT whole OR NOT once").count() == 0
