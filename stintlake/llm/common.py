@@ -6,7 +6,8 @@ import os
 import shutil
 import string
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
+from functools import cache
 from pathlib import Path
 
 import numpy as np
@@ -21,8 +22,8 @@ from stintlake.session import stage
 LOWER = bytes(range(256)).lower()
 
 __all__ = [
-    "LOWER", "ascii_lower", "crc_remainder", "documents", "drop_extra", "mix64", "ship", "stage",
-    "string_array", "table", "text_bytes", "word_hash",
+    "LOWER", "ascii_lower", "crc_remainder", "documents", "drop_extra", "lean", "mix64", "on_release",
+    "ship", "stage", "string_array", "table", "text_bytes", "word_hash",
 ]
 
 
@@ -105,3 +106,47 @@ def word_hash(word: bytes) -> int:
 
 def crc32(data: bytes) -> int:
     return zlib.crc32(data)
+
+
+# Memory of Python workers, which Spark uses again for later stages
+
+_RELEASE: dict[str, Callable[[], None]] = {}
+
+
+def on_release(owner: str, empty: Callable[[], None]) -> None:
+    """Say how to empty the memo of an owner, for when a worker turns to something else."""
+    _RELEASE[owner] = empty
+
+
+@cache
+def _libc():
+    import ctypes
+
+    try:
+        return ctypes.CDLL("libc.so.6")
+    except OSError:
+        return None
+
+
+def _give_back() -> None:
+    """Return freed memory to the system, which keeps idle workers small."""
+    pa.default_memory_pool().release_unused()
+    libc = _libc()
+    if libc is not None and hasattr(libc, "malloc_trim"):
+        libc.malloc_trim(0)
+
+
+def lean(run: Callable, owner: str = "") -> Callable:
+    """``run``, a function of Arrow batches, without what other owners left in the worker before."""
+
+    def tidy(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, empty in _RELEASE.items():
+            if name != owner:
+                empty()
+        _give_back()
+        try:
+            yield from run(batches)
+        finally:
+            _give_back()
+
+    return tidy

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stintlake.llm.common import ascii_lower, stage, text_bytes
+from stintlake.llm.common import ascii_lower, lean, stage, text_bytes
 
 #: Consecutive words that make a hit.
 WINDOW = 10
@@ -234,7 +234,9 @@ def find_matches(
     for number, block in enumerate(blocks):
         if number and number % CHAIN == 0:
             out = stage(out, "matched")
-        out = out.mapInArrow(_searcher(context.broadcast(block), window, at, len(names)), schema)
+        out = out.mapInArrow(
+            lean(_searcher(context.broadcast(block), window, at, len(names))), schema
+        )
         searched = True
     if not searched:  # no item has a word
         return out.withColumn("hit_words", _count_words(F.col("text")))
@@ -330,4 +332,4 @@ def _cut_texts(hits: DataFrame, names: list[str]) -> DataFrame:
                 columns[count] = pc.utf8_length(columns[at]).cast(columns[count].type)
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return hits.select(*names, "hit_spans").mapInArrow(run, schema)
+    return hits.select(*names, "hit_spans").mapInArrow(lean(run), schema)

@@ -44,6 +44,10 @@ class DigestIndex:
     def read(self) -> DataFrame:
         return self.spark.table(self.name)
 
+    def drop(self) -> None:
+        """Forget an index that was made for one batch; results do not read it."""
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
     def append_new(self, groups: DataFrame, batch: str) -> None:
         """Append the digests of ``groups(digest, keep_id)`` that the index does not hold."""
         stored = self.read().select("digest").hint("merge")
@@ -113,19 +117,17 @@ def _one_of_repeated(out: DataFrame) -> DataFrame:
 
 
 def keep_unique(docs: DataFrame, index: DigestIndex) -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    names = docs.columns
+    """The rows of ``docs`` that stay, with all their columns, whatever their names."""
     decided = stage(
-        index.deduplicate(docs).filter("kept").select(
-            F.col("doc_id").alias("_id"), F.col("digest").alias("_kept"), "repeated"
-        ),
-        "kept",
-    )
+        index.deduplicate(docs).filter("kept").select("doc_id", "digest", "repeated"), "kept"
+    ).select(F.struct("*").alias("one"))
     text = ascii_lower(F.coalesce(F.col("text"), F.lit("")))
-    keyed = docs.withColumn("_digest", F.unhex(F.sha2(text.cast("binary"), 256)))
-    same = (F.col("_digest") == F.col("_kept")) & F.col("doc_id").eqNullSafe(F.col("_id"))
+    keyed = docs.select(
+        F.struct("*").alias("row"), F.unhex(F.sha2(text.cast("binary"), 256)).alias("digest")
+    )
+    same = (F.col("digest") == F.col("one.digest")) & F.col("row.doc_id").eqNullSafe(F.col("one.doc_id"))
     rows = keyed.join(decided.hint("shuffle_hash"), same)  # texts are streamed, not sorted
-    if decided.filter("repeated").isEmpty():
-        return rows.select(*names)
-    once = rows.filter("repeated").dropDuplicates(["_digest"])
-    return rows.filter("not repeated").unionByName(once).select(*names)
+    if decided.filter("one.repeated").isEmpty():
+        return rows.select("row.*")
+    once = rows.filter("one.repeated").dropDuplicates(["digest"])
+    return rows.filter("not one.repeated").unionByName(once).select("row.*")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlake.llm.common import LOWER, mix64, stage, text_bytes
+from stintlake.llm.common import LOWER, lean, mix64, on_release, stage, text_bytes
 from stintlake.llm.components import connected
 
 WORDS = 5
@@ -55,13 +55,14 @@ class _Hashes(dict):
     def __missing__(self, word: bytes) -> int:
         import xxhash
 
-        if len(self) > 400_000:
+        if len(self) > 200_000:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
 
-_HASHES = _Hashes()
+_HASHES, _OWNER = _Hashes(), "shingles"
+on_release(_OWNER, _HASHES.clear)
 
 
 def shingles(text: bytes, words: int = WORDS) -> np.ndarray:
@@ -143,7 +144,7 @@ def frequency_sketch(docs: DataFrame, words: int, texts: int = SKETCH_TEXTS) ->
     text = F.col("text")
     sample = docs.filter(F.pmod(F.xxhash64(text, F.lit(5)), F.lit(1 << 20)) < share * (1 << 20))
     rows = (
-        sample.select(text).mapInArrow(run, "slot long, n long")
+        sample.select(text).mapInArrow(lean(run, _OWNER), "slot long, n long")
         .groupBy("slot").agg(F.sum("n").alias("n")).filter(F.col("n") >= SKETCH_LEAST).collect()
     )
     sketch = np.zeros(1 << SKETCH_BITS, np.uint8)
@@ -184,7 +185,7 @@ def describe(docs: DataFrame, sketch, words: int, percent: int) -> DataFrame:
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     key = F.xxhash64(F.col("text")).alias("text_key")
-    return docs.select("doc_id", "text", key).mapInArrow(run, _TEXTS.format(kind=kind))
+    return docs.select("doc_id", "text", key).mapInArrow(lean(run, _OWNER), _TEXTS.format(kind=kind))
 
 
 # Blocks
@@ -213,7 +214,7 @@ def _block_rows(prefixes: DataFrame, sketch, share: float, salt_rows: int) -> Da
                 )
 
     return prefixes.select("node", "n", "keys").mapInArrow(
-        run, "key long, salt int, salted boolean, n int, node long"
+        lean(run, _OWNER), "key long, salt int, salted boolean, n int, node long"
     )
 
 
@@ -267,7 +268,7 @@ def _shared(rows: DataFrame, percent: int, *block: str) -> DataFrame:
             waiting = not out[-1]
             last, lead = [x[-1] for x in t], (first[-1], least[-1])
 
-    return in_order.select(*names).mapInArrow(run, _SHARED)
+    return in_order.select(*names).mapInArrow(lean(run, _OWNER), _SHARED)
 
 
 # Trees
@@ -412,7 +413,7 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
             yield from pairs(pa.Table.from_batches(held))
 
     return in_order.select("key", "n", "node", "component", "point").mapInArrow(
-        run, "a long, b long"
+        lean(run, _OWNER), "a long, b long"
     ).distinct()
 
 
@@ -443,7 +444,7 @@ def _bounded(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             keep = bound >= needed_overlap(n_a.astype(np.int64), n_b.astype(np.int64), percent)
             yield pa.RecordBatch.from_arrays([pa.array(a[keep]), pa.array(b[keep])], ["a", "b"])
 
-    return joined.select("a", "b", "n_a", "n_b", "point_a", "point_b").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "n_a", "n_b", "point_a", "point_b").mapInArrow(lean(run, _OWNER), "a long, b long")
 
 
 #: Bits of the filter that picks the texts to read again.
@@ -496,7 +497,7 @@ def _sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int)
             )
 
     found = docs.select("text", F.xxhash64("text").alias("text_key")).mapInArrow(
-        run, "text_hash binary, words binary"
+        lean(run, _OWNER), "text_hash binary, words binary"
     )
     # equal texts from several tasks: any of them will do
     return stage(
@@ -529,7 +530,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, words: int, percent: int) -> Da
 
     first = pairs.join(sets.toDF("a", "words_a"), "a")
     return first.join(sets.toDF("b", "words_b"), "b").select("a", "b", "words_a", "words_b").mapInArrow(
-        run, "a long, b long"
+        lean(run, _OWNER), "a long, b long"
     )
 
 
@@ -633,19 +634,20 @@ def _labelled(texts: DataFrame, classes: DataFrame, found: DataFrame) -> DataFra
 def keep_one(docs: DataFrame, **options: int) -> DataFrame:
     """One row of ``docs`` for each component, the one it is named after, with all columns.
 
-    Texts without a shingle all stay. Of rows with the same id and text one stays.
+    Texts without a shingle all stay. Of rows with the same id and text one stays. Columns of any
+    name are kept.
     """
-    names = docs.columns
     labels = stage(jaccard_components(docs, **options), "labels")
     chosen = labels.filter("doc_id <=> component_id AND text_key = first_key").groupBy(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_key")
-    ).agg((F.max("n_shingles") > 0).alias("_linked"), F.count("*").alias("_copies"))
-    chosen = stage(chosen, "chosen")
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_key"))
-    keyed = docs.withColumn("_text", F.xxhash64(F.col("text")))
+        F.col("doc_id").alias("id"), F.col("text_key").alias("key")
+    ).agg((F.max("n_shingles") > 0).alias("linked"), F.count("*").alias("copies"))
+    chosen = stage(chosen, "chosen").select(F.struct("*").alias("one"))
+    # Columns of any name lie in one struct, apart from those of the join.
+    keyed = docs.select(F.struct("*").alias("row"), F.xxhash64("text").alias("text_key"))
+    same = F.col("row.doc_id").eqNullSafe(F.col("one.id")) & (F.col("text_key") == F.col("one.key"))
     rows = keyed.join(chosen.hint("shuffle_hash"), same)  # texts are streamed, not sorted
-    several = F.col("_linked") & (F.col("_copies") > 1)
+    several = F.col("one.linked") & (F.col("one.copies") > 1)
     if chosen.filter(several).isEmpty():
-        return rows.select(*names)
-    once = rows.filter(several).dropDuplicates(["_id", "_key"])
-    return rows.filter(~several).unionByName(once).select(*names)
+        return rows.select("row.*")
+    once = rows.filter(several).dropDuplicates(["one"])
+    return rows.filter(~several).unionByName(once).select("row.*")

@@ -18,8 +18,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stintlake.llm.common import stage
-from stintlake.llm.token_ids import END_ID, encode, vocabulary_path, words_of
+from stintlake.llm.common import lean, stage
+from stintlake.llm.token_ids import END_ID, OWNER, encode, vocabulary_path, words_of
 
 WINDOW = 4096
 OPEN_WINDOWS = 64
@@ -150,13 +150,13 @@ def pack_documents(
             rows.window(rest)
         yield rows.take()
 
-    packed = stage(docs.select("doc_id", "text").mapInArrow(pack, PIECES), "packed")
+    packed = stage(docs.select("doc_id", "text").mapInArrow(lean(pack, OWNER), PIECES), "packed")
     left = packed.filter("open")
     groups = max(1, -(-left.select("sequence_id").distinct().count() // merge_group))
     merged = (
         left.repartitionByRange(groups, "sequence_id")
         .sortWithinPartitions("sequence_id", "offset")
-        .mapInArrow(merge, PIECES)
+        .mapInArrow(lean(merge, OWNER), PIECES)
     )
     out = packed.filter("not open").unionByName(merged).drop("open")
     return out if keep_ids else out.drop("ids")

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from stintlake.llm.common import text_bytes
+from stintlake.llm.common import lean, text_bytes
 
 FEATURES = (
     "log_bytes", "upper", "digits", "marks", "sentence_marks", "word_length", "distinct",
@@ -132,7 +132,7 @@ def fit(
 
     kind = docs.schema["doc_id"].dataType.simpleString()
     found = docs.select("doc_id", "text").filter("doc_id IS NOT NULL").mapInArrow(
-        rows, f"doc_id {kind}, x array<double>"
+        lean(rows), f"doc_id {kind}, x array<double>"
     )
     known = (
         labels.filter("quality IN (0, 1)").groupBy("doc_id")
@@ -189,7 +189,7 @@ def score(docs: DataFrame, model: Model, *, column: str = "score") -> DataFrame:
 
     given = docs.select(*kept)
     schema = T.StructType([*given.schema.fields, T.StructField(column, T.DoubleType())])
-    return given.mapInArrow(run, schema)
+    return given.mapInArrow(lean(run), schema)
 
 
 def keep_good(docs: DataFrame, model: Model, *, threshold: float = 0.5) -> DataFrame:
@@ -201,4 +201,4 @@ def keep_good(docs: DataFrame, model: Model, *, threshold: float = 0.5) -> DataF
             keep = model.scores(_matrix(batch.column(at))) >= threshold
             yield pc.filter(batch, pa.array(keep))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(lean(run), docs.schema)

@@ -60,7 +60,9 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_exact_dedup")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     index = exact_dedup.DigestIndex(spark, f"digests_{uuid.uuid4().hex}")
-    return index.deduplicate(documents(spark, sf_dir)).select(
+    found = index.deduplicate(documents(spark, sf_dir))
+    index.drop()
+    return found.select(
         "doc_id", "keep_id", "group_size", "kept",
         F.lower(F.hex("digest")).alias("text_sha256"),
     )

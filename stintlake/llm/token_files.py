@@ -19,7 +19,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from stintlake.llm import range_coder
-from stintlake.llm.token_ids import END_ID
+from stintlake.llm.common import lean
+from stintlake.llm.token_ids import END_ID, OWNER
 from stintlake.llm.token_ids import encode as encode_text
 from stintlake.llm.token_ids import vocabulary_path, words_of
 
@@ -126,7 +127,7 @@ def write_token_files(
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
         .repartitionByRange("doc_id", key).sortWithinPartitions("doc_id", key)
     )
-    ordered.mapInArrow(run, _FILE).write.option("compression", "none").parquet(path)
+    ordered.mapInArrow(lean(run, OWNER), _FILE).write.option("compression", "none").parquet(path)
 
 
 def read_token_files(spark: SparkSession, path: str, *, ids: bool = True) -> DataFrame:
@@ -164,4 +165,4 @@ def read_token_files(spark: SparkSession, path: str, *, ids: bool = True) -> Dat
                     )
 
     schema = "doc_id long, start long, n_tokens long, ids_crc32 long" + ", ids binary" * ids
-    return located.mapInArrow(run, schema)
+    return located.mapInArrow(lean(run, OWNER), schema)

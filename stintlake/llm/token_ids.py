@@ -12,6 +12,10 @@ import os
 from array import array
 from functools import cache
 
+from stintlake.llm.common import on_release
+
+#: Whose memo it is, for :func:`stintlake.llm.common.lean`.
+OWNER = "token ids"
 #: The id that ends each document.
 END_ID = 2
 VOCABULARY = "word_bpe_49k.json"
@@ -62,6 +66,11 @@ class _Words(dict):
             return ids
         return array("I", self.tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
 
+    def forget(self) -> None:
+        self.clear()
+        self.old = {}
+        self.stems.clear()
+
     def __missing__(self, word: str) -> bytes:
         ids = self.old.get(word)
         if ids is None:
@@ -74,10 +83,12 @@ class _Words(dict):
 
 
 @cache
-def words_of(path: str, size: int = 300_000) -> _Words:
+def words_of(path: str, size: int = 150_000) -> _Words:
     """One memo per worker process and vocabulary."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    return _Words(path, size)
+    words = _Words(path, size)
+    on_release(OWNER, words.forget)
+    return words
 
 
 def encode(words: _Words, text: str | None) -> bytes:

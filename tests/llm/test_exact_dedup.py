@@ -57,3 +57,11 @@ def test_keep_unique_keeps_columns(index, docs):
 def test_empty(index, docs):
     assert index.deduplicate(docs()).count() == 0 and index.read().count() == 0
     assert keep_unique(docs(), index).count() == 0
+
+
+def test_columns_of_any_name_are_kept(index, docs):
+    names = ["repeated", "_id", "_kept", "digest", "_digest", "keep_id", "copies", "one", "row", "kept"]
+    df = docs("A", "a", None, "", "B", (4, "B"), "x" * 3_000_000).selectExpr("*", *[f"1 AS {n}" for n in names])
+    out = keep_unique(df, index)
+    assert out.columns == df.columns
+    assert sorted((r.doc_id, len(r.text or "")) for r in out.collect()) == [(1, 1), (3, 0), (4, 1), (6, 3_000_000)]

@@ -108,3 +108,12 @@ def test_components_of_a_path(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, 90), (90, 95), (7, 7)]
     got = {r.node: r.root for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, 100: 90, 95: 90, 90: 90}
+
+
+def test_columns_of_any_name_are_kept(spark, docs):
+    names = ["_id", "_key", "_linked", "_copies", "_text", "one", "row", "text_key", "component_id", "n_shingles"]
+    text = "one two three four five six seven"
+    df = docs(text, text + " eight", None, "", (0, text), "other words here").selectExpr("*", *[f"1 AS {n}" for n in names])
+    out = J.keep_one(df)
+    assert out.columns == df.columns
+    assert sorted(r.doc_id for r in out.collect()) == [0, 2, 3, 5]
