@@ -10,6 +10,7 @@ confidence lie within limits learned from labelled texts that the models have no
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
@@ -33,7 +34,11 @@ UNKNOWN = "und"
 #: Words whose scores a worker keeps.
 MEMO = 400_000
 
-_LETTERS = re.compile(r"[^\W\d_]+")
+#: Signs for numbers, such as fractions and Roman numerals, which count as word characters elsewhere.
+_NUMBERS = "".join(
+    c for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not (c.isalpha() or c.isdecimal())
+)
+_LETTERS = re.compile(rf"[^\W\d_{re.escape(_NUMBERS)}]+")
 _START, _END = "\x02", "\x03"
 _K = np.uint64(0x9E3779B97F4A7C15)
 

@@ -64,3 +64,10 @@ def test_rare_languages_keep_their_texts_for_fitting(spark):
     rows += [(100 + i, f"slowo {'qxz' * (i + 1)} zolw", f"rare{i}") for i in range(40)]
     labelled = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     assert set(L.fit(labelled).languages) == {r[2] for r in rows}
+
+
+def test_letters_are_letters_only(docs, known):
+    out = L.identify(docs("\u00bd", "\u00b2 \u2460", "\u2167", "42 _"), known).collect()
+    assert {r.lang_pred for r in out} == {"und"} and not any(r.accepted for r in out)
+    assert all(L._LETTERS.fullmatch(c) is not None for c in "a\u00e9\u4e00\u0434\u02b0")
+    assert all((L._LETTERS.fullmatch(chr(c)) is not None) == chr(c).isalpha() for c in range(0x3000))
