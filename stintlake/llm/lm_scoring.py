@@ -15,7 +15,6 @@ sequences travel to them as dictionary-coded columns, and nothing passes through
 
 from __future__ import annotations
 
-import gc
 import itertools
 import math
 from collections import Counter
@@ -534,17 +533,10 @@ def train(
     path = fresh_path(spark, "shards")
     with staging(spark):
         shards, total, kinds, back, pairs, common = _write_shards(docs, path, min_count, max_entries, block_words)
-    _release(spark)
     files = spark.read.schema("shard int, data binary").parquet(path)
     return Model(files, shards, total, kinds, math.log10(back), pairs, common)
 
 
-def _release(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of plans that are done; it does so as their objects go."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def _write_shards(docs: DataFrame, path: str, min_count: int, max_entries: int, block_words: int) -> tuple:
     """Number of shards, tokens, words, the weight of a text's start, the filter of pairs, frequent words."""
     spark = docs.sparkSession
@@ -556,7 +548,6 @@ def _write_shards(docs: DataFrame, path: str, min_count: int, max_entries: int,
     frequent = context.broadcast(_bits_of(words.filter(F.col("n") >= min_count).select(F.col("hash").alias("place"))))
     common = context.broadcast(_common_words(words))
     kept = stage(_kept(docs, frequent, common, shards, min_count), "kept")
-    _release(spark)
     pairs = kept.filter("u IS NULL").drop("u", "place")
     triples = kept.filter("u IS NOT NULL").drop("place")
     filter_ = context.broadcast(_bits_of(kept.filter("u IS NULL").select("place")))
@@ -584,7 +575,6 @@ def _write_shards(docs: DataFrame, path: str, min_count: int, max_entries: int,
             (F.log10(F.col("p") / F.col("back") / one) + F.log10("back2")).cast("float").alias("y"),
         ), "pairs",
     )
-    _release(spark)
     contexts = two.select(
         F.col("v").alias("u"), F.col("w").alias("v"), F.col("n").alias("m"), F.col("back2").cast("float").alias("y")
     )
@@ -593,7 +583,6 @@ def _write_shards(docs: DataFrame, path: str, min_count: int, max_entries: int,
             "shard", "u", "v", "w", ((F.col("n") - DISCOUNT) / F.col("m")).alias("x"), "y",
         ), "triples",
     )
-    _release(spark)
     none = F.lit(None).cast("long")
     columns = ["shard", "kind", "u", "v", "w", "n", "x", "y"]
     rows = (
