@@ -741,6 +741,7 @@ BODIES |= {
 
 BODIES |= {
     "snapshot_tables": BODIES["snapshot_drivers"],
+    "gold_changed": BODIES["session_leaderboard"],
     "stream_counts": BODIES["expectation_counts"],
     "load_twice": """
         SELECT session_key, session_name, date_start,

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintlake.operators.incremental import merge_upsert
-from stintlake.plans import gold, marts, silver
+from stintlake.plans import silver
+from stintlake.plans.gold_changes import refresh_gold
 from stintlake.plans.snapshots import driver_snapshot, session_snapshot
 from stintlake.plans.warehouse import BRONZE, Warehouse
 from stintlake.session import stage, staging
@@ -18,7 +19,6 @@ from stintlake.sources.writers import (
     next_pointer,
     read_table,
     remove,
-    replace_table,
     switch_version,
     table_exists,
     version_path,
@@ -27,13 +27,6 @@ from stintlake.sources.writers import (
 from stintlake.streaming.expectations import LAPS_DROP, LAPS_TRACK, LOCATIONS_DROP
 from stintlake.streaming.ingest import append_stream, chain_stream, checked_stream, stream_entity
 
-PARTITIONED = {"fact_laps"}
-
-
-def _write(df: DataFrame, path: str, name: str) -> None:
-    replace_table(df, f"{path}/{name}", ["batch_day"] if name in PARTITIONED else [])
-
-
 def _current(spark: SparkSession, target: str) -> DataFrame | None:
     return read_table(spark, target) if table_exists(spark, target) else None
 
@@ -146,7 +139,7 @@ def refresh_silver(spark: SparkSession, path: str, run_ts: str, full: bool = Fal
         if anew:  # one load of all files, which replaces the table when it is complete
             remove(spark, log)
 
-        def merge(new: DataFrame) -> None:
+        def merge(new: DataFrame, number: int) -> None:
             change_buckets(
                 target, build(new, run_ts), key,
                 lambda old, batch: merge_upsert(old, batch, key, updates), fresh=anew,
@@ -169,28 +162,10 @@ def refresh_silver(spark: SparkSession, path: str, run_ts: str, full: bool = Fal
         switch_version(spark, target, version, number)
 
 
-def refresh_gold(spark: SparkSession, path: str, run_ts: str) -> None:
-    """Rebuild dimensions, facts and marts; each is written before the next reads it."""
-
-    def read(name: str) -> DataFrame:
-        return read_table(spark, f"{path}/{name}")
-
-    _write(gold.build_dim_sessions(read("silver_sessions")), path, "dim_sessions")
-    _write(gold.build_dim_drivers(read("silver_drivers")), path, "dim_drivers")
-    _write(gold.build_fact_laps(read("silver_laps")), path, "fact_laps")
-    inputs = (read("fact_laps"), read("dim_sessions"), read("dim_drivers"))
-    _write(marts.build_driver_session_summary(*inputs, run_ts), path, "driver_session_summary")
-    _write(marts.build_session_leaderboard(*inputs, run_ts), path, "session_leaderboard")
-    _write(
-        marts.build_team_performance(read("driver_session_summary"), run_ts), path,
-        "team_performance",
-    )
-
-
 def build_all(sources: Warehouse, spark: SparkSession, path: str, run_ts: str) -> Warehouse:
     """Full refresh of every table from bronze sources into ``path``."""
     for name in BRONZE:
         write_table(sources.table(name), f"{path}/{name}")
     refresh_silver(spark, path, run_ts, full=True)
-    refresh_gold(spark, path, run_ts)
+    refresh_gold(spark, path, run_ts, full=True)
     return Warehouse.at_path(spark, path)

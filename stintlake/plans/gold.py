@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -81,8 +83,20 @@ def rank_laps(silver_laps: DataFrame, nulls: str = "first") -> DataFrame:
     return out.withColumn("session_lap_time_rank", rank).drop("_time_rank")
 
 
-def build_fact_laps(silver_laps: DataFrame, nulls: str = "first") -> DataFrame:
-    """One row per lap with keys, ranks and the gap to the driver's best lap.
+#: What the fact table takes from the laps as it is; with these columns facts can be laps again.
+LAP_COLUMNS = [
+    "session_key", "meeting_key", "driver_number", "lap_number", "date_start",
+    "lap_duration", "duration_sector_1", "duration_sector_2", "duration_sector_3",
+    "calculated_lap_duration", "sector_duration_delta", "is_pit_out_lap", "is_valid_lap",
+    "intermediate_1_speed", "intermediate_2_speed", "speed_trap_speed", "max_speed",
+    "segments_sector_1", "segments_sector_2", "segments_sector_3", "sector_completeness",
+]
+
+
+def build_fact_laps(
+    silver_laps: DataFrame, nulls: str = "first", carried: Sequence[str] = ()
+) -> DataFrame:
+    """One row per lap with keys, ranks and the gap to the driver's best lap, and ``carried`` columns.
 
     ``is_personal_best_lap`` compares times only, so an invalid lap that equals
     the best valid one is flagged as well.
@@ -92,15 +106,11 @@ def build_fact_laps(silver_laps: DataFrame, nulls: str = "first") -> DataFrame:
         C.surrogate_key("session_key", "driver_number", "lap_number").alias("lap_key"),
         C.surrogate_key("session_key").alias("session_dim_key"),
         C.surrogate_key("driver_number").alias("driver_key"),
-        "session_key", "meeting_key", "driver_number", "lap_number", "date_start",
-        "lap_duration", "duration_sector_1", "duration_sector_2", "duration_sector_3",
-        "calculated_lap_duration", "sector_duration_delta", "is_pit_out_lap", "is_valid_lap",
-        "intermediate_1_speed", "intermediate_2_speed", "speed_trap_speed", "max_speed",
-        "segments_sector_1", "segments_sector_2", "segments_sector_3", "sector_completeness",
+        *LAP_COLUMNS,
         "driver_lap_rank", "session_lap_time_rank", "driver_best_lap_time",
         F.when(F.col("is_valid_lap"), F.col("lap_duration") - best).alias(
             "delta_to_personal_best"
         ),
         C.flag(F.col("lap_duration") == best).alias("is_personal_best_lap"),
-        "batch_day", "session_name", "updated_at",
+        "batch_day", "session_name", "updated_at", *carried,
     )

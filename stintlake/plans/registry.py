@@ -29,10 +29,10 @@ from stintlake.operators.sessions import (
     stamp_children,
 )
 from stintlake.plans import checks, reports, silver
-from stintlake.plans.build import load_new_files, refresh_snapshots
+from stintlake.plans.build import load_new_files, refresh_gold, refresh_silver, refresh_snapshots
 from stintlake.plans.marts import build_team_performance
 from stintlake.plans.snapshots import driver_snapshot, session_snapshot
-from stintlake.plans.warehouse import Warehouse
+from stintlake.plans.warehouse import BRONZE, Warehouse
 from stintlake.session import fresh_path
 from stintlake.sources.batches import append_new_files
 from stintlake.sources.catalog import count_tables
@@ -323,6 +323,26 @@ def _append_resumed(w: Warehouse) -> DataFrame:
     return read_table(spark, target).select(*silver.LAP_KEY, "lap_duration", "batch_day")
 
 
+@query("gold_changed")
+def _gold_changed(w: Warehouse) -> DataFrame:
+    """The leaderboard after two loads, of which the second refreshes gold by its sessions only.
+
+    Drivers of the second load move the driver dimension, and with it sessions of the first.
+    """
+    spark = w.bronze_laps.sparkSession
+    path = fresh_path(spark, "layers")
+
+    def load(which: str) -> None:
+        for name in BRONZE:
+            w.table(name).filter(which).write.mode("append").parquet(f"{path}/{name}")
+        refresh_silver(spark, path, w.run_ts)
+        refresh_gold(spark, path, w.run_ts)
+
+    load("session_key < 199800 OR session_key IS NULL")
+    load("session_key >= 199800")
+    return read_table(spark, f"{path}/session_leaderboard")
+
+
 @query("append_dedupe")
 def _append_dedupe(w: Warehouse) -> DataFrame:
     """Rows to append from a batch that repeats one load of the target."""

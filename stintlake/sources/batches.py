@@ -93,15 +93,23 @@ def append_new_files(
     return loads
 
 
+def any_ended(spark: SparkSession, log: str) -> bool:
+    """Whether a merging load of this log has ended."""
+    return any(n.endswith(_DONE) for n in list_names(spark, f"{log}/{_PLANS}"))
+
+
 def merge_new_files(
-    spark: SparkSession, source: str, log: str, merge: Callable[[DataFrame], None]
+    spark: SparkSession, source: str, log: str, merge: Callable[[DataFrame, int], None]
 ) -> int:
-    """Hand the rows of source files not taken yet to ``merge``, which may be repeated."""
+    """Hand the rows of source files not taken yet to ``merge``, which may be repeated.
+
+    It also gets the number of the load, which is the same when the load is repeated.
+    """
     rows = read_table(spark, source, evolving=True)
     loads = 0
     while load := next_load(spark, rows, log, lambda n: exists(spark, f"{log}/{_PLANS}/{n:012d}{_DONE}")):
         number, files = load
-        merge(_rows_of(spark, rows, current_version(spark, source) or source, files))
+        merge(_rows_of(spark, rows, current_version(spark, source) or source, files), number)
         claim(spark, f"{log}/{_PLANS}/{number:012d}{_DONE}", "done")
         loads += 1
     return loads

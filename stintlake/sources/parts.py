@@ -14,16 +14,18 @@ from pyspark.sql import functions as F
 
 from stintlake.session import stage
 from stintlake.sources.writers import (
+    DIVIDED,
+    KEY_BUCKET,
     current_parts,
     list_names,
     new_version,
     next_pointer,
+    read_folders,
     replace_parts,
     version_path,
 )
 
 BUCKETS = 16
-_BUCKET = "_key_bucket"
 
 
 def bucket_of(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
@@ -33,7 +35,26 @@ def bucket_of(keys: Sequence[str], buckets: int = BUCKETS) -> Column:
 
 def read_parts(spark: SparkSession, folders: Sequence[str]) -> DataFrame | None:
     """The rows of some parts of a table, or ``None`` of none."""
-    return spark.read.option("mergeSchema", True).parquet(*folders) if folders else None
+    return read_folders(spark.read.option("mergeSchema", True), folders) if folders else None
+
+
+def touched_buckets(rows: DataFrame, keys: Sequence[str], buckets: int = BUCKETS) -> set[int]:
+    """The buckets that rows fall into: at most ``buckets`` numbers, whatever the rows."""
+    return {r[0] for r in rows.select(bucket_of(keys, buckets)).distinct().collect()}
+
+
+def in_buckets(spark: SparkSession, path: str, buckets: int) -> bool:
+    """Whether a table stands there that is kept in that many buckets."""
+    stored = current_parts(spark, path)
+    return bool(stored) and all(label.split("/")[0] == str(buckets) for label, _ in stored)
+
+
+def rows_in(spark: SparkSession, path: str, touched: set[int], buckets: int) -> DataFrame:
+    """The rows of some buckets of a table; files of the others are not opened."""
+    stored = current_parts(spark, path) or []
+    labels = {f"{buckets}/{b}" for b in touched}
+    rows = read_parts(spark, [folder for label, folder in stored if label in labels])
+    return rows if rows is not None else read_parts(spark, [stored[0][1]]).limit(0)
 
 
 def change_buckets(
@@ -53,8 +74,30 @@ def change_buckets(
     """
     spark = batch.sparkSession
     number = next_pointer(spark, path)
+    touched = touched_buckets(batch, keys, buckets)
+    return rewrite_buckets(
+        spark, path, touched, keys, lambda old: change(old, batch), buckets, fresh, number=number
+    )
+
+
+def rewrite_buckets(
+    spark: SparkSession,
+    path: str,
+    touched: set[int],
+    keys: Sequence[str],
+    change: Callable[[DataFrame | None], DataFrame],
+    buckets: int = BUCKETS,
+    fresh: bool = False,
+    partition_by: Sequence[str] = (),
+    number: int | None = None,
+) -> list[int]:
+    """Rewrite the buckets with the given numbers; see :func:`change_buckets`.
+
+    ``partition_by`` names columns by whose values a bucket is divided into folders. ``number`` is that of
+    the next state, if it was asked for before.
+    """
+    number = next_pointer(spark, path) if number is None else number
     stored = [] if fresh else current_parts(spark, path) or []
-    touched = sorted(r[0] for r in batch.select(bucket_of(keys, buckets)).distinct().collect())
     if not touched and stored:
         return []
     labels = {f"{buckets}/{b}" for b in touched}
@@ -62,21 +105,22 @@ def change_buckets(
     if strange:
         raise ValueError(f"{path} is not kept in {buckets} buckets")
     old = read_parts(spark, [folder for label, folder in stored if label in labels])
-    version = new_version()
-    rows = change(old, batch)
-    rows.withColumn(_BUCKET, bucket_of(keys, buckets)).hint("rebalance", _BUCKET).write.mode(
+    version = f"{DIVIDED}v{new_version()}" if partition_by else new_version()
+    rows, places = change(old), [KEY_BUCKET, *partition_by]
+    rows.withColumn(KEY_BUCKET, bucket_of(keys, buckets)).hint("rebalance", *places).write.mode(
         "errorifexists"
-    ).partitionBy(_BUCKET).parquet(version_path(path, version))
+    ).partitionBy(*places).parquet(version_path(path, version))
     folder = version_path(path, version)
-    written = [n for n in list_names(spark, folder) if n.startswith(f"{_BUCKET}=")]
+    written = [n for n in list_names(spark, folder) if n.startswith(f"{KEY_BUCKET}=")]
     made = [(f"{buckets}/{n.split('=')[1]}", f"{version}/{n}") for n in written]
     root = version_path(path, "")
     kept = [(label, place.removeprefix(root)) for label, place in stored if label not in labels]
+    kept = [part for part in kept if not part[0].endswith("/none")] or (kept if not made else [])
     if not made and not kept:  # columns without rows
         rows.limit(0).write.mode("overwrite").parquet(folder)
         made = [(f"{buckets}/none", version)]
     replace_parts(spark, path, sorted([*kept, *made]), number)
-    return touched
+    return sorted(touched)
 
 
 def append_history(

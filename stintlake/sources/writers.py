@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from urllib.parse import quote
 
 from py4j.protocol import Py4JJavaError
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 
 from stintlake.operators.dedupe import latest_per_key
@@ -48,6 +48,10 @@ def write_table(
     return path
 
 
+#: Column with the number of the load that brought a row, where a repeated load replaces its rows.
+LOAD = "_load"
+
+
 def read_table(spark: SparkSession, path: str, evolving: bool = False) -> DataFrame:
     """Read a table; ``evolving`` unites the columns of all its files.
 
@@ -59,13 +63,31 @@ def read_table(spark: SparkSession, path: str, evolving: bool = False) -> DataFr
     batches = complete_batches(spark, folders[0]) if len(folders) == 1 else None
     reader = spark.read.option("mergeSchema", evolving)
     if batches is None:
-        df = reader.parquet(*folders)
+        df = read_folders(reader, folders)
     else:
         df = reader.option("basePath", folders[0]).parquet(*batches).drop("batch")
     for name in ("batch_day", "_ingestion_batch_id"):
         if name in df.columns:
             df = df.withColumn(name, F.col(name).cast("string"))
-    return df
+    return df.drop(LOAD)
+
+
+#: How the name of a version begins whose buckets are divided into further folders.
+DIVIDED = "_version="
+
+
+def read_folders(reader: DataFrameReader, folders: Sequence[str]) -> DataFrame:
+    """Some parts of a table as one frame."""
+    if f"/{DIVIDED}" not in folders[0]:
+        return reader.parquet(*folders)
+    # Folders below several versions are found from their common root.
+    root = folders[0].split(f"/{DIVIDED}")[0]
+    rows = reader.option("basePath", root).parquet(*folders)
+    return rows.drop(DIVIDED.rstrip("="), KEY_BUCKET)
+
+
+#: Folders of the buckets of a table.
+KEY_BUCKET = "_key_bucket"
 
 
 def _file_system(spark: SparkSession, path: str):

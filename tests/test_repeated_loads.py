@@ -6,7 +6,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from stintlake.plans import build
+from stintlake.plans import build, gold_changes
 from stintlake.sources import batches, parts, writers
 
 TS = "2024-06-01 00:00:00"
@@ -192,3 +192,73 @@ def test_a_named_batch_is_appended_once(spark, tmp_path):
         writers.append_table(rows(2, 3, 3), path, "b2", dedupe_keys=["k"])
     got = sorted((r.k, r._ingestion_batch_id) for r in writers.read_table(spark, path).collect())
     assert got == [(1, "2024/01"), (2, "2024/01"), (3, "b2")]
+
+
+GOLD = ("fact_laps", "driver_session_summary", "session_leaderboard", "team_performance", "dim_sessions", "dim_drivers")
+
+
+def gold_rows(spark, path):
+    stamps = ("created_at", "updated_at", "valid_from")
+    tables = {n: writers.read_table(spark, f"{path}/{n}") for n in GOLD}
+    return {n: sorted(map(repr, df.select(*sorted(set(df.columns) - {*stamps})).collect())) for n, df in tables.items()}
+
+
+def test_gold_by_changed_sessions_equals_a_full_one(spark, bronze):
+    """New laps, a new driver row and a new session; untouched buckets keep their files."""
+    path, load, tables = bronze
+    build.refresh_silver(spark, path, TS)
+    build.refresh_gold(spark, path, TS)
+    before = {n: dict(writers.current_parts(spark, f"{path}/{n}")) for n in gold_changes.BUCKETED}
+    one = tables["laps"].filter("session_key = 199805")  # in no load of the fixture yet
+    one.coalesce(1).write.mode("append").parquet(f"{path}/bronze_laps")
+    build.refresh_silver(spark, path, TS)
+    build.refresh_gold(spark, path, TS)
+    touched = parts.touched_buckets(one, ["session_key"], gold_changes.SESSION_BUCKETS)
+    after = {n: dict(writers.current_parts(spark, f"{path}/{n}")) for n in gold_changes.BUCKETED}
+    assert len(touched) == 1 and one.count() > 0
+    for name, folders in before.items():
+        same = {label for label, f in folders.items() if after[name].get(label) == f}
+        assert {int(label.split("/")[1]) for label in set(folders) - same} <= touched, name
+    assert writers.read_table(spark, f"{path}/fact_laps").filter("session_key = 199805").count() > 0
+    load(1)  # drivers of other days move the driver dimension, and marts with it
+    build.refresh_silver(spark, path, TS)
+    build.refresh_gold(spark, path, TS)
+    changed = gold_rows(spark, path)
+    assert all(changed.values())
+    build.refresh_gold(spark, path, TS)  # nothing new
+    assert gold_rows(spark, path) == changed
+    build.refresh_gold(spark, path, TS, full=True)
+    assert gold_rows(spark, path) == changed
+    build.refresh_silver(spark, path, TS, full=True)  # new versions of the laps: everything anew
+    build.refresh_gold(spark, path, TS)
+    assert gold_rows(spark, path)["fact_laps"] == changed["fact_laps"]
+
+
+@pytest.mark.parametrize("stop", [2, 5])
+def test_gold_stopped_at_a_table_then_rerun(spark, bronze, monkeypatch, stop):
+    """Tables become current in turn: facts, three marts, two dimensions."""
+    path, load, _ = bronze
+    build.refresh_silver(spark, path, TS)
+    build.refresh_gold(spark, path, TS)
+    load(1)
+    build.refresh_silver(spark, path, TS)
+    calls = []
+
+    def stopping(real):
+        def run(*args, **kwargs):
+            calls.append(1)
+            if len(calls) == stop:
+                raise InterruptedError
+            return real(*args, **kwargs)
+
+        return run
+
+    with monkeypatch.context() as m:
+        m.setattr(parts, "replace_parts", stopping(parts.replace_parts))
+        m.setattr(gold_changes, "replace_table", stopping(gold_changes.replace_table))
+        with pytest.raises(InterruptedError):
+            build.refresh_gold(spark, path, TS)
+    build.refresh_gold(spark, path, TS)
+    rerun = gold_rows(spark, path)
+    build.refresh_gold(spark, path, TS, full=True)
+    assert gold_rows(spark, path) == rerun
