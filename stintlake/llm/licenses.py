@@ -8,6 +8,7 @@ and uses them up. Identifiers left over and sentences that only sound like a lic
 
 from __future__ import annotations
 
+import bisect
 import re
 from collections.abc import Iterator
 
@@ -19,7 +20,7 @@ from stintlake.llm.common import text_bytes
 
 # Sentences of public licence texts and notices, normalised, as patterns. A named
 # group ``v`` holds a version and ``k`` the kind of a Creative Commons licence.
-_V = r"(?:v|version )?(?P<v>\d(?:\.\d)*)"
+_V = r"(?:v\.? ?|version )?(?P<v>\d(?:\.\d)*)"
 _VERB = r"(?:licensed|released|distributed|available|published|provided)"
 _NOTICE = r"(?:.* )?(?:is |are )?(?:licensed|released|distributed|available|published|provided|made available) under "
 SENTENCES: list[tuple[str, str]] = [
@@ -54,6 +55,13 @@ SENTENCES: list[tuple[str, str]] = [
     ("cc-notice", _NOTICE + r"(?:a |the )?(?:cc|creative commons) ?(?P<k>by(?: ?- ?(?:nc|sa|nd))*)(?: ?-? ?" + _V + r")?(?: (?:international|unported))?(?: license)?"),
     ("cc-words", _NOTICE + r"(?:a |the )?creative commons (?P<k>attribution(?:[ -]+(?:noncommercial|non-commercial|sharealike|share alike|noderivatives|noderivs))*) " + _V + r"(?: (?:international|unported))?(?: license)?"),
     ("cc0-notice", _NOTICE + r"(?:the )?(?:cc0|creative commons zero)(?: ?" + _V + r")?(?: universal)?.*"),
+    ("mpl-words", _NOTICE + r"(?:the )?(?:mozilla public license|mpl),?[ -]" + _V),
+    ("epl-words", _NOTICE + r"(?:the )?(?:eclipse public license|epl),?(?: -)?[ -]" + _V),
+    ("eupl-words", _NOTICE + r"(?:the )?(?:european union public license|eupl),?[ -]" + _V),
+    ("boost-words", _NOTICE + r"(?:the )?boost software license,?(?: -)? " + _V),
+    ("zlib-words", _NOTICE + r"(?:the )?zlib(?:/libpng)?(?: license)?"),
+    ("wtfpl-words", _NOTICE + r"(?:the )?(?:wtfpl|do what the fuck you want to public license)(?: license)?"),
+    ("id-notice", _NOTICE + r"(?:the )?(?P<k>mit|isc|unlicense|bsd-[23]-clause|apache-2\.0|apache 2\.0|bsl-1\.0|[al]?gpl-[23]\.[01](?:-only|-or-later)?)(?: license)?"),
     ("unlicense-grant", r"this is free and unencumbered software released into the public domain"),
     ("public-domain", r"(?:.* )?(?:is |are )?(?:dedicated to|released into|placed in|in) the public domain"),
 ]
@@ -65,7 +73,9 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("MIT", ("mit-title", "mit-grant", "mit-condition", "mit-warranty")),
     ("MIT", ("mit-grant", "mit-condition")),
     ("ISC", ("isc-grant", "isc-warranty")),
+    ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names", "bsd-warranty")),
     ("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-names")),
+    ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-warranty")),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
     ("Apache-{v}", ("apache-notice", "apache-compliance", "apache-copy", "apache-warranty", "apache-see")),
     ("Apache-{v}", ("apache-notice", "apache-compliance")),
@@ -77,6 +87,13 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
     ("{k}GPL-{v}", ("gpl-notice",)),
     ("Apache-{v}", ("apache-notice",)),
     ("MPL-{v}", ("mpl-notice",)),
+    ("MPL-{v}", ("mpl-words",)),
+    ("EPL-{v}", ("epl-words",)),
+    ("EUPL-{v}", ("eupl-words",)),
+    ("BSL-{v}", ("boost-words",)),
+    ("Zlib", ("zlib-words",)),
+    ("WTFPL", ("wtfpl-words",)),
+    ("ID:{k}", ("id-notice",)),
     ("BSD", ("bsd-notice",)),
     ("MIT", ("mit-notice",)),
     ("MIT", ("mit-title",)),
@@ -87,14 +104,21 @@ RULES: list[tuple[str, tuple[str, ...]]] = [
 ]
 # What makes a sentence worth a look.
 _TRIGGER = re.compile(
-    r"licen[cs]e|copyright|©|\(c\)|spdx|permission|redistribution|warrant|all rights reserved"
-    r"|public domain|creative commons|free software|in no event", re.I,
+    r"licen[cs]e|copyright|©|\(c\)|spdx|permission|redistribution|warrant|all\W+rights\W+reserved"
+    r"|public\W+domain|creative\W+commons|free\W+software|in\W+no\W+event|neither\W+the\W+name"
+    r"|mozilla|\bmpl\b|(?:released|distributed|available|published|provided)\W+under", re.I,
 )
 _KIND_WORDS = {
     "lesser": "L", "library": "L", "affero": "A", "attribution": "BY", "noncommercial": "NC",
     "non-commercial": "NC", "sharealike": "SA", "share alike": "SA", "noderivatives": "ND", "noderivs": "ND",
 }
 
+# Identifiers that are not written in capitals throughout.
+_IDENTIFIERS = {
+    "apache-2.0": "Apache-2.0", "apache 2.0": "Apache-2.0", "unlicense": "Unlicense",
+    "bsd-2-clause": "BSD-2-Clause", "bsd-3-clause": "BSD-3-Clause",
+}
+
 _PATTERNS = [
     (name, re.compile(pattern)) for name, pattern in SENTENCES if not pattern.startswith(_NOTICE)
 ]
@@ -113,25 +137,40 @@ _COPYRIGHT = (
     rf"^[ \t]*{_SIGN}?[ \t]*(?:(?:\(c\)|©)[ \t]*(?:copyright\b|\d{{4}})|copyright[ \t:]+(?:\(c\)|©|\d{{4}}|by\b"
     r"|(?!(?:notices?|holders?|owners?|laws?|licen[cs]es?|statements?|and|or|is|in|to|the above)\b)\w))"
 )
-#: Ends of sentences: a mark before white space or the end, a line that is empty or holds a
-#: comment sign only, and both ends of a line that opens a copyright statement.
-_BREAK = re.compile(rf"[.!?;]+(?=\s|$)|\n[ \t\r]*{_SIGN}?[ \t\r]*\n")
+_SPACE = rf"\s+(?:{_SIGN}\s+)?"
+#: Ends of sentences: a mark before white space or the end, the colon before a list of conditions, a
+#: line that is empty or holds a comment sign only, the beginning of a grant that stands on the line of
+#: a copyright statement, and both ends of a line that opens one.
+_BREAK = re.compile(
+    rf"(?<!\bv)[.!?;]+(?=\s|$)|(?<=conditions):(?=\s|$)|(?<=\smet):(?=\s|$)|\n[ \t\r]*{_SIGN}?[ \t\r]*\n"
+    rf"|(?=\bpermission{_SPACE}is{_SPACE}hereby{_SPACE}granted\b)"
+    rf"|(?=\bpermission{_SPACE}to{_SPACE}use,)"
+    rf"|(?=\bredistribution{_SPACE}and{_SPACE}use{_SPACE}in{_SPACE}source\b)", re.I,
+)
 _COPYRIGHT_LINE = re.compile(_COPYRIGHT + r"[^\n]*", re.I | re.M)
-#: Lines that one sentence may be wrapped over.
-MAX_LINES = 12
+#: Ends a sentence, whatever stands before it.
+_PUBLIC = re.compile(r"(?:is |are )?\b(?:dedicated to|released into|placed in|in) the public domain\b")
 
 
-def normalise(sentence: str) -> str:
+def _plain(text: str) -> str:
     """Lower case, one spelling of licence, no quotes, comment signs or white space runs."""
-    s = sentence.lower().replace("licence", "license").replace("spdx-license-identifier", "spdx license identifier")
+    s = text.lower().replace("licence", "license").replace("spdx-license-identifier", "spdx license identifier")
     s = re.sub(r"[\"'`“”‘’:;!?]", "", s)
     s = re.sub(r"(?:^|\n)[ \t]*(?://+|/?\*+/?|#+|--|>+)?[ \t]*", " ", s)
-    return " ".join(s.split()).strip(" .,-*/#")
+    return " ".join(s.split())
 
 
-def notices(text: str) -> list[tuple[str, dict[str, str | None]]]:
-    """Identifiers and groups of all notices in a normalised sentence, in order."""
-    found, at = [], 0
+def normalise(sentence: str) -> str:
+    """A sentence as the patterns have it."""
+    return _plain(sentence).strip(" .,-*/#")
+
+
+Hit = tuple[str, dict[str, str | None]]
+
+
+def placed_notices(text: str) -> Iterator[tuple[int, int, Hit]]:
+    """Where the notices in a normalised text begin and end, with identifiers and groups, in order."""
+    at = 0
     while verb := _UNDER.search(text, at):
         at = verb.end()
         while True:
@@ -139,12 +178,16 @@ def notices(text: str) -> list[tuple[str, dict[str, str | None]]]:
             if not hits:
                 break
             at, name, m = max(hits, key=lambda h: h[0])
-            found.append((name, m.groupdict()))
+            yield verb.start(), at, (name, m.groupdict())
             more = _JOIN.match(text, at)
             if not more:
                 break
             at = more.end()
-    return found
+
+
+def notices(text: str) -> list[Hit]:
+    """Identifiers and groups of all notices in a normalised sentence, in order."""
+    return [hit for _, _, hit in placed_notices(text)]
 
 
 def identify(sentence: str) -> list[tuple[str, dict[str, str | None]]]:
@@ -167,8 +210,12 @@ def identify(sentence: str) -> list[tuple[str, dict[str, str | None]]]:
 def sentences(text: str) -> Iterator[tuple[int, int]]:
     """Places of the sentences that a trigger word occurs in."""
     breaks = [m.span() for m in _BREAK.finditer(text)]
+    grants = [start for start, end in breaks if start == end]
     for m in _COPYRIGHT_LINE.finditer(text):
-        breaks += [(m.start(), m.start()), (m.end(), m.end())]
+        # a grant that begins on the line goes on behind it
+        grant = bisect.bisect_right(grants, m.start())
+        end = m.end() if grant == len(grants) else min(m.end(), grants[grant])
+        breaks += [(m.start(), m.start()), (end, end)]
     start = 0
     for end in [*sorted(breaks), (len(text), len(text))]:
         if start < end[0] and _TRIGGER.search(text, start, end[0]):
@@ -177,41 +224,51 @@ def sentences(text: str) -> Iterator[tuple[int, int]]:
 
 
 def _known(text: str, start: int, end: int) -> Iterator[tuple[str | None, dict, int, int]]:
-    """Identified sentences in one stretch; lines are tried alone if the whole is unknown."""
+    """Identified sentences in one stretch; if the whole is unknown, those that begin with a line.
+
+    The stretch is normalised once, line by line. A known sentence may be wrapped over any number of
+    lines; it begins and ends with a line, a notice may stand anywhere.
+    """
     whole = identify(text[start:end])
     if whole:
         for hit in whole:
             yield *hit, start, end
         return
-    places, at = [], start
+    places, begins, parts, at, size = [], [], [], start, 0
     for line in text[start:end].split("\n"):
-        places.append((at, at + len(line)))
+        plain = _plain(line)
+        if plain:
+            places.append((at, at + len(line)))
+            begins.append(size)
+            parts.append(plain)
+            size += len(plain) + 1
         at += len(line) + 1
-    i, found = 0, False
-    while i < len(places):
-        last = min(len(places), i + MAX_LINES)
-        for j in range(last, i, -1):
-            hits = identify(text[places[i][0]:places[j - 1][1]])
-            if hits:
-                found = True
-                for hit in hits:
-                    yield *hit, places[i][0], places[j - 1][1]
-                i = j
+    joined = " ".join(parts)
+    ends = [b + len(p.rstrip(" .,-*/#")) for b, p in zip(begins, parts)]
+
+    def line_of(offset: int) -> int:
+        return bisect.bisect_right(begins, offset) - 1
+
+    found: list[tuple[int, int, Hit]] = []
+    used = 0
+    for i, first in enumerate(begins):
+        if first < used:
+            continue
+        for name, pattern in _PATTERNS:
+            if name == "public-domain":
+                continue
+            own = pattern.fullmatch(joined, first, ends[i]) if name == "copyright" else pattern.match(joined, first)
+            if own and (own.end() == len(joined) or own.end() >= ends[line_of(own.end() - 1)]):
+                used = own.end()
+                found.append((first, used, (name, own.groupdict())))
                 break
-        else:
-            if _STARTS_NOTICE.search(text, *places[i]):
-                def of(first: int, upto: int) -> list:
-                    return notices(normalise(text[places[first][0]:places[upto - 1][1]])) if first < upto else []
-
-                # those that begin in this line: without it they are not found
-                own = of(i, last)
-                own = own[:len(own) - len(of(i + 1, last))]
-                if own:
-                    found = True
-                    j = next(j for j in range(i + 1, last + 1) if of(i, j)[:len(own)] == own)
-                    for hit in own:
-                        yield *hit, places[i][0], places[j - 1][1]
-            i += 1
+    found += placed_notices(joined)
+    found += [
+        (m.start(), m.end(), ("public-domain", {})) for m in _PUBLIC.finditer(joined)
+        if m.end() >= ends[line_of(m.end() - 1)]
+    ]
+    for a, b, hit in sorted(found, key=lambda f: f[:2]):
+        yield *hit, places[line_of(a)][0], places[line_of(b - 1)][1]
     if not found:
         yield None, {}, start, end
 
@@ -223,6 +280,9 @@ def _name(template: str, groups: list[dict]) -> str:
         kind = "-".join(_KIND_WORDS.get(w, w.upper()) for w in re.findall(r"non-commercial|share alike|[a-z]+", kind))
     elif "GPL" in template:
         kind = _KIND_WORDS.get(kind, "")
+    elif template.startswith("ID:"):
+        words = re.sub(r"-(?:ONLY|OR-LATER)$", lambda m: m[0].lower(), kind.upper())
+        return _IDENTIFIERS.get(kind, words)
     version = first("v")
     if "GPL" in template and version:
         version = (version if "." in version else f"{version}.0") + ("-or-later" if first("later") else "")
@@ -234,21 +294,22 @@ def scan(text: str) -> dict:
     found = [(*k, n) for n, k in enumerate(k for a, b in sentences(text) for k in _known(text, a, b))]
     known = [k for k in found if k[0]]
     licenses: list[tuple[int, str]] = []
+    left = [k for k in known if k[0] != "copyright"]
     for template, wanted in RULES:
-        i = 0
-        plain = [n for n, k in enumerate(known) if k[0] != "copyright"]
-        while i + len(wanted) <= len(plain):
-            took = plain[i:i + len(wanted)]
-            if tuple(known[n][0] for n in took) == wanted:
-                licenses.append((known[took[0]][4], _name(template, [known[n][1] for n in took])))
-                known = [k for n, k in enumerate(known) if n not in took]
-                plain = [n for n, k in enumerate(known) if k[0] != "copyright"]
+        rest, i = [], 0
+        while i < len(left):
+            took = left[i:i + len(wanted)]
+            if tuple(k[0] for k in took) == wanted:
+                licenses.append((took[0][4], _name(template, [k[1] for k in took])))
+                i += len(wanted)
             else:
+                rest.append(left[i])
                 i += 1
+        left = rest
     spans = sorted({(k[2], k[3]) for k in found if k[0]})
     return {
         "licenses": [name for _, name in sorted(licenses)],
-        "unmatched": [k[0] for k in known if k[0] != "copyright"],
+        "unmatched": [k[0] for k in left],
         "copyrights": sum(k[0] == "copyright" for k in found),
         "unknown": sum(k[0] is None for k in found),
         "spans": [{"first": a, "last": b} for a, b in spans],

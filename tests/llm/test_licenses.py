@@ -1,9 +1,12 @@
 import re
+import textwrap
+import time
 
 import pytest
 
 from stintlake.llm import licenses as L
 from stintlake.llm.queries import QUERIES
+from tests.llm.license_texts import NOTICES, TEXTS
 
 SF = "/root/testdata/sf0.01"
 # The notices planted in the given table, looked up by plain search.
@@ -96,3 +99,41 @@ def test_neighbours_are_not_swallowed(text, names, copyrights):
 def test_holders_at_a_line_start_open_no_statement():
     text = "IN NO EVENT SHALL THE AUTHORS OR\nCOPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY."
     assert L.scan(text)["unmatched"] == ["mit-liability"]
+
+
+def layouts(text):
+    """A text on one line, wrapped, and as comments."""
+    yield text
+    for width in (12, 30, 50, 72):
+        lines = textwrap.wrap(text, width, break_long_words=False, break_on_hyphens=False)
+        yield "\n".join(lines)
+        for sign in ("//", "#", " *"):
+            yield "\n".join(f"{sign} {line}" for line in lines)
+
+
+@pytest.mark.parametrize("name", TEXTS)
+def test_published_texts_in_any_layout(name):
+    for before in ("", "Copyright (c) 2020 A. Person\n", "Copyright 2020 A. Person "):
+        for text in layouts(TEXTS[name]):
+            # a text that is not a grant does not end the statement of a holder on its own line
+            if before.endswith(" ") and (name not in ("MIT", "ISC") and not name.startswith("BSD")):
+                continue
+            got = L.scan(before + text)
+            assert got["licenses"] == [name], (before, text, got)
+
+
+@pytest.mark.parametrize("text", NOTICES)
+def test_short_notices(text):
+    assert L.scan(text)["licenses"] == NOTICES[text]
+    assert L.scan(f"a title\n{text}\nmore words")["licenses"] == NOTICES[text]
+
+
+def test_time_follows_length():
+    def seconds(n):
+        text = "Released under the MIT License\nand some words of licenses\n" * n
+        start = time.perf_counter()
+        assert len(L.scan(text)["licenses"]) == n
+        return time.perf_counter() - start
+
+    seconds(100)
+    assert seconds(8000) < 20 * max(seconds(1000), 0.01)
