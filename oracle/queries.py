@@ -764,5 +764,36 @@ BODIES |= {
 }
 
 
+BODIES |= {
+    "json_mixed": """SELECT session_key, session_name, CASE WHEN session_key % 2 = 1 THEN 'record' END AS shape
+        FROM bronze_sessions""",
+    "json_unknown_entity": "SELECT session_key, driver_number, name_acronym, team_name FROM bronze_drivers",
+    "stream_capped": """SELECT session_key, driver_number, date, x, y, z, TRUE AS capped
+        FROM bronze_locations WHERE x IS NOT NULL AND y IS NOT NULL""",
+    "stream_interval": _LAP_VIEW,
+    "catalog_tables": """
+        SELECT * FROM (VALUES ('table', 'bronze_sessions', ''), ('table', 'bronze_drivers', ''),
+          ('column', 'driver_number', 'bigint'), ('property', 'quality', 'bronze')) t(kind, name, value)
+        UNION ALL SELECT 'rows', 'bronze_sessions', CAST(COUNT(*) AS VARCHAR) FROM bronze_sessions
+        UNION ALL SELECT 'rows', 'bronze_drivers', CAST(COUNT(*) AS VARCHAR) FROM bronze_drivers""",
+    "hot_mart": " UNION ALL ".join(
+        f"SELECT {c} AS name, COUNT(*) AS drivers, MIN(fastest_lap_time) AS fastest FROM session_leaderboard GROUP BY 1"
+        for c in ("team_category", "session_category")
+    ),
+    "summary_mismatches_found": """
+        SELECT session_key, driver_number, total_laps AS summary_total, n AS actual_total_laps,
+          valid_laps AS summary_valid, v AS actual_valid_laps
+        FROM driver_session_summary JOIN (SELECT session_key, driver_number, COUNT(*) AS n,
+            COUNT(*) FILTER (WHERE is_valid_lap) AS v
+          FROM (SELECT * FROM silver_laps UNION ALL SELECT * FROM silver_laps WHERE driver_number % 10 = 3)
+          GROUP BY 1, 2) USING (session_key, driver_number) WHERE total_laps <> n OR valid_laps <> v""",
+    "silver_duplicates_found": """
+        SELECT 'silver_sessions' AS table_name, session_key, CAST(NULL AS BIGINT) AS driver_number,
+          CAST(2 AS BIGINT) AS duplicate_count FROM silver_sessions WHERE session_key % 5 = 0
+        UNION ALL SELECT 'silver_drivers', session_key, driver_number, 2
+        FROM silver_drivers WHERE session_key % 5 = 0""",
+}
+
+
 def oracle_sql() -> dict[str, str]:
     return {name: over(body) for name, body in BODIES.items()}

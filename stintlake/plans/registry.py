@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +35,20 @@ from stintlake.plans.build import load_new_files, refresh_gold, refresh_silver,
 from stintlake.plans.marts import build_team_performance
 from stintlake.plans.snapshots import driver_snapshot, session_snapshot
 from stintlake.plans.warehouse import BRONZE, Warehouse
-from stintlake.session import fresh_path
+from stintlake.session import fresh_path, stage
 from stintlake.sources.batches import append_new_files
-from stintlake.sources.catalog import count_tables
+from stintlake.sources.catalog import (
+    cache_table,
+    count_tables,
+    create_schema,
+    describe_table,
+    list_tables,
+    save_table,
+    show_properties,
+    uncache_table,
+)
 from stintlake.sources.parts import bucket_of, change_buckets
-from stintlake.sources.readers import read_entity
+from stintlake.sources.readers import read_entity, read_json, table_comment, table_properties
 from stintlake.sources.writers import (
     append_new,
     append_table,
@@ -52,6 +63,7 @@ from stintlake.sources.writers import (
 from stintlake.streaming.expectations import (
     LAPS_DROP,
     LAPS_TRACK,
+    LOCATIONS_DROP,
     expectation_counts,
     laps_quality,
     locations_quality,
@@ -713,3 +725,140 @@ query("expect_drop")(
 query("expectation_counts")(
     lambda w: expectation_counts(w.bronze_laps, {**LAPS_DROP, **LAPS_TRACK})
 )
+
+
+# --- the same sources, catalogs and checks in further forms ------------------------------------
+
+
+@query("json_mixed")
+def _json_mixed(w: Warehouse) -> DataFrame:
+    """Files that are one array beside files that are one record with a field of its own."""
+    df = w.bronze_sessions.drop("_ingestion_timestamp")
+    spark = df.sparkSession
+    landing = fresh_path(spark, "landing")
+    single = F.coalesce(F.pmod("session_key", F.lit(2)) == 1, F.lit(False))
+    alone = df.filter(single).withColumn("shape", F.lit("record"))
+    part = F.coalesce(F.pmod("session_key", F.lit(8)), F.lit(0))
+    file = F.floor(F.monotonically_increasing_id() / ARRAY_ROWS)
+    together = df.filter(~single).groupBy(part.alias("part"), file.alias("file")).agg(
+        F.to_json(F.collect_list(F.struct(*df.columns))).alias("value")
+    )
+    for rows in (together.select("value"), alone.select(F.to_json(F.struct(*alone.columns)).alias("value"))):
+        rows.write.mode("append").option("maxRecordsPerFile", 1).text(landing)
+    return read_json(spark, landing, glob="*.txt").select("session_key", "session_name", "shape")
+
+
+@query("json_unknown_entity")
+def _json_unknown_entity(w: Warehouse) -> DataFrame:
+    """An entity without settings reads ``{entity}*.json``; Spark's own file names begin with part."""
+    spark, landing = _landed(w, "bronze_drivers")
+    return read_entity(spark, landing, "part", typed=False, multi_line=False).select(
+        "session_key", "driver_number", "name_acronym", "team_name"
+    )
+
+
+@query("stream_capped")
+def _stream_capped(w: Warehouse) -> DataFrame:
+    """Landed locations in batches of two files at most."""
+    df = w.bronze_locations.drop("_ingestion_timestamp")
+    spark = df.sparkSession
+    landing, target = fresh_path(spark, "landing"), fresh_path(spark, "capped")
+    export_json(df.repartition(7), landing, stamp=False)
+    checked_stream(
+        stream_entity(spark, landing, "locations", max_files_per_trigger=2, **LINES),
+        target, fresh_path(spark, "counts"), fresh_path(spark, "checkpoint"), LOCATIONS_DROP, {},
+    ).awaitTermination()
+    rows = spark.read.parquet(target)
+    files = rows.groupBy("batch").agg(F.count_distinct("_source_file").alias("files"))
+    return rows.join(files, "batch").select(
+        "session_key", "driver_number", "date", "x", "y", "z", (F.col("files") <= 2).alias("capped")
+    )
+
+
+@query("stream_interval")
+def _stream_interval(w: Warehouse) -> DataFrame:
+    """A run that goes on at an interval; it is stopped when all landed laps are in."""
+    spark, landing = _landed(w, "bronze_laps")
+    target = fresh_path(spark, "stream")
+    running = append_stream(
+        stream_entity(spark, landing, "laps", **LINES), target, fresh_path(spark, "checkpoint"),
+        every="1 second",
+    )
+    try:
+        running.processAllAvailable()
+    finally:
+        running.stop()
+    return spark.read.parquet(target).select(*LAP_VIEW)
+
+
+@query("catalog_tables")
+def _catalog_tables(w: Warehouse) -> DataFrame:
+    """A schema with two tables: what is in it, their columns, properties and rows."""
+    spark = w.bronze_drivers.sparkSession
+    schema = f"listed_{uuid.uuid4().hex}"
+    create_schema(spark, schema)
+    try:
+        names = {e: f"{schema}.bronze_{e}" for e in ("sessions", "drivers")}
+        for entity, name in names.items():
+            save_table(
+                w.table(f"bronze_{entity}"), name, table_comment(entity), table_properties(entity)
+            )
+        short = F.regexp_replace("table_name", "^.*[.]", "")
+        parts = [
+            list_tables(spark, schema).select(
+                F.lit("table").alias("kind"), F.col("tableName").alias("name"), F.lit("").alias("value")
+            ),
+            describe_table(spark, names["drivers"]).filter("col_name LIKE '%number'").select(
+                F.lit("column"), "col_name", "data_type"
+            ),
+            show_properties(spark, names["drivers"]).filter("key = 'quality'").select(
+                F.lit("property"), "key", "value"
+            ),
+            count_tables(spark, list(names.values())).select(
+                F.lit("rows"), short, F.col("record_count").cast("string")
+            ),
+        ]
+        return stage(reduce(DataFrame.union, parts), "catalog")
+    finally:
+        spark.sql(f"DROP SCHEMA {schema} CASCADE")
+
+
+@query("hot_mart")
+def _hot_mart(w: Warehouse) -> DataFrame:
+    """Two reports on a mart that is kept in memory meanwhile."""
+    spark = w.bronze_laps.sparkSession
+    name = f"hot_{uuid.uuid4().hex}"
+    w.session_leaderboard.createOrReplaceTempView(name)
+    mart = cache_table(spark, name)
+    try:
+        by_team = mart.groupBy(F.col("team_category").alias("name")).agg(
+            F.count("*").alias("drivers"), F.min("fastest_lap_time").alias("fastest")
+        )
+        by_kind = mart.groupBy(F.col("session_category").alias("name")).agg(
+            F.count("*").alias("drivers"), F.min("fastest_lap_time").alias("fastest")
+        )
+        return stage(by_team.unionByName(by_kind), "hot")
+    finally:
+        uncache_table(spark, name)
+        spark.catalog.dropTempView(name)
+
+
+@query("summary_mismatches_found")
+def _summary_mismatches_found(w: Warehouse) -> DataFrame:
+    """The check on laps of which some came twice after the summary was made."""
+    laps = w.silver_laps
+    twice = laps.unionByName(laps.filter("driver_number % 10 = 3"))
+    return checks.summary_mismatches(w.driver_session_summary, twice)
+
+
+@query("silver_duplicates_found")
+def _silver_duplicates_found(w: Warehouse) -> DataFrame:
+    """The report on tables in which some keys stand twice."""
+
+    def twice(df: DataFrame) -> DataFrame:
+        return df.unionByName(df.filter("session_key % 5 = 0"))
+
+    return reports.silver_duplicates(Warehouse({
+        "silver_sessions": lambda: twice(w.silver_sessions),
+        "silver_drivers": lambda: twice(w.silver_drivers),
+    }))
