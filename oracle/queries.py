@@ -787,6 +787,12 @@ BODIES |= {
             COUNT(*) FILTER (WHERE is_valid_lap) AS v
           FROM (SELECT * FROM silver_laps UNION ALL SELECT * FROM silver_laps WHERE driver_number % 10 = 3)
           GROUP BY 1, 2) USING (session_key, driver_number) WHERE total_laps <> n OR valid_laps <> v""",
+    "distinct_united": " UNION ALL ".join(
+        f"SELECT '{n}' AS measure, COUNT(*) AS exact, TRUE AS within_two_percent"
+        f" FROM (SELECT DISTINCT {c} FROM silver_laps) WHERE {c.split(',')[0]} IS NOT NULL"
+        for n, c in {"sessions": "session_key", "drivers": "driver_number", "times": "lap_duration",
+                     "laps": "session_key, driver_number, lap_number", "speeds": "max_speed"}.items()
+    ),
     "silver_duplicates_found": """
         SELECT 'silver_sessions' AS table_name, session_key, CAST(NULL AS BIGINT) AS driver_number,
           CAST(2 AS BIGINT) AS duplicate_count FROM silver_sessions WHERE session_key % 5 = 0

@@ -30,6 +30,7 @@ from stintlake.operators.sessions import (
     select_sessions,
     stamp_children,
 )
+from stintlake.operators.sketches import distinct_sketches, united_counts
 from stintlake.plans import checks, reports, silver
 from stintlake.plans.build import load_new_files, refresh_gold, refresh_silver, refresh_snapshots
 from stintlake.plans.marts import build_team_performance
@@ -862,3 +863,23 @@ def _silver_duplicates_found(w: Warehouse) -> DataFrame:
         "silver_sessions": lambda: twice(w.silver_sessions),
         "silver_drivers": lambda: twice(w.silver_drivers),
     }))
+
+
+@query("distinct_united")
+def _distinct_united(w: Warehouse) -> DataFrame:
+    """Distinct counts of laps from sketches per day of two loads, beside the exact ones."""
+    laps = w.silver_laps
+    spark, path = laps.sparkSession, fresh_path(laps.sparkSession, "sketches")
+    measures = {
+        "sessions": ["session_key"], "drivers": ["driver_number"], "laps": silver.LAP_KEY,
+        "speeds": ["max_speed"], "times": ["lap_duration"],
+    }
+    for name, part in (("first", "lap_number <= 5"), ("second", "lap_number > 5")):
+        append_table(distinct_sketches(laps.filter(part), measures, ["batch_day"]), path, name)
+    exact = laps.agg(*[F.count_distinct(*c).alias(n) for n, c in measures.items()])
+    pairs = [x for n in measures for x in (F.lit(n), F.col(n))]
+    exact = exact.select(F.explode(F.create_map(*pairs)).alias("measure", "exact"))
+    near = F.abs(F.col("distinct_values") - F.col("exact")) <= 0.02 * F.col("exact")
+    return united_counts(read_table(spark, path)).join(exact, "measure").select(
+        "measure", "exact", near.alias("within_two_percent")
+    )
