@@ -9,14 +9,18 @@ Elias-Fano code, and probabilities and back-off weights are quantised to a byte.
 Probabilities are interpolated by absolute discounting. A context gives what its kept sequences
 do not take to the next shorter one; the last step is the smoothed relative frequency of the
 word. In logarithms the score is a sum of one value for each word, kept pair and kept triple of a
-text, so shards add up their parts and no shard needs another. Shards are rows of a staged table;
-sequences travel to them as dictionary-coded columns, and nothing passes through the driver.
+text, so shards add up their parts and no shard needs another. Shards are rows of a staged table.
+To score, a task gets a range of shards, lays them out as files beside its executor and maps them;
+sequences travel there as dictionary-coded columns, text after text, and a text's parts are added up
+over the whole range before they are put out. Nothing passes through the driver.
 """
 
 from __future__ import annotations
 
 import itertools
 import math
+import os
+import tempfile
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
@@ -24,7 +28,7 @@ from functools import cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
+from pyspark import Broadcast, SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,6 +46,8 @@ MAX_ENTRIES = 1_000_000
 BLOCK_WORDS = 1_000_000
 #: Shards at least, so that small inputs spread too.
 LEAST_SHARDS = 24
+#: Shards that one task looks up at most, beyond LEAST_SHARDS ranges of them. They are mapped, not held.
+RANGE_SHARDS = 64
 #: Texts are gathered to about so many words before they are dealt to shards.
 CHUNK_WORDS = 400_000
 #: Bits of the filters of words and pairs that may be in the model.
@@ -482,10 +488,29 @@ class Model:
     common: Broadcast
 
 
+class MappedShards:
+    """Shards of a task as files in the executor's own folder, mapped into memory."""
+
+    def __enter__(self) -> MappedShards:
+        self.folder = tempfile.TemporaryDirectory(dir=SparkFiles.getRootDirectory())
+        self.shards: dict[int, Shard] = {}
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.shards.clear()
+        self.folder.cleanup()
+
+    def add(self, number: int, data: pa.Buffer) -> None:
+        path = os.path.join(self.folder.name, str(number))
+        with open(path, "wb") as file:
+            file.write(data)
+        self.shards[number] = Shard(np.memmap(path, np.uint8, "r"))
+
+
 class Shard:
     """One shard as it is looked up."""
 
-    def __init__(self, data: pa.Buffer):
+    def __init__(self, data: pa.Buffer | np.memmap):
         self.arrays, numbers = succinct.parse(data)
         self.pairs = Level.taken(self.arrays, numbers, "pairs")
         self.triples = Level.taken(self.arrays, numbers, "triples")
@@ -627,18 +652,22 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
     shards, total, kinds, start = model.shards, model.total, model.kinds, model.start
     kept, common = model.pairs, model.common
-    names = ["shard", "kind", "place", "doc_id", "n_tokens", "data"]
+    ranges = max(LEAST_SHARDS, shards // RANGE_SHARDS)
+    names = ["range", "kind", "chunk", "shard", "doc_id", "n_tokens", "data"]
+    out = ["place", "doc_id", "n_tokens", "n_known", "base_score", "score"]
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for rows, texts in _chunks(batches, 1):
             t = Tokens.of(texts)
+            # places of a chunk follow each other, so its first place names them all
             place = rows["place"].combine_chunks().to_numpy()
-            sizes = np.bincount(t.text, minlength=len(texts))
+            chunk, size = int(place[0]), len(texts)
+            sizes = np.bincount(t.text, minlength=size)
             # every row once with its id, for the sums to be named after
-            size, doc_id = len(texts), rows["doc_id"].combine_chunks()
             yield pa.RecordBatch.from_arrays(
-                [pa.array(place % shards, pa.int32()), pa.array(np.full(size, 2, np.int32)), pa.array(place), doc_id,
-                 pa.array(sizes), pa.nulls(size, pa.binary())], names,
+                [pa.array(place % ranges, pa.int32()), pa.array(np.full(size, 2, np.int32)), pa.array(place),
+                 pa.nulls(size, pa.int32()), rows["doc_id"].combine_chunks(), pa.array(sizes),
+                 pa.nulls(size, pa.binary())], names,
             )
             # every word of a text once, with how often it occurs
             both, times = np.unique(t.text * len(t.names) + t.w, return_counts=True)
@@ -651,34 +680,43 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                 columns = _columns(t.names, common.value, word=word[a], u=t.u[b], v=t.v[b], w=t.w[b])
                 counts = [np.bincount(x, minlength=size) for x in (of[a], t.text[b])]
                 data = _pack({
-                    **columns, "times": _narrow(times[a]), "place": place,
+                    **columns, "times": _narrow(times[a]),
                     "word_sizes": _narrow(counts[0]), "pair_sizes": _narrow(counts[1]),
                 })
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([shard], pa.int32()), pa.array([1], pa.int32()), pa.nulls(1, pa.int64()),
-                     pa.nulls(1, doc_id.type), pa.nulls(1, pa.int64()), pa.array([data])], names,
+                    [pa.array([shard * ranges // shards], pa.int32()), pa.array([1], pa.int32()), pa.array([chunk]),
+                     pa.array([shard], pa.int32()), pa.nulls(1, rows["doc_id"].type), pa.nulls(1, pa.int64()),
+                     pa.array([data])], names,
                 )
 
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, group in _shard_groups(batches):
-            found = None
-            for batch in group:
-                kinds_of = batch.column(1).to_numpy()
-                for i in np.flatnonzero(kinds_of < 2):
-                    if kinds_of[i] == 0:
-                        found = Shard(batch.column(5)[int(i)].as_buffer())
-                    else:
-                        yield _sums(found, batch.column(5)[int(i)].as_buffer(), batch.column(3).type)
-                ids = batch.filter(pa.array(kinds_of == 2))
-                zero, size = np.zeros(ids.num_rows), ids.num_rows
-                yield pa.RecordBatch.from_arrays(
-                    [ids.column(2), ids.column(3), ids.column(4), pa.array(zero.astype(np.int64)),
-                     pa.array(zero), pa.array(np.full(size, start))], out,
-                )
-
-    def _sums(found: Shard | None, data: pa.Buffer, id_type: pa.DataType) -> pa.RecordBatch:
+            with MappedShards() as mapped:
+                chunk, sums = None, None
+                for batch in group:
+                    kinds_of, chunks, numbers = (batch.column(i).fill_null(0).to_numpy() for i in (1, 2, 3))
+                    for i in np.flatnonzero(kinds_of < 2).tolist():
+                        number, data = int(numbers[i]), batch.column(6)[i].as_buffer()
+                        if kinds_of[i] == 0:
+                            mapped.add(number, data)
+                            continue
+                        if sums is not None and chunk != chunks[i]:
+                            yield _summed(chunk, sums, batch.column(4).type)
+                            sums = None
+                        chunk, sums = int(chunks[i]), _added(sums, mapped.shards.get(number), data)
+                    ids = batch.filter(pa.array(kinds_of == 2))
+                    zero, size = np.zeros(ids.num_rows), ids.num_rows
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.column(2), ids.column(4), ids.column(5), pa.array(zero.astype(np.int64)),
+                         pa.array(zero), pa.array(np.full(size, start))], out,
+                    )
+                if sums is not None:
+                    yield _summed(chunk, sums, batch.column(4).type)
+
+    def _added(sums: np.ndarray | None, found: Shard | None, data: pa.Buffer) -> np.ndarray:
+        """Tokens looked up, known tokens and both scores of each text of a chunk, with a shard's parts."""
         a = _unpack(data, common.value)
-        size = len(a["place"])
+        size = len(a["word_sizes"])
         n, log_back = np.zeros(len(a["names"]), np.int64), np.zeros(len(a["names"]))
         more = np.zeros(len(a["w"]))
         if found:
@@ -689,22 +727,29 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         base = np.bincount(of, times * _log_base(n, total, kinds)[word], size).astype(float)
         full = base + np.bincount(of, times * log_back[word], size)
         full = full + np.bincount(np.repeat(np.arange(size), a["pair_sizes"]), more, size)
-        known = np.bincount(of, times * (n[word] > 0), size).astype(np.int64)
-        at = np.flatnonzero((a["word_sizes"] > 0) | (a["pair_sizes"] > 0))
+        known = np.bincount(of, times * (n[word] > 0), size)
+        parts = np.stack([a["word_sizes"].astype(float) + a["pair_sizes"], known, base, full])
+        return parts if sums is None else sums + parts
+
+    def _summed(chunk: int, sums: np.ndarray, id_type: pa.DataType) -> pa.RecordBatch:
+        at = np.flatnonzero(sums[0] > 0)
+        _, known, base, full = sums[:, at]
         return pa.RecordBatch.from_arrays(
-            [pa.array(a["place"][at]), pa.nulls(len(at), id_type), pa.array(np.zeros(len(at), np.int64)),
-             pa.array(known[at]), pa.array(base[at]), pa.array(full[at])], out,
+            [pa.array(chunk + at), pa.nulls(len(at), id_type), pa.array(np.zeros(len(at), np.int64)),
+             pa.array(known.astype(np.int64)), pa.array(base), pa.array(full)], out,
         )
 
-    out = ["place", "doc_id", "n_tokens", "n_known", "base_score", "score"]
     dealt = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("place")).mapInArrow(
-        deal, f"shard int, kind int, place long, doc_id {kind}, n_tokens long, data binary"
+        deal, f"range int, kind int, chunk long, shard int, doc_id {kind}, n_tokens long, data binary"
     )
     files = model.files.select(
-        "shard", F.lit(0).alias("kind"), F.lit(None).cast("long").alias("place"),
+        F.expr(f"CAST(shard * {ranges}L DIV {shards} AS INT)").alias("range"),
+        F.lit(0).alias("kind"), F.lit(None).cast("long").alias("chunk"), "shard",
         F.lit(None).cast(kind).alias("doc_id"), F.lit(None).cast("long").alias("n_tokens"), "data",
     )
-    parts = files.unionByName(dealt).repartition("shard").sortWithinPartitions("shard", "kind").mapInArrow(
+    parts = files.unionByName(dealt).repartition("range").sortWithinPartitions(
+        "range", "kind", "chunk", "shard"
+    ).mapInArrow(
         look_up,
         f"place long, doc_id {kind}, n_tokens long, n_known long, base_score double, score double",
     )
