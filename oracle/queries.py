@@ -800,6 +800,8 @@ BODIES |= {
         FROM silver_drivers WHERE session_key % 5 = 0""",
 }
 
+BODIES["checks_merged"] = BODIES["dq_silver"]
+
 
 def oracle_sql() -> dict[str, str]:
     return {name: over(body) for name, body in BODIES.items()}

@@ -56,7 +56,7 @@ def relationship(column: str, parent: str, parent_column: str) -> Check:
     return Check(f"relationships_{column}", "relationship", column, parent=(parent, parent_column))
 
 
-def _violates(check: Check) -> Column:
+def violates(check: Check) -> Column:
     bad = ~F.expr(check.expr)
     if check.where:
         bad = bad & F.expr(check.where)
@@ -81,7 +81,7 @@ def check_table(
     rows = [c for c in checks if c.kind == "row"]
     out = []
     if rows:
-        counted = df.agg(*[F.count_if(_violates(c)).alias(f"_{i}") for i, c in enumerate(rows)])
+        counted = df.agg(*[F.count_if(violates(c)).alias(f"_{i}") for i, c in enumerate(rows)])
         labelled = [_labelled(c, name, F.col(f"_{i}")) for i, c in enumerate(rows)]
         out.append(counted.select(F.inline(F.array(*labelled))))
     keyed = [c for c in checks if c.kind != "row"]

@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from stintlake.functions import columns as C
 from stintlake.functions import fixed_values as fv
 from stintlake.operators import quality
+from stintlake.operators.check_states import check_load, merged_checks
 from stintlake.operators.chunks import chunk_coverage, chunk_plan, points_in_chunks
 from stintlake.operators.grouping import ranks, with_group_value
 from stintlake.operators.incremental import incremental_read, merge_upsert
@@ -883,3 +884,20 @@ def _distinct_united(w: Warehouse) -> DataFrame:
     return united_counts(read_table(spark, path)).join(exact, "measure").select(
         "measure", "exact", near.alias("within_two_percent")
     )
+
+
+@query("checks_merged")
+def _checks_merged(w: Warehouse) -> DataFrame:
+    """The silver checks from the states of two loads, whose laps come before half of their parents."""
+    names = list(checks.SILVER_CHECKS)
+    tables = {n: stage(w.table(n), n) for n in names}
+    spark = w.bronze_laps.sparkSession
+    path = fresh_path(spark, "states")
+    early = {
+        n: "session_key % 2 = 0" if n in ("silver_sessions", "silver_drivers") else "driver_number % 3 > 0"
+        for n in names
+    }
+    for load, part in (("first", "coalesce({}, false)"), ("second", "NOT coalesce({}, false)")):
+        brought = {n: df.filter(part.format(early[n])) for n, df in tables.items()}
+        check_load(spark, brought, checks.SILVER_CHECKS, path, load)
+    return merged_checks(spark, path, checks.SILVER_CHECKS)
