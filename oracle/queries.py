@@ -800,7 +800,14 @@ BODIES |= {
         FROM silver_drivers WHERE session_key % 5 = 0""",
 }
 
-BODIES["checks_merged"] = BODIES["dq_silver"]
+_LATE = "(driver_number % 7 = 0 AND date < '2024-01-10')"
+BODIES |= {
+    "checks_merged": BODIES["dq_silver"],
+    "chunk_coverage_stream": "SELECT c.*, COALESCE(late, 0) AS late FROM (" + _coverage(", driver_number").replace(
+        "bronze_locations", f"(SELECT * FROM bronze_locations WHERE NOT COALESCE({_LATE}, FALSE))"
+    ) + f""") c LEFT JOIN (SELECT session_key, driver_number, COUNT(*) AS late FROM bronze_locations
+        WHERE {_LATE} GROUP BY ALL) USING (session_key, driver_number)""",
+}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -46,13 +46,24 @@ def points_in_chunks(
     No range join: one equality join on the session, then arithmetic. A point on
     the start of a chunk belongs to it; with ``edges="open"`` to none.
     """
-    numbered = _numbered(points, sessions, minutes, chunks, lead_minutes, edges)
+    numbered = numbered_points(points, sessions, minutes, chunks, lead_minutes, edges)
     return numbered.filter("chunk IS NOT NULL")
 
 
-def _numbered(
-    points: DataFrame, sessions: DataFrame, minutes: int, chunks: int, lead_minutes: int, edges: str
+def numbered_points(
+    points: DataFrame,
+    sessions: DataFrame,
+    minutes: int,
+    chunks: int,
+    lead_minutes: int,
+    edges: str,
+    aligned: str | None = None,
 ) -> DataFrame:
+    """Points that have a session, with their chunk; NULL outside all chunks.
+
+    ``aligned`` names a column for the time of a point, moved back so that chunks of its session begin
+    at full multiples of their length: a plain time window of that length is then one chunk.
+    """
     first = sessions.select(
         "session_key",
         F.timestamp_add("MINUTE", F.lit(-lead_minutes), C.parse_time("date_start")).alias("_first"),
@@ -62,9 +73,12 @@ def _numbered(
     inside = (F.col("_since") >= 0) & (F.col("_since") < width * chunks)
     if edges == "open":
         inside = inside & (F.col("_since") % width != 0)
+    joined = points.join(first, "session_key")
+    if aligned:
+        moved = F.unix_micros(C.parse_time("date")) - F.pmod(F.unix_micros("_first"), F.lit(width))
+        joined = joined.withColumn(aligned, F.timestamp_micros(moved))
     return (
-        points.join(first, "session_key")
-        .withColumn("_since", since)
+        joined.withColumn("_since", since)
         .withColumn("chunk", F.when(inside, F.floor(F.col("_since") / width).cast("int")))
         .drop("_first", "_since")
     )
@@ -87,13 +101,27 @@ def chunk_coverage(
     row with at most one count per chunk, so nothing below grows with a session.
     """
     keys = ["session_key", *by]
-    plan = chunk_plan(sessions, minutes, chunks, lead_minutes)
     counts = (
-        _numbered(points, sessions, minutes, chunks, lead_minutes, edges)
+        numbered_points(points, sessions, minutes, chunks, lead_minutes, edges)
         .dropna(subset=keys)
         .groupBy(*keys, F.coalesce("chunk", F.lit(-1)).alias("chunk"))
         .agg(F.count("*").alias("n"))
     )
+    return coverage_of_counts(sessions, counts, by, stop_after, minutes, chunks, lead_minutes)
+
+
+def coverage_of_counts(
+    sessions: DataFrame,
+    counts: DataFrame,
+    by: Sequence[str] = ("driver_number",),
+    stop_after: int = fv.CHUNK_STOP_AFTER,
+    minutes: int = fv.CHUNK_MINUTES,
+    chunks: int = fv.CHUNK_COUNT,
+    lead_minutes: int = fv.CHUNK_LEAD_MINUTES,
+) -> DataFrame:
+    """The coverage from ``n`` points per series and chunk, -1 for points outside all chunks."""
+    keys = ["session_key", *by]
+    plan = chunk_plan(sessions, minutes, chunks, lead_minutes)
     series = counts.groupBy(*keys).agg(
         F.map_from_entries(F.collect_list(F.struct("chunk", "n"))).alias("_counts")
     )

@@ -14,7 +14,12 @@ from stintlake.functions import columns as C
 from stintlake.functions import fixed_values as fv
 from stintlake.operators import quality
 from stintlake.operators.check_states import check_load, merged_checks
-from stintlake.operators.chunks import chunk_coverage, chunk_plan, points_in_chunks
+from stintlake.operators.chunks import (
+    chunk_coverage,
+    chunk_plan,
+    coverage_of_counts,
+    points_in_chunks,
+)
 from stintlake.operators.grouping import ranks, with_group_value
 from stintlake.operators.incremental import incremental_read, merge_upsert
 from stintlake.operators.profile import count_in_range, freshness, reconcile, stale
@@ -62,6 +67,7 @@ from stintlake.sources.writers import (
     replace_table,
     write_table,
 )
+from stintlake.streaming.coverage import chunk_count_stream, late_points, streamed_counts
 from stintlake.streaming.expectations import (
     LAPS_DROP,
     LAPS_TRACK,
@@ -901,3 +907,19 @@ def _checks_merged(w: Warehouse) -> DataFrame:
         brought = {n: df.filter(part.format(early[n])) for n, df in tables.items()}
         check_load(spark, brought, checks.SILVER_CHECKS, path, load)
     return merged_checks(spark, path, checks.SILVER_CHECKS)
+
+
+@query("chunk_coverage_stream")
+def _chunk_coverage_stream(w: Warehouse) -> DataFrame:
+    """Chunk coverage from a stream of two landings; the second brings points that are too late."""
+    points, sessions = w.bronze_locations.drop("_ingestion_timestamp"), w.event_sessions
+    spark = points.sparkSession
+    landing, target, state = (fresh_path(spark, x) for x in ("landing", "counts", "checkpoint"))
+    late = "(driver_number % 7 = 0 AND date < '2024-01-10')"
+    for part in (f"date < '2024-01-16' AND NOT coalesce({late}, false)", f"date >= '2024-01-16' OR {late}"):
+        points.filter(part).write.mode("append").json(landing)
+        stream = stream_entity(spark, landing, "locations", max_files_per_trigger=1000, **LINES)
+        chunk_count_stream(stream, sessions, target, state).awaitTermination()
+    counts = streamed_counts(spark, target)
+    dropped = late_points(points, sessions, counts).select("session_key", "driver_number", "late")
+    return coverage_of_counts(sessions, counts).join(dropped, ["session_key", "driver_number"])
