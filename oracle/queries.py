@@ -803,6 +803,7 @@ BODIES |= {
 _LATE = "(driver_number % 7 = 0 AND date < '2024-01-10')"
 BODIES |= {
     "checks_merged": BODIES["dq_silver"],
+    "history_inserted": BODIES["scd2_changes"],
     "chunk_coverage_stream": "SELECT c.*, COALESCE(late, 0) AS late FROM (" + _coverage(", driver_number").replace(
         "bronze_locations", f"(SELECT * FROM bronze_locations WHERE NOT COALESCE({_LATE}, FALSE))"
     ) + f""") c LEFT JOIN (SELECT session_key, driver_number, COUNT(*) AS late FROM bronze_locations

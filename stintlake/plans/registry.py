@@ -54,6 +54,7 @@ from stintlake.sources.catalog import (
     show_properties,
     uncache_table,
 )
+from stintlake.sources.histories import insert_history, read_history
 from stintlake.sources.parts import bucket_of, change_buckets
 from stintlake.sources.readers import read_entity, read_json, table_comment, table_properties
 from stintlake.sources.writers import (
@@ -923,3 +924,14 @@ def _chunk_coverage_stream(w: Warehouse) -> DataFrame:
     counts = streamed_counts(spark, target)
     dropped = late_points(points, sessions, counts).select("session_key", "driver_number", "late")
     return coverage_of_counts(sessions, counts).join(dropped, ["session_key", "driver_number"])
+
+
+@query("history_inserted")
+def _history_inserted(w: Warehouse) -> DataFrame:
+    """The team history from three loads whose times lie between each other."""
+    rows = stage(w.silver_drivers, "drivers")
+    spark, path = rows.sparkSession, fresh_path(rows.sparkSession, "history")
+    tracked = ["team_name", "team_colour", "team_category"]
+    for part in ("session_key % 3 = 2", "session_key % 3 = 0", "session_key % 3 = 1 OR session_key IS NULL"):
+        insert_history(path, rows.filter(part), "driver_number", tracked, "_ingestion_timestamp", ["session_key"])
+    return read_history(spark, path)
