@@ -538,16 +538,18 @@ query("mart_filters")(
 
 #: Rows at most in a landed file that is one JSON array.
 ARRAY_ROWS = 5000
-LINES = {"glob": "*.json", "multi_line": False}
+#: Landed lines are compressed, as JSON repeats its names in every row; rows at most in such a file.
+LANDED = {"compression": "gzip", "file_rows": 1_000_000}
+LINES = {"glob": "*.json*", "multi_line": False}
 LAP_VIEW = ["session_key", "driver_number", "lap_number", "date_start", "lap_duration",
             "is_pit_out_lap", "i1_speed", "segments_sector_1", "batch_day"]
 
 
-def _landed(w: Warehouse, table: str) -> tuple[SparkSession, str]:
+def _landed(w: Warehouse, table: str, **how: str | int) -> tuple[SparkSession, str]:
     """A bronze table as JSON files in a new landing folder."""
     df = w.table(table).drop("_ingestion_timestamp")
     path = fresh_path(df.sparkSession, "landing")
-    export_json(df, path, stamp=False)
+    export_json(df, path, stamp=False, **(how or LANDED))
     return df.sparkSession, path
 
 
@@ -760,7 +762,7 @@ def _json_mixed(w: Warehouse) -> DataFrame:
 @query("json_unknown_entity")
 def _json_unknown_entity(w: Warehouse) -> DataFrame:
     """An entity without settings reads ``{entity}*.json``; Spark's own file names begin with part."""
-    spark, landing = _landed(w, "bronze_drivers")
+    spark, landing = _landed(w, "bronze_drivers", compression="none")
     return read_entity(spark, landing, "part", typed=False, multi_line=False).select(
         "session_key", "driver_number", "name_acronym", "team_name"
     )

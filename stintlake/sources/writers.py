@@ -314,10 +314,16 @@ def compact(df: DataFrame, path: str, cluster_by: Sequence[str] = ()) -> str:
     return path
 
 
-def export_json(df: DataFrame, path: str, stamp: bool = True) -> str:
-    """JSON lines, with an ``ingestion_timestamp`` column unless switched off."""
+def export_json(
+    df: DataFrame, path: str, stamp: bool = True, compression: str = "none", file_rows: int = 0
+) -> str:
+    """JSON lines, with an ``ingestion_timestamp`` column unless switched off.
+
+    A compressed file is read by one task; ``file_rows`` bounds its rows (0: no bound).
+    """
     out = df.withColumn("ingestion_timestamp", F.current_timestamp()) if stamp else df
-    out.write.mode("overwrite").json(path)
+    writer = out.write.mode("overwrite").option("compression", compression)
+    writer.option("maxRecordsPerFile", file_rows).json(path)
     return path
 
 

@@ -307,3 +307,17 @@ def test_catalog(spark):
     assert catalog.cache_table(spark, "bronze_test.laps").count() == 2
     assert spark.catalog.isCached("bronze_test.laps")
     spark.catalog.uncacheTable("bronze_test.laps")
+
+
+def test_landed_lines_are_compressed(spark, tmp_path):
+    """JSON repeats its names in every row; landed laps take a fraction of their text, and read back whole."""
+    from stintlake.plans import registry
+
+    rows = spark.range(0, 5000, 1, 1).selectExpr("id AS lap_number", "id % 20 AS driver_number", "'Session' AS session_name")
+    plain = writers.export_json(rows, str(tmp_path / "plain"), stamp=False)
+    small = writers.export_json(rows, str(tmp_path / "small"), stamp=False, compression="gzip", file_rows=2000)
+    size = {p: sum(f.stat().st_size for f in (tmp_path / p).glob("part*")) for p in ("plain", "small")}
+    assert 5 * size["small"] < size["plain"] and len(list((tmp_path / "small").glob("part*"))) == 3
+    back = readers.read_json(spark, small, rows.schema, **registry.LINES)
+    assert back.exceptAll(rows).isEmpty() and back.count() == 5000
+    assert registry.LANDED["compression"] == "gzip" and spark.read.json(plain).count() == 5000
