@@ -61,13 +61,23 @@ def running_sums(
     sliced, names = _sliced(df, slices)
     window = Window.partitionBy(*keys, *names).orderBy(*order).rowsBetween(*upto)
     local = sliced.select("*", *[F.sum(e).over(window).alias(f"_l_{n}") for n, e in sums.items()])
-    totals = sliced.groupBy(*keys, *names).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
-    offsets = _before(totals, keys, names, list(sums)).withColumnsRenamed({n: f"_o_{n}" for n in sums})
+    offsets = sums_before(sliced, keys, names, sums).withColumnsRenamed({n: f"_o_{n}" for n in sums})
     return join_same(local, offsets, [*keys, *names]).select(
         *df.columns, *[(F.col(f"_l_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums]
     )
 
 
+def sums_before(
+    df: DataFrame, keys: Sequence[str], names: Sequence[str], sums: dict[str, Column]
+) -> DataFrame:
+    """One row per group and slice: the sums of all earlier slices of the group.
+
+    ``names`` are the columns of the slices, from coarse to fine.
+    """
+    totals = df.groupBy(*keys, *names).agg(*[F.sum(e).alias(n) for n, e in sums.items()])
+    return _before(totals, keys, names, list(sums))
+
+
 def _before(
     totals: DataFrame, keys: Sequence[str], names: Sequence[str], sums: Sequence[str]
 ) -> DataFrame:

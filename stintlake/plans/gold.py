@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from stintlake.functions import columns as C
 from stintlake.operators.dedupe import latest_per_key
-from stintlake.operators.grouping import row_numbers
+from stintlake.operators.grouping import sums_before
 
 DRIVER_ATTRIBUTES = [
     "full_name", "broadcast_name", "name_acronym", "team_name", "team_colour",
@@ -59,28 +59,44 @@ def rank_laps(silver_laps: DataFrame, nulls: str = "first") -> DataFrame:
     Invalid and untimed laps take ranks too, but show none; untimed laps come first
     unless ``nulls="last"``. Laps of a session are ranked in slices, by whole second and within it by
     time and driver, so neither a session nor one lap time has to fit a task; the laps of one
-    driver in one session are few, and need no slices.
+    driver in one session are few, and need no slices. A finest slice lies within the laps of one
+    driver: it brings its number of earlier laps along as one more row, which shares the only
+    shuffle of whole laps, so laps are neither dealt by slice nor joined.
     """
-    time, number = F.col("lap_duration"), F.col("lap_number")
-    by_time = time.asc_nulls_first() if nulls == "first" else time.asc_nulls_last()
+    time, driver = F.col("lap_duration"), F.col("driver_number")
     # Total: rows that agree in all of these differ in no column that a rank shows.
     lap_order = [
-        number, F.col("date_start").asc_nulls_first(), time, F.col("is_pit_out_lap"),
+        F.col("lap_number"), F.col("date_start").asc_nulls_first(), time, F.col("is_pit_out_lap"),
         F.col("updated_at"), F.col("speed_trap_speed"), F.col("max_speed"),
     ]
-    time_order = [by_time, F.col("driver_number"), *lap_order]
     missing = time.isNull() if nulls == "last" else time.isNotNull()
-    slices = [F.struct(missing, F.floor(time)), F.struct(time, "driver_number")]
-    driver = Window.partitionBy("session_key", "driver_number")
+    sliced = silver_laps.select(
+        "session_key", F.struct(missing, F.floor(time)).alias("_second"),
+        F.struct(time, driver).alias("_time"),
+    )
+    one = F.lit(1).cast("long")
+    slices = sums_before(sliced, ["session_key"], ["_second", "_time"], {"_earlier": one}).select(
+        "session_key", "_time.*", "_earlier"
+    )
+    rows = silver_laps.withColumn("_lap", one).unionByName(slices, allowMissingColumns=True)
+    upto = [Window.unboundedPreceding, 0]
+    of_driver = Window.partitionBy("session_key", "driver_number")
+    of_time = Window.partitionBy("session_key", "driver_number", "lap_duration")
     valid_time = F.when(F.col("is_valid_lap"), time)
 
-    out = row_numbers(silver_laps, ["session_key"], time_order, "_time_rank", slices).select(
+    out = rows.select(
+        "*",
+        F.sum("_lap").over(of_driver.orderBy(*lap_order).rowsBetween(*upto)).alias("driver_lap_rank"),
+        F.min(valid_time).over(of_driver).alias("driver_best_lap_time"),
+    ).select(
         "*",
-        F.row_number().over(driver.orderBy(*lap_order)).cast("long").alias("driver_lap_rank"),
-        F.min(valid_time).over(driver).alias("driver_best_lap_time"),
+        F.sum("_lap").over(of_time.orderBy(*lap_order).rowsBetween(*upto)).alias("_local"),
+        F.max("_earlier").over(of_time).alias("_before"),
+    ).filter("_lap = 1")
+    rank = F.when(F.col("is_valid_lap"), F.col("_before") + F.col("_local"))
+    return out.withColumn("session_lap_time_rank", rank).drop(
+        "_lap", "_earlier", "_local", "_before"
     )
-    rank = F.when(F.col("is_valid_lap"), F.col("_time_rank"))
-    return out.withColumn("session_lap_time_rank", rank).drop("_time_rank")
 
 
 #: What the fact table takes from the laps as it is; with these columns facts can be laps again.

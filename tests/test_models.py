@@ -220,3 +220,27 @@ def test_fact_shuffles(spark, tmp_path):
     assert plan.count("Exchange hashpartitioning") <= 7 and "SinglePartition" not in plan
     read = [x.split(",") for x in re.findall(r"FileScan parquet \[([^]]*)\]", plan)]
     assert sorted(len(r) > 3 for r in read) == [False, False, True]
+
+
+def test_whole_laps_move_once(spark, tmp_path):
+    """Laps are dealt by driver only; slices bring their offsets along and nothing is joined to laps."""
+    path = str(tmp_path / "laps")
+    laps = frame(spark, "laps", [
+        lap(1, d, n, t) for d, n, t in
+        [(7, 1, 90.0), (7, 2, None), (7, 2, 90.0), (8, 1, 90.0), (None, 3, 91.0), (8, 2, 8.0), (7, 1, 90.0)]
+    ])
+    silver.build_silver_laps(laps, RUN).unionByName(
+        silver.build_silver_laps(laps.filter("lap_number = 2"), RUN).withColumn("driver_number", F.lit(None).cast("long"))
+    ).write.parquet(path)
+    fact = gold.build_fact_laps(spark.read.parquet(path))
+    plan = fact._jdf.queryExecution().executedPlan().toString().split("== Initial")[0]
+    wide = [x for x in plan.split("\n") if "Join" in x]
+    assert all("driver_number" not in x for x in wide)
+    whole = "lap_number, date_start, lap_duration, is_pit_out_lap, updated_at, speed_trap_speed, max_speed"
+    plain = spark.read.parquet(path).selectExpr(
+        "*", f"row_number() OVER (PARTITION BY session_key ORDER BY lap_duration, driver_number, {whole}) AS t",
+        f"row_number() OVER (PARTITION BY session_key, driver_number ORDER BY {whole}) AS d",
+    ).selectExpr("driver_number", "lap_number", "lap_duration", "IF(is_valid_lap, t, NULL) AS t", "d")
+    names = ["driver_number", "lap_number", "lap_duration", "session_lap_time_rank", "driver_lap_rank"]
+    got = sorted(map(str, fact.select(*names).toDF(*plain.columns).collect()))
+    assert got == sorted(map(str, plain.collect())) and len(got) == 9
