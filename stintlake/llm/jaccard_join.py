@@ -33,9 +33,11 @@ GROUPS = 64
 FANOUT = 32
 #: Blocks up to this size are compared row by row instead of by a tree.
 SMALL_BLOCK = 12
-#: The frequency sketch: texts sampled for it, counters, and the least count that matters.
+#: The frequency sketch: texts and shingles at most that a task counts at a time, log2 of the
+#: counters and of those that are added up together, and the least count that matters.
 SKETCH_TEXTS = 30_000
-SKETCH_BITS = 24
+SKETCH_HELD = 1 << 22
+SKETCH_BITS, SKETCH_SPAN = 24, 12
 SKETCH_LEAST = 8
 #: Neighbours of a text that the first round verifies: those met in most of its blocks.
 NEIGHBOURS = 4
@@ -124,33 +126,70 @@ def _overlap_bound(a: list[bytes], b: list[bytes]) -> np.ndarray:
     return out
 
 
-def frequency_sketch(docs: DataFrame, words: int, texts: int = SKETCH_TEXTS) -> tuple[np.ndarray, float]:
-    """Counters of shingles in a sample of texts, and the sample's share of all texts.
+def frequency_sketch(docs: DataFrame, words: int, texts: int = SKETCH_TEXTS) -> np.ndarray:
+    """Levels (log2) of the counts of shingles in all texts, by counter.
 
-    The sketch has a fixed size and only orders shingles from rare to frequent; whatever it
-    says, the order is the same for all texts, and so no similar pair is lost.
+    Every text is counted; a task puts its counts out after ``texts`` texts, or sooner if they
+    are long, and they are added up by ranges of counters. The sketch has a fixed size and only orders shingles
+    from rare to frequent; whatever it says, the order is the same for all texts, and so no
+    similar pair is lost.
     """
-    total = docs.count()
-    share = min(1.0, texts / max(total, 1))
+    span = 1 << SKETCH_SPAN
+
+    def counted(slots: list[np.ndarray]) -> pa.RecordBatch:
+        slot, n = np.unique(np.concatenate(slots), return_counts=True)
+        part = slot >> SKETCH_SPAN
+        starts = np.flatnonzero(np.diff(part, prepend=-1))
+        ends = np.append(starts[1:], len(slot))
+        low, n = (slot & (span - 1)).astype("<u2"), n.astype("<u4")
+        return pa.RecordBatch.from_arrays(
+            [pa.array(part[starts].astype(np.int32)),
+             pa.array([low[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary()),
+             pa.array([n[i:j].tobytes() for i, j in zip(starts, ends)], pa.binary())],
+            ["part", "slots", "counts"],
+        )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        slots = [np.zeros(0, np.int64)]
+        slots: list[np.ndarray] = []
+        held = 0
         for batch in batches:
             for text in text_bytes(batch.column(0)):
-                slots.append((shingles(text, words) >> np.uint64(64 - SKETCH_BITS)).astype(np.int64))
-        slot, n = np.unique(np.concatenate(slots), return_counts=True)
-        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(n)], ["slot", "n"])
-
-    text = F.col("text")
-    sample = docs.filter(F.pmod(F.xxhash64(text, F.lit(5)), F.lit(1 << 20)) < share * (1 << 20))
+                slots.append((shingles(text, words) >> np.uint64(64 - SKETCH_BITS)).astype(np.int32))
+                held += len(slots[-1])
+                if len(slots) >= texts or held >= SKETCH_HELD:
+                    yield counted(slots)
+                    slots, held = [], 0
+        if slots:
+            yield counted(slots)
+
+    def leveled(part: int, total: np.ndarray) -> pa.RecordBatch:
+        level = np.minimum(255, np.frexp(total.astype(float))[1]).astype(np.uint8)
+        level[total < SKETCH_LEAST] = 0
+        return pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([level.tobytes()], pa.binary())], ["part", "levels"]
+        )
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        last, total = None, np.zeros(span, np.int64)
+        for batch in batches:
+            for part, slots, counts in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if part != last:
+                    if last is not None:
+                        yield leveled(last, total)
+                    last, total = part, np.zeros(span, np.int64)
+                total[np.frombuffer(slots, "<u2")] += np.frombuffer(counts, "<u4")
+        if last is not None:
+            yield leveled(last, total)
+
+    counts = docs.select("text").mapInArrow(lean(run, _OWNER), "part int, slots binary, counts binary")
     rows = (
-        sample.select(text).mapInArrow(lean(run, _OWNER), "slot long, n long")
-        .groupBy("slot").agg(F.sum("n").alias("n")).filter(F.col("n") >= SKETCH_LEAST).collect()
+        counts.repartition("part").sortWithinPartitions("part")
+        .mapInArrow(lean(add_up, _OWNER), "part int, levels binary").toArrow()
     )
-    sketch = np.zeros(1 << SKETCH_BITS, np.uint8)
-    for r in rows:
-        sketch[r.slot] = min(255, int(r.n).bit_length())
-    return sketch, share
+    sketch = np.zeros((1 << (SKETCH_BITS - SKETCH_SPAN), span), np.uint8)
+    for part, levels in zip(rows.column(0).to_pylist(), rows.column(1).to_pylist()):
+        sketch[part] = np.frombuffer(levels, np.uint8)
+    return sketch.ravel()
 
 
 _TEXTS = """doc_id {kind}, text_key long, text_hash binary, digest binary, n int, keys binary,
@@ -191,7 +230,7 @@ def describe(docs: DataFrame, sketch, words: int, percent: int) -> DataFrame:
 # Blocks
 
 
-def _block_rows(prefixes: DataFrame, sketch, share: float, salt_rows: int) -> DataFrame:
+def _block_rows(prefixes: DataFrame, sketch, salt_rows: int) -> DataFrame:
     """A row for each shingle of each prefix: key, salt, salted, n, node."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -205,7 +244,7 @@ def _block_rows(prefixes: DataFrame, sketch, share: float, salt_rows: int) -> Da
                 node = np.repeat(some.column(0).to_numpy(), sizes)
                 n = np.repeat(some.column(1).to_numpy(), sizes)
                 level = levels[(keys >> np.uint64(64 - SKETCH_BITS)).astype(np.int64)]
-                expected = np.where(level > 0, np.exp2(level) / share, 0)
+                expected = np.where(level > 0, np.exp2(level), 0)
                 salts = np.maximum(1, expected // salt_rows).astype(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.view(np.int64)), pa.array((node % salts).astype(np.int32)),
@@ -564,13 +603,12 @@ def jaccard_components(
     """
     context = docs.sparkSession.sparkContext
     docs = docs.select("doc_id", "text")
-    levels, share = frequency_sketch(docs, words, sketch_texts)
-    sketch = context.broadcast(levels)
+    sketch = context.broadcast(frequency_sketch(docs, words, sketch_texts))
     described = describe(docs, sketch, words, percent)
     texts = stage(described.withColumn("place", F.monotonically_increasing_id()), "texts")
     classes = _classes(texts)
     prefixes = texts.select("place", "keys").join(classes.select("place", "node", "n"), "place")
-    blocks = _block_rows(prefixes, sketch, share, salt_rows)
+    blocks = _block_rows(prefixes, sketch, salt_rows)
     shared = stage(_shared(blocks, percent, "key", "salt"), "shared")
     leads = _shared(
         shared.filter("salted and first").select("key", "salt", "salted", "n", "node"), percent, "key"

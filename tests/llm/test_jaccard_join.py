@@ -117,3 +117,17 @@ def test_columns_of_any_name_are_kept(spark, docs):
     out = J.keep_one(df)
     assert out.columns == df.columns
     assert sorted(r.doc_id for r in out.collect()) == [0, 2, 3, 5]
+
+
+@pytest.mark.parametrize("texts", [30_000, 2])
+def test_sketch_counts_every_text(docs, texts):
+    """However few texts a task counts at a time, the sketch is of all of them."""
+    rows = [(i, f"one line that all have number {i % 3}") for i in range(60)] + [(60, None), (61, "")]
+    got = J.frequency_sketch(docs(*rows).repartition(4), J.WORDS, texts)
+    counts = {}
+    for _, text in rows:
+        for h in J.shingles((text or "").encode()).tolist():
+            slot = h >> (64 - J.SKETCH_BITS)
+            counts[slot] = counts.get(slot, 0) + 1
+    assert {int(i): int(got[i]) for i in np.flatnonzero(got)} == {k: n.bit_length() for k, n in counts.items()}
+    assert not J.frequency_sketch(docs(), J.WORDS).any()
