@@ -117,8 +117,13 @@ def build_fact_laps(
     ``is_personal_best_lap`` compares times only, so an invalid lap that equals
     the best valid one is flagged as well.
     """
+    return with_lap_keys(rank_laps(silver_laps, nulls), carried)
+
+
+def with_lap_keys(ranked: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """The fact table of ranked laps: what follows from a row alone. No shuffle."""
     best = F.col("driver_best_lap_time")
-    return rank_laps(silver_laps, nulls).select(
+    return ranked.select(
         C.surrogate_key("session_key", "driver_number", "lap_number").alias("lap_key"),
         C.surrogate_key("session_key").alias("session_dim_key"),
         C.surrogate_key("driver_number").alias("driver_key"),

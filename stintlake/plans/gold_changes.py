@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from stintlake.operators.grouping import join_same
 from stintlake.plans import gold, marts
 from stintlake.session import stage, staging
 from stintlake.sources.batches import any_ended, merge_new_files
@@ -33,15 +34,26 @@ BUCKETED = ("fact_laps", "driver_session_summary", "session_leaderboard", "team_
 DRIVER_COLUMNS = ["full_name", "team_name", "team_category", "is_current"]
 
 
-def facts_with(old: DataFrame | None, new: DataFrame, load: int) -> DataFrame:
-    """Facts of a bucket after a load; rows that a stopped run of the same load left are replaced."""
+#: What a rank adds to a lap; the other columns of a fact follow from its row.
+RANKS = ["driver_lap_rank", "session_lap_time_rank", "driver_best_lap_time"]
+
+
+def ranked_with(old: DataFrame | None, new: DataFrame, load: int) -> DataFrame:
+    """Ranked laps of a bucket after a load; rows that a stopped run of the same load left are replaced.
+
+    Ranks lie within a session, so old facts of sessions that the load does not bring stay as they are.
+    """
     columns = [*gold.LAP_COLUMNS, "batch_day", "session_name", "updated_at"]
     laps = new.select(*columns, F.lit(load).alias(LOAD))
-    if old is not None:
-        # Folder names like 2024-03-02 are read as dates.
-        stored = old.filter(F.col(LOAD) != load).withColumn("batch_day", F.col("batch_day").cast("string"))
-        laps = stored.select(*laps.columns).unionByName(laps)
-    return gold.build_fact_laps(laps, carried=[LOAD])
+    if old is None:
+        return gold.rank_laps(laps)
+    # Folder names like 2024-03-02 are read as dates.
+    stored = old.filter(F.col(LOAD) != load).withColumn("batch_day", F.col("batch_day").cast("string"))
+    brought = stage(new.select(*KEY).distinct(), "brought")
+    same = join_same(stored, brought, KEY, "left_semi").select(*laps.columns)
+    ranked = gold.rank_laps(same.unionByName(laps))
+    rest = join_same(stored, brought, KEY, "left_anti")
+    return ranked.unionByName(rest.select(*laps.columns, *RANKS))
 
 
 def changed_keys(new: DataFrame, old: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
@@ -109,8 +121,8 @@ def refresh_gold(
         def merge(new: DataFrame, load: int) -> None:
             touched = touched_buckets(new, KEY, buckets)
             rewrite_buckets(
-                spark, facts, touched, KEY, lambda old: facts_with(old, new, load), buckets, fresh,
-                ["batch_day"],
+                spark, facts, touched, KEY, lambda old: ranked_with(old, new, load), buckets, fresh,
+                ["batch_day"], finish=lambda rows: gold.with_lap_keys(rows, [LOAD]),
             )
             follow(touched | waiting)
 

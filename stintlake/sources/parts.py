@@ -90,12 +90,15 @@ def rewrite_buckets(
     fresh: bool = False,
     partition_by: Sequence[str] = (),
     number: int | None = None,
+    finish: Callable[[DataFrame], DataFrame] | None = None,
 ) -> list[int]:
     """Rewrite the buckets with the given numbers; see :func:`change_buckets`.
 
     ``partition_by`` names columns by whose values a bucket is divided into folders. ``number`` is that of
-    the next state, if it was asked for before.
+    the next state, if it was asked for before. ``finish`` adds, row by row, columns that follow from the
+    others, after rows are dealt to files, so that they are not shuffled.
     """
+    finish = finish or (lambda rows: rows)
     number = next_pointer(spark, path) if number is None else number
     stored = [] if fresh else current_parts(spark, path) or []
     if not touched and stored:
@@ -107,7 +110,8 @@ def rewrite_buckets(
     old = read_parts(spark, [folder for label, folder in stored if label in labels])
     version = f"{DIVIDED}v{new_version()}" if partition_by else new_version()
     rows, places = change(old), [KEY_BUCKET, *partition_by]
-    rows.withColumn(KEY_BUCKET, bucket_of(keys, buckets)).hint("rebalance", *places).write.mode(
+    placed = rows.withColumn(KEY_BUCKET, bucket_of(keys, buckets)).hint("rebalance", *places)
+    finish(placed).withColumn(KEY_BUCKET, bucket_of(keys, buckets)).write.mode(
         "errorifexists"
     ).partitionBy(*places).parquet(version_path(path, version))
     folder = version_path(path, version)
@@ -117,7 +121,7 @@ def rewrite_buckets(
     kept = [(label, place.removeprefix(root)) for label, place in stored if label not in labels]
     kept = [part for part in kept if not part[0].endswith("/none")] or (kept if not made else [])
     if not made and not kept:  # columns without rows
-        rows.limit(0).write.mode("overwrite").parquet(folder)
+        finish(rows).limit(0).write.mode("overwrite").parquet(folder)
         made = [(f"{buckets}/none", version)]
     replace_parts(spark, path, sorted([*kept, *made]), number)
     return sorted(touched)

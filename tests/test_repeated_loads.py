@@ -262,3 +262,27 @@ def test_gold_stopped_at_a_table_then_rerun(spark, bronze, monkeypatch, stop):
     rerun = gold_rows(spark, path)
     build.refresh_gold(spark, path, TS, full=True)
     assert gold_rows(spark, path) == rerun
+
+
+def test_load_ranks_only_its_sessions(spark):
+    """Facts of a session that the load does not bring stay; the others are ranked with the new laps."""
+    from pyspark.sql import functions as F
+
+    from stintlake.plans import gold, gold_changes, silver
+    from stintlake.sources.schemas import DDL
+
+    def laps(*rows):
+        wide = spark.createDataFrame(rows, "session_key long, driver_number long, lap_number long, lap_duration double")
+        known = spark.createDataFrame([], DDL["laps"]).withColumn("_ingestion_timestamp", F.lit(None).cast("timestamp"))
+        return silver.build_silver_laps(known.unionByName(wide, allowMissingColumns=True), "2024-02-01 00:00:00")
+
+    first = laps((1, 7, 1, 90.0), (2, 7, 1, 95.0)).withColumn("_load", F.lit(0))
+    old = gold.build_fact_laps(first, carried=["_load"]).withColumn(
+        "driver_lap_rank", F.when(F.col("session_key") == 2, 99).otherwise(F.col("driver_lap_rank")).cast("long")
+    )
+    got = gold_changes.ranked_with(old, laps((1, 7, 2, 80.0)), 1)
+    assert "lap_key" not in got.columns
+    rows = gold.with_lap_keys(got, ["_load"])
+    assert rows.columns == old.columns
+    names = ["session_key", "lap_number", "driver_lap_rank", "session_lap_time_rank", "_load"]
+    assert sorted(map(tuple, rows.select(*names).collect())) == [(1, 1, 1, 2, 0), (1, 2, 2, 1, 1), (2, 1, 99, 1, 0)]
