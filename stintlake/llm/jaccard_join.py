@@ -6,15 +6,18 @@ less than the size of the sets' intersection. Similar sets must share one of the
 shingles (the prefix that the threshold allows), so each shingle of a prefix is a block. In a
 block, points are packed into an R-tree that is joined with itself: node pairs whose maxima
 cannot reach the overlap that the threshold asks for, or that are connected already, are left out.
-Surviving pairs are verified on the sets.
+What survives is verified on the sets.
 
 Texts with equal sets are one class from the start. A first round verifies only neighbours in
-each block, which connects large groups of copies with a few pairs per text; the second round
-joins what is left in blocks that still hold several components.
+each block, which connects large groups of copies with a few pairs per text. The second round
+joins what is left in blocks that still hold several components. A block puts out no pairs, but
+groups that all its surviving pairs lie in; groups of several blocks are united, and each
+meets once, in tiles of bounded size, where all its sets are compared.
 """
 
 from __future__ import annotations
 
+import itertools
 import zlib
 from collections.abc import Iterator
 
@@ -43,6 +46,9 @@ SKETCH_LEAST = 8
 NEIGHBOURS = 4
 #: A block expected to be larger is dealt to several tasks in the first round.
 SALT_ROWS = 4096
+#: Texts and shingles of a part of a group, on average; a tile compares one part or two.
+TILE_ROWS = 2048
+TILE_SHINGLES = 1 << 21
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
                          0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], np.uint64)
@@ -393,14 +399,26 @@ def _near_rows(key: np.ndarray, points: np.ndarray, n: np.ndarray, component: np
         yield a[keep], a[keep] + step
 
 
-def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) of nodes that survive the trees of blocks: rows are key, n, node, component, point."""
+def _unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the groups of rows ``a`` and ``b``; ``label`` is the first row of each row's group."""
+    while True:
+        x, y = label[a], label[b]
+        new = x != y
+        if not new.any():
+            return
+        a, b = a[new], b[new]
+        np.minimum.at(label, np.maximum(x, y)[new], np.minimum(x, y)[new])
+        while (label[label] != label).any():
+            label[:] = label[label]
+
+
+def _block_groups(rows: DataFrame, percent: int) -> DataFrame:
+    """Edges (a, b), fewer than its rows in each block, that hold together all pairs of nodes that
+    survive the block's tree: rows are key, n, node, component, point."""
     in_order = rows.repartition("key").sortWithinPartitions("key", "n", "node")
 
-    def pairs(block: pa.Table) -> Iterator[pa.RecordBatch]:
+    def groups_of(block: pa.Table) -> pa.RecordBatch:
         key = block.column("key").to_numpy()
-        if not len(key):
-            return
         n, node = block.column("n").to_numpy(), block.column("node").to_numpy()
         component = block.column("component").to_numpy()
         raw = block.column("point").to_pylist()
@@ -410,59 +428,62 @@ def _block_pairs(rows: DataFrame, percent: int) -> DataFrame:
         sizes = np.diff(starts)
         small = np.repeat(sizes <= SMALL_BLOCK, sizes)
         at = np.flatnonzero(small)
-        found = []
+        label = np.arange(len(key))
         coarse = _points([raw[i] for i in at])
         for a, b in _near_rows(key[at], coarse, n[at], component[at], percent):
             a, b = at[a], at[b]
             bound = _overlap_bound([raw[i] for i in a], [raw[i] for i in b])
             keep = bound >= needed_overlap(n[a].astype(np.int64), n[b].astype(np.int64), percent)
-            found.append((a[keep], b[keep]))
+            _unite(label, a[keep], b[keep])
         for i in np.flatnonzero(sizes > SMALL_BLOCK):
             rows = np.arange(starts[i], starts[i + 1])
+            group = np.arange(len(rows))
             for g in np.unique(groups[rows]):
                 # Similar texts differ in size by a third at most, so their groups at most by half.
-                own = rows[(groups[rows] == g) | (groups[rows] == 2 * g)]
-                points = _points([raw[k] for k in own], int(g))
-                for a, b in tree_join(points, n[own], component[own], percent):
-                    a, b = own[a], own[b]
-                    new = (groups[a] == g) | (groups[b] == g)
-                    found.append((a[new], b[new]))
-                    if sum(len(a) for a, _ in found) > 500_000:
-                        yield _pair_batch(node, found)
-                        found = []
-        yield _pair_batch(node, found)
+                own = np.flatnonzero((groups[rows] == g) | (groups[rows] == 2 * g))
+                points = _points([raw[k] for k in rows[own]], int(g))
+                found, held = [], 0
+                for a, b in tree_join(points, n[rows[own]], component[rows[own]], percent):
+                    found.append((own[a], own[b]))
+                    held += len(a)
+                    if held > 200_000:
+                        _unite(group, *map(np.concatenate, zip(*found)))
+                        found, held = [], 0
+                if found:
+                    _unite(group, *map(np.concatenate, zip(*found)))
+            label[rows] = rows[group]
+        at = np.flatnonzero(label != np.arange(len(label)))
+        both = np.stack([node[label[at]], node[at]], axis=1).astype(np.int64)
+        both = np.unique(both, axis=0)
+        return pa.RecordBatch.from_arrays([pa.array(both[:, 0]), pa.array(both[:, 1])], ["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            key = batch.column(0).to_numpy()
-            new = np.flatnonzero(key != key[-1])
-            cut = int(new[-1]) + 1 if len(new) else 0  # rows before belong to whole blocks
-            if held and held[-1].column(0)[-1].as_py() != key[0]:
-                yield from pairs(pa.Table.from_batches(held))
-                held = []
-            if cut:
-                held.append(batch.slice(0, cut))
-                yield from pairs(pa.Table.from_batches(held))
-                held = []
-            held.append(batch.slice(cut))
-        if held:
-            yield from pairs(pa.Table.from_batches(held))
+        return map(groups_of, _whole_groups(batches, 1))
 
     return in_order.select("key", "n", "node", "component", "point").mapInArrow(
         lean(run, _OWNER), "a long, b long"
     ).distinct()
 
 
-def _pair_batch(node: np.ndarray, found: list) -> pa.RecordBatch:
-    a = np.concatenate([node[a] for a, _ in found]) if found else np.zeros(0, np.int64)
-    b = np.concatenate([node[b] for _, b in found]) if found else np.zeros(0, np.int64)
-    both = np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], axis=1), axis=0)
-    return pa.RecordBatch.from_arrays(
-        [pa.array(both[:, 0].astype(np.int64)), pa.array(both[:, 1].astype(np.int64))], ["a", "b"]
-    )
+def _whole_groups(batches: Iterator[pa.RecordBatch], columns: int) -> Iterator[pa.Table]:
+    """Tables of one or more whole groups, from rows in order of the first ``columns`` columns."""
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        keys = [batch.column(i).to_numpy() for i in range(columns)]
+        new = np.flatnonzero(np.any([k != k[-1] for k in keys], axis=0))
+        cut = int(new[-1]) + 1 if len(new) else 0  # rows before belong to whole groups
+        if held and any(held[-1].column(i)[-1].as_py() != k[0] for i, k in enumerate(keys)):
+            yield pa.Table.from_batches(held)
+            held = []
+        if cut:
+            held.append(batch.slice(0, cut))
+            yield pa.Table.from_batches(held)
+            held = []
+        held.append(batch.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
 
 
 # Verification
@@ -506,14 +527,13 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
     return words
 
 
-def _sets_of(docs: DataFrame, classes: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """node and words of every class in ``pairs``, read again from one text of the class.
+def _sets_of(docs: DataFrame, classes: DataFrame, nodes: DataFrame, words: int) -> DataFrame:
+    """node and words of every class in ``nodes(node)``, read again from one text of the class.
 
     Compressed words are a fraction of the hashes of their shingles.
     """
     import xxhash
 
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     wanted = stage(
         classes.join(nodes, "node", "left_semi").select("node", "text_hash", "text_key"), "wanted"
     )
@@ -573,6 +593,83 @@ def _verified(pairs: DataFrame, sets: DataFrame, words: int, percent: int) -> Da
     )
 
 
+def tile_links(
+    node: np.ndarray, component: np.ndarray, second: np.ndarray, sets: list[np.ndarray], percent: int
+) -> list[tuple[int, int]]:
+    """Pairs of nodes with similar sets that connect all components of a tile that such pairs connect.
+
+    Rows are compared with each other or, if some are of the ``second`` part, across parts.
+    """
+    size = np.array([len(x) for x in sets], np.int64)
+    label = np.unique(component, return_inverse=True)[1]
+    by_size = np.argsort(size, kind="stable")
+    alone = bool(second.all() or not second.any())
+    rows = by_size if alone else by_size[~second[by_size]]
+    table = by_size if alone else by_size[second[by_size]]
+    sizes = size[table]
+    ends = np.concatenate([[0], np.cumsum(sizes)])
+    kinds, flat = np.unique(np.concatenate([sets[i] for i in table]), return_inverse=True)
+    mark = np.zeros(len(kinds), np.uint8)
+    links = []
+    for p, i in enumerate(rows):
+        n = int(size[i])
+        lo = int(np.searchsorted(sizes, -(-percent * n // 100)))
+        hi = p if alone else int(np.searchsorted(sizes, 100 * n // percent, "right"))
+        if lo >= hi or (label[table[lo:hi]] == label[i]).all():
+            continue
+        place = np.minimum(np.searchsorted(kinds, sets[i]), len(kinds) - 1)
+        place = place[kinds[place] == sets[i]]
+        mark[place] = 1
+        both = np.add.reduceat(mark[flat[ends[lo]:ends[hi]]], ends[lo:hi] - ends[lo], dtype=np.int64)
+        mark[place] = 0
+        similar = table[lo:hi][100 * both >= percent * (n + sizes[lo:hi] - both)]
+        other, at = np.unique(label[similar], return_index=True)
+        new = other != label[i]
+        links += [(int(node[i]), int(node[j])) for j in similar[at[new]]]
+        if new.any():
+            label[np.isin(label, other)] = label[i]
+    return links
+
+
+def _group_links(groups: DataFrame, classes: DataFrame, sets: DataFrame, found: DataFrame, words: int, percent: int) -> DataFrame:
+    """Links (a, b) across the components of each group, fewer than rows in each tile.
+
+    ``groups(node, root)`` is split into parts by a hash of the node, and each two parts meet in
+    a tile. A group of one part meets in one task; larger ones send each set to as many
+    tiles as there are parts.
+    """
+    of = groups.join(classes.select("node", "n"), "node")
+    sizes = of.groupBy("root").agg(
+        F.ceil(F.greatest(F.count("*") / TILE_ROWS, F.sum("n") / TILE_SHINGLES)).cast("int").alias("parts")
+    )
+    part = F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")
+    rows = (
+        of.join(sizes, "root").join(found.select("node", F.col("root").alias("component")), "node", "left")
+        .join(sets, "node")
+        .select("root", "node", F.coalesce("component", "node").alias("component"), "words", part.alias("part"),
+                F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("other"))
+        .select("root", F.least("part", "other").alias("low"), F.greatest("part", "other").alias("high"),
+                (F.col("part") > F.col("other")).alias("second"), "node", "component", "words")
+    )
+    tile = ["root", "low", "high"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for table in _whole_groups(batches, 3):
+            keys = [table.column(i).to_numpy() for i in range(3)]
+            second, node, component = (table.column(i).to_numpy() for i in range(3, 6))
+            edges = np.flatnonzero(np.any([np.diff(k) != 0 for k in keys], axis=0)) + 1
+            links = []
+            for a, b in itertools.pairwise([0, *edges.tolist(), len(node)]):
+                sets = [shingles(zlib.decompress(x.as_py()), words) for x in table.column(6)[a:b]]
+                links += tile_links(node[a:b], component[a:b], second[a:b].astype(bool), sets, percent)
+            x, y = zip(*links) if links else ((), ())
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()), pa.array(y, pa.int64())], ["a", "b"])
+
+    return rows.repartition(*tile).sortWithinPartitions(*tile, "node").mapInArrow(
+        lean(run, _OWNER), "a long, b long"
+    )
+
+
 # The join
 
 
@@ -623,14 +720,15 @@ def jaccard_components(
         F.least("node", "near.other").alias("a"), F.greatest("node", "near.other").alias("b")
     ).distinct()
     tried = stage(_bounded(pairs, classes, percent), "pairs")
-    links = stage(_verified(tried, _sets_of(docs, classes, tried, words), words, percent), "links")
+    ends = tried.select(F.explode(F.array("a", "b")).alias("node")).distinct()  # a few pairs a text
+    links = stage(_verified(tried, _sets_of(docs, classes, ends, words), words, percent), "links")
     found = stage(connected(links), "components")
 
-    # Written first, so that the pairs are distinct before they meet those already tried.
     mixed = stage(_mixed_blocks(shared, classes, found, percent), "mixed")
-    rest = stage(_bounded(mixed.join(tried, ["a", "b"], "left_anti"), classes, percent), "rest")
-    if not rest.isEmpty():
-        more = stage(_verified(rest, _sets_of(docs, classes, rest, words), words, percent), "more-links")
+    if not mixed.isEmpty():
+        groups = stage(connected(mixed), "groups")
+        sets = _sets_of(docs, classes, groups.select("node"), words)
+        more = stage(_group_links(groups, classes, sets, found, words, percent), "more-links")
         if not more.isEmpty():
             tree = found.select(F.col("node").alias("a"), F.col("root").alias("b"))
             found = stage(connected(more.unionByName(tree)), "components")
@@ -638,7 +736,8 @@ def jaccard_components(
 
 
 def _mixed_blocks(shared: DataFrame, classes: DataFrame, found: DataFrame, percent: int) -> DataFrame:
-    """Surviving pairs in the blocks that hold several components, each pair across two of them."""
+    """Edges that hold together the pairs, each across two components, that survive in the blocks
+    with several."""
     of = shared.select("key", "n", "node").join(found, "node", "left").select(
         "key", "n", "node", F.coalesce("root", "node").alias("component")
     )
@@ -647,7 +746,7 @@ def _mixed_blocks(shared: DataFrame, classes: DataFrame, found: DataFrame, perce
         F.min("component").alias("low"), F.max("component").alias("high")
     ).filter("low <> high").select("key")
     rows = of.join(mixed, "key", "left_semi").join(classes.select("node", "point"), "node")
-    return _block_pairs(rows, percent)
+    return _block_groups(rows, percent)
 
 
 def _labelled(texts: DataFrame, classes: DataFrame, found: DataFrame) -> DataFrame:

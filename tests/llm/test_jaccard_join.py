@@ -131,3 +131,68 @@ def test_sketch_counts_every_text(docs, texts):
             counts[slot] = counts.get(slot, 0) + 1
     assert {int(i): int(got[i]) for i in np.flatnonzero(got)} == {k: n.bit_length() for k, n in counts.items()}
     assert not J.frequency_sketch(docs(), J.WORDS).any()
+
+
+def near_copies(seed, texts, groups):
+    """Texts of a few groups whose pairs lie around the threshold, most of them below it."""
+    rng = random.Random(seed)
+    base = [[f"g{g}w{i}" for i in range(120)] for g in range(groups)]
+    rows = []
+    for i in range(texts):
+        new = list(base[i % groups])
+        for at in rng.sample(range(120), rng.randrange(1, 6)):
+            new[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(new)))
+    return rows
+
+
+def test_second_round_puts_out_no_pair_products(docs, monkeypatch):
+    """What the blocks put out grows with their rows, not with the pairs of near copies."""
+    rows, made = near_copies(5, 160, 2), {}
+    staged = J.stage
+
+    def stage(df, label="stage"):
+        out = staged(df, label)
+        made[label] = out.count()
+        return out
+
+    monkeypatch.setattr(J, "stage", stage)
+    out = J.jaccard_components(docs(*rows).repartition(3)).collect()
+    want = brute(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == want
+    assert 1 < len({c for _, c in want.values()}) < len(rows)
+    assert 0 < made["mixed"] <= 4 * len(rows)
+
+
+@pytest.mark.parametrize("seed,part", [(1, 1), (2, 3), (3, 16)])
+def test_tiles_against_brute_force(docs, seed, part, monkeypatch):
+    monkeypatch.setattr(J, "TILE_ROWS", part)
+    monkeypatch.setattr(J, "SMALL_BLOCK", 4)
+    rows = near_copies(seed, 60, 2) + [(1000 + i, t) for i, t in chained(seed, 60, [f"w{i}" for i in range(40)])]
+    out = J.jaccard_components(docs(*rows).repartition(3)).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in out} == brute(rows)
+
+
+@pytest.mark.parametrize("parts", [1, 2])
+def test_tile_links_connect_what_is_similar(parts):
+    rng = np.random.default_rng(8)
+    base = np.unique(rng.integers(0, 1 << 62, 60, dtype=np.uint64))
+    sets = [np.sort(rng.permutation(base)[:rng.integers(30, 55)]) for _ in range(80)]
+    second = np.arange(80) % 2 == 1 if parts == 2 else np.zeros(80, bool)
+    component = rng.integers(0, 70, 80)
+    links = J.tile_links(np.arange(80), component, second, sets, 75)
+    assert len(links) < 80
+
+    def joined(pairs):
+        label = component.copy()
+        for i, j in pairs:
+            label[label == label[i]] = label[j]
+        return {tuple(np.flatnonzero(label == x)) for x in label}
+
+    def similar(i, j):
+        both = len(np.intersect1d(sets[i], sets[j]))
+        return 100 * both >= 75 * (len(sets[i]) + len(sets[j]) - both)
+
+    pairs = [(i, j) for i in range(80) for j in range(i) if similar(i, j) and (parts == 1 or second[i] != second[j])]
+    assert set(links) <= {p for i, j in pairs for p in ((i, j), (j, i))}
+    assert joined(links) == joined(pairs)
