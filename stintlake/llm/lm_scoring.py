@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from stintlake.llm import succinct
 from stintlake.llm.common import LOWER, mix64, stage, text_bytes
-from stintlake.session import fresh_path, staging
+from stintlake.session import drop_stages, fresh_path, staged, staging
 
 DISCOUNT = 0.75
 MIN_COUNT = 2
@@ -309,7 +309,8 @@ def _signed(hashes: np.ndarray) -> pa.Array:
 
 
 def _kept(docs: DataFrame, frequent: Broadcast, common: Broadcast, shards: int, least: int) -> DataFrame:
-    """shard, u, v, w, n of every sequence with at least ``least`` occurrences; u is NULL in pairs.
+    """shard, u, v, w, n, place of every sequence with at least ``least`` occurrences; u is NULL in
+    pairs, and place, the hash that the filter of pairs takes, is NULL in triples.
 
     Only words that pass the filter ``frequent`` can be in one.
     """
@@ -348,10 +349,12 @@ def _kept(docs: DataFrame, frequent: Broadcast, common: Broadcast, shards: int,
                 if not is_pair:
                     keep &= names[u[at_]] != NONE
                 at_, sums = at_[keep], sums[keep]
-                before = pa.nulls(len(at_), pa.int64()) if is_pair else _signed(names[u[at_]])
+                none = pa.nulls(len(at_), pa.int64())
+                before = none if is_pair else _signed(names[u[at_]])
+                place = pa.array(_pair_hashes(names[v[at_]], names[w[at_]])) if is_pair else none
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(at_), shard, np.int32)), before, _signed(names[v[at_]]),
-                     _signed(names[w[at_]]), pa.array(sums), pa.array(_pair_hashes(names[v[at_]], names[w[at_]]))],
+                     _signed(names[w[at_]]), pa.array(sums), place],
                     ["shard", "u", "v", "w", "n", "place"],
                 )
 
@@ -566,6 +569,7 @@ def _write_shards(docs: DataFrame, path: str, min_count: int, max_entries: int,
     """Number of shards, tokens, words, the weight of a text's start, the filter of pairs, frequent words."""
     spark = docs.sparkSession
     context = spark.sparkContext
+    first = staged(spark)
     words = stage(count_words(docs), "word-counts")
     total, kinds = words.agg(F.sum("n"), F.count("*")).first()
     total, kinds = total or 0, kinds or 0
@@ -573,6 +577,7 @@ def _write_shards(docs: DataFrame, path: str, min_count: int, max_entries: int,
     frequent = context.broadcast(_bits_of(words.filter(F.col("n") >= min_count).select(F.col("hash").alias("place"))))
     common = context.broadcast(_common_words(words))
     kept = stage(_kept(docs, frequent, common, shards, min_count), "kept")
+    counted = staged(spark)
     pairs = kept.filter("u IS NULL").drop("u", "place")
     triples = kept.filter("u IS NOT NULL").drop("place")
     filter_ = context.broadcast(_bits_of(kept.filter("u IS NULL").select("place")))
@@ -608,6 +613,7 @@ def _write_shards(docs: DataFrame, path: str, min_count: int, max_entries: int,
             "shard", "u", "v", "w", ((F.col("n") - DISCOUNT) / F.col("m")).alias("x"), "y",
         ), "triples",
     )
+    drop_stages(spark, first, counted)  # only the three frames written last are read from here on
     none = F.lit(None).cast("long")
     columns = ["shard", "kind", "u", "v", "w", "n", "x", "y"]
     rows = (

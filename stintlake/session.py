@@ -65,20 +65,25 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def drop_stages(spark: SparkSession, since: int = 0) -> None:
+def staged(spark: SparkSession) -> int:
+    """How many paths this session has taken in the shared folder, for :func:`drop_stages`."""
+    return len(_STAGED.get(spark.sparkContext.applicationId, []))
+
+
+def drop_stages(spark: SparkSession, since: int = 0, until: int | None = None) -> None:
     """Delete what this session wrote to the shared folder; results must have been read."""
     hadoop = spark._jsc.hadoopConfiguration()
     paths = _STAGED.get(spark.sparkContext.applicationId, [])
-    for path in paths[since:]:
+    for path in paths[since:until]:
         target = spark._jvm.org.apache.hadoop.fs.Path(path)
         target.getFileSystem(hadoop).delete(target, True)
-    del paths[since:]
+    del paths[since:until]
 
 
 @contextmanager
 def staging(spark: SparkSession) -> Iterator[None]:
     """Own what is staged inside: it is deleted at the end, when results must be written."""
-    since = len(_STAGED.get(spark.sparkContext.applicationId, []))
+    since = staged(spark)
     try:
         yield
     finally:

@@ -1,4 +1,5 @@
 import math
+import os
 import random
 import zlib
 from collections import Counter
@@ -141,3 +142,24 @@ def test_equal_ids_are_scored_one_by_one(docs):
     model = M.train(docs("a b a b", "a b"))
     out = M.score(docs((1, "a b"), (1, "a"), (None, "a b")), model).collect()
     assert sorted((r.doc_id or 0, r.n_tokens) for r in out) == [(0, 3), (1, 2), (1, 3)]
+
+
+def test_counts_are_deleted_before_shards_are_built(docs, monkeypatch):
+    """Only frames that are still read stay on disk, and triples carry no place."""
+    paths, left, places, staged, drop = {}, [], [], M.stage, M.drop_stages
+
+    def stage(df, label="stage"):
+        out = staged(df, label)
+        paths[label] = os.path.dirname(out.inputFiles()[0].removeprefix("file:"))
+        if label == "kept":
+            places.extend(out.selectExpr("(u IS NULL) = (place IS NOT NULL)").distinct().collect())
+        return out
+
+    def dropped(*args):
+        drop(*args)
+        left.extend(sorted(k for k, p in paths.items() if os.path.exists(p)))
+
+    monkeypatch.setattr(M, "stage", stage)
+    monkeypatch.setattr(M, "drop_stages", dropped)
+    M.train(docs("a b c d", "a b c", "b c d a b c"))
+    assert left == ["pairs", "triples", "word-weights"] and places == [(True,)]
