@@ -3,7 +3,9 @@ import random
 import numpy as np
 import pytest
 
+from stintlake.llm import components
 from stintlake.llm import jaccard_join as J
+from stintlake.llm.common import stage
 from stintlake.llm.components import connected
 from stintlake.llm.queries import QUERIES
 
@@ -110,6 +112,30 @@ def test_components_of_a_path(spark):
     assert got == {**{i: 0 for i in range(41)}, 100: 90, 95: 90, 90: 90}
 
 
+def test_rounds_take_a_shuffle_and_tasks_by_the_cores(spark, monkeypatch):
+    """However many partitions shuffles have, a round of a small graph is one shuffle and few tasks."""
+    seen = []
+
+    def counted(df, label):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        seen.append((plan.count("Exchange hash"), df.rdd.getNumPartitions()))
+        return stage(df, label)
+
+    monkeypatch.setattr(components, "stage", counted)
+    before = {k: spark.conf.get(k) for k in ("spark.sql.shuffle.partitions", "spark.sql.adaptive.coalescePartitions.enabled")}
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        edges = [(i, i + 1) for i in range(60)] + [(1000, i) for i in range(100, 400)] + [(5, 5), (3, 2), (2, 3)]
+        got = {r.node: r.root for r in connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert got == {**{i: 0 for i in range(61)}, **{i: 100 for i in range(100, 400)}, 1000: 100}
+    most = 2 * spark.sparkContext.defaultParallelism
+    assert seen and all(shuffles == 1 and tasks <= most for shuffles, tasks in seen)
+
+
 def test_columns_of_any_name_are_kept(spark, docs):
     names = ["_id", "_key", "_linked", "_copies", "_text", "one", "row", "text_key", "component_id", "n_shingles"]
     text = "one two three four five six seven"
