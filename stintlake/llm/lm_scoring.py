@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from stintlake.llm import succinct
 from stintlake.llm.common import LOWER, mix64, stage, text_bytes
-from stintlake.session import drop_stages, fresh_path, staged, staging
+from stintlake.session import drop_stages, fresh_path, shuffles_removed, staged, staging
 
 DISCOUNT = 0.75
 MIN_COUNT = 2
@@ -636,9 +636,10 @@ def _write_shards(docs: DataFrame, path: str, min_count: int, max_entries: int,
                 [pa.array([number], pa.int32()), pa.array([_shard_file(got)])], ["shard", "data"]
             )
 
-    rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(
-        build, "shard int, data binary"
-    ).write.parquet(path)
+    with shuffles_removed(spark):
+        rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(
+            build, "shard int, data binary"
+        ).write.parquet(path)
     back = follows.filter(F.col("v") == START).first()["back"]  # one row
     return shards, total, kinds, back, filter_, common
 

@@ -10,6 +10,7 @@ from contextlib import contextmanager
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _STAGED: dict[str, list[str]] = {}
 
 
@@ -54,6 +55,21 @@ def fresh_path(spark: SparkSession, label: str) -> str:
     return path
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Writes inside remove their shuffle files as they end, where Spark can (4.1); else these stay
+    until the driver happens to collect its garbage. What is written is read from its files."""
+    before = spark.conf.get(SHUFFLE_CLEANUP, None)
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(SHUFFLE_CLEANUP)
+        else:
+            spark.conf.set(SHUFFLE_CLEANUP, before)
+
+
 def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
@@ -61,7 +77,8 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     what lies before, and every consumer sees the same rows.
     """
     path = fresh_path(df.sparkSession, label)
-    df.write.mode("errorifexists").parquet(path)
+    with shuffles_removed(df.sparkSession):
+        df.write.mode("errorifexists").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
