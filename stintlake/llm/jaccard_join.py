@@ -39,7 +39,7 @@ SMALL_BLOCK = 12
 #: The frequency sketch: texts and shingles at most that a task counts at a time, log2 of the
 #: counters and of those that are added up together, and the least count that matters.
 SKETCH_TEXTS = 30_000
-SKETCH_HELD = 1 << 22
+SKETCH_HELD = 1 << 20
 SKETCH_BITS, SKETCH_SPAN = 24, 12
 SKETCH_LEAST = 8
 #: Neighbours of a text that the first round verifies: those met in most of its blocks.
