@@ -75,9 +75,9 @@ class Words:
         raw = np.frombuffer((b"\n".join(t for _, t in group) + b"\n").translate(LOWER), np.uint8)
         kind = _KIND[raw]
         word = kind == 0
-        edges = np.diff(np.concatenate([[0], word.view(np.int8)]))
+        edges = np.diff(word.view(np.int8), prepend=np.int8(0))  # small types, as there is one for each byte
         starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
-        breaks = np.cumsum(kind == 2)
+        breaks = np.cumsum(kind == 2, dtype=np.int32 if len(raw) < 1 << 31 else np.int64)
         #: Whether the next word follows in the same piece.
         self.linked = np.zeros(len(starts), bool)
         self.linked[:-1] = breaks[ends[:-1]] - (kind[ends[:-1]] == 2) == breaks[starts[1:]]
@@ -103,14 +103,19 @@ class Words:
         states, at = states[who], self.starts[who]
         while len(who):
             letters = self.data[at].astype(np.int32)
-            behind = np.flatnonzero((letters == _SPACE) | (letters == _END))
-            if len(behind):
-                ended, last = tries.step(base, check, states[behind], np.int32(_END))
-                found[who[behind[ended]]] = base[last] + first
-            inside = letters != _END
-            states, at, who, letters = states[inside], at[inside] + 1, who[inside], letters[inside]
-            known, states = tries.step(base, check, states, letters)
-            at, who = at[known], who[known]
+            from_ = base[states]
+            spaces = np.flatnonzero(letters == _SPACE)
+            if len(spaces):  # a phrase may end here, and a longer one go on
+                last = from_[spaces] + np.int32(_END)
+                ended = np.flatnonzero(check[last] == states[spaces])
+                found[who[spaces[ended]]] = base[last[ended]] + first
+            onward = from_ + letters
+            known = check[onward] == states
+            ends = letters == _END
+            ended = np.flatnonzero(known & ends)
+            found[who[ended]] = base[onward[ended]] + first
+            known = np.flatnonzero(known & ~ends)
+            states, at, who = onward[known], at[known] + 1, who[known]
 
     @staticmethod
     def _root(base: np.ndarray, check: np.ndarray, lang: bytes) -> int:
@@ -250,8 +255,13 @@ def _walk(docs: DataFrame, front: MappedTable, back: MappedTable | None, grow: b
             return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in (a, b, n)], ["a", "b", "n"])
 
         def merged() -> tuple[np.ndarray, np.ndarray]:
-            keys, place = np.unique(np.concatenate([k for k, _ in notes]), return_inverse=True)
-            counts = np.bincount(place, np.concatenate([n for _, n in notes]).astype(float), len(keys))
+            keys = np.concatenate([k for k, _ in notes])
+            order = np.argsort(keys, kind="stable")  # which joins up runs that are sorted
+            keys = keys[order]
+            heads = np.flatnonzero(np.concatenate([np.ones(min(1, len(keys)), bool), keys[1:] != keys[:-1]]))
+            counts = np.concatenate([n for _, n in notes])[order]
+            counts = np.add.reduceat(counts, heads, dtype=np.int64) if len(heads) else counts
+            keys = keys[heads]
             return keys, np.minimum(counts, least).astype(np.uint8 if least < 256 else np.int64)
 
         def told(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:

@@ -1,5 +1,6 @@
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -107,3 +108,15 @@ def test_tries_know_their_strings_only():
         for _ in range(500):
             x = bytes(dice.choice(b"abcz\xff\x01 ") for _ in range(dice.randint(1, 6))) + b"\n"
             assert number(x) == (own.index(x) if x in own else None)
+
+
+def test_words_of_a_stretch_take_little_memory():
+    """Arrays with an entry for each byte of the texts are of small types."""
+    group = [("en", b"abcdefghijklmnopqrstuvwxyz " * 4000 + b"end. And more")] * 8
+    size = sum(len(t) for _, t in group)
+    tracemalloc.start()
+    words = C.Words(group)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(words.starts) == 8 * 4003 and int(words.linked.sum()) == 8 * 4001
+    assert peak < 16 * size
