@@ -21,19 +21,18 @@ import itertools
 import math
 import os
 import tempfile
-from collections import Counter
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import Broadcast, SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stintlake.llm import succinct
-from stintlake.llm.common import LOWER, mix64, stage, text_bytes
+from stintlake.llm.common import lean, mix64, stage
 from stintlake.session import drop_stages, fresh_path, shuffles_removed, staged, staging
 
 DISCOUNT = 0.75
@@ -50,6 +49,12 @@ LEAST_SHARDS = 24
 RANGE_SHARDS = 64
 #: Texts are gathered to about so many words before they are dealt to shards.
 CHUNK_WORDS = 400_000
+#: Words of the texts that are counted at once.
+COUNT_WORDS = 2 * CHUNK_WORDS
+#: Bytes of dealt parts that a task gathers before it looks them up, shard by shard.
+HELD_BYTES = 3 << 20
+#: A level is decoded as a whole where there are so many entries a sequence, or fewer, to look up.
+DECODED = 16
 #: Bits of the filters of words and pairs that may be in the model.
 FILTER_BITS = 27
 #: Frequent words that are sent as places in a table.
@@ -60,58 +65,56 @@ _END = b"\n"  # no word holds white space
 NONE, START = 0, 1
 
 
-def words_of(text: bytes) -> list[bytes]:
-    return text.translate(LOWER).split()
+def _hash(word: bytes) -> int:
+    import xxhash
 
+    return xxhash.xxh3_64_intdigest(word)
 
-class _Words(dict):
-    """Words a worker has met, numbered; their hashes lie in ``hashes``."""
 
-    def __init__(self, size: int = 250_000):
-        super().__init__()
-        self.size = size
-        self.hashes = np.zeros(1024, np.uint64)
+def _words(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct tokens, rising, and of all texts the places of their tokens there, each
+    text with its end, and the numbers of their tokens."""
+    import xxhash
 
-    def __missing__(self, word: bytes) -> int:
-        import xxhash
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(texts.fill_null("")))
+    coded = lists.flatten().dictionary_encode()
+    word, kinds = coded.indices.to_numpy(), coded.dictionary
+    text = np.repeat(np.arange(len(texts), dtype=np.int32), pc.list_value_length(lists).to_numpy())
+    none = pc.index(kinds, pa.scalar("", kinds.type)).as_py()  # beside white space at the ends of a text
+    if none >= 0:
+        word, text = word[word != none], text[word != none]
+    binary = pa.large_binary() if pa.types.is_large_string(kinds.type) else pa.binary()
+    kinds = kinds.cast(binary).to_numpy(zero_copy_only=False)
+    hashes = np.append(np.fromiter(map(xxhash.xxh3_64_intdigest, kinds), np.uint64, len(kinds)), np.uint64(_hash(_END)))
+    order = np.argsort(hashes)
+    rank = np.empty(len(hashes), np.int64)
+    rank[order] = np.arange(len(hashes))
+    out = np.full(len(word) + len(texts), rank[-1])
+    out[np.arange(len(word)) + text] = rank[word]
+    return hashes[order], out, np.bincount(text, minlength=len(texts)) + 1
 
-        at = self[word] = len(self)
-        if at == len(self.hashes):
-            self.hashes = np.concatenate([self.hashes, np.zeros(at, np.uint64)])
-        self.hashes[at] = xxhash.xxh3_64_intdigest(word)
-        return at
 
-    def numbers(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        """Numbers of the tokens of all texts, each with its end, and the end of each text."""
-        if len(self) > self.size:
-            self.clear()
-        flat: list[int] = []
-        ends = np.zeros(len(texts), np.int64)
-        get, end = self.__getitem__, self[_END]
-        for i, text in enumerate(texts):
-            flat.extend(map(get, words_of(text)))
-            flat.append(end)
-            ends[i] = len(flat)
-        return np.array(flat, np.int64), ends
-
-
-def _chunks(batches: Iterator[pa.RecordBatch], at: int) -> Iterator[tuple[pa.Table, list[bytes]]]:
-    """Rows with about CHUNK_WORDS words, without the texts, and their texts."""
+def _chunks(
+    batches: Iterator[pa.RecordBatch], at: int, words: int = CHUNK_WORDS
+) -> Iterator[tuple[pa.Table, pa.Array]]:
+    """Rows with about so many words, without the texts, and their texts."""
     parts: list[pa.RecordBatch] = []
-    texts: list[bytes] = []
+    texts: list[pa.Array] = []
     size = 0
     for batch in batches:
-        rows, start = batch.drop_columns([batch.schema.names[at]]), 0
-        for i, text in enumerate(text_bytes(batch.column(at))):
-            texts.append(text)
-            size += len(text)
-            if size > 6 * CHUNK_WORDS:
+        rows, column, start = batch.drop_columns([batch.schema.names[at]]), batch.column(at), 0
+        for i, n in enumerate(pc.binary_length(column).fill_null(0).to_pylist()):
+            size += n
+            if size > 6 * words:
                 parts.append(rows.slice(start, i + 1 - start))
-                yield pa.Table.from_batches(parts), texts
+                texts.append(column.slice(start, i + 1 - start))
+                yield pa.Table.from_batches(parts), pa.concat_arrays(texts)
                 parts, texts, size, start = [], [], 0, i + 1
-        parts.append(rows.slice(start))
+        if start < len(column):
+            parts.append(rows.slice(start))
+            texts.append(column.slice(start))
     if texts:
-        yield pa.Table.from_batches(parts), texts
+        yield pa.Table.from_batches(parts), pa.concat_arrays(texts)
 
 
 def _find(table: np.ndarray, keys: np.ndarray) -> np.ndarray:
@@ -129,26 +132,13 @@ def count_words(docs: DataFrame) -> DataFrame:
     """hash and n of every token of ``docs(text)``, the end of each text included."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        counts: Counter[bytes] = Counter()
-
-        def out() -> pa.RecordBatch:
-            hashes = np.fromiter(map(xxhash.xxh3_64_intdigest, counts), np.uint64, len(counts))
-            n = np.fromiter(counts.values(), np.int64, len(counts))
-            counts.clear()
-            return pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(n)], ["hash", "n"])
-
-        for batch in batches:
-            for text in text_bytes(batch.column(0)):
-                counts.update(words_of(text))
-                counts[_END] += 1
-                if len(counts) > 250_000:
-                    yield out()
-        yield out()
+        for _, texts in _chunks(batches, 0, COUNT_WORDS):
+            hashes, word, _ = _words(texts)
+            n = np.bincount(word, minlength=len(hashes))
+            yield pa.RecordBatch.from_arrays([_signed(hashes[n > 0]), pa.array(n[n > 0])], ["hash", "n"])
 
     return (
-        docs.select("text").mapInArrow(run, "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
+        docs.select("text").mapInArrow(lean(run), "hash long, n long").groupBy("hash").agg(F.sum("n").alias("n"))
     )
 
 
@@ -163,15 +153,9 @@ def _shifted(values: np.ndarray, starts: np.ndarray, first: int) -> np.ndarray:
     return out
 
 
-@cache
-def _words() -> _Words:
-    """One numbering per worker."""
-    return _Words()
-
-
 @dataclass
 class Tokens:
-    """Tokens of several texts as places in ``names``, the hashes of words; two before each."""
+    """Tokens of several texts as places in ``names``, the rising hashes of words; two before each."""
 
     names: np.ndarray
     u: np.ndarray
@@ -181,14 +165,12 @@ class Tokens:
     text: np.ndarray
 
     @staticmethod
-    def of(texts: list[bytes]) -> Tokens:
-        memo = _words()
-        numbers, ends = memo.numbers(texts)
-        sizes = np.diff(np.concatenate([[0], ends]))
-        names = np.concatenate([np.array([NONE, START], np.uint64), memo.hashes[:len(memo)]])
-        w = numbers + 2
-        v = _shifted(w, ends - sizes, START)
-        return Tokens(names, _shifted(v, ends - sizes, NONE), v, w, np.repeat(np.arange(len(texts)), sizes))
+    def of(texts: pa.Array) -> Tokens:
+        hashes, numbers, sizes = _words(texts)
+        names = np.concatenate([np.array([NONE, START], np.uint64), hashes])
+        w, starts = numbers + 2, np.cumsum(sizes) - sizes
+        v = _shifted(w, starts, START)
+        return Tokens(names, _shifted(v, starts, NONE), v, w, np.repeat(np.arange(len(texts)), sizes))
 
     def pair_hashes(self) -> np.ndarray:
         return _pair_hashes(self.names[self.v], self.names[self.w])
@@ -237,7 +219,7 @@ def _code(v: np.ndarray, w: np.ndarray, u: np.ndarray, kinds: int) -> np.ndarray
 
 def _dealt(shard: np.ndarray) -> dict[int, np.ndarray]:
     """The places of each shard, rising."""
-    order = np.argsort(shard, kind="stable")
+    order = np.argsort(_narrow(shard), kind="stable")  # small types are sorted by their digits
     edges = np.flatnonzero(np.diff(shard[order])) + 1
     return {int(shard[part[0]]): part for part in np.split(order, edges)} if len(order) else {}
 
@@ -263,17 +245,16 @@ def _common_words(words: DataFrame) -> np.ndarray:
     return np.sort(words.filter(band >= least).select("hash").toArrow().column(0).to_numpy().view(np.uint64))
 
 
-def _columns(names: np.ndarray, common: np.ndarray, **columns: np.ndarray) -> dict[str, np.ndarray]:
+def _columns(names: np.ndarray, place: np.ndarray, **columns: np.ndarray) -> dict[str, np.ndarray]:
     """Places in ``names`` as places among the names that occur, which come with them: first
-    those that are common, as places there, then the hashes of the others."""
-    kept, at = np.unique(np.concatenate(list(columns.values())), return_inverse=True)
-    place = _find(common, names[kept])
-    order = np.argsort(place < 0, kind="stable")
-    moved = np.empty(len(kept), np.int64)
-    moved[order] = np.arange(len(kept))
-    parts = np.split(moved[at], np.cumsum([len(c) for c in columns.values()])[:-1])
-    rare = place < 0
-    return {"common": _narrow(place[~rare]), "names": names[kept[rare]], **{k: _narrow(p) for k, p in zip(columns, parts)}}
+    those that have a ``place`` among the common, as that place, then the hashes of the others."""
+    there = np.zeros(len(names), bool)
+    for column in columns.values():
+        there[column] = True
+    common, rare = np.flatnonzero(there & (place >= 0)), np.flatnonzero(there & (place < 0))
+    moved = np.empty(len(names), np.int64)
+    moved[common], moved[rare] = np.arange(len(common)), np.arange(len(common), len(common) + len(rare))
+    return {"common": _narrow(place[common]), "names": names[rare], **{k: _narrow(moved[c]) for k, c in columns.items()}}
 
 
 def _pack(arrays: dict[str, np.ndarray]) -> bytes:
@@ -324,8 +305,9 @@ def _kept(docs: DataFrame, frequent: Broadcast, common: Broadcast, shards: int,
                 _code(t.v, t.w, t.u, len(t.names)), return_index=True, return_counts=True
             )
             t = Tokens(t.names, t.u[first], t.v[first], t.w[first], first)
+            place = _find(common.value, t.names)
             for shard, at in _dealt(t.pair_hashes() % shards).items():
-                columns = _columns(t.names, common.value, u=t.u[at], v=t.v[at], w=t.w[at])
+                columns = _columns(t.names, place, u=t.u[at], v=t.v[at], w=t.w[at])
                 data = _pack({**columns, "n": _narrow(n[at])})
                 yield pa.RecordBatch.from_arrays([pa.array([shard], pa.int32()), pa.array([data])], ["shard", "data"])
 
@@ -358,9 +340,9 @@ def _kept(docs: DataFrame, frequent: Broadcast, common: Broadcast, shards: int,
                     ["shard", "u", "v", "w", "n", "place"],
                 )
 
-    dealt = docs.select("text").mapInArrow(deal, "shard int, data binary")
+    dealt = docs.select("text").mapInArrow(lean(deal), "shard int, data binary")
     return dealt.repartition("shard").sortWithinPartitions("shard").mapInArrow(
-        add, "shard int, u long, v long, w long, n long, place long"
+        lean(add), "shard int, u long, v long, w long, n long, place long"
     )
 
 
@@ -418,6 +400,15 @@ class Level:
         out[at[same]] = lo[at[same]]
         return out
 
+    def entries(self, context: np.ndarray, child: np.ndarray) -> np.ndarray:
+        """The entry of each child below its context, -1 where there is none."""
+        if DECODED * len(child) < len(self.log_p):
+            return self.find(self.range_of(context), child)
+        sizes = np.diff(self.pointers.all())
+        keys = np.repeat(np.arange(len(sizes)) << self.width, sizes)
+        keys |= succinct.read_bits(self.children, np.arange(len(keys)), self.width)
+        return _find(keys, context << self.width | child)
+
     def put(self, name: str) -> tuple[dict[str, np.ndarray], dict[str, int]]:
         """Arrays and numbers under a name, for a file that holds several levels."""
         arrays, numbers = succinct.flat([(f"{name}.pointers", self.pointers)])
@@ -532,20 +523,30 @@ class Shard:
         out = np.zeros(len(w))
         if not len(self.arrays["names"]):
             return out
-        known = _find(self.arrays["names"], names)
-        at = np.flatnonzero((known[v] >= 0) & (known[w] >= 0))
-        ranges = self.pairs.range_of(np.maximum(known, 0))
-        entry = self.pairs.find(ranges[v[at]], known[w[at]])
+        used = _places(len(names), u, v, w)
+        known = np.full(len(names), -1, np.int64)
+        known[used] = _find(self.arrays["names"], names[used])
+        u, v, w = known[u], known[v], known[w]
+        at = np.flatnonzero((v >= 0) & (w >= 0))
+        entry = self.pairs.entries(v[at], w[at])
         at, entry = at[entry >= 0], entry[entry >= 0]
         out[at] = self.pairs.p_book[self.pairs.log_p[entry]]
-        some = known[u[at]] >= 0
+        some = u[at] >= 0
         at, entry = at[some], entry[some]
-        entry = self.triples.find(self.triples.range_of(entry), known[u[at]])
+        entry = self.triples.entries(entry, u[at])
         hit = entry >= 0
         out[at[hit]] += self.triples.p_book[self.triples.log_p[entry[hit]]]
         return out
 
 
+def _places(size: int, *columns: np.ndarray) -> np.ndarray:
+    """The places below ``size`` that occur in the columns."""
+    there = np.zeros(size, bool)
+    for column in columns:
+        there[column] = True
+    return np.flatnonzero(there)
+
+
 def train(
     docs: DataFrame, *, min_count: int = MIN_COUNT, max_entries: int = MAX_ENTRIES,
     block_words: int = BLOCK_WORDS,
@@ -638,7 +639,7 @@ def _write_shards(docs: DataFrame, path: str, min_count: int, max_entries: int,
 
     with shuffles_removed(spark):
         rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(
-            build, "shard int, data binary"
+            lean(build), "shard int, data binary"
         ).write.parquet(path)
     back = follows.filter(F.col("v") == START).first()["back"]  # one row
     return shards, total, kinds, back, filter_, common
@@ -667,12 +668,12 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         for rows, texts in _chunks(batches, 1):
             t = Tokens.of(texts)
             # places of a chunk follow each other, so its first place names them all
-            place = rows["place"].combine_chunks().to_numpy()
-            chunk, size = int(place[0]), len(texts)
+            at_row = rows["place"].combine_chunks().to_numpy()
+            chunk, size = int(at_row[0]), len(texts)
             sizes = np.bincount(t.text, minlength=size)
             # every row once with its id, for the sums to be named after
             yield pa.RecordBatch.from_arrays(
-                [pa.array(place % ranges, pa.int32()), pa.array(np.full(size, 2, np.int32)), pa.array(place),
+                [pa.array(at_row % ranges, pa.int32()), pa.array(np.full(size, 2, np.int32)), pa.array(at_row),
                  pa.nulls(size, pa.int32()), rows["doc_id"].combine_chunks(), pa.array(sizes),
                  pa.nulls(size, pa.binary())], names,
             )
@@ -682,9 +683,10 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             may = _passes(kept.value, t.pair_hashes())
             t = t.only(may, np.concatenate([[False], may[:-1]]))
             words, pairs = _dealt(_word_shard(t.names[word], shards)), _dealt(t.pair_hashes() % shards)
+            place = _find(common.value, t.names)
             for shard in sorted({*words, *pairs}):
                 a, b = (d.get(shard, np.zeros(0, np.int64)) for d in (words, pairs))
-                columns = _columns(t.names, common.value, word=word[a], u=t.u[b], v=t.v[b], w=t.w[b])
+                columns = _columns(t.names, place, word=word[a], u=t.u[b], v=t.v[b], w=t.w[b])
                 counts = [np.bincount(x, minlength=size) for x in (of[a], t.text[b])]
                 data = _pack({
                     **columns, "times": _narrow(times[a]),
@@ -699,7 +701,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     def look_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for _, group in _shard_groups(batches):
             with MappedShards() as mapped:
-                chunk, sums = None, None
+                held: list[tuple[int, int, bytes]] = []
                 for batch in group:
                     kinds_of, chunks, numbers = (batch.column(i).fill_null(0).to_numpy() for i in (1, 2, 3))
                     for i in np.flatnonzero(kinds_of < 2).tolist():
@@ -707,36 +709,56 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
                         if kinds_of[i] == 0:
                             mapped.add(number, data)
                             continue
-                        if sums is not None and chunk != chunks[i]:
-                            yield _summed(chunk, sums, batch.column(4).type)
-                            sums = None
-                        chunk, sums = int(chunks[i]), _added(sums, mapped.shards.get(number), data)
+                        if held and chunks[i] != held[-1][0] and sum(len(d) for *_, d in held) > HELD_BYTES:
+                            yield from _sums(mapped, held, batch.column(4).type)
+                            held = []
+                        held.append((int(chunks[i]), number, data.to_pybytes()))
                     ids = batch.filter(pa.array(kinds_of == 2))
                     zero, size = np.zeros(ids.num_rows), ids.num_rows
                     yield pa.RecordBatch.from_arrays(
                         [ids.column(2), ids.column(4), ids.column(5), pa.array(zero.astype(np.int64)),
                          pa.array(zero), pa.array(np.full(size, start))], out,
                     )
-                if sums is not None:
-                    yield _summed(chunk, sums, batch.column(4).type)
-
-    def _added(sums: np.ndarray | None, found: Shard | None, data: pa.Buffer) -> np.ndarray:
-        """Tokens looked up, known tokens and both scores of each text of a chunk, with a shard's parts."""
-        a = _unpack(data, common.value)
-        size = len(a["word_sizes"])
-        n, log_back = np.zeros(len(a["names"]), np.int64), np.zeros(len(a["names"]))
-        more = np.zeros(len(a["w"]))
+                yield from _sums(mapped, held, batch.column(4).type)
+
+    def _sums(
+        mapped: MappedShards, held: list[tuple[int, int, bytes]], id_type: pa.DataType
+    ) -> Iterator[pa.RecordBatch]:
+        """The sums of the texts of whole chunks over the shards of a range."""
+        sums: dict[int, np.ndarray] = {}
+        for number, group in itertools.groupby(sorted(held, key=lambda x: x[1]), key=lambda x: x[1]):
+            chunks, data = zip(*((c, d) for c, _, d in group))
+            for chunk, parts in zip(chunks, _looked_up(mapped.shards.get(number), data)):
+                sums[chunk] = sums[chunk] + parts if chunk in sums else parts
+        for chunk, parts in sums.items():
+            yield _summed(chunk, parts, id_type)
+
+    def _looked_up(found: Shard | None, data: tuple[bytes, ...]) -> list[np.ndarray]:
+        """For each part sent to a shard: tokens looked up, known tokens and both scores of its texts."""
+        parts = [_unpack(pa.py_buffer(d), common.value) for d in data]
+        firsts = np.cumsum([0, *(len(a["names"]) for a in parts)])
+        names = np.concatenate([a["names"] for a in parts])
+        word, u, v, w = (
+            np.concatenate([a[c].astype(np.int64) + first for a, first in zip(parts, firsts)])
+            for c in ("word", "u", "v", "w")
+        )
+        times, word_sizes, pair_sizes = (
+            np.concatenate([a[c] for a in parts]).astype(np.int64) for c in ("times", "word_sizes", "pair_sizes")
+        )
+        n, log_back = np.zeros(len(names), np.int64), np.zeros(len(names))
+        more = np.zeros(len(w))
         if found:
-            n, log_back = found.words(a["names"])
-            more = found.sequences(a["names"], a["u"], a["v"], a["w"])
-        word, times = a["word"], a["times"].astype(np.int64)
-        of = np.repeat(np.arange(size), a["word_sizes"])
+            used = _places(len(names), word)
+            n[used], log_back[used] = found.words(names[used])
+            more = found.sequences(names, u, v, w)
+        size = len(word_sizes)
+        of = np.repeat(np.arange(size), word_sizes)
         base = np.bincount(of, times * _log_base(n, total, kinds)[word], size).astype(float)
         full = base + np.bincount(of, times * log_back[word], size)
-        full = full + np.bincount(np.repeat(np.arange(size), a["pair_sizes"]), more, size)
+        full = full + np.bincount(np.repeat(np.arange(size), pair_sizes), more, size)
         known = np.bincount(of, times * (n[word] > 0), size)
-        parts = np.stack([a["word_sizes"].astype(float) + a["pair_sizes"], known, base, full])
-        return parts if sums is None else sums + parts
+        sums = np.stack([word_sizes.astype(float) + pair_sizes, known, base, full])
+        return np.split(sums, np.cumsum([len(a["word_sizes"]) for a in parts])[:-1], axis=1)
 
     def _summed(chunk: int, sums: np.ndarray, id_type: pa.DataType) -> pa.RecordBatch:
         at = np.flatnonzero(sums[0] > 0)
@@ -747,7 +769,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
         )
 
     dealt = docs.select("doc_id", "text", F.monotonically_increasing_id().alias("place")).mapInArrow(
-        deal, f"range int, kind int, chunk long, shard int, doc_id {kind}, n_tokens long, data binary"
+        lean(deal), f"range int, kind int, chunk long, shard int, doc_id {kind}, n_tokens long, data binary"
     )
     files = model.files.select(
         F.expr(f"CAST(shard * {ranges}L DIV {shards} AS INT)").alias("range"),
@@ -757,8 +779,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     parts = files.unionByName(dealt).repartition("range").sortWithinPartitions(
         "range", "kind", "chunk", "shard"
     ).mapInArrow(
-        look_up,
-        f"place long, doc_id {kind}, n_tokens long, n_known long, base_score double, score double",
+        lean(look_up), f"place long, doc_id {kind}, n_tokens long, n_known long, base_score double, score double",
     )
     return parts.groupBy("place").agg(
         F.first("doc_id", ignorenulls=True).alias("doc_id"),

@@ -60,6 +60,12 @@ class EliasFano:
         place = word * 64 + octet * 8 + _NTH_ONE[octets[rows, octet], left - before]
         return ((place - at) << self.low_bits) | read_bits(self.arrays["low"], at, self.low_bits)
 
+    def all(self) -> np.ndarray:
+        """All values."""
+        at = np.arange(self.size)
+        ones = np.flatnonzero(np.unpackbits(self.arrays["high"].view(np.uint8), bitorder="little"))
+        return ((ones - at) << self.low_bits) | read_bits(self.arrays["low"], at, self.low_bits)
+
 
 _ONES = np.array([bin(i).count("1") for i in range(256)])
 #: Place of the n-th one in a byte.

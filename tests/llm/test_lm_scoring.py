@@ -5,6 +5,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from stintlake.llm import lm_scoring as M
@@ -163,3 +164,34 @@ def test_counts_are_deleted_before_shards_are_built(docs, monkeypatch):
     monkeypatch.setattr(M, "drop_stages", dropped)
     M.train(docs("a b c d", "a b c", "b c d a b c"))
     assert left == ["pairs", "triples", "word-weights"] and places == [(True,)]
+
+
+@pytest.mark.parametrize("kind", [pa.string(), pa.large_string()])
+def test_tokens_of_a_column(kind):
+    """Texts are split as columns, not word by word."""
+    texts = [" a\x0bB\x0cb\r\n\ta ", None, "", " \n", "É\x85a\xa0b\x1cc Éa", "a"]
+    hashes, places, sizes = M._words(pa.array(["x", *texts], kind).slice(1))
+    assert (np.diff(hashes.view(np.uint64)) > 0).all() and sizes.tolist() == [len(tokens(t)) for t in texts]
+    want = [M._hash(w or M._END) for t in texts for w in tokens(t)]
+    assert hashes[places].tolist() == want and set(hashes.tolist()) - set(want) <= {M._hash(b"")}
+
+
+def test_chunks_hold_whole_texts_and_their_rows():
+    texts = ["a " * n for n in (0, 5, 200, 0, 3, 90)] + [None]
+    rows = pa.RecordBatch.from_arrays([pa.array(range(7)), pa.array(texts)], ["place", "text"])
+    parts = list(M._chunks(iter([rows.slice(0, 4), rows.slice(4), rows.slice(7)]), 1, words=20))
+    assert [p["place"].to_pylist() for p, _ in parts] == [[0, 1, 2], [3, 4, 5], [6]]
+    assert [t for _, part in parts for t in part.to_pylist()] == texts
+
+
+def test_a_level_finds_the_same_entries_decoded_or_by_halving():
+    rng = np.random.default_rng(4)
+    both = np.unique(rng.integers(0, 50 * 300, 2000))
+    context, child = both // 300, both % 300
+    level = M.Level.build(context, child, 60, 9, rng.random(len(both)))
+    assert level.pointers.all().tolist() == level.pointers.get(np.arange(61)).tolist()
+    for many in (3, 5000):
+        c, x = rng.integers(0, 60, many), rng.integers(0, 300, many)
+        at = {(a, b): i for i, (a, b) in enumerate(zip(context, child))}
+        assert level.entries(c, x).tolist() == [at.get(k, -1) for k in zip(c, x)]
+    assert M.Level.build(context[:0], child[:0], 4, 9, np.zeros(0)).entries(c % 4, x).max() == -1
