@@ -246,15 +246,21 @@ def _common_words(words: DataFrame) -> np.ndarray:
 
 
 def _columns(names: np.ndarray, place: np.ndarray, **columns: np.ndarray) -> dict[str, np.ndarray]:
-    """Places in ``names`` as places among the names that occur, which come with them: first
-    those that have a ``place`` among the common, as that place, then the hashes of the others."""
+    """Places in ``names``, rising hashes, as places among the names that occur, which come with them:
+    first those that have a ``place`` among the common, as that place, then the hashes of the others,
+    both as steps."""
     there = np.zeros(len(names), bool)
     for column in columns.values():
         there[column] = True
     common, rare = np.flatnonzero(there & (place >= 0)), np.flatnonzero(there & (place < 0))
     moved = np.empty(len(names), np.int64)
     moved[common], moved[rare] = np.arange(len(common)), np.arange(len(common), len(common) + len(rare))
-    return {"common": _narrow(place[common]), "names": names[rare], **{k: _narrow(moved[c]) for k, c in columns.items()}}
+    steps = np.diff(names[rare], prepend=np.uint64(0))  # of rising hashes: the first bytes are small
+    return {
+        "common": _narrow(np.diff(place[common], prepend=0)),
+        "names": steps.view(np.uint8).reshape(-1, 8).T.ravel(),  # first bytes lie together
+        **{k: _narrow(moved[c]) for k, c in columns.items()},
+    }
 
 
 def _pack(arrays: dict[str, np.ndarray]) -> bytes:
@@ -265,7 +271,9 @@ def _pack(arrays: dict[str, np.ndarray]) -> bytes:
 def _unpack(data: pa.Buffer, common: np.ndarray) -> dict[str, np.ndarray]:
     size = int.from_bytes(data.slice(0, 8).to_pybytes(), "little")
     arrays = succinct.parse(pa.decompress(data.slice(8), size, "zstd"))[0]
-    return {**arrays, "names": np.concatenate([common[arrays["common"]], arrays["names"]])}
+    rare = np.ascontiguousarray(arrays["names"].reshape(8, -1).T).view(np.uint64).ravel()
+    kept = common[np.cumsum(arrays["common"], dtype=np.int64)]
+    return {**arrays, "names": np.concatenate([kept, np.cumsum(rare, dtype=np.uint64)])}
 
 
 def _shard_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, Iterator[pa.RecordBatch]]]:

@@ -195,3 +195,17 @@ def test_a_level_finds_the_same_entries_decoded_or_by_halving():
         at = {(a, b): i for i, (a, b) in enumerate(zip(context, child))}
         assert level.entries(c, x).tolist() == [at.get(k, -1) for k in zip(c, x)]
     assert M.Level.build(context[:0], child[:0], 4, 9, np.zeros(0)).entries(c % 4, x).max() == -1
+
+
+@pytest.mark.parametrize("size", [0, 5, 3000])
+def test_sent_names_are_steps_and_come_back(size):
+    rng = np.random.default_rng(size)
+    names = np.unique(rng.integers(2, 1 << 64, 2 * size + 2, dtype=np.uint64))
+    common = names[::3]
+    u, w = rng.integers(0, len(names), (2, size))
+    data = M._pack(M._columns(names, M._find(common, names), u=u, w=w))
+    back = M._unpack(pa.py_buffer(data), common)
+    assert (back["names"][back["u"]] == names[u]).all() and (back["names"][back["w"]] == names[w]).all()
+    rare = len(set(u.tolist() + w.tolist()) - set(range(0, len(names), 3)))
+    columns = sum(back[c].nbytes for c in "uw")
+    assert size < 3000 or len(data) < 7.5 * rare + columns + 2 * len(common)  # not eight bytes a hash
